@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprints, line_dedup, topk
+from . import fingerprints, line_dedup, ngram_join, suffix_dedup, topk
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
+    "op3_suffix_dedup": suffix_dedup.op3,
+    "op4_ngram_join": ngram_join.op4,
     "op7_line_dedup": line_dedup.op7,
     "op8_exact_topk": topk.op8,
 }
