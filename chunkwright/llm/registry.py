@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import fingerprints, line_dedup, ngram_join, suffix_dedup, topk
+from . import fingerprints, license_scan, line_dedup, ngram_join, suffix_dedup, topk
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
+    "op2_license_scan": license_scan.op2,
     "op3_suffix_dedup": suffix_dedup.op3,
     "op4_ngram_join": ngram_join.op4,
     "op7_line_dedup": line_dedup.op7,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_license_scan": license_scan.OP2_SQL,
     "op8_exact_topk": topk.OP8_SQL,
 }
