@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import fingerprints, license_scan, line_dedup, ngram_join, suffix_dedup, topk
+from . import fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, suffix_dedup, topk
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
     "op2_license_scan": license_scan.op2,
     "op3_suffix_dedup": suffix_dedup.op3,
     "op4_ngram_join": ngram_join.op4,
+    "op5_packing": packing.op5,
+    "op6_mixing": mixing.op6,
     "op7_line_dedup": line_dedup.op7,
     "op8_exact_topk": topk.op8,
 }
