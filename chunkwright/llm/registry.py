@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, suffix_dedup, topk
+from . import fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality, suffix_dedup, topk
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
@@ -13,6 +13,8 @@ QUERIES = {
     "op6_mixing": mixing.op6,
     "op7_line_dedup": line_dedup.op7,
     "op8_exact_topk": topk.op8,
+    "op9_pii_surrogates": pii.op9,
+    "op10_quality": quality.op10,
 }
 
 ORACLE_SQL = {
