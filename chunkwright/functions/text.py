@@ -52,10 +52,10 @@ def link(url: Column, text: Column) -> Column:
 
 
 def time_label(seconds: Column) -> Column:
-    """[Y1] h:mm:ss, or m:ss under an hour."""
+    """[Y1] h:mm:ss, or m:ss under an hour; null for null."""
     s = seconds.cast("bigint")
     hours, minutes, rest = F.floor(s / 3600), F.floor((s % 3600) / 60), s % 60
-    return F.when(hours > 0, F.format_string("%d:%02d:%02d", hours, minutes, rest)).otherwise(F.format_string("%d:%02d", minutes, rest))
+    return F.when(hours > 0, F.format_string("%d:%02d:%02d", hours, minutes, rest)).when(s.isNotNull(), F.format_string("%d:%02d", minutes, rest))
 
 
 def stamp_seconds(stamp: Column) -> Column:
