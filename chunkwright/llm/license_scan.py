@@ -35,6 +35,7 @@ TEMPLATES = {
     "unlicense": "[this is free and unencumbered software] released into the [public domain]",
 }
 RARE = 8
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -50,7 +51,14 @@ def parse(template: str) -> list[tuple[list[str], int]]:
 
 
 def words_of(text: str = "text"):
-    return F.regexp_extract_all(ascii_lower(F.col(text)), F.lit(f"({WORD})"), F.lit(1))
+    """Words of a text with A-Z lower-cased.
+
+    Letters beyond ASCII don't occur in phrases, so the faster full lower-casing serves but for texts with one of the two
+    letters that it would turn into ASCII ones.
+    """
+    raw = F.coalesce(F.col(text), F.lit(""))
+    low = F.when(raw.contains("\u212a") | raw.contains("\u0130"), ascii_lower(raw)).otherwise(F.lower(raw))
+    return F.array_remove(F.split(low, GAP), "")
 
 
 def _in(name: str, words: list[str]) -> str:
