@@ -10,30 +10,33 @@ from ..functions.text import bytes_label
 CAP = 800
 
 
-def rank_percentile(column: str, p: float) -> Column:
-    """[A3] sorted[min(n - 1, floor(n * p))], 0 for none; neither interpolated nor percentile_disc.
+def rank_percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float]) -> DataFrame:
+    """[A3] sorted[min(n - 1, floor(n * p))] for each name and p in ``ps``, and ``n``; neither interpolated nor percentile_disc.
 
-    Exact through a count by value: a group's values are combined map-side before they meet.
+    Values are counted first, so only (value, count) pairs of a group meet, and picked by running counts.
     """
-    values = F.array_sort(F.collect_list(column))
-    n = F.size(values)
-    return F.coalesce(F.get(values, F.least(n - 1, F.floor(n * p).cast("int"))), F.lit(0))
+    counted = df.groupBy(*by, value).agg(F.count("*").alias("_c"))
+    return _picked(counted, by, value, ps)
 
 
-def distribution(df: DataFrame, size: str, by: list[str], cap: int = CAP, order: str | None = None, label: str | None = None) -> DataFrame:
-    """[A2-A5, C12] n, p50, p90, p99, max, rows over the cap and the largest row, at every level of ``by`` and in all.
+def _picked(counted: DataFrame, by: list[str], value: str, ps: dict[str, float], *more: Column) -> DataFrame:
+    key = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    run = counted.withColumn("_to", F.sum("_c").over(key.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.sum("_c").over(key))
+    picks = [F.min(F.when(F.col("_to") > F.least(F.col("_n") - 1, F.floor(F.col("_n") * p)), F.col(value))).cast("long").alias(name) for name, p in ps.items()]
+    return run.groupBy(*by).agg(F.max("_n").cast("long").alias("n"), *picks, *more)
 
-    Sizes are first counted by value, so that only (value, count) pairs meet; percentiles come from running counts.
+
+def distribution(df: DataFrame, size: str, by: list[str], cap: int = CAP) -> DataFrame:
+    """[A2-A5, C12] n, p50, p90, p99, max and rows over the cap, at every level of ``by`` and in all.
+
+    Sizes are counted once by value; every level adds up those counts.
     """
     counted = df.groupBy(*by, size).agg(F.count("*").alias("_c"))
-    levels = [by[:i] for i in range(len(by), -1, -1)]
     out = None
-    for level in levels:
+    for level in [by[:i] for i in range(len(by), -1, -1)]:
         at = counted.groupBy(*level, size).agg(F.sum("_c").alias("_c"))
-        key = Window.partitionBy(*level) if level else Window.partitionBy(F.lit(0))
-        run = at.withColumn("_to", F.sum("_c").over(key.orderBy(size).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.sum("_c").over(key))
-        pick = lambda p: F.min(F.when(F.col("_to") > F.least(F.col("_n") - 1, F.floor(F.col("_n") * p)), F.col(size))).cast("long")
-        got = run.groupBy(*level).agg(F.max("_n").cast("long").alias("n"), pick(0.5).alias("p50"), pick(0.9).alias("p90"), pick(0.99).alias("p99"), F.max(size).cast("long").alias("max"), F.coalesce(F.sum(F.when(F.col(size) > cap, F.col("_c"))), F.lit(0)).cast("long").alias("over_cap"))
+        over = F.coalesce(F.sum(F.when(F.col(size) > cap, F.col("_c"))), F.lit(0)).cast("long").alias("over_cap")
+        got = _picked(at, level, size, {"p50": 0.5, "p90": 0.9, "p99": 0.99}, F.max(size).cast("long").alias("max"), over)
         got = got.select(*[F.col(c) if c in level else F.lit(None).cast("string").alias(c) for c in by], "n", "p50", "p90", "p99", "max", "over_cap")
         out = got if out is None else out.unionByName(got)
     return out

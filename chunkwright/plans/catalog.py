@@ -533,7 +533,8 @@ def chunk_stats(spark, sf_dir):
 
 @query("SELECT event_type, list_sort(list(v))[1 + least(count(*) - 1, CAST(floor(count(*) * 0.9) AS BIGINT))] AS p90 FROM (SELECT event_type, CAST(floor(value * 100) AS BIGINT) AS v FROM events) GROUP BY event_type")
 def rank_percentiles(spark, sf_dir):
-    return table(spark, sf_dir, "events").withColumn("v", F.floor(F.col("value") * 100)).groupBy("event_type").agg(audit.rank_percentile("v", 0.9).alias("p90"))
+    e = table(spark, sf_dir, "events").withColumn("v", F.floor(F.col("value") * 100))
+    return audit.rank_percentiles(e, ["event_type"], "v", {"p90": 0.9}).select("event_type", "p90")
 
 
 @query("SELECT source, count(*) AS n FROM documents GROUP BY ROLLUP (source)")

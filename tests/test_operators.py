@@ -46,8 +46,8 @@ def test_word_groups(spark, n, sizes):
 
 def test_percentile(spark):
     t = df(spark, [(i,) for i in range(1, 11)], "v long")
-    assert t.agg(audit.rank_percentile("v", 0.5).alias("p")).first()["p"] == 6
-    assert t.where("v > 99").agg(audit.rank_percentile("v", 0.5).alias("p")).first()["p"] == 0
+    assert tuple(audit.rank_percentiles(t, [], "v", {"p": 0.5, "q": 0.99}).first()) == (10, 6, 10)
+    assert tuple(audit.rank_percentiles(t.union(t), ["v"], "v", {"p": 0.5}).orderBy("v").first()) == (1, 2, 1)
 
 
 def test_strip_overlap():
