@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# columns of the metadata table in their order (fixed values)
 STRING_FIELDS = (
-    "id corpus doc_title source_url fetched_at published_at section_path citation_url citation_text citation_html license publisher author speaker venue course "
-    "ticker company_name form filing_date fiscal_period letter_year category geography channel video_id model_id part_of"
+    "id corpus doc_title source_url published_at fetched_at section_path speaker_role speaker_name category ticker company_name form filing_date "
+    "channel video_id subs_kind author letter_year transcript_kind model_id image_path part_of fiscal_period publisher citation_url citation_text citation_html"
 ).split()
 INT_FIELDS = "slide_number t_start_seconds part_index part_count n_tokens".split()
 BOOL_FIELDS = ["is_priority_section"]
