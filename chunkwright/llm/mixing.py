@@ -11,21 +11,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Stored, ascii_lower, table
+from .common import Stored, table
 
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA, ROUNDS, ROUNDS_A_PLAN, CELLS_A_TASK, SEED = 0.8, 24, 8, 100_000, 42
 
-# topics by what a text is made of (fixed values): name and pattern, the first that fits counts
-TOPICS = (("code", r"[{};]|\bdef \w+\(|\bclass \w+"), ("table", r" \| .* \| "), ("contact", r"@[a-z0-9.-]+\.[a-z]{2,}|\+[0-9]+ \([0-9]+\)"), ("legal", r"\b(license|licensed|copyright)\b"), ("shouting", r"!! \S+!! \S+!!"))
+# topics by what a text is made of (fixed values): name, marks of which a text needs one, and a pattern; the first that fits counts
+TOPICS = (
+    ("code", ("{", "}", ";"), None),
+    ("table", (" | ",), r" \| .* \| "),
+    ("contact", ("@",), r"@[a-z0-9.-]+\.[a-z]{2,}"),
+    ("contact", ("+",), r"\+[0-9]+ \([0-9]+\)"),
+    ("legal", ("license", "copyright"), r"\b(license|licensed|copyright)\b"),
+    ("shouting", ("!! ",), r"!! \S+!! \S+!!"),
+)
 
 
 def topic(text: str = "text") -> Column:
-    """A coarse topic from patterns; ``prose`` if none fits, ``none`` for null or empty text."""
-    low = ascii_lower(F.col(text))
+    """A coarse topic from marks and patterns; ``prose`` if none fits, ``none`` for null or empty text.
+
+    Patterns run only on texts that hold a mark, which is a plain search for a few bytes.
+    """
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
     out = F.when(low == "", F.lit("none"))
-    for name, pattern in TOPICS:
-        out = out.when(low.rlike(pattern), F.lit(name))
+    for name, marks, pattern in TOPICS:
+        test = low.contains(marks[0])
+        for m in marks[1:]:
+            test = test | low.contains(m)
+        out = out.when(test & low.rlike(pattern) if pattern else test, F.lit(name))
     return out.otherwise(F.lit("prose"))
 
 
