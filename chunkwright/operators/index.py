@@ -41,9 +41,13 @@ def bm25_topk(queries: DataFrame, chunks: DataFrame, query_id: str, id_col: str,
     lengths = doc_lengths(chunks, id_col, text_col)
     stats = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
     n, avgdl = stats["n"], stats["avgdl"] or 1.0
-    if index is None:
-        index = token_rows(chunks, id_col, text_col).join(asked.select("tok").distinct(), "tok", "left_semi").groupBy("tok", "row_id").agg(F.count("*").alias("tf"))
-    wanted = index.join(document_frequency(index), "tok").join(lengths, "row_id")
+    if index is None:  # the length rides along with each token, so no join brings it back
+        held = chunks.select(F.col(id_col).cast("long").alias("row_id"), tokens(F.col(text_col)).alias("t"))
+        rows = held.select("row_id", F.size("t").cast("long").alias("dl"), F.explode("t").alias("tok"))
+        index = rows.join(asked.select("tok").distinct(), "tok", "left_semi").groupBy("tok", "row_id").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
+    else:
+        index = index.join(lengths, "row_id")
+    wanted = index.join(document_frequency(index), "tok")
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(float(avgdl))))
     scored = wanted.select("tok", "row_id", weight.alias("w")).join(asked, "tok").groupBy("query_id", "row_id").agg(F.sum(F.col("qtf") * F.col("w")).alias("score"))
