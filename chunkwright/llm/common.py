@@ -28,12 +28,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; one is made only where the setting is absent, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="chunkwright-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = tempfile.mkdtemp(prefix="chunkwright-")
+        base = _OWN[app]
     return base.rstrip("/")
 
 
@@ -64,6 +69,24 @@ def stored(df: DataFrame) -> DataFrame:
     return Stored(df).df
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from every node but the least of each component to that least node: as many edges as nodes at most."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[i], label[j])
+        before = label.copy()
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        np.minimum.at(label, before, label)
+        label = label[label]
+        if (label == before).all():
+            break
+    moved = label != np.arange(len(nodes))
+    return nodes[moved], nodes[label[moved]]
+
+
 def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected edge list as ``(node, component)``, component being the least node.
 

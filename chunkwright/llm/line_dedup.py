@@ -260,3 +260,14 @@ def op7(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kept = drop_hot_lines(docs)
     return kept.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH l AS (SELECT row_number() OVER () AS k, CAST(doc_id AS BIGINT) AS doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+x AS (SELECT k, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM l),
+y AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+hot AS (SELECT key FROM y WHERE key <> '' GROUP BY key HAVING count(DISTINCT k) >= 10),
+z AS (SELECT y.*, hot.key IS NOT NULL AS gone FROM y LEFT JOIN hot USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count_if(gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM z GROUP BY k
+"""

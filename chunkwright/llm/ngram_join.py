@@ -3,12 +3,12 @@
 A document is the set of its word shingles. Shingles are hashed into groups; the group counts are the document's point,
 and two sets share at most the sum of the coordinate minima of their points. The join runs in three steps.
 
-1. *Routing.* All-pairs over points can't be dealt to machines, so the groups do the routing as well. Documents whose
-   larger set falls in one size band differ in at most k shingles, each of which spoils one group: among k+1 groups one
-   at least has the same content in both. Each document sends the content hash of its groups, in its own band and the
-   next. Groups with no or one shingle say little; there are more than k+1 groups so that a document
-   may leave out its small ones (one that has too many sends all). Documents that share a hash form candidate clusters
-   through star edges to the least member, first inside a task and then across tasks, so no group is ever gathered.
+1. *Routing.* All pairs of points can't be dealt to machines, so documents that can link are brought together first.
+   Shingles are ordered by document frequency, ties by hash. Two sets that link share one of their first
+   n - ceil(t n) + 1 shingles in any common order (t the threshold), and rare first means that few others share it.
+   One exchange counts all shingles; shingles that no other document has never travel again. Each set then sends what is
+   left of its own first shingles; documents that share one form candidate clusters through star edges to the least member,
+   first inside a task and then across tasks, so no group is ever gathered.
 2. *R-tree.* Clusters are cut into blocks of bounded volume. A block packs its points into an R-tree by size
    and least shingle; pairs of nodes go when the summed minima of their upper corners fall short of the overlap that
    the threshold asks for, then pairs of points in the same way. Pairs already connected need no check; the others are
@@ -29,10 +29,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, components, mix64, shingle_hashes, shuffle_partitions, table, word_hashes
+from .common import Stored, components, forest, mix64, shingle_hashes, shuffle_partitions, table, word_hashes
 from .suffix_dedup import _blobs, _tidy, unpack
 
-WORDS, PERCENT, BLOCK_SHINGLES, FLUSH = 5, 80, 2_000_000, 1 << 21
+WORDS, PERCENT, BLOCK_SHINGLES, FLUSH, BROADCAST_MEMBERS, MANY = 5, 80, 250_000, 1 << 20, 2_000_000, 64
 POINT, LEAF, FAN = 128, 16, 16
 NULL_ID = -(1 << 63)
 
@@ -48,47 +48,6 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
     return (d & (1 << 64) - 1) - (1 << 64) * (d >> 63 & 1), (d >> 64) - (1 << 64) * (d >> 127)
 
 
-class Bands:
-    """Size bands: a set and its partner of at most size / threshold lie in one band or in two neighbours."""
-
-    def __init__(self, percent: int):
-        self.percent, self.low, self.high = percent, [1], []
-
-    def of(self, n: int) -> int:
-        while not self.high or self.high[-1] < n:
-            self.high.append(self.low[-1] * 100 // self.percent)
-            self.low.append(self.high[-1] + 1)
-        return int(np.searchsorted(self.high, n))
-
-    def groups(self, band: int) -> tuple[int, int]:
-        """How many groups the band has, and how many small ones a document may leave out."""
-        while len(self.high) <= band:
-            self.of(self.low[-1])
-        k = (100 - self.percent) * 2 * self.high[band] // (100 + self.percent)
-        spare = k // 10 + 3
-        return k + 1 + spare, spare
-
-
-def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """Content hashes of the set's groups in its own band and the next."""
-    out = []
-    own = bands.of(len(s))
-    for band in (own, own + 1):
-        groups, spare = bands.groups(band)
-        group = (mix64(s + np.uint64(band * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) % np.uint64(groups)).astype(np.int64)
-        count = np.bincount(group, minlength=groups)
-        order = np.argsort(group, kind="stable")
-        full = np.flatnonzero(count)
-        content = np.zeros(groups, np.uint64)
-        content[full] = np.add.reduceat(mix64(s[order] ^ np.uint64(0xA0761D6478BD642F)), (np.cumsum(count) - count)[full])
-        told = count > 1
-        if groups - told.sum() > spare:
-            told[:] = True
-        at = np.flatnonzero(told)
-        out.append(mix64(content[at] + mix64(np.uint64(band << 40) + at.astype(np.uint64)) + count[at].astype(np.uint64)))
-    return np.concatenate(out)
-
-
 def _stars(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Each signature with its least class, and edges from the other classes to it."""
     order = np.lexsort((cls, sig))
@@ -96,48 +55,173 @@ def _stars(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     first = np.concatenate([[True], sig[1:] != sig[:-1]])
     lead = cls[first][np.cumsum(first) - 1]
     other = cls != lead
-    edges = np.unique(np.stack([cls[other], lead[other]], 1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-    return sig[first], cls[first], edges[:, 0], edges[:, 1]
+    a, b = forest(cls[other], lead[other])
+    return sig[first], cls[first], a, b
 
 
 T = "kind int, x long, y long, n long"
+PACKED = "part int, kind int, blob binary"
+SKETCH, COUNT, HEAVY, SHARED, OWN, SIGN, EDGE = range(7)
+
+
+def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    part, kind, blob = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], names=["part", "kind", "blob"])
+
+
+def _range(h: np.ndarray, bits: int, parts: int) -> np.ndarray:
+    """The part of a shortened hash: equal ranges, so that a part's sorted hashes lie close together."""
+    width = np.uint64(-(-(1 << bits) // parts))
+    return (h // width).astype(np.int64)
+
+
+def _pack_counts(base: int, h: np.ndarray, place: np.ndarray) -> bytes:
+    """Sorted hashes as steps, byte by byte so that empty high bytes compress, and who has them, counted from ``base``."""
+    step = np.diff(h, prepend=np.uint64(0))
+    return np.array([base, len(h)], np.int64).tobytes() + step.view(np.uint8).reshape(-1, 8).T.tobytes() + place.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _open_counts(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    base, n = np.frombuffer(blob, np.int64, 2)
+    step = np.ascontiguousarray(np.frombuffer(blob, np.uint8, 8 * n, 16).reshape(8, n).T).view(np.uint64).ravel()
+    place = np.ascontiguousarray(np.frombuffer(blob, np.uint8, 4 * n, 16 + 8 * n).reshape(4, n).T).view(np.uint32).ravel()
+    return np.cumsum(step, dtype=np.uint64), base + place.astype(np.int64)
+
 
+def _owner(ref: np.ndarray, parts: int) -> np.ndarray:
+    return (mix64(ref.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+def _scan(words: int, bits: int, parts: int):
+    """Sets of each task's documents: equal ones once, shingles dealt by hash. A set is known by task and number."""
 
-def _scan(words: int, percent: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen, held, sketch, size = Bands(percent), set(), [], [], 0
+        from pyspark import TaskContext
+
+        context = TaskContext.get()
+        base = (context.partitionId() if context is not None else 0) << 32
+        seen, sets, keys, sketch, size = set(), [], [], [], 0
 
         def flush():
-            rows = []
-            if held:
-                sig = np.concatenate([x for _, x in held])
-                cls = np.repeat(np.array([c for c, _ in held], np.int64), [len(x) for _, x in held])
-                sig, cls, a, b = _stars(sig, cls)
-                rows += [(p, 1, blob) for p, blob in _blobs((mix64(sig) % np.uint64(parts)).astype(np.int64), sig, cls)]
-                rows += [(p, 2, blob) for p, blob in _blobs((a.view(np.uint64) % np.uint64(parts)).astype(np.int64), a, b)]
+            nonlocal base
             doc, key, n = (np.array(x, np.int64) for x in zip(*sketch, strict=True))
-            rows += [(p, 0, blob) for p, blob in _blobs(np.arange(len(doc)) % parts, doc, key, n)]
-            part, kind, blob = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())], names=["part", "kind", "blob"])
+            rows = [(p, SKETCH, blob) for p, blob in _blobs(np.arange(len(doc)) % parts, doc, key, n)]
+            if sets:
+                ref = base + np.arange(len(sets))
+                sizes = np.array([len(x) for x in sets], np.int64)
+                rows += [(p, OWN, blob) for p, blob in _blobs(_owner(ref, parts), ref, np.array(keys, np.int64), sizes)]
+                h = np.concatenate(sets) >> np.uint64(64 - bits)
+                sets.clear()
+                place = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
+                order = np.argsort(h, kind="stable")
+                h, place = h[order], place[order]
+                del order
+                first = np.concatenate([[True], h[1:] != h[:-1]])
+                count = np.diff(np.append(np.flatnonzero(first), len(h)))
+                heavy = np.repeat(count > MANY, count)
+                if heavy.any():
+                    rows += [(p, HEAVY, blob) for p, blob in _blobs(_range(h[heavy & first], bits, parts), h[heavy & first])]
+                    rows += [(p, SHARED, blob) for p, blob in _blobs(_owner(base + place[heavy].astype(np.int64), parts), base + place[heavy].astype(np.int64), h[heavy], np.full(heavy.sum(), MANY, np.uint8))]
+                h, place = h[~heavy], place[~heavy]
+                part = _range(h, bits, parts)
+                cut = np.searchsorted(part, np.arange(parts + 1))
+                rows += [(p, COUNT, _pack_counts(base, h[a:b], place[a:b])) for p, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
+                base += len(sizes)
+            return _rows(rows)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = shingle_set(text, words)
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s = shingle_set(text.as_py(), words)
                 key = set_key(s)[0]
                 sketch.append((doc, key, len(s)))
                 if len(s) and key not in seen:
                     seen.add(key)
-                    held.append((key, signatures(s, bands)))
-                    size += len(held[-1][1])
+                    keys.append(key)
+                    sets.append(s)
+                    size += len(s)
                 if size > FLUSH:
                     yield flush()
-                    seen, held, sketch, size = set(), [], [], 0
+                    seen, sets, keys, sketch, size = set(), [], [], [], 0
         if sketch:
             yield flush()
 
     return run
 
 
+def _read(batches: Iterator[pa.RecordBatch], through: tuple[int, ...], out: list) -> dict[int, list[bytes]]:
+    """Blobs by kind; rows of the kinds in ``through`` go to ``out``."""
+    blobs: dict[int, list[bytes]] = {k: [] for k in range(7)}
+    for batch in batches:
+        for part, kind, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            if kind in through:
+                out.append((part, kind, blob.as_py()))
+            else:
+                blobs[kind].append(blob.as_py())
+    return blobs
+
+
+def _count(bits: int, parts: int):
+    """Document frequency of whole hashes; those of two documents or more go back to the sets that have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list = []
+        blobs = _read(batches, (SKETCH, OWN, SHARED), out)
+        yield _rows(out)
+        if not blobs[COUNT]:
+            return
+        h, ref = (np.concatenate(x) for x in zip(*map(_open_counts, blobs[COUNT]), strict=True))
+        blobs[COUNT].clear()
+        order = np.argsort(h, kind="stable")
+        h, ref = h[order], ref[order]
+        first = np.concatenate([[True], h[1:] != h[:-1]])
+        count = np.diff(np.append(np.flatnonzero(first), len(h)))
+        count[np.isin(h[first], unpack(blobs[HEAVY], np.uint64)[0])] += MANY
+        many = np.repeat(np.minimum(count, MANY).astype(np.uint8), np.diff(np.append(np.flatnonzero(first), len(h))))
+        shared = many > 1
+        ref, h, many = ref[shared], h[shared], many[shared]
+        order = np.argsort(ref, kind="stable")
+        ref, h, many = ref[order], h[order], many[order]
+        yield _rows([(p, SHARED, blob) for p, blob in _blobs(_owner(ref, parts), ref, h, many)])
+
+    return run
+
+
+def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
+    """n - ceil(percent * n / 100) + 1"""
+    return n - -(-percent * n // 100) + 1
+
+
+def _choose(percent: int, bits: int, parts: int):
+    """The first shingles of each set that others have too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list = []
+        blobs = _read(batches, (SKETCH,), out)
+        yield _rows(out)
+        own, key, n = unpack(blobs[OWN], np.int64, np.int64, np.int64)
+        ref, h, many = unpack(blobs[SHARED], np.int64, np.uint64, np.uint8)
+        if not len(ref):
+            return
+        order = np.argsort(own)
+        own, key, n = own[order], key[order], n[order]
+        at = np.searchsorted(own, ref)
+        # what only this set has comes first in its order
+        quota = prefix_length(n, percent) - (n - np.bincount(at, minlength=len(own)))
+        live = quota[at] > 0
+        at, h, many = at[live], h[live], many[live]
+        order = np.lexsort((h, many, at))
+        at, h = at[order], h[order]
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
+        rank = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        chosen = rank < quota[at]
+        if chosen.any():
+            sig, lead, a, b = _stars(h[chosen], key[at[chosen]])
+            rows = [(p, SIGN, blob) for p, blob in _blobs(_range(sig, bits, parts), sig, lead)]
+            yield _rows(rows + [(p, EDGE, blob) for p, blob in _blobs(_owner(a, parts), a, b)])
+
+    return run
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole signatures: star edges between their classes. Sketches and edges pass through."""
 
@@ -145,21 +229,18 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         null = (x == NULL_ID) if kind == 0 else None
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x, mask=null), pa.array(y), pa.array(n)], names=["kind", "x", "y", "n"])
 
-    blobs: dict[int, list[bytes]] = {0: [], 1: [], 2: []}
-    for batch in batches:
-        for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            blobs[kind].append(blob)
-    doc, key, n = unpack(blobs[0], np.int64, np.int64, np.int64)
+    blobs = _read(batches, (), [])
+    doc, key, n = unpack(blobs[SKETCH], np.int64, np.int64, np.int64)
     if len(doc):
         yield rows(0, doc, key, n)
-    sig, cls = unpack(blobs[1], np.uint64, np.int64)
-    a, b = unpack(blobs[2], np.int64, np.int64)
+    a, b = unpack(blobs[EDGE], np.int64, np.int64)
+    sig, cls = unpack(blobs[SIGN], np.uint64, np.int64)
     if len(sig):
         _, _, c, d = _stars(sig, cls)
         a, b = np.concatenate([a, c]), np.concatenate([b, d])
     if len(a):
-        edges = np.unique(np.stack([a, b], 1), axis=0)
-        yield rows(1, edges[:, 0], edges[:, 1], np.zeros(len(edges), np.int64))
+        a, b = forest(a, b)
+        yield rows(1, a, b, np.zeros(len(a), np.int64))
 
 
 def points(sets: list[np.ndarray]) -> np.ndarray:
@@ -317,14 +398,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their own. No rows give none. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    wide = shuffle_partitions(spark)
+    wide = 2 * shuffle_partitions(spark)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    found = Stored(rows.mapInArrow(_scan(words, percent, wide), "part int, kind int, blob binary").repartition(wide, "part").mapInArrow(_gather, T)).df
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 1
+    bits = min(64, max(40, int(size).bit_length() + 10))
+    step = rows.mapInArrow(_scan(words, bits, wide), PACKED)
+    for next_step in (_count(bits, wide), _choose(percent, bits, wide)):
+        step = step.repartition(wide, "part").mapInArrow(next_step, PACKED)
+    found = Stored(step.repartition(wide, "part").mapInArrow(_gather, T)).df
     _tidy(spark)
     sketch = found.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("cls"), "n")
     edges = found.where("kind = 1").select(F.col("x").alias("src"), F.col("y").alias("dst"))
     classes = Stored(sketch.where("n > 0").groupBy("cls").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("doc"), F.min("doc_id").alias("least"), F.first("n").alias("n"))).df
-    links = link_forest(rows, classes, edges, words, percent, block_shingles)
+    links = linkforest(rows, classes, edges, words, percent, block_shingles)
     roots = components(links)
     # every class to the least id of its component; then every row to its class
     labelled = classes.join(roots.select(F.col("node").alias("cls"), "component"), "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("root"))
@@ -333,51 +419,70 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return sketch.join(of_class, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def link_forest(rows: DataFrame, classes: DataFrame, edges: DataFrame, words: int, percent: int, block_shingles: int) -> DataFrame:
+def linkforest(rows: DataFrame, classes: DataFrame, edges: DataFrame, words: int, percent: int, block_shingles: int) -> DataFrame:
     """Verified links between classes that connect what all links connect."""
-    spark = rows.sparkSession
     clusters = components(edges)
     members = clusters.select(F.col("node").alias("cls"), F.col("component").alias("cluster")).join(classes, "cls")
     volume = members.groupBy("cluster").agg(F.sum("n").alias("volume"))
     blocks = F.ceil(F.col("volume") / F.lit(block_shingles)).cast("long")
-    members = members.join(volume, "cluster").select("cls", "cluster", F.pmod(F.xxhash64("cls"), blocks).alias("block"), "doc")
-    with_text = members.join(rows, "doc").select("cls", "cluster", "block", "text")
-    sets = Stored(with_text.mapInArrow(_to_sets(words), "cls long, cluster long, block long, set binary")).df
-    _tidy(spark)
+    members = Stored(members.join(volume, "cluster").select("cls", "cluster", F.pmod(F.xxhash64("cls"), blocks).alias("block"), "doc", "n")).df
+
+    def beside(wide: DataFrame, narrow: DataFrame, key: str) -> DataFrame:
+        """A few numbers a member: up to 64 MB they go to the texts or sets, beyond that both sides meet by the key."""
+        return wide.join(F.broadcast(narrow) if narrow.count() <= BROADCAST_MEMBERS else narrow.hint("merge"), key)
+
+    with_text = beside(rows, members.drop("n"), "doc").select("cls", "cluster", "block", "text")
+    kept = Stored(with_text.mapInArrow(_to_sets(words), "cls long, cluster long, block long, set binary"))
+    sets = kept.df
+    _tidy(rows.sparkSession)
 
     def joined(df: DataFrame, *key: str) -> DataFrame:
         return df.groupBy(*key).applyInArrow(_joiner(percent), LINK)
 
-    links = Stored(joined(sets.select("*", F.col("cls").alias("label"), F.lit(True).alias("left")), "cluster", "block")).df
-    many = sets.where("block > 0").select("cluster").distinct()
+    every = sets.select("cluster", "block", "cls", "set", F.col("cls").alias("label"), F.lit(True).alias("left"))
+    links = Stored(joined(every, "cluster", "block")).df
+    many = members.where("block > 0").select("cluster").distinct()
     if not many.limit(1).count():
+        kept.drop()
         return links
-    large = sets.join(many, "cluster", "left_semi")
+    large = Stored(members.join(many, "cluster", "left_semi").select("cls", "cluster", "block", "n")).df
+    own = sets.select("cls", "set")
 
     def labels(links: DataFrame) -> DataFrame:
         return large.join(components(links).select(F.col("node").alias("cls"), F.col("component").alias("label")), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
-    # one document for each component of each block, joined cluster by cluster in fewer blocks, until one block is left
-    now = labels(links)
-    chosen = now.groupBy("cluster", "block", "label").agg(F.min("cls").alias("cls")).select("cls")
-    few = now.join(chosen, "cls", "left_semi").withColumn("n", F.octet_length("set") / 8)
-    fewer = F.ceil(F.col("volume") / F.lit(block_shingles)).cast("long")
-    few = few.join(few.groupBy("cluster").agg(F.sum("n").alias("volume")), "cluster").withColumn("block", F.pmod(F.xxhash64("cls", F.lit(1)), fewer))
-    links = Stored(links.union(joined(few.select("cls", "cluster", "block", "set", "label", F.lit(True).alias("left")), "cluster", "block"))).df
+    # one document for each component of each block, joined cluster by cluster in fewer blocks
+    chosen = labels(links).groupBy("cluster", "block", "label").agg(F.min_by(F.struct("cls", "n"), "cls").alias("c")).select("cluster", "label", "c.cls", "c.n")
+    volume = chosen.groupBy("cluster").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("long").alias("blocks"))
+    few = Stored(chosen.join(volume, "cluster").select("cluster", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")).alias("block"), "cls", "label", F.lit(True).alias("left"))).df
+    links = Stored(links.union(joined(beside(own, few, "cls"), "cluster", "block"))).df
 
     # what lies outside its cluster's largest component, against all blocks
     now = Stored(labels(links)).df
-    sizes = now.groupBy("cluster", "label").count()
-    largest = sizes.groupBy("cluster").agg(F.max(F.struct("count", "label")).alias("top")).select("cluster", F.col("top.label").alias("top"))
+    largest = now.groupBy("cluster", "label").count().groupBy("cluster").agg(F.max_by("label", F.struct("count", "label")).alias("top"))
     rest = now.join(largest, "cluster").where("label <> top").drop("top")
-    volume = rest.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("set") / 8) / F.lit(block_shingles)).cast("long").alias("parts"))
-    spans = now.groupBy("cluster").agg((F.max("block") + 1).alias("spans")).join(volume, "cluster")
+    parts = rest.groupBy("cluster").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("long").alias("parts"))
+    spans = Stored(now.groupBy("cluster").agg((F.max("block") + 1).alias("spans")).join(parts, "cluster")).df
     left = rest.join(spans, "cluster").withColumn("part", F.pmod(F.xxhash64("cls", F.lit(2)), F.col("parts"))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("spans") - 1)))
     right = now.join(spans, "cluster").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    columns = ["cls", "cluster", "block", "part", "set", "label"]
-    both = left.select(*columns, F.lit(True).alias("left")).union(right.select(*columns, F.lit(False).alias("left")))
-    return Stored(links.union(joined(both, "cluster", "block", "part"))).df
+    columns = ["cls", "cluster", "block", "part", "label"]
+    both = Stored(left.select(*columns, F.lit(True).alias("left")).union(right.select(*columns, F.lit(False).alias("left")))).df
+    links = Stored(links.union(joined(beside(own, both, "cls"), "cluster", "block", "part"))).df
+    kept.drop()
+    return links
 
 
 def op4(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT CAST(doc_id AS BIGINT) AS doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  WHERE 100 * na.n >= 85 * nb.n AND 100 * nb.n >= 85 * na.n GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(na.n) + any_value(nb.n) - count(*))),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, coalesce(min(r.b), w.doc_id)) AS component_id FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN r ON r.a = w.doc_id GROUP BY w.doc_id
+"""
