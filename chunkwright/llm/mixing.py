@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import Stored, table
 
 DIMENSIONS = ("source", "lang", "topic")
-ALPHA, ROUNDS, ROUNDS_A_PLAN, CELLS_A_TASK, SEED = 0.8, 24, 8, 100_000, 42
+ALPHA, ROUNDS, ROUNDS_A_PLAN, CELLS_A_TASK, SEED = 0.9, 24, 8, 100_000, 42
 
 # topics by what a text is made of (fixed values): name, marks of which a text needs one, and a pattern; the first that fits counts
 TOPICS = (
