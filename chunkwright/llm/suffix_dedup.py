@@ -135,6 +135,15 @@ def multikey_order(*tokens: np.ndarray) -> np.ndarray:
     return order
 
 
+def _once(order: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    """Sorted rows without repeats: a repeated document is no earlier occurrence of itself."""
+    fresh = np.zeros(len(order), bool)
+    fresh[:1] = True
+    for c in columns:
+        fresh[1:] |= c[order][1:] != c[order][:-1]
+    return order[fresh]
+
+
 def _bytes(text) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -175,7 +184,7 @@ SPAN = (np.int64, np.int64, np.int64)  # doc, seq, start << 7 | suffixes
 def _scan(width: int, gram: int, ranges: int, homes: int):
     def settle(found: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
         least, covered, doc, seq, at, twice = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = multikey_order(least, covered, doc, seq, at)
+        order = _once(multikey_order(least, covered, doc, seq, at), least, covered, doc, seq, at)
         least, covered, doc, seq, at, twice = (x[order] for x in (least, covered, doc, seq, at, twice))
         new_least = np.concatenate([[True], least[1:] != least[:-1]])
         first = new_least | np.concatenate([[True], covered[1:] != covered[:-1]])
@@ -226,7 +235,7 @@ def _judge(homes: int):
         least, covered, doc, seq, at = unpack(runs, *RUN)
         if not len(least):
             return
-        order = multikey_order(least, covered, doc, seq, at)
+        order = _once(multikey_order(least, covered, doc, seq, at), least, covered, doc, seq, at)
         least, covered, doc, seq, at = (x[order] for x in (least, covered, doc, seq, at))
         new_least = np.concatenate([[True], least[1:] != least[:-1]])
         first = new_least | np.concatenate([[True], covered[1:] != covered[:-1]])
