@@ -31,7 +31,7 @@ def sliding_windows(df: DataFrame, id_col: str, tokens: Column, cap: int = CAP,
     width = F.greatest(F.lit(2), F.length((F.col("part_count") - 1).cast("string")))
     base = F.col(id_col).cast("string")
     return cut.select(
-        F.col(id_col),
+        *[F.col(id_col)] * (id_col != "id"),
         F.when(many, F.concat(base, F.lit("::p"), zero_pad(F.col("part_index"), width))).otherwise(base).alias("id"),
         F.when(many, base).alias("part_of"),
         F.when(many, F.col("part_index")).cast("long").alias("part_index"),
