@@ -53,26 +53,27 @@ PATTERNS = (
     ("ip", rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"),
     ("name", rf"(?:(?<=\b){_TITLE})?\b(?P<first>{_FIRST}) (?P<last>[^\W\d_a-zа-яß][^\W\d_]+)|(?<=\b){_TITLE}(?P<only>[^\W\d_a-z][^\W\d_]+)"),
 )
-FINDER = re.compile("|".join(f"(?P<t_{kind}>{pattern})" for kind, pattern in PATTERNS))
-_HINT = re.compile(r"[@\d]|(?:" + _FIRST + r") |(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.? ")
+FINDER = re.compile("|".join(f"(?P<t_{kind}>{pattern})" for kind, pattern in PATTERNS if kind != "name"))
+NAME = re.compile(dict(PATTERNS)["name"])
+_SIGN, _CAPITALS = re.compile(r"[@\d]|(?i:pass|pwd|secret|token|key)"), re.compile(r"[A-ZА-Я]\w+")
+_CUES = frozenset([*_GENDER, "Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr", "Sra"])
 
 
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, type, value) of the entities in order; names give one entity for each of their parts."""
-    if not text or not _HINT.search(text):
+    if not text:
         return []
     out = []
-    for m in FINDER.finditer(text):
-        kind = m.lastgroup if m.lastgroup.startswith("t_") else next(f"t_{k}" for k, _ in PATTERNS if m[f"t_{k}"] is not None)
-        kind = kind[2:]
+    for m in FINDER.finditer(text) if _SIGN.search(text) else ():
+        kind = next(k for k, _ in PATTERNS if k != "name" and m[f"t_{k}"] is not None)
         if kind == "secret":
             out.append((*m.span("secret"), kind, m["secret"]))
-        elif kind == "name":
-            for part, what in (("first", "first_name"), ("last", "last_name"), ("only", "last_name")):
-                if m[part] is not None:
-                    out.append((*m.span(part), what, m[part]))
         elif kind != "card" or luhn(re.sub(r"\D", "", m[0])) == 0 or re.fullmatch(r"\d{16}", m[0]):
             out.append((*m.span(), kind, m[0]))
+    if not _CUES.isdisjoint(_CAPITALS.findall(text)):
+        named = [(*m.span(part), what, m[part]) for m in NAME.finditer(text) for part, what in (("first", "first_name"), ("last", "last_name"), ("only", "last_name")) if m[part] is not None]
+        taken = [(a, b) for a, b, _, _ in out]
+        out = sorted(out + [n for n in named if not any(a < n[1] and n[0] < b for a, b in taken)])
     return out
 
 
