@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import mix64, shingle_hashes, shuffle_partitions, table, word_hashes
 
-LANES, SIGNS, SHINGLE = 1024, 128, 5
+LANES, SIGNS, SHINGLE, MOST_RANGES = 1024, 128, 5, 8192
 _TWIST = np.uint64(0xA0761D6478BD642F)
 
 
@@ -130,7 +130,7 @@ def successor_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ranges = ranges or 4 * shuffle_partitions(spark)
+    ranges = ranges or min(MOST_RANGES, 4 * shuffle_partitions(spark))
     cuts = sorted({int(x) for x in rows.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges)}) if ranges > 1 else []
     # two steps of about sqrt(ranges) comparisons place an id
     width = max(1, int(len(cuts) ** 0.5))
