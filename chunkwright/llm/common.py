@@ -5,12 +5,15 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASCII_BLANKS = " \t\n\x0b\x0c\r"
+ONE_TASK_EDGES = 1_000_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -29,6 +32,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 _OWN: dict[str, str] = {}
+_PATHS: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -59,10 +63,20 @@ class Stored:
         schema = df.schema
         df.write.option("compression", "zstd").parquet(self.path)
         self.df = self.spark.read.schema(schema).parquet(self.path)
-        atexit.register(_remove, self.spark, self.path)
+        if not _PATHS:
+            atexit.register(release)
+        _PATHS[self.path] = self.spark
 
     def drop(self) -> None:
         _remove(self.spark, self.path)
+        _PATHS.pop(self.path, None)
+
+
+def release() -> None:
+    """Deletes all intermediate tables of this process; results that still read them must be written before."""
+    for path, spark in list(_PATHS.items()):
+        _remove(spark, path)
+        _PATHS.pop(path, None)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -87,11 +101,20 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def _one_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    if parts:
+        node, root = forest(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        own = np.unique(root)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([node, own])), pa.array(np.concatenate([root, own]))], names=["node", "component"])
+
+
+def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, one_task: int = ONE_TASK_EDGES) -> DataFrame:
     """Connected components of an undirected edge list as ``(node, component)``, component being the least node.
 
-    Alternating large-star and small-star rounds: every round is two aggregations by key whose rows never exceed the
-    edges, so a hub of any degree is a sum over partial minima and no neighbourhood is ever gathered in one task.
+    Up to ``one_task`` edges (16 MB) are joined by one task, on an executor. Beyond that alternating large-star and
+    small-star rounds follow: every round is two aggregations by key whose rows never exceed the edges, so a hub of any
+    degree is a sum over partial minima and no neighbourhood is ever gathered in one task.
     Rounds end when the edge set no longer changes; the edges of each round are written to the shared folder.
     Null ends and self loops are ignored; an empty edge list gives an empty result.
     """
@@ -106,6 +129,8 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
     before = summary(current.df)
+    if before[0] <= one_task:
+        return current.df.coalesce(1).mapInArrow(_one_forest, "node long, component long")
     for _ in range(max_rounds):
         if not before[0]:
             break

@@ -261,7 +261,10 @@ def test_ngram_edges(spark):
 def test_components(spark):
     r = random.Random(3)
     edges = [(r.randrange(80), r.randrange(80)) for _ in range(60)] + [(100, i) for i in range(101, 140)] + [(None, 1), (7, 7)]
-    got = dict(map(tuple, common.components(spark.createDataFrame(edges, "src long, dst long")).collect()))
+    frame = spark.createDataFrame(edges, "src long, dst long")
+    got = dict(map(tuple, common.components(frame).collect()))
+    assert got == dict(map(tuple, common.components(frame, one_task=-1).collect()))
+    assert common.components(frame.where("src > 999")).count() == common.components(frame.where("src > 999"), one_task=-1).count() == 0
     parent = {}
 
     def root(x):
