@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -408,9 +409,11 @@ def _cut(width: int):
 
 
 def _tidy(spark) -> None:
-    """Shuffle files of finished steps go once nothing on the driver refers to them."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Shuffle files of finished steps go once nothing on the driver refers to them; the cleaner gets a moment for it."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, part_bytes: int = PART_BYTES) -> DataFrame:
