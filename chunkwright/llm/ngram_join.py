@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import Stored, components, forest, mix64, shingle_hashes, shuffle_partitions, table, word_hashes
 from .suffix_dedup import _blobs, _tidy, unpack
 
-WORDS, PERCENT, BLOCK_SHINGLES, FLUSH, BROADCAST_MEMBERS, MANY = 5, 80, 250_000, 1 << 20, 2_000_000, 64
+WORDS, PERCENT, BLOCK_SHINGLES, FLUSH, BROADCAST_MEMBERS, MANY = 5, 80, 250_000, 1 << 19, 2_000_000, 64
 POINT, LEAF, FAN = 128, 16, 16
 NULL_ID = -(1 << 63)
 
