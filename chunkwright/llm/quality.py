@@ -10,6 +10,7 @@ count for little and no site decides alone. Site tables come from partial sums;
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,16 @@ from .common import Stored, table
 
 MAX_LABELLED, SLOTS, THRESHOLD, SITE_POWER = 10_000, 1 << 18, 0.5, 0.5
 FORM = 14
+SYMBOLS = "#*-_=<>{}"
+
+
+def _kinds(text: str) -> tuple[int, int, int]:
+    """Upper-case letters, digits and symbols of the whole text."""
+    if text.isascii():
+        n = np.bincount(np.frombuffer(text.encode("ascii"), np.uint8), minlength=128)
+        return int(n[65:91].sum()), int(n[48:58].sum()), int(n[list(SYMBOLS.encode("ascii"))].sum())
+    seen = Counter(text)
+    return sum(k for c, k in seen.items() if c.isupper()), sum(k for c, k in seen.items() if c.isdigit()), sum(seen[c] for c in SYMBOLS)
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -38,12 +49,12 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     chars = max(1, len(text))
     lines = [x for x in text.split("\n") if x.strip()]
     distinct = set(raw)
-    upper = sum(c.isupper() for c in text[:100_000]) / min(chars, 100_000)
+    upper, digits, symbols = _kinds(text)
     kinds = {w.strip("\"'.,;:!?()[]{}|<>").lower() for w in distinct}
     kinds.discard("")
     form[2:] = (
-        np.log1p(n) / 10, len(distinct) / n, upper, text.count("!") / n, text.count("|") / n, min(2.0, chars / n / 10), sum(c.isdigit() for c in text[:100_000]) / min(chars, 100_000),
-        len(set(lines)) / max(1, len(lines)), text.count(",") / n, text.count(".") / n, sum(a == b for a, b in zip(raw, raw[1:], strict=False)) / n, sum(ord(c) in (35, 42, 45, 95, 61, 60, 62, 123, 125) for c in text[:100_000]) / n,
+        np.log1p(n) / 10, len(distinct) / n, upper / chars, text.count("!") / n, text.count("|") / n, min(2.0, chars / n / 10), digits / chars,
+        len(set(lines)) / max(1, len(lines)), text.count(",") / n, text.count(".") / n, sum(a == b for a, b in zip(raw, raw[1:], strict=False)) / n, symbols / n,
     )
     digest = xxhash.xxh3_64_intdigest
     slots = {digest(w) % SLOTS for w in kinds} | {digest(f"^{w[:5]}") % SLOTS for w in kinds if len(w) > 5}

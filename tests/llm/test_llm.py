@@ -477,6 +477,17 @@ def test_shrink(spark):
     assert post["a"] > 0.4 and post["c"] < 0.03 and 0.1 < post["b"] < 0.9 and abs(post["d"] - 0.1) < 1e-9
 
 
+def test_quality_whole_text():
+    """Measures of form count the whole text, however long, and ASCII as other text."""
+    for tail in ("AB1#", "\u00c9B1#"):
+        form = quality.features("ab " * 50_000 + (tail + " ") * 50_000)[1]
+        chars, n = 400_000, 100_000
+        assert abs(form[4] - 100_000 / chars) < 1e-12 and abs(form[8] - 50_000 / chars) < 1e-12 and abs(form[13] - 50_000 / n) < 1e-12, tail
+    text = "Aa1 #*-_=<>{} \u0410\u0661\u00b2 \u01c5 " * 3
+    for t in (text, text.encode("ascii", "ignore").decode()):
+        assert quality._kinds(t) == (sum(c.isupper() for c in t), sum(c.isdigit() for c in t), sum(c in "#*-_=<>{}" for c in t))
+
+
 def test_quality_edges(spark):
     labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0), (None, 1, 1), (2, None, 0)], "doc_id long, quality int, toxic int")
     d = docs(spark, ["good words", "BAD!! BAD!!", None, ""], [0, 1, None, 3])
