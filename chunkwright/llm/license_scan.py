@@ -2,11 +2,10 @@
 
 Templates are key phrases at fixed word distances from each other. Their words and positions are the postings. One pass
 counts in how many documents each licence word occurs; from these counts comes its inverse document frequency. The second
-pass keeps the places of licence words of every file, looks up the file's ``rare`` words of highest IDF, and takes the
-templates that hold one of them. Each phrase is looked up by its own word of highest IDF: a hit at place p means a start
-at p minus the word's place in the phrase, and the phrase is verified word by word there. A template is found where the
-starts of all its mandatory phrases, less their places in the template, intersect. All work is done inside the
-row, so nothing is shuffled but at most one count for each licence word and task.
+pass keeps the places of licence words of every file, however many it has: every template is a candidate. Each phrase
+is looked up by its own word of highest IDF: a hit at place p means a start at p minus the word's place in the phrase,
+and the phrase is verified word by word there. A template is found where the starts of all its mandatory phrases, less
+their places in the template, intersect. All work is done inside the row, so nothing is shuffled but at most one count for each licence word and task.
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ TEMPLATES = {
     "mpl-2.0": "[this source code form is subject to the terms] of the [mozilla public license v 2 0]",
     "unlicense": "[this is free and unencumbered software] released into the [public domain]",
 }
-RARE = 8
+RARE = 8  # of OP2_SQL alone: it looks only at templates that hold one of a file's so many rarest words
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -75,11 +74,10 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str], text_col: str =
     return {r["word"]: r["n"] for r in words.groupBy("word").agg(F.count("*").alias("n")).collect()}
 
 
-def scan(docs: DataFrame, text_col: str = "text", base: dict[str, str] | None = None, templates: dict[str, str] | None = None, rare: int = RARE) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", base: dict[str, str] | None = None, templates: dict[str, str] | None = None) -> DataFrame:
     """``docs`` without its text, with ``n_words``, ``base_starts`` (label -> places), ``found`` (labels of whole templates), ``score``.
 
-    ``score`` is 1 for a base phrase or a whole template, else the largest share of mandatory phrases that a candidate
-    template has. Null or empty text has no words and no places. Columns of the input stay under their own names; the
+    ``score`` is 1 for a base phrase or a whole template, else the largest share of mandatory phrases that a template has. Null or empty text has no words and no places. Columns of the input stay under their own names; the
     four new names win over equal ones of the input. Repeated rows are scanned alike; no rows give none.
     """
     base, templates = base or BASE, templates or TEMPLATES
@@ -94,11 +92,9 @@ def scan(docs: DataFrame, text_col: str = "text", base: dict[str, str] | None =
     anchors = sorted(set(anchor.values()))
     indexed = sorted({w for words, _ in (x for t in parsed.values() for x in t) for w in words} | set(anchors))
 
-    others = [c for c in docs.columns if c != text_col and c.lower() not in {"n_words", "base_starts", "found", "score", "_w", "_hits", "_own", "_rare", "_starts"}]
+    others = [c for c in docs.columns if c != text_col and c.lower() not in {"n_words", "base_starts", "found", "score", "_w", "_hits", "_starts"}]
     out = docs.select(*[F.col(f"`{c}`") for c in others], words_of(text_col).alias("_w"))
     out = out.select("*", F.expr(f"array_compact(transform(_w, (x, i) -> CASE WHEN {_in('x', indexed)} THEN named_struct('p', i, 'x', x) END))").alias("_hits"))
-    out = out.select("*", F.expr("array_distinct(transform(_hits, h -> h.x))").alias("_own"))
-    out = out.select("*", F.expr(f"slice(array_intersect({_array(rank)}, _own), 1, {rare})").alias("_rare"))
     names = {p: f"s{i}" for i, p in enumerate(sorted(phrases))}
     starts = []
     for p, name in names.items():
@@ -113,10 +109,9 @@ def scan(docs: DataFrame, text_col: str = "text", base: dict[str, str] | None =
         both = aligned[0]
         for more in aligned[1:]:
             both = f"array_intersect({both}, {more})"
-        candidate = f"arrays_overlap(_rare, {_array(sorted({w for words, _ in t for w in words}))})"
-        found.append(f"CASE WHEN {candidate} AND size({both}) > 0 THEN '{label}' END")
+        found.append(f"CASE WHEN size({both}) > 0 THEN '{label}' END")
         share = " + ".join(f"CAST(size({x}) > 0 AS INT)" for x in aligned)
-        shares.append(f"CASE WHEN {candidate} THEN ({share}) / {len(t)}D ELSE 0D END")
+        shares.append(f"({share}) / {len(t)}D")
     labelled = {label: names[tuple(p.split())] for label, p in base.items()}
     based = " OR ".join(f"size(_starts.{n}) > 0" for n in labelled.values())
     best = f"greatest({', '.join(shares)})" if len(shares) > 1 else (shares[0] if shares else "0D")

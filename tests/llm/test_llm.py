@@ -134,6 +134,15 @@ def test_license_scan(spark, tmp_path):
     assert license_scan.scan(clashing(docs(spark, ["mit license"]))).first()["score"] == 1.0
 
 
+def test_license_scan_many_notices(spark):
+    """A file with all notices has all labels: no limit on licence words in a file, whatever their frequencies."""
+    whole = {k: v.replace("[", "").replace("]", "") for k, v in license_scan.TEMPLATES.items()}
+    common = ["licensed under the apache license version 2 0"] * 30 + ["licensed under cc by 4 0"] * 30
+    mit = " ".join(whole[k] for k in ("mit", "apache-2.0", "cc-by-4.0"))
+    got = [sorted(r["found"]) for r in license_scan.scan(docs(spark, [mit, " . ".join(whole.values()), *common])).orderBy("doc_id").limit(2).collect()]
+    assert got == [["apache-2.0", "cc-by-4.0", "mit"], sorted(whole)]
+
+
 # ---------------------------------------------------------------- 3
 
 
