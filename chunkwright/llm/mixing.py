@@ -19,6 +19,8 @@ ALPHA, ROUNDS, ROUNDS_A_PLAN, CELLS_A_TASK, SEED = 0.9, 24, 8, 100_000, 42
 # topics by what a text is made of (fixed values): name, marks of which a text needs one, and a pattern; the first that fits counts
 TOPICS = (
     ("code", ("{", "}", ";"), None),
+    ("code", ("def ",), r"\bdef \w+\("),
+    ("code", ("class ",), r"\bclass \w+"),
     ("table", (" | ",), r" \| .* \| "),
     ("contact", ("@",), r"@[a-z0-9.-]+\.[a-z]{2,}"),
     ("contact", ("+",), r"\+[0-9]+ \([0-9]+\)"),

@@ -342,6 +342,13 @@ def test_rake(spark):
     assert abs(sum(r["weight"] for r in got if r["lang"] == "x") - 0.75) < 2e-2
 
 
+def test_topic_code(spark):
+    """Code needs no brackets or semicolons."""
+    t = ["def run(x):\n    return x", "Class Reader\n    pass", "undef x(", "def x", "subclass x", "a; b", "plain words"]
+    got = [r["k"] for r in docs(spark, t).select("doc_id", mixing.topic().alias("k")).orderBy("doc_id").collect()]
+    assert got == ["code", "code", "prose", "prose", "prose", "code", "prose"]
+
+
 def test_mix(spark):
     texts = ["w " * (i % 40 + 1) for i in range(900)]
     m = mixing.mix(clashing(docs(spark, texts)))
