@@ -55,7 +55,7 @@ PATTERNS = (
 )
 FINDER = re.compile("|".join(f"(?P<t_{kind}>{pattern})" for kind, pattern in PATTERNS if kind != "name"))
 NAME = re.compile(dict(PATTERNS)["name"])
-_SIGN, _CAPITALS = re.compile(r"[@\d]|(?i:pass|pwd|secret|token|key)"), re.compile(r"[A-ZА-Я]\w+")
+_SIGN, _CAPITALS = re.compile(r"[@\d]|AKIA|ASIA|(?i:pass|pwd|secret|token|key)"), re.compile(r"[A-ZА-Я]\w+")
 _CUES = frozenset([*_GENDER, "Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr", "Sra"])
 
 
