@@ -7,8 +7,11 @@ distinct surrogates by construction and one entity gets the same surrogate where
 inside the list of their gender and script; family names keep case and the pattern of vowels and consonants of their script.
 
 The check for collisions covers the whole corpus: distinct entities and their surrogates are joined on the surrogate; one
-that equals an entity of the input, or another's surrogate, is drawn again under the next tweak until none is left. The
-few redrawn ones reach the tasks as a broadcast up to a stated size and by a join on the document beyond it.
+that equals an entity of the input is drawn again under the next tweaks until it equals neither an entity nor another's
+surrogate. A format that the input fills so far that no draw is free any more (about half its strings) falls back on one
+permutation for all its entities: they stay distinct by construction and, where a draw allows it, none keeps its own
+value, but a surrogate may then equal another entity of the input. The few redrawn ones reach the tasks as a broadcast
+up to a stated size and by a join on the document beyond it.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from .common import Stored, table
 
 KEY = b"chunkwright surrogate key"
 BROADCAST_ENTITIES = 100_000
+DRAWS = 16
+_HEX = re.compile(r"(?=.*\d)(?=.*[a-f])[0-9a-f]+")
 
 # first names by script and gender (fixed values)
 NAMES = {
@@ -166,14 +171,31 @@ class Surrogates:
             return self._classes(value, kind, attempt, fits=lambda s: s[:3] not in ("000", "666") and s[0] != "9" and s[4:6] != "00" and s[7:] != "0000")
         if kind == "aws_key":
             return value[:4] + self.string(value[4:], ["ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"] * 16, kind, value[:4], attempt)
-        if kind == "hex_key" or kind == "secret" and re.fullmatch(r"(?=.*\d)(?=.*[a-f])[0-9a-f]+", value):
+        if kind == "hex_key" or kind == "secret" and _HEX.fullmatch(value):
             mixed = lambda s: any(c.isdigit() for c in s) and any(not c.isdigit() for c in s)
             return self.string(value, ["0123456789abcdef"] * len(value), kind, attempt, fits=mixed)
         if kind == "first_name":
             return self._name(value, attempt)
         if kind == "last_name":
             return self._family(value, attempt)
-        return self._classes(value, kind, attempt)
+        # a secret of another form stays off the hex strings, which have a permutation of their own
+        return self._classes(value, kind, attempt, fits=lambda s: _HEX.fullmatch(s) is not None)
+
+    def form(self, kind: str, value: str) -> str:
+        """The format of a value: surrogates stay in it, and one attempt permutes all its strings."""
+        if kind == "aws_key":
+            return value[:4]
+        if kind == "hex_key" or kind == "secret" and _HEX.fullmatch(value):
+            return f"hex {len(value)}"
+        cut = 0
+        if kind == "phone" and (head := re.match(r"\+\d{1,3}", value)):
+            cut = head.end()
+        if kind == "card":
+            digits = re.sub(r"\D", "", value)
+            return f"{digits[0]} {luhn(digits)} " + re.sub(r"\d", "0", value)
+        end = value.rindex(".") if kind == "email" else len(value)
+        body = re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub("[0-9]", "0", value[cut:end])))
+        return f"{value[:cut]} {body} {value[end:]}"
 
     def _name(self, value: str, attempt: int) -> str:
         """A keyed permutation of the list without fixed points: the names in keyed order, each to the next."""
@@ -208,24 +230,53 @@ def _draw(key: bytes):
     return run
 
 
-def redrawn(docs: DataFrame, text_col: str = "text", key: bytes = KEY, rounds: int = 8) -> DataFrame:
-    """(kind, value, attempt) of the entities whose first surrogate collides; names are told apart by their list alone."""
+def _formats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    s = Surrogates()
+    for b in batches:
+        forms = [s.form(k, v) for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(forms, pa.string())], names=["kind", "value", "form"])
+
+
+def redrawn(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -> DataFrame:
+    """(kind, value, attempt) of the entities whose first surrogate collides; names are told apart by their list alone.
+
+    Each round draws ``DRAWS`` attempts for what is left and settles at least one entity, or else ends the search: the
+    formats of the entities left then take one attempt for all their entities, the one that leaves fewest unchanged.
+    """
+    made = "kind string, value string, attempt int, made string"
     found = Stored(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_entities, "kind string, value string").distinct()).df
     checked = found.where("kind NOT IN ('first_name', 'last_name')")
-    drawn = Stored(checked.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key), "kind string, value string, attempt int, made string")).df
-    for attempt in range(1, rounds + 1):
-        taken = checked.select("kind", F.col("value").alias("made"))
-        # an own draw that equals an entity, or that two entities share (the greater one moves)
-        clash = drawn.join(taken, ["kind", "made"], "left_semi").select("kind", "value")
-        if attempt > 1:
-            twice = drawn.groupBy("kind", "made").agg(F.min("value").alias("keep"), F.count("*").alias("n")).where("n > 1")
-            clash = clash.union(drawn.join(twice, ["kind", "made"]).where("value <> keep").select("kind", "value"))
-        clash = Stored(clash.distinct()).df
-        if not clash.limit(1).count():
+    taken = checked.select("kind", F.col("value").alias("made"))
+
+    def draw(df: DataFrame, first: int) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(first), F.lit(first + DRAWS - 1)))
+        return df.select("kind", "value", every.alias("attempt")).mapInArrow(_draw(key), made)
+
+    drawn = Stored(checked.withColumn("attempt", F.lit(0)).mapInArrow(_draw(key), made)).df
+    # first surrogates are distinct by construction, but may equal an entity
+    left = Stored(drawn.join(taken, ["kind", "made"], "left_semi").select("kind", "value")).df
+    settled = drawn.join(left, ["kind", "value"], "left_anti").select("kind", "value", "attempt", "made")
+    moved = drawn.where("false").select("kind", "value", "attempt", "made")
+    first = 1
+    while left.limit(1).count():
+        free = draw(left, first).join(taken, ["kind", "made"], "left_anti").join(settled.unionByName(moved).select("kind", "made"), ["kind", "made"], "left_anti")
+        # of those that draw one string the least has it, and each keeps its first
+        one = free.groupBy("kind", "made").agg(F.min(F.struct("value", "attempt")).alias("x")).select("kind", "made", "x.value", "x.attempt")
+        won = Stored(one.groupBy("kind", "value").agg(F.min(F.struct("attempt", "made")).alias("x")).select("kind", "value", "x.attempt", "x.made")).df
+        if not won.limit(1).count():
             break
-        again = clash.withColumn("attempt", F.lit(attempt)).mapInArrow(_draw(key), "kind string, value string, attempt int, made string")
-        drawn = Stored(drawn.join(clash, ["kind", "value"], "left_anti").select("kind", "value", "attempt", "made").union(again)).df
-    return drawn.where("attempt > 0").select("kind", "value", "attempt")
+        moved = Stored(moved.unionByName(won)).df
+        left = Stored(left.join(won, ["kind", "value"], "left_anti")).df
+        first += DRAWS
+    else:
+        return moved.select("kind", "value", "attempt")
+    formats = "kind string, value string, form string"
+    full = left.mapInArrow(_formats, formats).select("kind", "form").distinct()
+    whole = Stored(checked.mapInArrow(_formats, formats).join(full, ["kind", "form"], "left_semi")).df
+    same = draw(whole, 0).join(whole, ["kind", "value"]).groupBy("kind", "form", "attempt").agg(F.sum((F.col("made") == F.col("value")).cast("long")).alias("same"))
+    best = same.groupBy("kind", "form").agg(F.min(F.struct("same", "attempt")).alias("x")).select("kind", "form", F.col("x.attempt").alias("attempt"))
+    all_of = Stored(whole.join(best, ["kind", "form"]).select("kind", "value", "attempt")).df
+    return moved.select("kind", "value", "attempt").join(all_of, ["kind", "value"], "left_anti").unionByName(all_of.where("attempt > 0"))
 
 
 OUT = "text string, n_entities int, entities array<struct<kind:string,start:int,surrogate:string>>"

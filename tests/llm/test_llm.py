@@ -484,6 +484,22 @@ def test_pii_collisions(spark):
         assert len({*got.values(), a, b}) == 4
 
 
+def test_pii_dense_formats(spark):
+    """Formats that the input fills: distinct and new while strings are free, one permutation beyond."""
+    ips = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(10) for c in range(10) for d in range(10)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.com" for a in letters for b in letters]
+    for values, new in ((ips[::3], True), (mails, False)):
+        got = {r["doc_id"]: r["entities"][0]["surrogate"] for r in pii.surrogates(docs(spark, values)).collect()}
+        assert len(set(got.values())) == len(values)
+        assert all(got[i] != v for i, v in enumerate(values))
+        assert not new or not set(got.values()) & set(values)
+    s = pii.Surrogates()
+    for kind, value in SAMPLES[:7]:
+        assert s.form(kind, value) == s.form(kind, s.of(kind, value, 3)), kind
+    assert s.form("email", "a@b.com") != s.form("email", "a@b.org") and not pii._HEX.fullmatch(s.of("secret", "zz1"))
+
+
 # ---------------------------------------------------------------- 10
 
 
