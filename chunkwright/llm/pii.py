@@ -5,6 +5,8 @@ keyed Feistel permutation of all strings of their form (digits stay digits, hex
 and its Luhn remainder, an address its punctuation, a telephone number its country code), so distinct entities get
 distinct surrogates by construction and one entity gets the same surrogate wherever it occurs. First names are permuted
 inside the list of their gender and script; family names keep case and the pattern of vowels and consonants of their script.
+Letters of other scripts, and accented ones, are permuted among their like: letters of their script and case near them in
+Unicode, accented Latin ones apart by vowels and consonants.
 
 The check for collisions covers the whole corpus: distinct entities and their surrogates are joined on the surrogate; one
 that equals an entity of the input is drawn again under the next tweaks until it equals neither an entity nor another's
@@ -19,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,6 +46,8 @@ VOWELS = {"latin": "aeiou", "cyrillic": "аеиоуыэюя"}
 CONSONANTS = {"latin": "bcdfghjklmnpqrstvwxyz", "cyrillic": "бвгджзклмнпрстфхцчшщ"}
 _GENDER = {name: key for key, names in NAMES.items() for name in names}
 _FIRST = "|".join(sorted(_GENDER, key=len, reverse=True))
+# letters that are dealt out whole; others go by pages of 256
+BLOCKS = ((0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0x20000, 0x2A6DF))
 _TITLE = r"(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.? "
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
@@ -95,6 +100,7 @@ class Surrogates:
 
     def __init__(self, key: bytes = KEY):
         self.key = key
+        self.letters: dict[str, str] = {}
 
     def _word(self, *parts) -> int:
         return int.from_bytes(hmac.new(self.key, "\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass"), hashlib.sha256).digest(), "big")
@@ -118,10 +124,9 @@ class Surrogates:
             size_a *= n
         for n in sizes[half:]:
             size_b *= n
-        at = [{c: i for i, c in enumerate(a)} for a in alphabets]
         x = 0
-        for c, n, places in zip(s, sizes, at, strict=True):
-            x = x * n + places[c]
+        for c, n, a in zip(s, sizes, alphabets, strict=True):
+            x = x * n + a.index(c)
         was = fits(s)
         start = x
         while True:
@@ -187,6 +192,9 @@ class Surrogates:
             return value[:4]
         if kind == "hex_key" or kind == "secret" and _HEX.fullmatch(value):
             return f"hex {len(value)}"
+        if kind == "last_name":
+            low = [_lower(c) for c in value]
+            return "".join(f"{'A' if c != v else 'a'}{self._like(c)[0]}" for c, v in zip(low, value, strict=True))
         cut = 0
         if kind == "phone" and (head := re.match(r"\+\d{1,3}", value)):
             cut = head.end()
@@ -202,14 +210,40 @@ class Surrogates:
         names = sorted(NAMES[_GENDER[value]], key=lambda n: self._word("first_name", n))
         return names[(names.index(value) + 1 + attempt % (len(names) - 1)) % len(names)]
 
+    def _like(self, c: str) -> str:
+        if c not in self.letters:
+            self.letters[c] = _letters(c)
+        return self.letters[c]
+
     def _family(self, value: str, attempt: int) -> str:
-        low = value.lower()
-        script = "cyrillic" if any("а" <= c <= "я" for c in low) else "latin"
-        kinds = [VOWELS[script] if c in VOWELS[script] else CONSONANTS[script] if c in CONSONANTS[script] else None for c in low]
-        pattern = "".join("v" if k == VOWELS[script] else "c" if k else c for c, k in zip(low, kinds, strict=True))
-        made = iter(self.string("".join(c for c, k in zip(low, kinds, strict=True) if k), [k for k in kinds if k], "last_name", pattern, attempt))
-        out = [next(made) if k else c for c, k in zip(low, kinds, strict=True)]
-        return "".join(o.upper() if v.isupper() else o for o, v in zip(out, value, strict=True))
+        low = [_lower(c) for c in value]
+        kinds = [self._like(c) for c in low]
+        # the mark of a class: v and c for plain vowels and consonants, else its first letter
+        pattern = "".join("v" if k in VOWELS.values() else "c" if k in CONSONANTS.values() else k[0] for k in kinds)
+        made = self.string("".join(low), kinds, "last_name", pattern, attempt)
+        return "".join(o.upper() if v != c else o for o, v, c in zip(made, value, low, strict=True))
+
+
+def _lower(c: str) -> str:
+    """The small letter of a capital that has one; others as they are."""
+    low = c.lower()
+    return low if low != c and len(low) == 1 and low.upper() == c else c
+
+
+def _letters(c: str) -> str:
+    """The class of a letter that is small if it can be: its vowels or consonants, or what is like it in its own script."""
+    for script in VOWELS:
+        for k in (VOWELS[script], CONSONANTS[script]):
+            if c in k:
+                return k
+
+    def like(x: str) -> tuple:
+        plain = unicodedata.normalize("NFD", x)[0]
+        return unicodedata.category(x), unicodedata.name(x, "?").split(" ")[0].split("-")[0], len(x.upper()) == 1 and x.upper() != x and _lower(x.upper()) == x, _lower(x) == x, plain in VOWELS["latin"], bool(re.match(r"[^\W\d_]", x))
+
+    first, last = next(((a, b) for a, b in BLOCKS if a <= ord(c) <= b), (ord(c) & ~0xFF, ord(c) | 0xFF))
+    plain = {x for k in (*VOWELS.values(), *CONSONANTS.values()) for x in k}
+    return "".join(x for x in map(chr, range(first, last + 1)) if x == c or x not in plain and like(x) == like(c))
 
 
 def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,14 +272,14 @@ def _formats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def redrawn(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -> DataFrame:
-    """(kind, value, attempt) of the entities whose first surrogate collides; names are told apart by their list alone.
+    """(kind, value, attempt) of the entities whose first surrogate collides; first names are told apart by their list alone.
 
     Each round draws ``DRAWS`` attempts for what is left and settles at least one entity, or else ends the search: the
     formats of the entities left then take one attempt for all their entities, the one that leaves fewest unchanged.
     """
     made = "kind string, value string, attempt int, made string"
     found = Stored(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_entities, "kind string, value string").distinct()).df
-    checked = found.where("kind NOT IN ('first_name', 'last_name')")
+    checked = found.where("kind <> 'first_name'")
     taken = checked.select("kind", F.col("value").alias("made"))
 
     def draw(df: DataFrame, first: int) -> DataFrame:

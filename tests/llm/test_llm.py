@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -484,6 +485,24 @@ def test_pii_collisions(spark):
         assert len({*got.values(), a, b}) == 4
 
 
+def test_family_names_of_all_scripts(spark):
+    """Family names get other ones in their own script and case; accented letters change too; short ones stay apart."""
+    s = pii.Surrogates()
+    names = ["Παπαδόπουλος", "王小明", "김철수", "الخطيب", "Łukasz", "Éàü", "Ёлкий", "İnan", "Straße", "ΠΑΠΑ"]
+    for n in names:
+        made = s.of("last_name", n)
+        script = lambda x: [unicodedata.name(c).split(" ")[0].split("-")[0] for c in x]
+        assert made != n and script(made) == script(n) and s.form("last_name", made) == s.form("last_name", n), (n, made)
+        assert [c.isupper() for c in made] == [c.isupper() for c in n], (n, made)
+        assert [v for _, _, _, v in pii.find(f"Dr. {made} x")] == [made]
+    assert all(a != b for a, b in zip("Éàü", s.of("last_name", "Éàü"), strict=True))
+    short = [f"{a}{b}" for a in "ΑΒΓΔΕΖΗΘΙΚΛΜ" for b in "αβγδε"]
+    assert len({s.of("last_name", x) for x in short}) == len(short)
+    found = [*names, *short, *(f"{a}{b}" for a in "BCDFGHJKL" for b in "aeiou")]
+    got = {r["doc_id"]: [e["surrogate"] for e in r["entities"]] for r in pii.surrogates(docs(spark, [f"Dr. {n} x" for n in found])).collect()}
+    assert all(len(got[i]) == 1 and got[i][0] != n for i, n in enumerate(found)) and len({x for v in got.values() for x in v}) == len(found)
+
+
 def test_pii_dense_formats(spark):
     """Formats that the input fills: distinct and new while strings are free, one permutation beyond."""
     ips = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(10) for c in range(10) for d in range(10)]
