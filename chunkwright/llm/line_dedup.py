@@ -125,22 +125,39 @@ def _distinct_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["h", "n"])
 
 
+def _lines_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each hash and each text of the batch that has it; a text is known by the set of its lines."""
+    import xxhash
+
+    for batch in batches:
+        found = [np.unique(h[h != 0]) for h in (line_hashes(t)[1] for t in batch.column(0).to_pylist())]
+        texts = {xxhash.xxh3_64_intdigest(h.tobytes()): h for h in found if len(h)}
+        if texts:
+            t = np.repeat(np.array(list(texts), np.uint64), [len(h) for h in texts.values()])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(list(texts.values())).view(np.int64)), pa.array(t.view(np.int64))], names=["h", "t"])
+
+
 def _build_group(table: pa.Table) -> pa.Table:
     blob = PerfectHash(table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy()).to_bytes()
     return pa.table({"shard": pa.array([table.column("shard")[0].as_py()], pa.int32()), "blob": pa.array([blob], pa.binary()), "size": pa.array([len(blob)], pa.int64())})
 
 
-def line_counts(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """(h, n): hashes of the line keys that at least ``min_docs`` documents hold, and how many hold them."""
+def line_counts(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, copies: bool = True) -> DataFrame:
+    """(h, n): hashes of the line keys that at least ``min_docs`` documents hold, and how many hold them.
+
+    Without ``copies`` documents of the same lines count once.
+    """
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
+    if not copies:
+        return rows.mapInArrow(_lines_of_texts, "h long, t long").distinct().groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
     return rows.mapInArrow(_distinct_hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
 
 
 class LineIndex:
     """Shards of perfect hashes over the hot line hashes, kept in the shared folder."""
 
-    def __init__(self, docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS):
-        hot = Stored(line_counts(docs, text_col, min_docs))
+    def __init__(self, docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS, copies: bool = True):
+        hot = Stored(line_counts(docs, text_col, min_docs, copies))
         self.keys = hot.df.count()
         self.shards = max(1, -(-self.keys // shard_keys))
         dealt = hot.df.select(F.pmod(F.shiftrightunsigned("h", 20), F.lit(self.shards)).cast("int").alias("shard"), "h", "n")
@@ -181,19 +198,20 @@ def _prober(sent, shards: int):
     return doomed
 
 
-def drop_hot_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = SHARD_KEYS) -> DataFrame:
+def drop_hot_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = SHARD_KEYS, copies: bool = True) -> DataFrame:
     """The rows of ``docs`` with hot lines taken out of the text, and ``_lines``, ``_dropped``: lines before and lines gone.
 
     Null or empty text is one line that is empty and stays (null stays null). Keys are compared by a 64-bit hash.
     All other columns pass through untouched; where the input already has a column ``_lines`` or ``_dropped``, the new
-    ones get further underscores in front. Repeated rows count as documents of their own.
+    ones get further underscores in front. Repeated rows count as documents of their own, but for ``copies=False``:
+    then documents of the same lines count once.
     """
     spark = docs.sparkSession
     names = docs.columns
     at = names.index(text_col)
     work = docs.toDF(*[f"c{i}" for i in range(len(names))])
     kinds = [f.dataType.simpleString() for f in docs.schema.fields]
-    index = LineIndex(work.select(F.col(f"c{at}").alias("text")), "text", min_docs, shard_keys)
+    index = LineIndex(work.select(F.col(f"c{at}").alias("text")), "text", min_docs, shard_keys, copies)
     fields = ", ".join(f"c{i} {k}" for i, k in enumerate(kinds))
     carried = False
     for group, final in list_or_one(index.slices(broadcast_bytes)):

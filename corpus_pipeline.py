@@ -21,11 +21,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten or more documents hold go; ``n_chars`` follows the text. A document that loses all its lines goes."""
-    cut = line_dedup.drop_hot_lines(docs)
+    """Lines that ten or more documents of different lines hold go; ``n_chars`` follows the text.
+
+    Copies count once, so that a group of them keeps its lines and the join decides which one stays. A document that is
+    left without text, blank lines aside, consists of lines that stand in ten others and goes.
+    """
+    cut = line_dedup.drop_hot_lines(docs, copies=False)
     n = len(docs.columns)
     lines, dropped = cut.columns[n], cut.columns[n + 1]
-    left = cut.where((F.col(dropped) == 0) | (F.trim(F.coalesce("text", F.lit(""))) != ""))
+    left = cut.where((F.col(dropped) == 0) | F.coalesce("text", F.lit("")).rlike(r"(?U)\S"))
     return left.withColumn("n_chars", F.when(F.col(dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 

@@ -45,6 +45,16 @@ def test_stages(spark, home):
     assert packed.select("doc_id").distinct().count() == d.count()
 
 
+def test_copies_reach_the_join(spark):
+    """Of a large group of exact copies one stays; documents of hot lines alone go, with blank lines or without."""
+    many = [f"Shared line.\nown text number {i} of many" for i in range(12)]
+    texts = ["first of the copies\nsecond of the copies"] * 15 + ["one more copy\n\nwith a gap"] * 15 + many + ["Shared line.", "Shared line.\n\n \t\n"]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    lines = corpus_pipeline.drop_lines(spark, d, "")
+    assert {r["doc_id"]: r["text"] for r in lines.collect()} == {i: t.removeprefix("Shared line.\n") for i, t in enumerate(texts[:42])}
+    assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, lines, "").collect()} >= {0, 15} and corpus_pipeline.one_of_each(spark, lines, "").where("doc_id < 30").count() == 2
+
+
 def test_run(spark, home):
     got = corpus_pipeline.run(spark, home)
     docs = spark.read.parquet(f"{home}/documents.parquet")
