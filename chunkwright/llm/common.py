@@ -36,9 +36,14 @@ _PATHS: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one is made only where the setting is absent, as in tests."""
+    """The folder named by ``spark.checkpoint.dir``; one is made only where the setting is absent on a local master, as in tests.
+
+    On a cluster a local folder would scatter tables over the executors' disks, so the absence is an error there.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = tempfile.mkdtemp(prefix="chunkwright-")

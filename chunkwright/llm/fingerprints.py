@@ -1,8 +1,8 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs.
 
 Every paragraph (a line of the text that is not blank) is hashed to one wide vector: 1,024 lanes of 16 bits drawn from
-SHAKE-128 of its bytes, and 128 lanes that add the random signs of its five-word shingles. A document's fingerprint is
-the sum of its paragraphs' vectors modulo 2^16. The sum does not depend on the paragraphs' order, and a paragraph is
+SHAKE-128 of its bytes, and 128 lanes of 64 bits that add the random signs of its five-word shingles. A document's fingerprint
+is the sum of its paragraphs' vectors modulo 2^16 (2^64 in the signed lanes, which no text fills). The sum does not depend on the paragraphs' order, and a paragraph is
 inserted or deleted by adding or subtracting its vector. The first lanes decide equality; the signed lanes are a
 tug-of-war sketch whose inner products estimate how many shingles two documents share.
 """
@@ -30,7 +30,7 @@ class MultisetHash:
 
     def __init__(self, lanes: np.ndarray | None = None, signs: np.ndarray | None = None):
         self.lanes = np.zeros(LANES, np.uint16) if lanes is None else lanes
-        self.signs = np.zeros(SIGNS, np.int16) if signs is None else signs
+        self.signs = np.zeros(SIGNS, np.int64) if signs is None else signs
 
     def copy(self) -> MultisetHash:
         return MultisetHash(self.lanes.copy(), self.signs.copy())
@@ -43,8 +43,7 @@ class MultisetHash:
                 self.lanes = self.lanes + wide if sign > 0 else self.lanes - wide
                 shingles.append(shingle_hashes(word_hashes(words), SHINGLE))
         if shingles:
-            total = sign_sums(np.concatenate(shingles))
-            self.signs = (self.signs.astype(np.int64) + sign * total).astype(np.int16)
+            self.signs = self.signs + sign * sign_sums(np.concatenate(shingles))
         return self
 
     def add(self, text: str) -> MultisetHash:
@@ -54,9 +53,10 @@ class MultisetHash:
         return self._fold(text, -1)
 
     def hexdigest(self) -> str:
-        """Digest of all lanes (64 digits), then the signed lanes as they are (512 digits), so strings can be compared."""
-        signs = self.signs.astype(">i2").tobytes()
-        return hashlib.blake2b(self.lanes.astype("<u2").tobytes() + signs, digest_size=32).hexdigest() + signs.hex()
+        """Digest of all lanes (64 digits), then a common shift (2) and the signed lanes shifted by it (512), so strings can be compared."""
+        shift = max(0, int(np.abs(self.signs).max()).bit_length() - 15)
+        signs = (self.signs >> shift).astype(">i2").tobytes()
+        return hashlib.blake2b(self.lanes.astype("<u2").tobytes() + self.signs.astype("<i8").tobytes(), digest_size=32).hexdigest() + f"{shift:02x}" + signs.hex()
 
     def likeness(self, other: MultisetHash) -> float:
         return likeness(self.hexdigest(), other.hexdigest())
@@ -78,7 +78,7 @@ def likeness(a: str, b: str) -> float:
     """
     if a == b:
         return 1.0
-    x, y = (np.frombuffer(bytes.fromhex(s[64:]), ">i2").astype(np.float64) for s in (a, b))
+    x, y = (np.ldexp(np.frombuffer(bytes.fromhex(s[66:]), ">i2").astype(np.float64), int(s[64:66], 16)) for s in (a, b))
     xy, xx, yy = float(x @ y), float(x @ x), float(y @ y)
     rest = xx + yy - xy
     return min(1.0, max(0.0, xy / rest)) if rest > 0 else 0.0

@@ -33,7 +33,6 @@ TEMPLATES = {
     "mpl-2.0": "[this source code form is subject to the terms] of the [mozilla public license v 2 0]",
     "unlicense": "[this is free and unencumbered software] released into the [public domain]",
 }
-RARE = 8  # of OP2_SQL alone: it looks only at templates that hold one of a file's so many rarest words
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -142,10 +141,8 @@ def op2(spark, sf_dir):
 
 
 def _sql() -> str:
-    """The same rules in DuckDB: document frequencies, rare words, phrases by position."""
+    """The same rules in DuckDB: every phrase by position in every text. Frequencies only choose where to look, so SQL needs none."""
     parsed = {label: parse(t) for label, t in TEMPLATES.items()}
-    vocabulary = sorted({w for p in BASE.values() for w in p.split()} | {w for t in parsed.values() for words, _ in t for w in words})
-    quoted = ", ".join(f"'{w}'" for w in vocabulary)
 
     def starts(words: list[str], at: int = 0) -> str:
         test = " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(words))
@@ -157,21 +154,15 @@ def _sql() -> str:
         both = aligned[0]
         for more in aligned[1:]:
             both = f"list_intersect({both}, {more})"
-        own = ", ".join(f"'{w}'" for w in sorted({w for words, _ in t for w in words}))
-        candidate = f"list_has_any(coalesce(rare, CAST([] AS VARCHAR[])), [{own}])"
-        found.append(f"CASE WHEN {candidate} AND len({both}) > 0 THEN '{label}' END")
-        shares.append(f"CASE WHEN {candidate} THEN ({' + '.join(f'CAST(len({x}) > 0 AS INT)' for x in aligned)}) / {len(t)}.0 ELSE 0.0 END")
+        found.append(f"CASE WHEN len({both}) > 0 THEN '{label}' END")
+        shares.append(f"({' + '.join(f'CAST(len({x}) > 0 AS INT)' for x in aligned)}) / {len(t)}.0")
     based = {label: starts(p.split()) for label, p in BASE.items()}
     base_labels = f"list_filter([{', '.join(f"CASE WHEN len({label}) > 0 THEN '{label}' END" for label in based)}], lambda x: x IS NOT NULL)"
     return f"""
 WITH d AS (
-  SELECT row_number() OVER () AS k, CAST(doc_id AS BIGINT) AS doc_id,
+  SELECT CAST(doc_id AS BIGINT) AS doc_id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents
-), u AS (SELECT DISTINCT k, unnest(list_filter(w, lambda x: x IN ({quoted}))) AS x FROM d),
-f AS (SELECT x, count(*) AS n FROM u GROUP BY x),
-r AS (SELECT k, x, row_number() OVER (PARTITION BY k ORDER BY n, x) AS place FROM u JOIN f USING (x)),
-s AS (SELECT k, list(x) AS rare FROM r WHERE place <= {RARE} GROUP BY k),
-b AS (SELECT d.doc_id, w, rare, {', '.join(f'{x} AS {label}' for label, x in based.items())} FROM d LEFT JOIN s USING (k)),
+), b AS (SELECT doc_id, w, {', '.join(f'{x} AS {label}' for label, x in based.items())} FROM d),
 c AS (SELECT *, list_concat(list_concat(mit, apache), gpl) AS places, {base_labels} AS bl,
   list_filter([{', '.join(found)}], lambda x: x IS NOT NULL) AS found, greatest({', '.join(shares)}) AS best FROM b)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
