@@ -410,21 +410,31 @@ def test_perfect_hash():
 # ---------------------------------------------------------------- 8
 
 
-@pytest.mark.parametrize("block,query_block", [(1 << 14, 1024), (40, 3)])
-def test_topk(spark, block, query_block):
+@pytest.mark.parametrize("block,query_batch", [(1 << 14, 1024), (40, 3)])
+def test_topk(spark, block, query_batch):
     r = np.random.default_rng(0)
     v = r.normal(size=(230, 8)).round(2) * r.choice([0.1, 1, 3], (230, 1))
     v[5] = v[6] = v[7]
-    rows = [(i, [float(x) for x in v[i]]) for i in range(230)] + [(300, None), (400, [1.0, float("nan")] + [0.0] * 6), (500, [None] + [1.0] * 7), (None, [1.0] * 8), (600, [1.0])]
-    got = topk.top_k(clashing(spark.createDataFrame(rows, "vec_id long, embedding array<float>")), block=block, query_block=query_block).collect()
-    f = np.array([[np.float32(x) for x in row] for row in v])
-    w = np.floor(1024 * f.astype(np.float64)).astype(np.int64)
+    rows = [(i, [float(x) for x in v[i]]) for i in range(230)] + [(600, [1.0]), (100, [float(x) for x in v[100]]), (100, [2.0] * 8), (200, [0.5] * 10)]
+    junk = [(300, None), (400, [1.0, float("nan")] + [0.0] * 6), (500, [None] + [1.0] * 7), (None, [1.0] * 8)]
+    got = topk.top_k(clashing(spark.createDataFrame(rows + junk, "vec_id long, embedding array<float>")), block=block, query_batch=query_batch).collect()
+    w = np.zeros((len(rows), 10), np.int64)
+    for i, (_, x) in enumerate(rows):
+        w[i, : len(x)] = np.floor(1024 * np.array(x, np.float32).astype(np.float64))
     want = []
-    for q in (0, 100, 200):
-        s = w @ w[q]
-        best = sorted((i for i in range(230) if i != q), key=lambda i: (-s[i], i))[:10]
-        want += [(q, k + 1, i, int(s[i])) for k, i in enumerate(best)]
-    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == want
+    for q, (qid, _) in enumerate(rows):
+        if qid % 100 == 0:
+            s = w @ w[q]
+            best = sorted((i for i in range(len(rows)) if i != q), key=lambda i: (-s[i], rows[i][0]))[:10]
+            want += [(qid, k + 1, rows[i][0], int(s[i])) for k, i in enumerate(best)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+
+
+def test_topk_queries_of_another_table(spark):
+    vectors = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(50)], "vec_id long, embedding array<float>")
+    asked = spark.createDataFrame([(3, [1.0, 0.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    got = topk.top_k(vectors, asked, k=2, block=10).collect()
+    assert sorted(tuple(r) for r in got) == [(3, 1, 0, 1 << 20), (3, 1, 6, 6 << 20), (3, 2, 1, 1 << 20), (3, 2, 13, 6 << 20)]
 
 
 def test_topk_edges(spark):
