@@ -20,6 +20,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_license_scan": license_scan.OP2_SQL,
     "op4_ngram_join": ngram_join.OP4_SQL,
+    "op6_mixing": mixing.OP6_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_exact_topk": topk.OP8_SQL,
 }

@@ -337,23 +337,88 @@ def test_packing(spark):
 # ---------------------------------------------------------------- 6
 
 
+def brute_mix(rows, share=None, given=None):
+    """rows of (id, source, lang, topic, tokens) -> rates by cell: plain loops over dictionaries."""
+    given = given or {}
+    cells = Counter()
+    for _, *cell, n in rows:
+        cells[tuple(cell)] += n
+    cells = {c: n for c, n in cells.items() if n > 0}
+    want = []
+    for i, d in enumerate(mixing.DIMENSIONS):
+        own = Counter()
+        for c, n in cells.items():
+            own[c[i]] += n
+        if d in given:
+            named = {v: t for v, t in given[d].items() if v in own}
+            rest = sum(n for v, n in own.items() if v not in named) / sum(own.values()) if sum(named.values()) else 1.0
+            want.append({v: named[v] * (1 - rest) / sum(named.values()) if v in named and sum(named.values()) else (0.0 if v in named else n / sum(own.values())) for v, n in own.items()})
+        else:
+            whole = sum(n**mixing.ALPHA for n in own.values())
+            want.append({v: n**mixing.ALPHA / whole for v, n in own.items()})
+    w = {c: n / sum(cells.values()) for c, n in cells.items()}
+    miss = 0.0
+    for k in range(mixing.MOST_ROUNDS):
+        before, miss = miss, 0.0
+        for i, t in enumerate(want):
+            sums = Counter()
+            for c, x in w.items():
+                sums[c[i]] += x
+            miss = max(miss, *(abs(sums[v] - t[v]) for v in t))
+            w = {c: x * t[c[i]] / sums[c[i]] if sums[c[i]] else 0.0 for c, x in w.items()}
+        if miss <= mixing.TOLERANCE or k >= mixing.LEAST_ROUNDS and miss > mixing.STALL * before:
+            break
+    if share is None:
+        return w
+    budget, full = share * sum(cells.values()), set()
+    while True:
+        rest = sum(x for c, x in w.items() if c not in full)
+        k = (budget - sum(cells[c] for c in full)) / rest if rest else float("inf")
+        more = {c for c, x in w.items() if k * x / cells[c] >= 1} | full
+        if more == full:
+            return {c: 1.0 if c in full else k * x / cells[c] for c, x in w.items()}
+        full = more
+
+
+CELLS = [("a", "x", "t", 90), ("a", "y", "t", 10), ("b", "x", "u", 30), ("b", "y", "t", 70), ("b", "y", "u", 5), (None, "y", "t", 4), ("b", None, "u", 9), ("c", "x", "t", 0)]
+
+
 def test_rake(spark):
-    cells = spark.createDataFrame([("a", "x", "t", 90), ("a", "y", "t", 10), ("b", "x", "u", 30), ("b", "y", "t", 70), ("b", "y", "u", 5), (None, "y", "t", 4)], "source string, lang string, topic string, tokens long")
-    got = mixing.rake(cells).collect()
-    total = sum(r["weight"] for r in got)
-    assert abs(total - 1) < 1e-9
-    for d in mixing.DIMENSIONS:
-        natural = Counter()
-        for r in cells.collect():
-            natural[r[d]] += r["tokens"]
-        want = {k: v**mixing.ALPHA for k, v in natural.items()}
-        have = Counter()
-        for r in got:
-            have[r[d]] += r["weight"]
-        assert all(abs(have[k] - v / sum(want.values())) < 2e-3 for k, v in want.items())
-    given = {"lang": spark.createDataFrame([("x", 3.0), ("y", 1.0), ("zz", 9.0)], "lang string, target double")}
-    got = mixing.rake(cells, rounds=60, given=given).collect()
-    assert abs(sum(r["weight"] for r in got if r["lang"] == "x") - 0.75) < 2e-2
+    cells = spark.createDataFrame(CELLS, "source string, lang string, topic string, tokens long")
+    rows = [(0, *c) for c in CELLS]
+    for given in (None, {"lang": {"x": 3.0, "y": 1.0, "zz": 9.0}}, {"lang": {"x": 3.0, "y": 1.0, None: 2.0}, "topic": {"t": 0.0, "u": 1.0}}, {"source": {"q": 1.0}}):
+        frames = given and {d: spark.createDataFrame([*t.items()], f"{d} string, target double") for d, t in given.items()}
+        got = mixing.rake(cells, given=frames).collect()
+        want = brute_mix(rows, given=given)
+        assert {(r["source"], r["lang"], r["topic"]): pytest.approx(r["weight"], abs=1e-9) for r in got} == want, given
+        assert given is not None or got[0]["miss"] <= mixing.TOLERANCE
+    assert mixing.rake(cells.where("tokens > 999")).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.9, 2.0])
+def test_mix_rates_and_draws(spark, share):
+    r = random.Random(3)
+    texts = [" ".join(["w"] * r.randint(0, 30)) for _ in range(200)]
+    rows = [(i if i % 9 else 7, t, r.choice(["en", "de", None]), r.choice(["s", "t", None, "s", "s"])) for i, t in enumerate(texts)] + [(None, "w w", "en", "s"), (1, None, "fr", "s")]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), share=share).collect()
+    rates = brute_mix([(i, s, g, "prose" if t else "none", len((t or "").split())) for i, t, g, s in rows], share)
+    assert len(got) == len(rows)
+    for x in got:
+        want = max(0.0, rates.get((x["source"], x["lang"], x["_topic"]), 0.0))
+        number = int(hashlib.md5(f"{x['doc_id'] or 0}:{mixing.SEED}".encode()).hexdigest()[:13], 16) / 2**52
+        assert abs(x["_rate"] - want) < 1e-9 and x["_sampled"] == (number < want)
+
+
+def test_mix_rare_document(spark):
+    """One document of a rare language changes little, whatever its target asks for."""
+    texts = [f"w{i % 13} " * (i % 20 + 1) for i in range(1000)]
+    d = docs(spark, texts)
+    more = d.union(spark.createDataFrame([(5000, "wort", "de", "s1", 4)], DOCS))
+    half = {"lang": spark.createDataFrame([("de", 1.0), ("en", 1.0)], "lang string, target double")}
+    n = [mixing.mix(x, given=g).where("_sampled").agg(F.count("*"), F.sum("_tokens")).first() for x, g in ((d, None), (more, None), (more, half))]
+    assert abs(n[1][0] - n[0][0]) <= 5 and abs(n[2][1] / n[0][1] - 1) < 0.1 and n[0][0] > 400
+    shares = {r["value"]: r for r in mixing.attained(mixing.mix(more, given=half), "lang", given=half["lang"]).collect()}
+    assert shares["de"]["target"] == 0.5 and 0 < shares["de"]["expected"] < 0.001
 
 
 def test_topic_code(spark):
@@ -368,7 +433,7 @@ def test_mix(spark):
     m = mixing.mix(clashing(docs(spark, texts)))
     assert m.count() == 900
     s = m.agg(F.sum(F.col("_rate") * F.col("_tokens")), F.sum(F.when(F.col("_sampled"), F.col("_tokens"))), F.max("_rate")).first()
-    assert abs(s[0] - s[1]) < 0.15 * s[0] and abs(s[2] - 1) < 1e-9
+    assert abs(s[0] - s[1]) < 0.15 * s[0] and s[2] <= 1 and abs(s[0] - mixing.SHARE * m.agg(F.sum("_tokens")).first()[0]) < 1
     assert mixing.mix(docs(spark, [])).count() == 0
     assert [r["_sampled"] for r in mixing.mix(docs(spark, [None, ""])).collect()] == [False, False]
     assert "Python" not in m._jdf.queryExecution().executedPlan().toString()
