@@ -9,12 +9,14 @@ and two sets share at most the sum of the coordinate minima of their points. The
    One exchange counts all shingles; shingles that no other document has never travel again. Each set then sends what is
    left of its own first shingles; documents that share one form candidate clusters through star edges to the least member,
    first inside a task and then across tasks, so no group is ever gathered.
-2. *R-tree.* Clusters are cut into blocks of bounded volume. A block packs its points into an R-tree by size
-   and least shingle; pairs of nodes go when the summed minima of their upper corners fall short of the overlap that
-   the threshold asks for, then pairs of points in the same way. Pairs already connected need no check; the others are
-   verified on the sets themselves.
-3. *Blocks against blocks.* In clusters of several blocks one document of each component found so far is joined in the
-   next round; then whatever still lies outside a cluster's largest component meets all its blocks. No link is lost.
+2. *Blocks.* A cluster of bounded volume is one block. A larger one is cut by set size into classes a factor 1/t apart,
+   so that links lie inside a class or between neighbours, and classes into blocks of bounded volume; all pairs of blocks
+   that can hold a link meet, each in a task of two blocks. Work is quadratic only in documents that share rare
+   shingles and differ in text.
+3. *R-tree.* A block packs its points into an R-tree by size and least shingle; pairs of nodes go when the summed
+   minima of their upper corners fall short of the overlap that the threshold asks for, then pairs of points in the same way.
+   All pairs that are left are verified on the sets themselves. Each set gets the number of documents that it links with,
+   and links leave the task as a forest, so no list of pairs is ever written.
 
 Equal sets are one class from the start. Sets are compared by 64-bit shingle hashes.
 """
@@ -30,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stored, components, forest, mix64, shingle_hashes, shuffle_partitions, table, word_hashes
-from .suffix_dedup import _blobs, _tidy, unpack
+from .suffix_dedup import _blobs, unpack
 
-WORDS, PERCENT, BLOCK_SHINGLES, FLUSH, BROADCAST_MEMBERS, MANY = 5, 80, 250_000, 1 << 19, 2_000_000, 64
-POINT, LEAF, FAN = 128, 16, 16
+WORDS, PERCENT, BLOCK_SHINGLES, FLUSH, BROADCAST_MEMBERS, MANY = 5, 80, 120_000, 1 << 19, 2_000_000, 64
+POINT, LEAF, FAN, PART_BYTES = 128, 16, 16, 16 << 20
 NULL_ID = -(1 << 63)
 
 
@@ -59,7 +61,7 @@ def _stars(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return sig[first], cls[first], a, b
 
 
-T = "kind int, x long, y long, n long"
+T = "kind int, x long, y long, n long, row long"
 PACKED = "part int, kind int, blob binary"
 SKETCH, COUNT, HEAVY, SHARED, OWN, SIGN, EDGE = range(7)
 
@@ -104,8 +106,8 @@ def _scan(words: int, bits: int, parts: int):
 
         def flush():
             nonlocal base
-            doc, key, n = (np.array(x, np.int64) for x in zip(*sketch, strict=True))
-            rows = [(p, SKETCH, blob) for p, blob in _blobs(np.arange(len(doc)) % parts, doc, key, n)]
+            doc, key, n, row = (np.array(x, np.int64) for x in zip(*sketch, strict=True))
+            rows = [(p, SKETCH, blob) for p, blob in _blobs(np.arange(len(doc)) % parts, doc, key, n, row)]
             if sets:
                 ref = base + np.arange(len(sets))
                 sizes = np.array([len(x) for x in sets], np.int64)
@@ -130,10 +132,10 @@ def _scan(words: int, bits: int, parts: int):
             return _rows(rows)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1), strict=True):
                 s = shingle_set(text.as_py(), words)
                 key = set_key(s)[0]
-                sketch.append((doc, key, len(s)))
+                sketch.append((doc, key, len(s), row))
                 if len(s) and key not in seen:
                     seen.add(key)
                     keys.append(key)
@@ -225,14 +227,14 @@ def _choose(percent: int, bits: int, parts: int):
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole signatures: star edges between their classes. Sketches and edges pass through."""
 
-    def rows(kind: int, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    def rows(kind: int, x: np.ndarray, y: np.ndarray, n: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
         null = (x == NULL_ID) if kind == 0 else None
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x, mask=null), pa.array(y), pa.array(n)], names=["kind", "x", "y", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x, mask=null), pa.array(y), pa.array(n), pa.array(row)], names=["kind", "x", "y", "n", "row"])
 
     blobs = _read(batches, (), [])
-    doc, key, n = unpack(blobs[SKETCH], np.int64, np.int64, np.int64)
+    doc, key, n, row = unpack(blobs[SKETCH], np.int64, np.int64, np.int64, np.int64)
     if len(doc):
-        yield rows(0, doc, key, n)
+        yield rows(0, doc, key, n, row)
     a, b = unpack(blobs[EDGE], np.int64, np.int64)
     sig, cls = unpack(blobs[SIGN], np.uint64, np.int64)
     if len(sig):
@@ -240,7 +242,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = np.concatenate([a, c]), np.concatenate([b, d])
     if len(a):
         a, b = forest(a, b)
-        yield rows(1, a, b, np.zeros(len(a), np.int64))
+        yield rows(1, a, b, np.zeros(len(a), np.int64), np.zeros(len(a), np.int64))
 
 
 def points(sets: list[np.ndarray]) -> np.ndarray:
@@ -309,167 +311,185 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def join_block(sets: list[np.ndarray], label: np.ndarray, percent: int, left: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect what ``label`` does not connect yet: a spanning forest of the block's links.
+class Block:
+    """Sets in the order of their leaves, their shingles numbered inside the block, and the R-tree over their points."""
 
-    ``left`` marks the rows whose pairs with any row count; by default all pairs do.
-    """
-    n = len(sets)
-    if n < 2:
-        return []
-    size = np.array([len(s) for s in sets], np.int64)
-    least = np.array([int(s[0]) >> 1 for s in sets], np.int64)
-    vectors = points(sets)
-    # slices by size, inside them by least shingle: near copies come to lie in one leaf
-    slices = max(1, int((n / LEAF) ** 0.5))
-    by_size = np.argsort(size, kind="stable")
-    rank = np.empty(n, np.int64)
-    rank[by_size] = np.arange(n) * slices // n
-    order = np.lexsort((size, least, rank))
-    label = label.copy()
-    out: list[tuple[int, int]] = []
-
-    def meet(x: np.ndarray, y: np.ndarray, same: bool) -> None:
-        if label[x[0]] == label[y[0]] and (label[x] == label[x[0]]).all() and (label[y] == label[x[0]]).all():
-            return
-        i, j = (z.ravel() for z in np.meshgrid(x, y, indexing="ij"))
-        ok = (label[i] != label[j]) & may_overlap(vectors[i], size[i], vectors[j], size[j], size[i], size[j], percent)
-        if same:
-            ok &= np.repeat(np.arange(len(x)), len(y)) < np.tile(np.arange(len(y)), len(x))
-        for p, q in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
-            if label[p] != label[q] and linked(sets[p], sets[q], percent):
-                out.append((p, q))
-                label[label == label[q]] = label[p]
-
-    rows_a = order if left is None else order[left[order]]
-    if not len(rows_a):
-        return []
-    tree_a = CountTree(vectors[rows_a], size[rows_a])
-    tree_b = tree_a if left is None else CountTree(vectors[order], size[order])
-    pairs = list(leaf_pairs(tree_a, tree_b, percent, left is None))
-    if left is None:  # leaves by themselves first: most of a group is connected before leaves meet
-        pairs.sort(key=lambda p: (p[0] != p[1], p))
-    for i, j in pairs:
-        meet(rows_a[i * LEAF : (i + 1) * LEAF], order[j * LEAF : (j + 1) * LEAF], left is None and i == j)
-    return out
+    def __init__(self, sets: list[np.ndarray], rows: np.ndarray):
+        size = np.array([len(sets[i]) for i in rows], np.int64)
+        least = np.array([int(sets[i][0]) >> 1 for i in rows], np.int64)
+        # slices by size, inside them by least shingle: near copies come to lie in one leaf
+        slices = max(1, int((len(rows) / LEAF) ** 0.5))
+        rank = np.empty(len(rows), np.int64)
+        rank[np.argsort(size, kind="stable")] = np.arange(len(rows)) * slices // max(1, len(rows))
+        order = np.lexsort((size, least, rank))
+        self.rows, self.size = rows[order], size[order]
+        self.sets = [sets[i] for i in self.rows]
+        self.vectors = points(self.sets)
+        self.tree = CountTree(self.vectors, self.size)
+        self.ends = np.cumsum(self.size)
 
 
-LINK = "src long, dst long"
+def join_block(sets: list[np.ndarray], weight: np.ndarray, percent: int, left: np.ndarray | None = None, seen: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(n, a, b)``: the weight of the sets that each set links with, and a forest of links that connects what all links do.
+
+    ``left`` marks the sets of the first block; links then count between the two blocks alone, else between all sets.
+    ``seen`` collects how many pairs there were and how many the tree left to verify.
+    """
+    found = np.zeros(len(sets), np.int64)
+    none = np.zeros(0, np.int64)
+    every = np.arange(len(sets))
+    if left is not None and (left.all() or not left.any()) or len(sets) < 2:
+        return found, none, none
+    one = Block(sets, every if left is None else every[left])
+    two = one if left is None else Block(sets, every[~left])
+    _, ids = np.unique(np.concatenate(two.sets), return_inverse=True)
+    words = np.unique(np.concatenate(two.sets))
+    mark = np.zeros(len(words) + 1, np.int32)
+    pairs: dict[int, list[int]] = {}
+    for i, j in leaf_pairs(one.tree, two.tree, percent, left is None):
+        pairs.setdefault(i, []).append(j)
+    edges_a, edges_b, waiting, verified = [], [], 0, 0
+    for i, leaves in pairs.items():
+        x = np.arange(i * LEAF, min((i + 1) * LEAF, len(one.size)))
+        y = np.concatenate([np.arange(j * LEAF, min((j + 1) * LEAF, len(two.size))) for j in sorted(leaves)])
+        for p in x:
+            ok = may_overlap(one.vectors[p], one.size[p], two.vectors[y], two.size[y], one.size[p], two.size[y], percent)
+            q = y[ok & (y > p)] if left is None else y[ok]
+            if not len(q):
+                continue
+            verified += len(q)
+            mine = np.searchsorted(words, one.sets[p])
+            mine = mine[words[np.minimum(mine, len(words) - 1)] == one.sets[p]] if left is not None else mine
+            mark[mine] = 1
+            n = two.size[q]
+            start = np.cumsum(n) - n
+            at = np.repeat(two.ends[q] - n - start, n) + np.arange(n.sum())
+            both = np.add.reduceat(mark[ids[at]], start)
+            mark[mine] = 0
+            q = q[100 * both >= percent * (one.size[p] + n - both)]
+            if len(q):
+                a, b = one.rows[p], two.rows[q]
+                found[a] += weight[b].sum()
+                found[b] += weight[a]
+                edges_a.append(np.full(len(q), a))
+                edges_b.append(b)
+                waiting += len(q)
+                if waiting > 1 << 20:
+                    short = forest(np.concatenate(edges_a), np.concatenate(edges_b))
+                    edges_a, edges_b, waiting = [short[0]], [short[1]], len(short[0])
+    if seen is not None:
+        seen.append((len(sets) * (len(sets) - 1) // 2 if left is None else len(one.size) * len(two.size), verified))
+    if not edges_a:
+        return found, none, none
+    return found, *forest(np.concatenate(edges_a), np.concatenate(edges_b))
+
+
+LINK = "dst long, n long, src long"
 
 
 def _joiner(percent: int):
     def run(t: pa.Table) -> pa.Table:
-        cls, first = np.unique(t.column("cls").to_numpy(), return_index=True)
-        group = t.column("label").to_numpy()[first]
-        _, label = np.unique(group, return_inverse=True)
+        cls = t.column("cls").to_numpy()
         blobs = t.column("set")
-        sets = [np.frombuffer(blobs[int(i)].as_py(), np.uint64) for i in first]
+        sets = [np.frombuffer(b.as_py(), np.uint64) for b in blobs]
         left = t.column("left").to_numpy(zero_copy_only=False)
-        # a row that stands on both sides counts as left
-        is_left = np.zeros(len(cls), bool)
-        is_left[np.searchsorted(cls, t.column("cls").to_numpy()[left])] = True
-        links = join_block(sets, label, percent, None if is_left.all() else is_left)
-        src, dst = (np.array([cls[p[i]] for p in links], np.int64) for i in (0, 1))
-        return pa.table({"src": pa.array(src), "dst": pa.array(dst)})
+        n, a, b = join_block(sets, t.column("docs").to_numpy(), percent, None if t.num_rows and t.column("alone")[0].as_py() else left)
+        some = np.flatnonzero(n)
+        zero = np.zeros(len(a), np.int64)
+        return pa.table({"dst": pa.array(np.concatenate([cls[b], cls[some]])), "n": pa.array(np.concatenate([zero, n[some]])), "src": pa.array(np.concatenate([cls[a], cls[some]]))})
 
     return run
 
 
+MEMBER = ["cls", "cluster", "size", "block", "own", "below", "above", "docs"]
+
+
 def _to_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep, sets = [], []
-            for i, (cls, text) in enumerate(zip(b.column(0).to_pylist(), b.column(3).to_pylist(), strict=True)):
+            for i, (cls, text) in enumerate(zip(b.column(0).to_pylist(), b.column(len(MEMBER)).to_pylist(), strict=True)):
                 s = shingle_set(text, words)
                 if set_key(s)[0] == cls:
                     keep.append(i)
                     sets.append(s.tobytes())
             at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), b.column(2).take(at), pa.array(sets, pa.binary())], names=["cls", "cluster", "block", "set"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(at) for i in range(len(MEMBER))), pa.array(sets, pa.binary())], names=[*MEMBER, "set"])
 
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` for every row: the least id reachable over links of Jaccard >= percent / 100.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES, broadcast_members: int = BROADCAST_MEMBERS, row_col: str | None = None) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, n_links)`` for every row: the least id reachable over links of Jaccard >= percent / 100,
+    and the number of rows that this row links with.
 
     A text with fewer words than ``words`` is one shingle; one without words, or null, has none and links with nothing.
     Equal sets always link. Null ids are never a component's name, unless all its rows lack one. Repeated ids are rows of
-    their own. No rows give none. Other columns are ignored, whatever their names.
+    their own; ``row_col``, a column of longs, comes along as ``row`` with ``root``, the same in all rows of a component
+    (null without words). No rows give none. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    wide = 2 * shuffle_partitions(spark)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 1
+    row = F.lit(0) if row_col is None else F.col(row_col)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"), row.cast("long").alias("row"))
+    if "Exchange" in rows._jdf.queryExecution().executedPlan().toString():
+        rows = Stored(rows).df  # sets are numbered by their place: a task that runs again must see the same rows in the same order
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 1
     bits = min(64, max(40, int(size).bit_length() + 10))
+    wide = max(2 * shuffle_partitions(spark), -(-size // PART_BYTES))
     step = rows.mapInArrow(_scan(words, bits, wide), PACKED)
     for next_step in (_count(bits, wide), _choose(percent, bits, wide)):
         step = step.repartition(wide, "part").mapInArrow(next_step, PACKED)
     found = Stored(step.repartition(wide, "part").mapInArrow(_gather, T)).df
-    _tidy(spark)
-    sketch = found.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("cls"), "n")
+    sketch = found.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("cls"), "n", "row")
     edges = found.where("kind = 1").select(F.col("x").alias("src"), F.col("y").alias("dst"))
-    classes = Stored(sketch.where("n > 0").groupBy("cls").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("doc"), F.min("doc_id").alias("least"), F.first("n").alias("n"))).df
-    links = linkforest(rows, classes, edges, words, percent, block_shingles)
-    roots = components(links)
+    classes = Stored(sketch.where("n > 0").groupBy("cls").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("doc"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.count("*").alias("docs"))).df
+    links = Stored(verified_links(rows.select("doc", "text"), classes, edges, words, percent, block_shingles, broadcast_members)).df
+    roots = components(links.where("src <> dst"))
+    others = links.where("src = dst").groupBy(F.col("src").alias("cls")).agg(F.sum("n").alias("others"))
     # every class to the least id of its component; then every row to its class
-    labelled = classes.join(roots.select(F.col("node").alias("cls"), "component"), "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("root"))
+    labelled = classes.join(roots.select(F.col("node").alias("cls"), "component"), "cls", "left").select("cls", "least", "docs", F.coalesce("component", "cls").alias("root"))
     named = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = Stored(labelled.join(named, "root").select("cls", "component_id")).df
-    return sketch.join(of_class, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    counted = labelled.join(others, "cls", "left").select("cls", "root", (F.col("docs") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    of_class = Stored(counted.join(named, "root").select("cls", "root", "component_id", "links")).df
+    out = sketch.join(of_class, "cls", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "row", "root"
+    )
+    return out if row_col is not None else out.drop("row", "root")
 
 
-def linkforest(rows: DataFrame, classes: DataFrame, edges: DataFrame, words: int, percent: int, block_shingles: int) -> DataFrame:
-    """Verified links between classes that connect what all links connect."""
+def verified_links(rows: DataFrame, classes: DataFrame, edges: DataFrame, words: int, percent: int, block_shingles: int, broadcast_members: int) -> DataFrame:
+    """``(dst, n, src)``: a forest of links between classes; rows with equal ends give the documents of other classes that a class links with."""
     clusters = components(edges)
     members = clusters.select(F.col("node").alias("cls"), F.col("component").alias("cluster")).join(classes, "cls")
-    volume = members.groupBy("cluster").agg(F.sum("n").alias("volume"))
-    blocks = F.ceil(F.col("volume") / F.lit(block_shingles)).cast("long")
-    members = Stored(members.join(volume, "cluster").select("cls", "cluster", F.pmod(F.xxhash64("cls"), blocks).alias("block"), "doc", "n")).df
-
-    def beside(wide: DataFrame, narrow: DataFrame, key: str) -> DataFrame:
-        """A few numbers a member: up to 64 MB they go to the texts or sets, beyond that both sides meet by the key."""
-        return wide.join(F.broadcast(narrow) if narrow.count() <= BROADCAST_MEMBERS else narrow.hint("merge"), key)
-
-    with_text = beside(rows, members.drop("n"), "doc").select("cls", "cluster", "block", "text")
-    kept = Stored(with_text.mapInArrow(_to_sets(words), "cls long, cluster long, block long, set binary"))
-    sets = kept.df
-    _tidy(rows.sparkSession)
-
-    def joined(df: DataFrame, *key: str) -> DataFrame:
-        return df.groupBy(*key).applyInArrow(_joiner(percent), LINK)
-
-    every = sets.select("cluster", "block", "cls", "set", F.col("cls").alias("label"), F.lit(True).alias("left"))
-    links = Stored(joined(every, "cluster", "block")).df
-    many = members.where("block > 0").select("cluster").distinct()
-    if not many.limit(1).count():
-        kept.drop()
-        return links
-    large = Stored(members.join(many, "cluster", "left_semi").select("cls", "cluster", "block", "n")).df
-    own = sets.select("cls", "set")
-
-    def labels(links: DataFrame) -> DataFrame:
-        return large.join(components(links).select(F.col("node").alias("cls"), F.col("component").alias("label")), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-
-    # one document for each component of each block, joined cluster by cluster in fewer blocks
-    chosen = labels(links).groupBy("cluster", "block", "label").agg(F.min_by(F.struct("cls", "n"), "cls").alias("c")).select("cluster", "label", "c.cls", "c.n")
-    volume = chosen.groupBy("cluster").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("long").alias("blocks"))
-    few = Stored(chosen.join(volume, "cluster").select("cluster", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("blocks")).alias("block"), "cls", "label", F.lit(True).alias("left"))).df
-    links = Stored(links.union(joined(beside(own, few, "cls"), "cluster", "block"))).df
-
-    # what lies outside its cluster's largest component, against all blocks
-    now = Stored(labels(links)).df
-    largest = now.groupBy("cluster", "label").count().groupBy("cluster").agg(F.max_by("label", F.struct("count", "label")).alias("top"))
-    rest = now.join(largest, "cluster").where("label <> top").drop("top")
-    parts = rest.groupBy("cluster").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("long").alias("parts"))
-    spans = Stored(now.groupBy("cluster").agg((F.max("block") + 1).alias("spans")).join(parts, "cluster")).df
-    left = rest.join(spans, "cluster").withColumn("part", F.pmod(F.xxhash64("cls", F.lit(2)), F.col("parts"))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("spans") - 1)))
-    right = now.join(spans, "cluster").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    columns = ["cls", "cluster", "block", "part", "label"]
-    both = Stored(left.select(*columns, F.lit(True).alias("left")).union(right.select(*columns, F.lit(False).alias("left")))).df
-    links = Stored(links.union(joined(beside(own, both, "cls"), "cluster", "block", "part"))).df
-    kept.drop()
-    return links
+    whole = members.groupBy("cluster").agg(F.sum("n").alias("volume"))
+    # sets that link differ by at most one size class; the classes are a hair wider than the threshold asks for, against rounding
+    step = float(np.log(100 / percent) * (1 + 1e-9)) or 1.0
+    size = F.when(F.col("volume") > block_shingles, F.floor(F.log(F.col("n").cast("double")) / step)).otherwise(F.lit(0)).cast("long")
+    sized = Stored(members.join(whole, "cluster").select("cls", "cluster", "doc", "n", "docs", size.alias("size"))).df
+    volume = sized.groupBy("cluster", "size").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("long").alias("own"))
+    near = [volume.select("cluster", (F.col("size") + by).alias("size"), F.col("own").alias(name)) for by, name in ((1, "below"), (-1, "above"))]
+    blocks = Stored(volume.join(near[0], ["cluster", "size"], "left").join(near[1], ["cluster", "size"], "left").na.fill(0)).df
+    placed = Stored(sized.join(blocks, ["cluster", "size"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("own"))).select("doc", *MEMBER)).df
+    # a few numbers a member: up to 64 MB they go to the texts, beyond that both sides meet by the document
+    with_text = rows.join(F.broadcast(placed) if placed.count() <= broadcast_members else placed.hint("merge"), "doc").select(*MEMBER, "text")
+    # rows of one id may hold texts of one class more than once
+    sets = with_text.mapInArrow(_to_sets(words), ", ".join(f"{c} long" for c in MEMBER) + ", set binary")
+
+    def meet(more: str, test: str, a: str, i: str, b: str, j: str, left: str) -> str:
+        return f"CASE WHEN {more} > 0 THEN transform(sequence(0L, {more} - 1), x -> struct({a} AS a, {i} AS i, {b} AS b, {j} AS j, {left} AS left, {test} AS alone)) ELSE array() END"
+
+    kind = "array<struct<a:bigint,i:bigint,b:bigint,j:bigint,left:boolean,alone:boolean>>"
+    pairs = [meet("own", "block = x", "size", "least(block, x)", "size", "greatest(block, x)", "block <= x"), meet("above", "false", "size", "block", "size + 1", "x", "true"), meet("below", "false", "size - 1", "x", "size", "block", "false")]
+    spread = sets.withColumn("at", F.explode(F.expr(f"concat({', '.join(f'CAST({p} AS {kind})' for p in pairs)})"))).select("cls", "cluster", "docs", "set", "at.*")
+    return spread.groupBy("cluster", "a", "i", "b", "j").applyInArrow(_once_each(_joiner(percent)), LINK)
+
+
+def _once_each(run):
+    def once(t: pa.Table) -> pa.Table:
+        _, first = np.unique(t.column("cls").to_numpy(), return_index=True)
+        return run(t.take(pa.array(first)) if len(first) < t.num_rows else t)
+
+    return once
 
 
 def op4(spark, sf_dir):
@@ -483,6 +503,8 @@ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) <
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
   WHERE 100 * na.n >= 85 * nb.n AND 100 * nb.n >= 85 * na.n GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(na.n) + any_value(nb.n) - count(*))),
-r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
-SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, coalesce(min(r.b), w.doc_id)) AS component_id FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN r ON r.a = w.doc_id GROUP BY w.doc_id
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+k AS (SELECT a, count(*) AS k FROM e GROUP BY a)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(w.doc_id, coalesce(min(r.b), w.doc_id)) AS component_id, coalesce(any_value(k.k), 0) AS n_links
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN r ON r.a = w.doc_id LEFT JOIN k ON k.a = w.doc_id GROUP BY w.doc_id
 """

@@ -219,7 +219,7 @@ def brute_components(texts, words, percent):
     for t in texts:
         w = [x for x in re.split("[\x20\x09-\x0d]+", (t or "").translate(UP)) if x]
         sets.append({tuple(w[i : i + words]) for i in range(len(w) - words + 1)} if len(w) >= words else {tuple(w)} if w else set())
-    parent = list(range(len(sets)))
+    parent, links = list(range(len(sets))), [0] * len(sets)
 
     def root(x):
         while parent[x] != x:
@@ -229,16 +229,28 @@ def brute_components(texts, words, percent):
     for i, j in itertools.combinations(range(len(sets)), 2):
         both = len(sets[i] & sets[j])
         if sets[i] and sets[j] and 100 * both >= percent * len(sets[i] | sets[j]):
+            links[i] += 1
+            links[j] += 1
             a, b = sorted((root(i), root(j)))
             parent[b] = a
-    return [(len(s), root(i)) for i, s in enumerate(sets)]
+    return [(len(s), root(i), links[i]) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("words,percent,block", [(4, 85, 250_000), (5, 80, 250_000), (2, 70, 60)])
-def test_ngram_join(spark, words, percent, block):
+@pytest.mark.parametrize("words,percent,block,most", [(4, 85, 250_000, 9999), (5, 80, 250_000, -1), (2, 70, 60, 9999), (1, 60, 30, -1), (1, 100, 30, 9999)])
+def test_ngram_join(spark, words, percent, block, most):
     texts = corpus(7, 120)
-    got = ngram_join.near_duplicates(clashing(docs(spark, texts)), words=words, percent=percent, block_shingles=block).orderBy("doc_id").collect()
-    assert [(r["n_shingles"], r["component_id"]) for r in got] == brute_components(texts, words, percent)
+    got = ngram_join.near_duplicates(clashing(docs(spark, texts)), words=words, percent=percent, block_shingles=block, broadcast_members=most).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"], r["n_links"]) for r in got] == brute_components(texts, words, percent)
+
+
+def test_ngram_join_hot_group(spark):
+    """One large group of near copies in many blocks, copies of them, and a very long text."""
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base, f"own{i}", *(f"x{r.randrange(9)}" for _ in range(r.randrange(6)))]) for i in range(150)]
+    texts += texts[:20] + [" ".join(f"long{i}" for i in range(120_000))] * 2 + [" ".join(f"long{i}" for i in range(110_000))]
+    got = ngram_join.near_duplicates(docs(spark, texts).repartition(5), block_shingles=700).orderBy("doc_id").collect()
+    assert [(x["n_shingles"], x["component_id"], x["n_links"]) for x in got] == brute_components(texts, 5, 80)
 
 
 def test_prefixes_meet():
@@ -260,24 +272,34 @@ def test_packed_counts():
     assert (got[0] == h).all() and (got[1] == (7 << 32) + np.arange(1000)).all()
 
 
-def test_join_block_matches_pairs():
+@pytest.mark.parametrize("split", [None, 60])
+def test_join_block_matches_pairs(split):
     r = np.random.default_rng(1)
     base = [np.unique(r.integers(0, 1 << 60, 80).astype(np.uint64)) for _ in range(12)]
     sets = [np.unique(np.concatenate([b[r.integers(0, 12) :], r.integers(0, 1 << 60, 3).astype(np.uint64)])) for b in base for _ in range(12)]
-    label = np.arange(len(sets))
-    for i, j in ngram_join.join_block(sets, label, 80):
-        label[label == label[j]] = label[i]
-    want = np.arange(len(sets))
+    r.shuffle(sets)
+    weight, seen = r.integers(1, 5, len(sets)), []
+    left = None if split is None else np.arange(len(sets)) < split
+    n, a, b = ngram_join.join_block(sets, weight, 80, left, seen)
+    want, label, count = np.zeros(len(sets), int), np.arange(len(sets)), 0
     for i, j in itertools.combinations(range(len(sets)), 2):
-        if ngram_join.linked(sets[i], sets[j], 80):
-            want[want == want[j]] = want[i]
-    assert all((label[i] == label[j]) == (want[i] == want[j]) for i, j in itertools.combinations(range(len(sets)), 2))
+        if (left is None or left[i] != left[j]) and ngram_join.linked(sets[i], sets[j], 80):
+            want[i] += weight[j]
+            want[j] += weight[i]
+            label[label == label[j]] = label[i]
+            count += 1
+    got = np.arange(len(sets))
+    for i, j in zip(a, b, strict=True):
+        got[got == got[j]] = got[i]
+    assert (n == want).all() and all((label[i] == label[j]) == (got[i] == got[j]) for i, j in itertools.combinations(range(len(sets)), 2))
+    assert count <= seen[0][1] < seen[0][0] / 2  # the tree leaves less than half of the pairs to verify
 
 
 def test_ngram_edges(spark):
     assert ngram_join.near_duplicates(docs(spark, [])).count() == 0
     got = ngram_join.near_duplicates(docs(spark, ["a b c", "A b c", "", None, "q"], [None, 3, 4, 5, 5])).collect()
     by = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in got}
+    assert sorted(r["n_links"] for r in got) == [0, 0, 0, 1, 1]
     assert by == {(None, 1): 3, (3, 1): 3, (4, 0): 4, (5, 0): 5, (5, 1): 5}
 
 
