@@ -130,17 +130,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Logistic.fit(slots, form, low), Logistic.fit(slots, form, toxic)
 
 
-def _score(sent):
+def _score(sent, text_at: int, carried: bool):
+    """Both models' probabilities of each row; the rows themselves come along only if asked for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = sent.value and [Logistic(*m) for m in sent.value]
         for b in batches:
             odds = [[], []]
-            for t in b.column(b.num_columns - 1).to_pylist():
+            for t in b.column(3).field(text_at).to_pylist():
                 f = features(t)
                 for o, m in zip(odds, models or (None, None), strict=True):
                     o.append(m.odds(*f) if m else -30.0)
             p = [1 / (1 + np.exp(-np.array(o, np.float64))) for o in odds]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p[0], pa.float64()), pa.array(p[1], pa.float64())], names=["id", "host", "path", "low", "toxic"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: 4 if carried else 3], pa.array(p[0], pa.float64()), pa.array(p[1], pa.float64())], names=["id", "host", "path", *["row"] * carried, "low", "toxic"])
 
     return run
 
@@ -163,8 +165,9 @@ def _logit(c: Column) -> Column:
     return F.log(c / (1 - c))
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None, path: Column | None = None, threshold: float = THRESHOLD, site_power: float = SITE_POWER, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """``(doc_id, host, path, p_low, p_toxic, host_bad, path_bad, p_bad, keep)`` for every row of ``docs``.
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host: Column | None = None, path: Column | None = None, threshold: float = THRESHOLD, site_power: float = SITE_POWER, max_labelled: int = MAX_LABELLED, carry: bool = False) -> DataFrame:
+    """``(doc_id, host, path, p_low, p_toxic, host_bad, path_bad, p_bad, keep)`` for every row of ``docs``; with ``carry`` also
+    ``row``, a struct of all its columns, so that a decision stays with its row whatever the ids.
 
     ``host`` is the source and ``path`` source and language by default; nulls are sites of their own. ``site_power`` is the
     weight of a path's odds beside the document's. Without labels nothing is rejected. Null or empty text is judged by its
@@ -175,8 +178,12 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sent = spark.sparkContext.broadcast(models and [(m.weights, m.form, m.mean, m.scale) for m in models])
     host = F.coalesce((host if host is not None else F.col("source")).cast("string"), F.lit(""))
     path = F.coalesce((path if path is not None else F.col("lang")).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), host.alias("host"), F.concat_ws("/", host, path).alias("path"), F.col(text_col).cast("string").alias("text"))
-    scored = Stored(rows.mapInArrow(_score(sent), "id long, host string, path string, low double, toxic double")).df
+    names = docs.columns if carry else [text_col]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    kinds = ", ".join(f"c{i}: {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), host.alias("host"), F.concat_ws("/", host, path).alias("path"), row.alias("row"))
+    kind = f"id long, host string, path string{f', row struct<{kinds}>' if carry else ''}, low double, toxic double"
+    scored = Stored(rows.mapInArrow(_score(sent, names.index(text_col), carry), kind)).df
     bad = F.col("low") + F.col("toxic") - F.col("low") * F.col("toxic")
     paths = Stored(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(bad).alias("bad"))).df
     whole = paths.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
@@ -185,7 +192,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sites = shrink(paths.join(hosts, "host"), "path", "host_bad")
     sites = Stored(sites.select("path", "host_bad", F.col("post").alias("path_bad"), (_logit(F.col("post")) - _logit(F.lit(overall))).alias("shift"))).df
     joined = scored.join(sites, "path").withColumn("p_bad", 1 / (1 + F.exp(-(_logit(bad) + site_power * F.col("shift")))))
-    return joined.select(F.col("id").alias("doc_id"), "host", "path", F.col("low").alias("p_low"), F.col("toxic").alias("p_toxic"), "host_bad", "path_bad", "p_bad", (F.col("p_bad") < threshold).alias("keep"))
+    return joined.select(F.col("id").alias("doc_id"), "host", "path", F.col("low").alias("p_low"), F.col("toxic").alias("p_toxic"), "host_bad", "path_bad", "p_bad", (F.col("p_bad") < threshold).alias("keep"), *(["row"] if carry else []))
 
 
 def op10(spark, sf_dir):

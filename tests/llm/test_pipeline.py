@@ -55,6 +55,35 @@ def test_copies_reach_the_join(spark):
     assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, lines, "").collect()} >= {0, 15} and corpus_pipeline.one_of_each(spark, lines, "").where("doc_id < 30").count() == 2
 
 
+def test_rows_of_one_id(spark, tmp_path):
+    """Repeated and null ids, clashing columns, ties and long texts: decisions go by row."""
+    r = random.Random(4)
+    text = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    a, b, c, e, long = text(50), text(50), text(50), text(50), text(30_000)
+    rows = [(1, a), (2, a), (2, b), (7, c), (7, c), (None, e), (None, e), (None, b + " more"), (9, "BUY!! NOW!! " * 30 + "x"), (9, e + " x"), (11, long), (12, long + " tail"), (13, None), (13, None), (14, "")]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t or ""), f"mine {k % 2}", "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, row string, keep string")
+    home = str(tmp_path)
+    spark.createDataFrame([(i, int(i >= 120), 0) for i in range(100, 140)], "doc_id long, quality int, toxic int").write.parquet(f"{home}/labels.parquet")
+    told = spark.createDataFrame([(i, text(60) if i >= 120 else "BUY!! NOW!! " * 30 + text(1), "en", "s", 0, "", "") for i in range(100, 140)], d.schema)
+    both = d.union(told)
+    good = corpus_pipeline.keep_good(spark, both, home)
+    every = both.collect()
+    alone = spark.createDataFrame([(x["doc_id"] if 100 <= (x["doc_id"] or 0) < 140 else 1000 + k, *x[1:]) for k, x in enumerate(every)], d.schema)
+    verdict = {x["doc_id"]: x["keep"] for x in quality.classify(alone, spark.read.parquet(f"{home}/labels.parquet")).collect()}
+    want = [str(x) for k, x in enumerate(every) if verdict[x["doc_id"] if 100 <= (x["doc_id"] or 0) < 140 else 1000 + k]]
+    assert good.columns == d.columns and sorted(map(str, good.collect())) == sorted(want)
+    assert sum("BUY" in x for x in want) <= 2 and any("doc_id=9," in x for x in want)
+    one = corpus_pipeline.one_of_each(spark, d, home)
+    assert one.columns == d.columns
+    kept = sorted(((x["doc_id"], x["text"]) for x in one.collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (7, c), (9, "BUY!! NOW!! " * 30 + "x"), (9, e + " x"), (11, long), (13, None), (13, None), (14, "")], key=str)
+    same = d.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id = 7")  # equal in every column
+    assert corpus_pipeline.one_of_each(spark, same, home).count() == 1
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, d, home).columns == d.columns
+    assert corpus_pipeline.pack_batches(spark, d, home).count() >= len(rows)
+
+
 def test_run(spark, home):
     got = corpus_pipeline.run(spark, home)
     docs = spark.read.parquet(f"{home}/documents.parquet")
