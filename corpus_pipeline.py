@@ -14,17 +14,21 @@ from chunkwright.llm.common import Stored, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go. A null id can't be told apart from others of its kind: such rows stay."""
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"))
-    bad = judged.where(~F.col("keep")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that the classifier rejects go.
+
+    The verdict travels with its row, so repeated and null ids are judged row by row. Null and empty texts are judged by
+    their form; without labels, or labels that meet no document, all stay. No rows give none; further columns stay.
+    """
+    judged = quality.classify(docs, table(spark, sf_dir, "labels"), carry=True).where("keep")
+    return judged.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten or more documents of different lines hold go; ``n_chars`` follows the text.
 
     Copies count once, so that a group of them keeps its lines and the join decides which one stays. A document that is
-    left without text, blank lines aside, consists of lines that stand in ten others and goes.
+    left without text, blank lines aside, consists of lines that stand in ten others and goes. Rows are changed one by one,
+    whatever their ids; null and empty texts stay, further columns, too. No rows give none.
     """
     cut = line_dedup.drop_hot_lines(docs, copies=False)
     n = len(docs.columns)
@@ -34,18 +38,39 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the document of least id stays."""
-    groups = ngram_join.near_duplicates(docs)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates (five words, 0.8) one row stays: the one of least id, ties by a hash of the row.
+
+    Rows are known by a hash of all their columns, never by their id alone; of rows that agree in every column one is as
+    good as another, and one stays. Null ids come after others. Rows without words belong to no group and stay, repeated
+    ones, too. No rows give none; further columns stay.
+    """
+    names = docs.columns
+    marked = docs.withColumn("_row_key", F.xxhash64(*[F.col(f"`{c}`") for c in names]))
+    groups = Stored(ngram_join.near_duplicates(marked, row_col="_row_key")).df.where("root IS NOT NULL")
+    best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("b"))
+    kept = Stored(best.select(F.col("b.row").alias("_row_key"))).df
+    gone = groups.select(F.col("row").alias("_row_key")).distinct().join(kept, "_row_key", "left_anti")
+    left = marked.join(gone, "_row_key", "left_anti")
+    # a kept row that stands more than once in the table
+    twice = groups.groupBy(F.col("row").alias("_row_key")).count().where("count > 1").join(kept, "_row_key", "left_semi").select("_row_key")
+    once = left.join(twice, "_row_key", "left_anti").select(*names)
+    return once.unionByName(left.join(twice, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*names))
 
 
 def sample_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by their calibrated probabilities stay."""
+    """Documents drawn by their calibrated probabilities stay: half of the tokens, sources, languages and topics raked to targets.
+
+    Draws go by the id: rows of one id are drawn together where their cells' rates agree, null ids draw as 0. Rows without
+    words are never drawn. No rows give none; further columns stay.
+    """
     return mixing.mix(docs).where("_sampled").select(*docs.columns)
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each document: its bucket, batch and slot.
+
+    Null and repeated ids are rows like others; a text without words, or null, is one piece of length 0. No rows give none.
+    """
     return packing.pack(docs)
 
 
