@@ -1,51 +1,56 @@
 """Suffix-array dedup: bytes covered by a long string that also starts earlier are removed.
 
 A suffix counts by its first ``width`` bytes (100); it is doomed if an earlier suffix of the input has the same ones.
-Sorting every suffix of 100 TB would shuffle many times the input, so the array is made sparse without losing a match:
-
-1. *Sync points.* Every suffix takes the least hash among the 40-byte strings inside its first 100 bytes. Equal suffixes
-   take equal hashes, and neighbours mostly share one, so suffixes form runs of about 30. A run is two words: its least
-   hash and the hash of all bytes that its suffixes cover. Runs are dealt by their least hash and sorted; a run that
-   also occurs earlier is doomed as a whole; one whose least hash occurs nowhere else is safe as a whole.
-2. *Suffix ranges.* What is left are runs that share a least hash with a different run, at the ends of repeats. Their
-   suffixes are dealt to ranges of (leading 8 bytes, hash of all 100 bytes) between sampled splitters. Each range is
-   sorted locally by a multikey sort, token by token over ties, and compared. Splitters hold a whole key, so
-   equal suffixes never straddle a border, however many there are.
-3. *Cutting.* Each document gets its doomed suffixes back; the union of their first 100 bytes is cut.
-
-Every task first drops what repeats inside it, keeping the earliest, so a passage that a third of all documents share
-reaches a range once a task. A least hash with over ``LOCAL`` different runs in one task is known to be mixed and sends
-one marker; so does a run that may hold equal suffixes itself. Equality is by 64-bit hashes of the bytes. All exchanges carry packed arrays, a row for each task and range.
+Sorting every suffix of 100 TB would shuffle many times the input, so the array is sparse, without losing a match:
+
+1. *Sync points.* Every 100-byte string takes the leftmost least hash among the 40-byte strings inside it as its anchor.
+   Equal strings have their anchors at the same place, and neighbours mostly share one, so only the suffixes at anchors,
+   about one in 30, enter the array. An anchor whose 40 bytes stand nowhere else in the corpus is safe and goes no
+   further: one exchange counts their hashes, and a hash that occurs once belongs to bytes that occur once.
+2. *Ranges.* The other anchors' suffixes travel with their bytes, 100 to the right and up to 60 to the left, to ranges
+   between sampled splitters of their leading five tokens (8 bytes each). Suffixes that agree in those meet in one range, so
+   none that can match lie on two sides of a border.
+3. *Buckets.* A range sorts its suffixes by multikey quicksort, token by token over ties, and the bytes before the anchors
+   in the same way, and takes the common prefixes of neighbours. The string that starts d bytes before an anchor equals
+   another one if their suffixes share 100 - d bytes and the bytes before them share d: both are intervals of the sorted
+   arrays. All but the earliest of equal strings are doomed. All of this compares bytes.
+4. *Cutting.* Each document gets its doomed strings back; their union is cut.
+
+Hot anchors, of which one task has seen over ``LOCAL`` different surroundings or the corpus more than ``hot``, would fill a range.
+Their strings are dealt out one by one to ranges of (leading token, hash of all 100 bytes) and compared by 128 bits of hash.
+Every task first drops what repeats inside it, byte for byte, keeping the earliest, so a passage that a third of all
+documents share reaches a range once a task. Exchanges carry packed arrays, a row for each task and range, and tasks are as
+many as keep each to a bounded number of bytes.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
-import time
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stored, mix64, shuffle_partitions, table
 
-WIDTH, GRAM, LOCAL, CHUNK, PART_BYTES, SAMPLE_DOCS, SAMPLE_EACH = 100, 40, 64, 1 << 20, 16 << 20, 2000, 32
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_MASK = (1 << 64) - 1
-SAFE, DOOMED, MIXED, MARKER = 0, 1, 2, 3
+WIDTH, GRAM, LOCAL, HOT, FLUSH, PART_BYTES, SAMPLE_DOCS, SAMPLE_EACH = 100, 40, 64, 20_000, 1 << 20, 16 << 20, 2000, 32
+CHUNK = (1 << 20) - 128  # places inside a chunk fit 20 bits
+_BASE, _BASE_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+RUN, DOOMED, COLD, HOT_RUN, MARKER = range(5)
 
 
 class Rolling:
     """Polynomial hashes of all substrings of one length, built by doubling."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, base: np.uint64 = _BASE):
         self.levels = {1: data.astype(np.uint64) + np.uint64(1)}
+        self.base = base
 
     def _power(self, n: int) -> np.uint64:
-        return np.uint64(pow(int(_BASE), n, 1 << 64))
+        return np.uint64(pow(int(self.base), n, 1 << 64))
 
     def _level(self, n: int) -> np.ndarray:
         if n not in self.levels:
@@ -77,29 +82,17 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(least hash, hash of the covered bytes, first start, suffixes, holds its least hash twice) of the runs in one text."""
+    """(anchor's hash, hash of the covered bytes, first start, anchor less start, strings) of the strings that share an anchor."""
     rolling = Rolling(data)
     grams = rolling.of(gram)
-    span = width - gram + 1
-    least = sliding_min(grams, span)
+    place = np.uint64((1 << 20) - 1)
+    best = sliding_min(grams & ~place | np.arange(len(grams), dtype=np.uint64), width - gram + 1)
+    anchor = (best & place).astype(np.int64)
+    fresh = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    lengths = np.diff(np.append(fresh, len(anchor)))
     whole = rolling.of(width)
-    fresh = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    # periodic text can keep one least hash for long: cut runs so that the first and last suffix cover all bytes
-    lengths = np.diff(np.append(fresh, len(least)))
-    most = min(width, 64)
-    pieces = -(-lengths // most)
-    if pieces.max() > 1:
-        start = np.repeat(fresh, pieces) + (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * most
-        lengths = np.minimum(most, np.repeat(fresh + lengths, pieces) - start)
-        fresh = start
     covered = mix64(whole[fresh] * np.uint64(3) + mix64(whole[fresh + lengths - 1] + np.uint64(0xA0761D6478BD642F) * lengths.astype(np.uint64)))
-    # only a run that holds its least hash at two places can have equal suffixes inside
-    edge = np.zeros(span - 1, np.uint64)
-    chosen = np.flatnonzero(grams == ~sliding_min(~np.concatenate([edge, least, edge]), span))
-    low, high = np.searchsorted(chosen, fresh), np.searchsorted(chosen, fresh + lengths + span - 2, "right")
-    held = np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low) + np.arange((high - low).sum())
-    twice = np.bincount(np.repeat(np.arange(len(fresh)), high - low), weights=grams[chosen[held]] == np.repeat(least[fresh], high - low), minlength=len(fresh)) > 1
-    return least[fresh], covered, fresh, lengths, twice
+    return grams[anchor[fresh]], covered, fresh, anchor[fresh] - fresh, lengths
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -116,11 +109,31 @@ def unpack(blobs: list[bytes], *kinds) -> list[np.ndarray]:
     return [np.concatenate(p) if p else np.zeros(0, k) for p, k in zip(parts, kinds, strict=True)]
 
 
-def multikey_order(*tokens: np.ndarray) -> np.ndarray:
-    """The order of rows by the first token, ties by the second and so on; each step sorts only what is still tied."""
-    order = np.argsort(tokens[0], kind="stable")
-    tied = np.zeros(len(order), bool)
+def squeeze(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, byte by byte (all first bytes, all second ones and so on), compressed."""
+    n = len(arrays[0])
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(n, -1).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.int64(n).tobytes(), *planes]))
+
+
+def unsqueeze(blobs: list[bytes], *kinds) -> list[np.ndarray]:
+    parts: list[list[np.ndarray]] = [[np.zeros(0, k)] for k in kinds]
+    for blob in blobs:
+        raw = zstandard.ZstdDecompressor().decompress(blob)
+        n, at = int(np.frombuffer(raw, np.int64, 1)[0]), 8
+        for into, kind in zip(parts, kinds, strict=True):
+            wide = np.dtype(kind).itemsize
+            into.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * wide, at).reshape(wide, n).T).view(kind).ravel())
+            at += n * wide
+    return [np.concatenate(p) for p in parts]
+
+
+def multikey_quicksort(*tokens: np.ndarray) -> np.ndarray:
+    """The order of rows by their first token, ties by the second and so on: a quicksort by one token, after which only
+    the runs that are still tied go on to the next."""
+    order = np.argsort(tokens[0])
     same = tokens[0][order][1:] == tokens[0][order][:-1]
+    tied = np.zeros(len(order), bool)
     for token in tokens[1:]:
         if not same.any():
             break
@@ -128,14 +141,33 @@ def multikey_order(*tokens: np.ndarray) -> np.ndarray:
         tied[1:] |= same
         tied[:-1] |= same
         at = np.flatnonzero(tied)
-        group = np.cumsum(np.concatenate([[True], ~same]))[at]
+        run = np.cumsum(np.concatenate([[True], ~same]))[at]
         rows = order[at]
-        order[at] = rows[np.lexsort((token[rows], group))]
+        by = np.argsort(token[rows])
+        order[at] = rows[by[np.argsort(run[by], kind="stable")]]
         moved = token[order]
         same = same & (moved[1:] == moved[:-1])
     return order
 
 
+def shared_prefix(tokens: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Common leading bytes of each row with the one before it in the order; 0 for the first."""
+    out = np.zeros(len(order), np.int64)
+    if len(order) < 2:
+        return out
+    at = np.arange(1, len(order))
+    for token in tokens:
+        x = token[order[at]] ^ token[order[at - 1]]
+        bytes_ = np.zeros(len(at), np.int64)
+        for k in range(8):
+            bytes_ += x < np.uint64(1 << 8 * k) if k else x == 0
+        out[at] += bytes_
+        at = at[bytes_ == 8]
+        if not len(at):
+            break
+    return out
+
+
 def _once(order: np.ndarray, *columns: np.ndarray) -> np.ndarray:
     """Sorted rows without repeats: a repeated document is no earlier occurrence of itself."""
     fresh = np.zeros(len(order), bool)
@@ -149,27 +181,22 @@ def _bytes(text) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-_LOW, _M_LOW, _M_HIGH = (1 << 30) - 1, 2654435761, 1000003
-
-
 def _home(doc: np.ndarray, seq: np.ndarray, parts: int) -> np.ndarray:
-    """The group of documents that a document belongs to; ``_home_column`` is the same function for Spark."""
-    high = (doc.view(np.uint64) >> np.uint64(30)).astype(np.int64)
-    return (((doc & _LOW) * _M_LOW ^ high * _M_HIGH ^ seq) >> 11) % parts
+    """The group of documents that a document belongs to."""
+    return (mix64(doc.astype(np.int64).view(np.uint64) ^ mix64(seq.astype(np.int64).view(np.uint64))) % np.uint64(parts)).astype(np.int64)
 
 
-def _home_column(doc: str, seq: str, parts: int):
-    return F.expr(f"CAST(pmod(shiftright(({doc} & {_LOW}L) * {_M_LOW}L ^ shiftrightunsigned({doc}, 30) * {_M_HIGH}L ^ {seq}, 11), {parts}L) AS INT)")
+def _groups(key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(key, kind="stable")
+    ordered = key[order]
+    edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(key) else []
+    for a, b in zip(edges, [*edges[1:], len(key)] if len(key) else [], strict=True):
+        yield int(ordered[a]), order[a:b]
 
 
 def _blobs(key: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    if not len(key):
-        return
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
-    edges = np.flatnonzero(np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]]))
-    for a, b in zip(edges, [*edges[1:], len(key)], strict=True):
-        yield int(sorted_key[a]), pack(*(x[order[a:b]] for x in arrays))
+    for k, rows in _groups(key):
+        yield k, pack(*(x[rows] for x in arrays))
 
 
 def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -178,97 +205,164 @@ def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 PACKED = "part int, kind int, blob binary"
-RUN = (np.uint64, np.uint64, np.int64, np.int64, np.int64)  # least, covered, doc, seq, start << 7 | suffixes
-SPAN = (np.int64, np.int64, np.int64)  # doc, seq, start << 7 | suffixes
-
-
-def _scan(width: int, gram: int, ranges: int, homes: int):
-    def settle(found: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
-        least, covered, doc, seq, at, twice = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = _once(multikey_order(least, covered, doc, seq, at), least, covered, doc, seq, at)
-        least, covered, doc, seq, at, twice = (x[order] for x in (least, covered, doc, seq, at, twice))
-        new_least = np.concatenate([[True], least[1:] != least[:-1]])
-        first = new_least | np.concatenate([[True], covered[1:] != covered[:-1]])
-        group = np.cumsum(new_least) - 1
-        wide = (np.bincount(group, weights=first)[group] > LOCAL) | (np.bincount(group, weights=twice)[group] > 0)
-        kind = np.where(~first, DOOMED, np.where(wide, MIXED, SAFE))
-        for k in (DOOMED, MIXED):
-            if (rows := kind == k).any():
-                for part, blob in _blobs(_home(doc[rows], seq[rows], homes), doc[rows], seq[rows], at[rows]):
-                    yield part % ranges, k | part << 2, blob
-        to = (mix64(least) % np.uint64(ranges)).astype(np.int64)
-        for k, rows in ((SAFE, kind == SAFE), (MARKER, wide & new_least)):
-            for part, blob in _blobs(to[rows], *(x[rows] for x in (least, covered, doc, seq, at))):
-                yield part, k, blob
+RUNS = (np.uint64, np.int64, np.int64, np.int64)  # short hash of the anchor, doc, seq, place
+SPAN = (np.int64, np.int64, np.int64)  # doc, seq, place: start << 14 | anchor less start << 7 | strings
+
+
+def _spans(kind: int, homes: int, parts: int, doc: np.ndarray, seq: np.ndarray, at: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """Places sent to the home of their document; the home travels in the kind."""
+    order = np.lexsort((at, seq, doc))
+    doc, seq, at = doc[order], seq[order], at[order]
+    return [(home % parts, kind | home << 3, squeeze(doc[rows], seq[rows], at[rows])) for home, rows in _groups(_home(doc, seq, homes))]
+
+
+def _scan(width: int, gram: int, bits: int, parts: int, homes: int):
+    """Runs of each task, equal ones but the earliest doomed byte for byte, the others' short hashes dealt to be counted."""
+
+    def settle(found: list[tuple], texts: list[bytes]) -> list[tuple[int, int, bytes]]:
+        anchor, covered, doc, seq, at, text, start = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = _once(np.lexsort((at, seq, doc, covered, anchor)), anchor, covered, doc, seq, at)
+        anchor, covered, doc, seq, at, text, start = (x[order] for x in (anchor, covered, doc, seq, at, text, start))
+        new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+        first = new | np.concatenate([[True], covered[1:] != covered[:-1]]) | np.concatenate([[True], (at[1:] ^ at[:-1]) & 0x3FFF != 0])
+        lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+        size = (at & 127) + (width - 1)
+        for i in np.flatnonzero(~first).tolist():
+            j = lead[i]
+            if texts[text[i]][start[i] : start[i] + size[i]] != texts[text[j]][start[j] : start[j] + size[j]]:
+                first[i] = True
+        group = np.cumsum(new) - 1
+        wide = np.bincount(group, weights=first)[group] > LOCAL
+        rows = _spans(DOOMED, homes, parts, doc[~first], seq[~first], at[~first])
+        rows += _spans(HOT_RUN, homes, parts, *(x[first & wide] for x in (doc, seq, at)))
+        short = anchor >> np.uint64(64 - bits)
+        span = np.uint64(-(-(1 << bits) // parts))
+        to = (short // span).astype(np.int64)
+        some = np.flatnonzero(wide & new)
+        rows += [(p, MARKER, squeeze(short[some[x]])) for p, x in _groups(to[some])]
+        some = np.flatnonzero(first & ~wide)
+        some = some[np.lexsort((at[some], seq[some], doc[some]))]
+        return rows + [(p, RUN, squeeze(short[some[x]], doc[some[x]], seq[some[x]], at[some[x]])) for p, x in _groups(to[some])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size = [], 0
+        found, texts, size = [], [], 0
         for batch in batches:
             for doc, seq, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                data = np.frombuffer(_bytes(text), np.uint8)
+                data = _bytes(text)
                 for i in range(0, len(data) - width + 1, CHUNK):
-                    least, covered, start, lengths, twice = runs_of(data[i : i + CHUNK + width - 1], width, gram)
-                    found.append((least, covered, np.full(len(start), doc, np.int64), np.full(len(start), seq, np.int64), (start + i) << 7 | lengths, twice))
+                    piece = data[i : i + CHUNK + width - 1]
+                    anchor, covered, start, off, n = runs_of(np.frombuffer(piece, np.uint8), width, gram)
+                    found.append((anchor, covered, np.full(len(start), doc, np.int64), np.full(len(start), seq, np.int64), (start + i) << 14 | off << 7 | n, np.full(len(start), len(texts), np.int64), start))
+                    texts.append(piece)
                     size += len(start)
-                    if size > CHUNK:
-                        yield _rows(list(settle(found)))
-                        found, size = [], 0
+                    if size > FLUSH:
+                        yield _rows(settle(found, texts))
+                        found, texts, size = [], [], 0
         if found:
-            yield _rows(list(settle(found)))
+            yield _rows(settle(found, texts))
 
     return run
 
 
-def _judge(homes: int):
-    """Whole ranges of runs: which are doomed, which are mixed. Rows that are settled already pass through."""
+def _count(hot: int, parts: int, homes: int):
+    """Whole ranges of short hashes: runs whose hash occurs once are safe and end here, the others go home as cold or hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, markers = [], []
         for batch in batches:
             through = []
-            for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if kind & 3 in (DOOMED, MIXED):
-                    through.append((kind >> 2, kind & 3, blob))
-                else:
+            for part, kind, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if kind & 7 in (RUN, MARKER):
                     (markers if kind == MARKER else runs).append(blob)
-            if through:
-                yield _rows(through)
-        least, covered, doc, seq, at = unpack(runs, *RUN)
-        if not len(least):
-            return
-        order = _once(multikey_order(least, covered, doc, seq, at), least, covered, doc, seq, at)
-        least, covered, doc, seq, at = (x[order] for x in (least, covered, doc, seq, at))
-        new_least = np.concatenate([[True], least[1:] != least[:-1]])
-        first = new_least | np.concatenate([[True], covered[1:] != covered[:-1]])
-        group = np.cumsum(new_least) - 1
-        mixed = (np.bincount(group, weights=first)[group] > 1) | np.isin(least, unpack(markers, *RUN)[0])
-        kind = np.where(~first, DOOMED, np.where(mixed, MIXED, SAFE))
-        for k in (DOOMED, MIXED):
-            if (rows := kind == k).any():
-                yield _rows([(part, k, blob) for part, blob in _blobs(_home(doc[rows], seq[rows], homes), doc[rows], seq[rows], at[rows])])
+                else:
+                    through.append((part, kind, blob))
+            yield _rows(through)
+        short, doc, seq, at = unsqueeze(runs, *RUNS)
+        runs.clear()
+        if len(short):
+            order = np.argsort(short, kind="stable")
+            edges = np.flatnonzero(np.concatenate([[True], short[order][1:] != short[order][:-1]]))
+            count = np.empty(len(short), np.int64)
+            size = np.diff(np.append(edges, len(short)))
+            count[order] = np.repeat(size, size)
+            marked = np.isin(short, unsqueeze(markers, np.uint64)[0])
+            for kind, rows in ((HOT_RUN, marked | (count > hot)), (COLD, ~marked & (count > 1) & (count <= hot))):
+                yield _rows(_spans(kind, homes, parts, doc[rows], seq[rows], at[rows]))
+
+    return run
+
+
+def _ship(homes: int):
+    """Texts packed for their homes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def send() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            rows = []
+            for home, at in _groups(_home(t.column("doc").to_numpy(), t.column("seq").to_numpy(), homes)):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, t.schema) as out:
+                    out.write_table(t.take(pa.array(at)))
+                rows.append((home, RUN, zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes())))
+            return _rows(rows)
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, 4096):
+                held.append(batch.slice(i, 4096))
+                size += held[-1].nbytes
+                if size > 32 << 20:
+                    yield send()
+                    held, size = [], 0
+        if size:
+            yield send()
 
     return run
 
 
+def _texts(t: pa.Table) -> Iterator[tuple[int | None, int, int, bytes]]:
+    for blob in t.column("blob"):
+        got = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob.as_py())).read_all()
+        for row in zip(*(got.column(c).to_pylist() for c in ("doc_id", "doc", "seq")), got.column("text"), strict=True):
+            yield *row[:3], _bytes(row[3].as_py())
+
+
+def _by_document(t: pa.Table, kind: int) -> tuple[dict[tuple[int, int], np.ndarray], np.ndarray]:
+    """The rows of each document among the places of one kind, and the places."""
+    kinds = t.column("kind").to_numpy() & 7
+    blobs = t.column("blob")
+    doc, seq, at = unsqueeze([blobs[int(i)].as_py() for i in np.flatnonzero(kinds == kind)], *SPAN)
+    order = np.lexsort((at, seq, doc))
+    doc, seq, at = doc[order], seq[order], at[order]
+    edges = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (seq[1:] != seq[:-1])])) if len(doc) else []
+    return {(int(doc[a]), int(seq[a])): np.arange(a, b) for a, b in zip(edges, [*edges[1:], len(doc)] if len(doc) else [], strict=True)}, at
+
+
 def _lead(data: np.ndarray) -> np.ndarray:
-    """The first 8 bytes of every suffix as one big-endian word."""
+    """The 8 bytes from every place on as one big-endian word; the data must reach 7 bytes further."""
     x = data.astype(np.uint64)
     x = x[:-1] << np.uint64(8) | x[1:]
     x = x[:-2] << np.uint64(16) | x[2:]
     return x[:-4] << np.uint64(32) | x[4:]
 
 
-def _sampler(width: int):
+def _sampler(width: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lead, key = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+            grams, lead, key = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for text in batch.column(0).to_pylist():
-                data = np.frombuffer(_bytes(text), np.uint8)[:CHUNK]
+                raw = _bytes(text)[:CHUNK]
+                data = np.frombuffer(raw, np.uint8)
                 if len(data) >= width:
-                    at = np.random.default_rng(len(data)).integers(0, len(data) - width + 1, SAMPLE_EACH)
+                    random = np.random.default_rng(len(data))
+                    at = random.integers(0, len(data) - width + 1, SAMPLE_EACH)
                     lead.append(_lead(data)[at])
                     key.append(Rolling(data).of(width)[at])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (lead, key)], names=["lead", "key"])
+                    start, off = runs_of(data, width, gram)[2:4]
+                    anchors = (start + off)[random.integers(0, len(start), SAMPLE_EACH)]
+                    grams += [raw[i : i + gram] for i in anchors.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.binary()), *(pa.array(np.concatenate(x).view(np.int64)) for x in (lead, key))], names=["gram", "lead", "key"])
 
     return run
 
@@ -282,147 +376,188 @@ def range_of(lead: np.ndarray, key: np.ndarray, cut_lead: np.ndarray, cut_key: n
     return low
 
 
-def _spans(tables: pa.Table, kinds: tuple[int, ...]) -> list[np.ndarray]:
-    kind = tables.column("kind").to_numpy()
-    blobs = tables.column("blob")
-    return unpack([blobs[i].as_py() for i in np.flatnonzero(np.isin(kind, kinds))], *SPAN)
-
-
-def _in_home(docs: pa.Table, doc: np.ndarray, seq: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each row of ``docs`` and the places of its entries."""
-    order = np.lexsort((seq, doc))
-    pairs = {}
-    d, s = doc[order], seq[order]
-    edges = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] != s[:-1])])) if len(d) else []
-    for a, b in zip(edges, [*edges[1:], len(d)] if len(d) else [], strict=True):
-        pairs[int(d[a]), int(s[a])] = order[a:b]
-    none = np.zeros(0, np.int64)
-    for i, key in enumerate(zip(docs.column("doc").to_pylist(), docs.column("seq").to_pylist(), strict=True)):
-        yield i, pairs.get(key, none)
-
-
 def _expand(at: np.ndarray) -> np.ndarray:
-    start, n = at >> 7, at & 127
+    start, n = at >> 14, at & 127
     return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
-def _suffixes(width: int, cut_lead: np.ndarray, cut_key: np.ndarray, spread: int):
-    """The suffixes of mixed runs, repeats inside the group settled here, the others dealt to their ranges."""
+RECORD = (np.int64, np.int64, np.int64, np.int64)  # home, doc, seq, place
+
+
+def _suffixes(width: int, gram: int, grams: list[bytes], cut_lead: np.ndarray, cut_key: np.ndarray, ranges: int, homes: int):
+    """Of the runs that go on: cold ones with their bytes to the range of their anchor, the strings of hot ones to theirs."""
+    splitters = np.array(grams, f"S{gram}")
+
+    def cold(home: int, got: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, bytes]]:
+        got.sort(key=lambda x: x[:3])
+        seen: dict[tuple[int, bytes], int] = {}
+        again = np.array([seen.setdefault((x[2] & 0x3FFF, x[3]), i) != i for i, x in enumerate(got)], bool)
+        doc, seq, at = (np.array([x[i] for x in got], np.int64) for i in range(3))
+        rows = _spans(DOOMED, homes, ranges, doc[again], seq[again], at[again])
+        left = np.flatnonzero(~again)
+        off = (at >> 7) & 127
+        key = np.array([got[i][3][off[i] : off[i] + gram] for i in left], f"S{gram}")
+        for part, x in _groups(np.searchsorted(splitters, key, "right")):
+            mine = left[x]
+            body = b"".join(got[i][3] for i in mine)
+            where = squeeze(np.full(len(mine), home, np.int64), doc[mine], seq[mine], at[mine])
+            rows.append((part, COLD, np.int64(len(where)).tobytes() + where + zstandard.ZstdCompressor(level=1).compress(body)))
+        return rows
+
+    def warm(home: int, got: list[tuple[np.ndarray, ...]]) -> list[tuple[int, int, bytes]]:
+        one, two, lead, doc, seq, start = (np.concatenate(x) for x in zip(*got, strict=True))
+        order = np.lexsort((start, seq, doc, two, one))
+        first = np.ones(len(order), bool)
+        first[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+        again, once = order[~first], np.sort(order[first])
+        rows = _spans(DOOMED, homes, ranges, doc[again], seq[again], start[again] << 14 | 1)
+        for part, x in _groups(range_of(lead[once], one[once], cut_lead, cut_key)):
+            x = once[x]
+            rows.append((part, HOT_RUN, squeeze(one[x], two[x], np.full(len(x), home, np.int64), doc[x], seq[x], start[x])))
+        return rows
 
     def run(key, docs: pa.Table, flags: pa.Table) -> pa.Table:
+        if not docs.num_rows or not flags.num_rows:
+            return pa.Table.from_batches([_rows([])])
         home = key[0].as_py()
-        doc, seq, at = _spans(flags, (MIXED,)) if flags.num_rows else unpack([], *SPAN)
-        got = []
-        seen = set()
-        for i, rows in _in_home(docs, doc, seq) if len(doc) else ():
-            if not len(rows) or (int(doc[rows[0]]), int(seq[rows[0]])) in seen:
+        (cold_of, cold_at), (hot_of, hot_at) = _by_document(flags, COLD), _by_document(flags, HOT_RUN)
+        runs, strings, seen = [], [], set()
+        for _, doc, seq, data in _texts(docs):
+            if (doc, seq) in seen:
                 continue  # a repeated row is the same document
-            seen.add((int(doc[rows[0]]), int(seq[rows[0]])))
-            data = np.frombuffer(_bytes(docs.column("text")[i].as_py()), np.uint8)
-            wanted = np.unique(_expand(at[rows]))
-            for a in range(0, len(data), CHUNK):
-                here = wanted[(wanted >= a) & (wanted < a + CHUNK)]
-                if len(here):
-                    piece = data[a : a + CHUNK + width - 1]
-                    got.append((Rolling(piece).of(width)[here - a], _lead(piece)[here - a], np.full(len(here), doc[rows[0]], np.int64), np.full(len(here), seq[rows[0]], np.int64), here))
-        out = []
-        if got:
-            hashed, lead, doc, seq, start = (np.concatenate(x) for x in zip(*got, strict=True))
-            order = multikey_order(hashed, doc, seq, start)
-            first = np.ones(len(order), bool)
-            first[1:] = hashed[order][1:] != hashed[order][:-1]
-            again, once = order[~first], np.sort(order[first])
-            if len(again):
-                out.append((home % spread, DOOMED | home << 2, pack(doc[again], seq[again], start[again] << 7 | 1)))
-            to = range_of(lead[once], hashed[once], cut_lead, cut_key)
-            # documents by their place in a short list: two small words a suffix beside its hash
-            pairs, place = np.unique(np.stack([doc[once], seq[once]], 1), axis=0, return_inverse=True)
-            place = place.ravel()
-            for part, blob in _blobs(to, hashed[once], place.astype(np.uint32), start[once]):
-                used = np.frombuffer(blob, np.uint32, int(np.frombuffer(blob, np.int64, 1)[0]), 8 + 8 * int(np.frombuffer(blob, np.int64, 1)[0]))
-                ids, back = np.unique(used, return_inverse=True)
-                rows = to == part
-                head = pack(pairs[ids, 0], pairs[ids, 1])
-                steps = start[once][rows]
-                out.append((part, home << 2, np.int64(len(head)).tobytes() + head + pack(hashed[once][rows], back.astype(np.uint16) if len(ids) < 65536 else back.astype(np.uint32), steps.astype(np.uint32) if steps.max() < 1 << 32 else steps)))
-        return pa.Table.from_batches([_rows(out)])
+            seen.add((doc, seq))
+            for at in np.unique(cold_at[cold_of.get((doc, seq), [])]).tolist():
+                start = at >> 14
+                runs.append((doc, seq, at, data[start : start + (at & 127) + width - 1]))
+            if (doc, seq) in hot_of:
+                wanted = np.unique(_expand(hot_at[hot_of[doc, seq]]))
+                for a in range(0, len(data), CHUNK):
+                    here = wanted[(wanted >= a) & (wanted < a + CHUNK)]
+                    if len(here):
+                        piece = np.frombuffer(data, np.uint8)[a : a + CHUNK + width - 1]
+                        strings.append((Rolling(piece).of(width)[here - a], Rolling(piece, _BASE_2).of(width)[here - a], _lead(piece)[here - a], np.full(len(here), doc, np.int64), np.full(len(here), seq, np.int64), here))
+        return pa.Table.from_batches([_rows((cold(home, runs) if runs else []) + (warm(home, strings) if strings else []))])
 
     return run
 
 
-def _open(blob: bytes) -> tuple[np.ndarray, ...]:
-    size = int(np.frombuffer(blob, np.int64, 1)[0])
-    docs, seqs = unpack([blob[8 : 8 + size]], np.int64, np.int64)
-    body = blob[8 + size :]
-    n = int(np.frombuffer(body, np.int64, 1)[0])
-    wide = np.uint16 if len(docs) < 65536 else np.uint32
-    step = np.uint32 if len(body) == 8 + n * (8 + np.dtype(wide).itemsize + 4) else np.int64
-    hashed, place, start = unpack([body], np.uint64, wide, step)
-    return hashed, docs[place], seqs[place], start.astype(np.int64)
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One or more whole ranges of suffixes: all but the earliest of equal ones are doomed."""
-    got, homes, through = [], [], []
-    for batch in batches:
-        for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            if kind & 3 == DOOMED:
-                through.append((kind >> 2, DOOMED, blob))
-            else:
-                got.append(_open(blob))
-                homes.append(np.full(len(got[-1][0]), kind >> 2, np.int64))
-        if through:
-            yield _rows(through)
+def repeats(doc: np.ndarray, seq: np.ndarray, at: np.ndarray, body: bytes, width: int, gram: int) -> np.ndarray:
+    """For each run a row of marks, one for each distance d of a string's start from the anchor: an equal string starts earlier.
+
+    ``body`` holds the bytes of all runs, one after the other.
+    """
+    off, n = (at >> 7) & 127, at & 127
+    size = n + (width - 1)
+    end = np.cumsum(size)
+    reach = width - gram
+    pad = np.zeros(width + 8, np.uint8)
+    data = np.concatenate([pad, np.frombuffer(body, np.uint8), pad])
+    anchor = end - size + off + len(pad)
+    right_size = size - off
+    words = _lead(data)
+    back = _lead(data[::-1])
+
+    def tokens(word: np.ndarray, first: np.ndarray, have: np.ndarray, most: int) -> list[np.ndarray]:
+        """Strings from ``first`` on, cut to ``have`` and ``most`` bytes and filled with zeros."""
+        out = []
+        for k in range(0, most, 8):
+            keep = np.clip(np.minimum(have, most) - k, 0, 8).astype(np.uint64)
+            token = word[np.minimum(first + k, len(word) - 1)]
+            out.append(np.where(keep == 0, np.uint64(0), token & ~np.uint64(0) << (np.uint64(64) - np.uint64(8) * np.maximum(keep, np.uint64(1)))))
+        return out
+
+    right = tokens(words, anchor, right_size, width)
+    left = tokens(back, len(data) - anchor, off, reach)
+    by_right, by_left = multikey_quicksort(*right), multikey_quicksort(*left)
+    prefix, suffix = shared_prefix(right, by_right), shared_prefix(left, by_left)
+    age = np.lexsort((at, seq, doc))
+    low, high = off - n + 1, off
+    gone = np.zeros((len(at), reach + 1), bool)
+    right_class, left_class = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    for d in range(reach + 1):
+        right_class[by_right] = np.cumsum(prefix < width - d)
+        left_class[by_left] = np.cumsum(suffix < d)
+        here = age[(low[age] <= d) & (high[age] >= d)]
+        key = right_class[here] * (len(at) + 1) + left_class[here]
+        order = np.argsort(key, kind="stable")
+        again = np.concatenate([[False], key[order][1:] == key[order][:-1]]) if len(key) else np.zeros(0, bool)
+        gone[here[order[again]], d] = True
+    return gone
+
+
+def _sort(width: int, gram: int, homes: int, parts: int):
+    """Whole ranges: cold suffixes by their bytes, hot strings by both hashes; what repeats goes home as doomed."""
+
+    def cold(blobs: list[bytes]) -> list[tuple[int, int, bytes]]:
+        heads, bodies = [], []
+        for blob in blobs:
+            size = int(np.frombuffer(blob, np.int64, 1)[0])
+            heads.append(blob[8 : 8 + size])
+            bodies.append(zstandard.ZstdDecompressor().decompress(blob[8 + size :]))
+        blobs.clear()
+        home, doc, seq, at = unsqueeze(heads, *RECORD)
+        gone = repeats(doc, seq, at, b"".join(bodies), width, gram)
+        # runs of doomed strings: distances fall as starts rise
+        marks = np.zeros((len(at), gone.shape[1] + 2), np.int8)
+        marks[:, 1:-1] = gone[:, ::-1]
+        step = np.diff(marks, axis=1)
+        (row, first), last = np.nonzero(step == 1), np.nonzero(step == -1)[1]
+        start = (at >> 14)[row] + ((at >> 7) & 127)[row] - (gone.shape[1] - 1) + first
+        return _spans(DOOMED, homes, parts, doc[row], seq[row], start << 14 | (last - first))
+
+    def warm(blobs: list[bytes]) -> list[tuple[int, int, bytes]]:
+        one, two, home, doc, seq, start = unsqueeze(blobs, np.uint64, np.uint64, *RECORD)
+        blobs.clear()
+        order = np.lexsort((start, seq, doc, two, one))
+        again = order[1:][(one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])]
+        return _spans(DOOMED, homes, parts, doc[again], seq[again], start[again] << 14 | 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs: dict[int, list[bytes]] = {COLD: [], HOT_RUN: []}
+        for batch in batches:
             through = []
-    if got:
-        hashed, doc, seq, start = (np.concatenate(x) for x in zip(*got, strict=True))
-        home = np.concatenate(homes)
-        order = multikey_order(hashed, doc, seq, start)
-        again = order[1:][hashed[order][1:] == hashed[order][:-1]]
-        if len(again):
-            again = again[np.lexsort((start[again], seq[again], doc[again]))]
-            yield _rows([(part, DOOMED, blob) for part, blob in _blobs(home[again], doc[again], seq[again], start[again] << 7 | 1)])
+            for part, kind, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if kind & 7 == DOOMED:
+                    through.append((part, kind, blob))
+                else:
+                    blobs[kind].append(blob)
+            yield _rows(through)
+        for kind, work in ((COLD, cold), (HOT_RUN, warm)):
+            if blobs[kind]:
+                yield _rows(work(blobs[kind]))
+
+    return run
 
 
 def _cut(width: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.list_(pa.int64()))])
 
     def run(key, docs: pa.Table, flags: pa.Table) -> pa.Table:
-        doc, seq, at = _spans(flags, (DOOMED,)) if flags.num_rows else unpack([], *SPAN)
+        of, at = _by_document(flags, DOOMED) if flags.num_rows else ({}, np.zeros(0, np.int64))
         rows = []
-        for i, mine in _in_home(docs, doc, seq):
-            data = _bytes(docs.column("text")[i].as_py())
+        for doc_id, doc, seq, data in _texts(docs) if docs.num_rows else ():
             removed, spans, kept = 0, np.zeros(0, np.int64), data
-            if len(mine):
-                start, n = at[mine] >> 7, at[mine] & 127
-                order = np.argsort(start)
-                start, end = start[order], np.maximum.accumulate((start + n - 1 + width)[order])
+            if (doc, seq) in of:
+                mine = at[of[doc, seq]]
+                start, end = mine >> 14, np.maximum.accumulate((mine >> 14) + (mine & 127) - 1 + width)
                 fresh = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
                 left, right = start[fresh], end[np.append(fresh[1:] - 1, len(end) - 1)]
                 spans = np.stack([left, right], 1).ravel()
                 removed = int((right - left).sum())
                 kept = b"".join(data[a:b] for a, b in zip([0, *right.tolist()], [*left.tolist(), len(data)], strict=True))
-            rows.append((docs.column("doc_id")[i].as_py(), len(data), removed, len(spans) // 2, hashlib.sha256(kept).hexdigest(), spans.tolist()))
+            rows.append((doc_id, len(data), removed, len(spans) // 2, hashlib.sha256(kept).hexdigest(), spans.tolist()))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [()] * 6, schema, strict=True)], schema=schema)
 
     return run
 
 
-def _tidy(spark) -> None:
-    """Shuffle files of finished steps go once nothing on the driver refers to them; the cleaner gets a moment for it."""
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, part_bytes: int = PART_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, part_bytes: int = PART_BYTES, hot: int = HOT) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans)``; ``spans`` lists start and end of each removed run.
 
     Earlier means a smaller id, or the same document and an earlier start. Null text: empty. Null id: before all others.
     Rows that share an id but not the text are ordered by a hash of the text; repeated rows are one document that is
     listed more than once, and each gets the same result. Texts under ``width`` bytes keep all. No rows give none.
-    Other columns are ignored, whatever their names.
+    Other columns are ignored, whatever their names. ``width`` is at most 127, and ``gram`` at most ``width``.
     """
     spark = docs.sparkSession
     raw = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -430,25 +565,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     unique = raw.groupBy("doc_id").count().where("count > 1").limit(1).count() == 0
     seq = F.lit(0).cast("long") if unique else F.xxhash64(F.coalesce("text", F.lit("")))
     rows = raw.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), seq.alias("seq"), "text")
-    wide = shuffle_partitions(spark)
-    homes = max(wide, -(-(size["bytes"] or 0) // part_bytes))
-    found = rows.select("doc", "seq", "text").mapInArrow(_scan(width, gram, homes, homes), PACKED)
-    flags = Stored(found.repartition(wide, "part").mapInArrow(_judge(homes), PACKED)).df
-    _tidy(spark)
-
-    share = min(1.0, SAMPLE_DOCS / max(1, size["n"]))
-    sample = rows.where(F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("text").mapInArrow(_sampler(width), "lead long, key long").collect()
-    lead, key = (np.array([r[i] for r in sample], np.int64).view(np.uint64) for i in (0, 1))
+    parts = max(shuffle_partitions(spark), -(-(size["bytes"] or 0) // part_bytes))
+    bits = min(63, max(32, int(size["bytes"] or 1).bit_length() + 4))
+    found = rows.select("doc", "seq", "text").mapInArrow(_scan(width, gram, bits, parts, parts), PACKED)
+    flags = Stored(found.repartition(parts, "part").mapInArrow(_count(hot, parts, parts), PACKED)).df
+
+    wanted = max(SAMPLE_DOCS, parts // 8)
+    share = min(1.0, wanted / max(1, size["n"]))
+    sample = rows.where(F.pmod(F.xxhash64("doc", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("text").mapInArrow(_sampler(width, gram), "gram binary, lead long, key long").collect()
+    lead, key = (np.array([r[i] for r in sample], np.int64).view(np.uint64) for i in (1, 2))
     order = np.lexsort((key, lead))
-    at = order[np.unique(np.linspace(0, len(order) - 1, homes + 1).astype(np.int64)[1:-1])] if len(order) else order
-    cut_lead, cut_key = lead[at], key[at]
-
-    placed = rows.withColumn("part", _home_column("doc", "seq", homes))
-    tests = placed.groupBy("part").cogroup(flags.where(F.col("kind") == MIXED).groupBy("part")).applyInArrow(_suffixes(width, cut_lead, cut_key, homes), PACKED)
-    doomed = Stored(tests.repartition(wide, "part").mapInArrow(_compare, PACKED)).df
-    _tidy(spark)
-    gone = flags.where(F.col("kind") == DOOMED).union(doomed)
-    return placed.groupBy("part").cogroup(gone.groupBy("part")).applyInArrow(_cut(width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
+    cuts = np.unique(np.linspace(0, len(order) - 1, parts + 1).astype(np.int64)[1:-1]) if len(order) else np.zeros(0, np.int64)
+    grams = sorted({bytes(r["gram"]) for r in sample})
+    grams = [grams[i] for i in np.unique(np.linspace(0, len(grams) - 1, parts + 1).astype(np.int64)[1:-1])] if grams else []
+
+    packed = rows.mapInArrow(_ship(parts), PACKED).groupBy("part")
+    by_home = F.shiftright("kind", 3).alias("part")
+    going = flags.where(F.col("kind").bitwiseAND(7) != DOOMED).select(by_home, "kind", "blob")
+    tests = packed.cogroup(going.groupBy("part")).applyInArrow(_suffixes(width, gram, grams, lead[order][cuts], key[order][cuts], parts, parts), PACKED)
+    doomed = Stored(tests.repartition(parts, "part").mapInArrow(_sort(width, gram, parts, parts), PACKED)).df
+    gone = flags.where(F.col("kind").bitwiseAND(7) == DOOMED).union(doomed).select(by_home, "kind", "blob")
+    return packed.cogroup(gone.groupBy("part")).applyInArrow(_cut(width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>")
 
 
 def op3(spark, sf_dir):

@@ -177,19 +177,55 @@ def brute_spans(texts, width):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_suffix_dedup(spark, seed, monkeypatch):
-    texts = corpus(seed) + ["ab" * 300, "ab" * 300 + "c" * 400, "d" + "ab" * 200]
-    got = suffix_dedup.repeated_spans(clashing(docs(spark, texts)), part_bytes=4000).orderBy("doc_id").collect()
+@pytest.mark.parametrize("seed,hot,local", [(1, 20_000, 64), (2, 3, 64), (3, 0, 64), (4, 20_000, 1)])
+def test_suffix_dedup(spark, seed, hot, local, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LOCAL", local)
+    texts = corpus(seed) + ["ab" * 300, "ab" * 300 + "c" * 400, "d" + "ab" * 200, "\0" * 250, "x" + "\0" * 150, "0" * 99 + "\0" * 130 + "1"]
+    got = suffix_dedup.repeated_spans(clashing(docs(spark, texts)), part_bytes=4000, hot=hot).orderBy("doc_id").collect()
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute_spans(texts, 100)
     for r in got:
         assert sum(b - a for a, b in zip(r["spans"][::2], r["spans"][1::2], strict=True)) == r["n_removed"]
 
 
-def test_suffix_dedup_long_chunks():
-    data = np.frombuffer(("".join(random.Random(5).choices("abc", k=3000)) * 2).encode(), np.uint8)
-    least, covered, start, length, twice = suffix_dedup.runs_of(data, 100, 40)
-    assert length.sum() == len(data) - 99 and (start[1:] == (start + length)[:-1]).all() and length.max() <= 64
+def test_suffix_dedup_very_long_text(spark):
+    """Texts of several chunks whose repeats cross the chunks' borders."""
+    r = random.Random(6)
+    part = "".join(r.choices("abcdefgh ", k=700_000))
+    texts = [part + "x" + part[:600_000], "y" + part[300_000:], "short"]
+    got = suffix_dedup.repeated_spans(docs(spark, texts)).orderBy("doc_id").collect()
+    assert [(x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got] == brute_spans(texts, 100)
+
+
+def test_suffix_runs():
+    """Runs cover every string once, and each holds its anchor."""
+    for data in ("".join(random.Random(5).choices("abc", k=3000)) * 2, "ab" * 400, "x" * 333):
+        raw = np.frombuffer(data.encode(), np.uint8)
+        _, _, start, off, n = suffix_dedup.runs_of(raw, 100, 40)
+        assert n.sum() == len(raw) - 99 and (start[1:] == (start + n)[:-1]).all() and (off <= 60).all() and (off >= n - 1).all()
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefgh", "a\0"])
+def test_suffix_buckets(alphabet):
+    """The bucket's marks against a plain search over all strings of its runs."""
+    r = random.Random(8)
+    base = "".join(r.choices(alphabet, k=400))
+    texts = [base[: r.randrange(150, 400)] + "".join(r.choices(alphabet, k=r.randrange(0, 150))) + base[r.randrange(0, 300) :] for _ in range(6)]
+    doc, at, body, plain = [], [], b"", {}
+    for i, t in enumerate(texts):
+        raw = t.encode()
+        for s, o, n in zip(*suffix_dedup.runs_of(np.frombuffer(raw, np.uint8), 100, 40)[2:], strict=True):
+            doc.append(i)
+            at.append(int(s) << 14 | int(o) << 7 | int(n))
+            body += raw[s : s + n + 99]
+            for k in range(n):
+                plain.setdefault(raw[s + k : s + k + 100], []).append((i, int(s + k)))
+    doc, at = np.array(doc), np.array(at)
+    shuffled = np.random.default_rng(0).permutation(len(at))
+    size = (at & 127) + 99
+    first = np.cumsum(size) - size
+    gone = suffix_dedup.repeats(doc[shuffled], np.zeros(len(at), np.int64), at[shuffled], b"".join(body[first[i] : first[i] + size[i]] for i in shuffled), 100, 40)
+    have = {(int(doc[shuffled[i]]), int(at[shuffled[i]] >> 14) + int(at[shuffled[i]] >> 7 & 127) - int(d)) for i, d in zip(*np.nonzero(gone), strict=True)}
+    assert have == {x for v in plain.values() for x in v if x != min(v)}
 
 
 def test_suffix_edges(spark):
@@ -204,11 +240,15 @@ def test_suffix_edges(spark):
     assert [r["n_removed"] for r in twice] == [0, 0, 0]  # a repeated row is one document
 
 
-def test_multikey_order():
+def test_multikey_quicksort():
     r = np.random.default_rng(0)
-    keys = [r.integers(0, 3, 500) for _ in range(4)]
-    got = suffix_dedup.multikey_order(*keys)
-    assert [tuple(k[i] for k in keys) for i in got] == sorted(zip(*keys, strict=True))
+    keys = [r.integers(0, 3, 500).astype(np.uint64) << np.uint64(56) for _ in range(4)]
+    order = suffix_dedup.multikey_quicksort(*keys)
+    rows = [tuple(int(k[i]) for k in keys) for i in order]
+    assert rows == sorted(rows)
+    flat = [b"".join(int(x).to_bytes(8, "big") for x in row) for row in rows]
+    want = [0, *(next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), 32) for a, b in itertools.pairwise(flat))]
+    assert suffix_dedup.shared_prefix(keys, order).tolist() == want
 
 
 # ---------------------------------------------------------------- 4
