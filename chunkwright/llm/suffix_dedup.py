@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 from .common import Stored, mix64, shuffle_partitions, table
 
-WIDTH, GRAM, LOCAL, HOT, FLUSH, PART_BYTES, SAMPLE_DOCS, SAMPLE_EACH = 100, 40, 64, 20_000, 1 << 20, 16 << 20, 2000, 32
-CHUNK = (1 << 20) - 128  # places inside a chunk fit 20 bits
+WIDTH, GRAM, LOCAL, HOT, FLUSH, PART_BYTES, SAMPLE_DOCS, SAMPLE_EACH = 100, 40, 64, 20_000, 24 << 20, 16 << 20, 2000, 32
+CHUNK = (1 << 16) - 128  # small enough for a core's cache; places inside a piece fit 20 bits
 _BASE, _BASE_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 RUN, DOOMED, COLD, HOT_RUN, MARKER = range(5)
 
@@ -58,7 +58,7 @@ class Rolling:
             self.levels[n] = half[: max(0, len(half) - n // 2)] * self._power(n // 2) + half[n // 2 :]
         return self.levels[n]
 
-    def of(self, length: int) -> np.ndarray:
+    def of(self, length: int, mixed: bool = True) -> np.ndarray:
         out, done = None, 0
         for bit in reversed(range(length.bit_length())):
             if length >> bit & 1:
@@ -69,7 +69,7 @@ class Rolling:
                     m = max(0, len(level) - done)
                     out = out[:m] * self._power(1 << bit) + level[done : done + m]
                 done += 1 << bit
-        return mix64(out)
+        return mix64(out) if mixed else out
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -81,20 +81,50 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[:n], m[width - span : width - span + n])
 
 
-def runs_of(data: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor's hash, hash of the covered bytes, first start, anchor less start, strings) of the strings that share an anchor."""
+def runs_of(data: np.ndarray, width: int, gram: int, ends: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor's hash, hash of the covered bytes, first start, anchor less start, strings) of the strings that share an anchor.
+
+    ``ends`` are the ends of the texts that ``data`` is made of; no string crosses one.
+    """
     rolling = Rolling(data)
     grams = rolling.of(gram)
     place = np.uint64((1 << 20) - 1)
     best = sliding_min(grams & ~place | np.arange(len(grams), dtype=np.uint64), width - gram + 1)
     anchor = (best & place).astype(np.int64)
-    fresh = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    lengths = np.diff(np.append(fresh, len(anchor)))
-    whole = rolling.of(width)
+    for e in (ends or [])[:-1]:
+        anchor[max(0, e - width + 1) : e] = -1
+    edges = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    lengths = np.diff(np.append(edges, len(anchor)))
+    inside = anchor[edges] >= 0
+    fresh, lengths = edges[inside], lengths[inside]
+    whole = rolling.of(width, mixed=False)
     covered = mix64(whole[fresh] * np.uint64(3) + mix64(whole[fresh + lengths - 1] + np.uint64(0xA0761D6478BD642F) * lengths.astype(np.uint64)))
     return grams[anchor[fresh]], covered, fresh, anchor[fresh] - fresh, lengths
 
 
+def pieces(texts: list[tuple[int, int, bytes]], width: int) -> Iterator[tuple[bytes, list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts put together to pieces of at most CHUNK strings, longer ones cut: the bytes, where each text's part ends, and of
+    each part the document, the sequence and what to add to a place in the piece."""
+    held, ends, who, size = [], [], [], 0
+
+    def close():
+        doc, seq, shift = (np.array(x, np.int64) for x in zip(*who, strict=True))
+        return b"".join(held), list(ends), doc, seq, shift
+
+    for doc, seq, data in texts:
+        for i in range(0, len(data) - width + 1, CHUNK):
+            part = data[i : i + CHUNK + width - 1]
+            if held and size + len(part) > CHUNK:
+                yield close()
+                held, ends, who, size = [], [], [], 0
+            who.append((doc, seq, i - size))
+            held.append(part)
+            size += len(part)
+            ends.append(size)
+    if held:
+        yield close()
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     return b"".join([np.int64(len(arrays[0])).tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
 
@@ -168,15 +198,6 @@ def shared_prefix(tokens: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     return out
 
 
-def _once(order: np.ndarray, *columns: np.ndarray) -> np.ndarray:
-    """Sorted rows without repeats: a repeated document is no earlier occurrence of itself."""
-    fresh = np.zeros(len(order), bool)
-    fresh[:1] = True
-    for c in columns:
-        fresh[1:] |= c[order][1:] != c[order][:-1]
-    return order[fresh]
-
-
 def _bytes(text) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
@@ -219,47 +240,58 @@ def _spans(kind: int, homes: int, parts: int, doc: np.ndarray, seq: np.ndarray,
 def _scan(width: int, gram: int, bits: int, parts: int, homes: int):
     """Runs of each task, equal ones but the earliest doomed byte for byte, the others' short hashes dealt to be counted."""
 
-    def settle(found: list[tuple], texts: list[bytes]) -> list[tuple[int, int, bytes]]:
-        anchor, covered, doc, seq, at, text, start = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = _once(np.lexsort((at, seq, doc, covered, anchor)), anchor, covered, doc, seq, at)
-        anchor, covered, doc, seq, at, text, start = (x[order] for x in (anchor, covered, doc, seq, at, text, start))
-        new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-        first = new | np.concatenate([[True], covered[1:] != covered[:-1]]) | np.concatenate([[True], (at[1:] ^ at[:-1]) & 0x3FFF != 0])
-        lead = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+    def settle(texts: list[tuple[int, int, bytes]]) -> list[tuple[int, int, bytes]]:
+        texts.sort(key=lambda x: x[:2])
+        texts = [x for i, x in enumerate(texts) if not i or x[:2] != texts[i - 1][:2]]  # a repeated row is the same document
+        found, bodies = [], []
+        for body, ends, docs, seqs, shift in pieces(texts, width):
+            anchor, covered, start, off, n = runs_of(np.frombuffer(body, np.uint8), width, gram, ends)
+            part = np.searchsorted(ends, start, "right")
+            found.append((anchor, covered, docs[part], seqs[part], (start + shift[part]) << 14 | off << 7 | n, np.full(len(start), len(bodies), np.int32), start.astype(np.int32)))
+            bodies.append(body)
+        if not found:
+            return []
+        anchor, covered, doc, seq, at, body, start = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
+        # runs are in the order of documents and starts: of equal ones the first is the earliest
+        same = mix64(anchor + covered * _BASE + (at & 0x3FFF).astype(np.uint64))
+        order = np.argsort(same, kind="stable")
+        again = np.zeros(len(order), bool)
+        again[order[1:]] = same[order][1:] == same[order][:-1]
+        lead = np.empty(len(order), np.int64)
+        lead[order] = order[np.maximum.accumulate(np.where(again[order], 0, np.arange(len(order))))]
         size = (at & 127) + (width - 1)
-        for i in np.flatnonzero(~first).tolist():
-            j = lead[i]
-            if texts[text[i]][start[i] : start[i] + size[i]] != texts[text[j]][start[j] : start[j] + size[j]]:
-                first[i] = True
-        group = np.cumsum(new) - 1
-        wide = np.bincount(group, weights=first)[group] > LOCAL
-        rows = _spans(DOOMED, homes, parts, doc[~first], seq[~first], at[~first])
-        rows += _spans(HOT_RUN, homes, parts, *(x[first & wide] for x in (doc, seq, at)))
+        for i in np.flatnonzero(again).tolist():
+            j, a, b, k = lead[i], start[i], start[lead[i]], size[i]
+            if bodies[body[i]][a : a + k] != bodies[body[j]][b : b + k]:
+                again[i] = False
+        first = ~again
+        _, group, count = np.unique(anchor[first], return_inverse=True, return_counts=True)
+        wide = np.zeros(len(order), bool)
+        wide[first] = count[group] > LOCAL
+        rows = _spans(DOOMED, homes, parts, doc[again], seq[again], at[again])
+        rows += _spans(HOT_RUN, homes, parts, *(x[wide] for x in (doc, seq, at)))
         short = anchor >> np.uint64(64 - bits)
         span = np.uint64(-(-(1 << bits) // parts))
-        to = (short // span).astype(np.int64)
-        some = np.flatnonzero(wide & new)
-        rows += [(p, MARKER, squeeze(short[some[x]])) for p, x in _groups(to[some])]
+        some = np.unique(short[wide])
+        rows += [(p, MARKER, squeeze(some[x])) for p, x in _groups((some // span).astype(np.int64))]
         some = np.flatnonzero(first & ~wide)
-        some = some[np.lexsort((at[some], seq[some], doc[some]))]
-        return rows + [(p, RUN, squeeze(short[some[x]], doc[some[x]], seq[some[x]], at[some[x]])) for p, x in _groups(to[some])]
+        short, doc, seq, at = short[some], doc[some], seq[some], at[some]
+        return rows + [(p, RUN, squeeze(short[x], doc[x], seq[x], at[x])) for p, x in _groups((short // span).astype(np.int64))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, texts, size = [], [], 0
+        held, size = [], 0
         for batch in batches:
-            for doc, seq, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                data = _bytes(text)
-                for i in range(0, len(data) - width + 1, CHUNK):
-                    piece = data[i : i + CHUNK + width - 1]
-                    anchor, covered, start, off, n = runs_of(np.frombuffer(piece, np.uint8), width, gram)
-                    found.append((anchor, covered, np.full(len(start), doc, np.int64), np.full(len(start), seq, np.int64), (start + i) << 14 | off << 7 | n, np.full(len(start), len(texts), np.int64), start))
-                    texts.append(piece)
-                    size += len(start)
-                    if size > FLUSH:
-                        yield _rows(settle(found, texts))
-                        found, texts, size = [], [], 0
-        if found:
-            yield _rows(settle(found, texts))
+            for doc, seq, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                data = _bytes(text.as_py())
+                if len(data) >= width:
+                    held.append((doc, seq, data))
+                    size += len(data)
+                if size > FLUSH:
+                    yield _rows(settle(held))
+                    held, size = [], 0
+        if held:
+            yield _rows(settle(held))
 
     return run
 
@@ -352,10 +384,12 @@ def _sampler(width: int, gram: int):
         for batch in batches:
             grams, lead, key = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for text in batch.column(0).to_pylist():
-                raw = _bytes(text)[:CHUNK]
-                data = np.frombuffer(raw, np.uint8)
-                if len(data) >= width:
-                    random = np.random.default_rng(len(data))
+                raw = _bytes(text)
+                if len(raw) >= width:
+                    random = np.random.default_rng(len(raw))
+                    first = int(random.integers(0, max(1, len(raw) - CHUNK)))
+                    raw = raw[first : first + CHUNK]
+                    data = np.frombuffer(raw, np.uint8)
                     at = random.integers(0, len(data) - width + 1, SAMPLE_EACH)
                     lead.append(_lead(data)[at])
                     key.append(Rolling(data).of(width)[at])
