@@ -271,7 +271,7 @@ def _scan(width: int, gram: int, bits: int, parts: int, homes: int):
         wide[first] = count[group] > LOCAL
         rows = _spans(DOOMED, homes, parts, doc[again], seq[again], at[again])
         rows += _spans(HOT_RUN, homes, parts, *(x[wide] for x in (doc, seq, at)))
-        short = anchor >> np.uint64(64 - bits)
+        short = mix64(anchor) >> np.uint64(64 - bits)  # anchors are least hashes and crowd at the low end
         span = np.uint64(-(-(1 << bits) // parts))
         some = np.unique(short[wide])
         rows += [(p, MARKER, squeeze(some[x])) for p, x in _groups((some // span).astype(np.int64))]
