@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import Stored, mix64, shuffle_partitions, table
 
-WIDTH, GRAM, LOCAL, HOT, FLUSH, PART_BYTES, SAMPLE_DOCS, SAMPLE_EACH = 100, 40, 64, 20_000, 24 << 20, 16 << 20, 2000, 32
+WIDTH, GRAM, LOCAL, HOT, FLUSH, PART_BYTES, STRINGS, SAMPLE_DOCS, SAMPLE_EACH = 100, 40, 64, 20_000, 24 << 20, 16 << 20, 1 << 18, 2000, 32
 CHUNK = (1 << 16) - 128  # small enough for a core's cache; places inside a piece fit 20 bits
 _BASE, _BASE_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 RUN, DOOMED, COLD, HOT_RUN, MARKER = range(5)
@@ -455,7 +455,7 @@ def _suffixes(width: int, gram: int, grams: list[bytes], cut_lead: np.ndarray, c
             return pa.Table.from_batches([_rows([])])
         home = key[0].as_py()
         (cold_of, cold_at), (hot_of, hot_at) = _by_document(flags, COLD), _by_document(flags, HOT_RUN)
-        runs, strings, seen = [], [], set()
+        runs, strings, seen, out, n = [], [], set(), [], 0
         for _, doc, seq, data in _texts(docs):
             if (doc, seq) in seen:
                 continue  # a repeated row is the same document
@@ -470,7 +470,14 @@ def _suffixes(width: int, gram: int, grams: list[bytes], cut_lead: np.ndarray, c
                     if len(here):
                         piece = np.frombuffer(data, np.uint8)[a : a + CHUNK + width - 1]
                         strings.append((Rolling(piece).of(width)[here - a], Rolling(piece, _BASE_2).of(width)[here - a], _lead(piece)[here - a], np.full(len(here), doc, np.int64), np.full(len(here), seq, np.int64), here))
-        return pa.Table.from_batches([_rows((cold(home, runs) if runs else []) + (warm(home, strings) if strings else []))])
+                        n += len(here)
+                    if n > STRINGS:
+                        out += warm(home, strings)
+                        strings, n = [], 0
+            if len(runs) > STRINGS >> 3:
+                out += cold(home, runs)
+                runs = []
+        return pa.Table.from_batches([_rows(out + (cold(home, runs) if runs else []) + (warm(home, strings) if strings else []))])
 
     return run
 

@@ -180,6 +180,7 @@ def brute_spans(texts, width):
 @pytest.mark.parametrize("seed,hot,local", [(1, 20_000, 64), (2, 3, 64), (3, 0, 64), (4, 20_000, 1)])
 def test_suffix_dedup(spark, seed, hot, local, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "LOCAL", local)
+    monkeypatch.setattr(suffix_dedup, "STRINGS", 50 * local)
     texts = corpus(seed) + ["ab" * 300, "ab" * 300 + "c" * 400, "d" + "ab" * 200, "\0" * 250, "x" + "\0" * 150, "0" * 99 + "\0" * 130 + "1"]
     got = suffix_dedup.repeated_spans(clashing(docs(spark, texts)), part_bytes=4000, hot=hot).orderBy("doc_id").collect()
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute_spans(texts, 100)
