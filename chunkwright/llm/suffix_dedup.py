@@ -489,26 +489,20 @@ def repeats(doc: np.ndarray, seq: np.ndarray, at: np.ndarray, body: bytes, width
     """
     off, n = (at >> 7) & 127, at & 127
     size = n + (width - 1)
-    end = np.cumsum(size)
+    anchor = np.cumsum(size) - size + off
+    data = np.frombuffer(body, np.uint8)
     reach = width - gram
-    pad = np.zeros(width + 8, np.uint8)
-    data = np.concatenate([pad, np.frombuffer(body, np.uint8), pad])
-    anchor = end - size + off + len(pad)
-    right_size = size - off
-    words = _lead(data)
-    back = _lead(data[::-1])
-
-    def tokens(word: np.ndarray, first: np.ndarray, have: np.ndarray, most: int) -> list[np.ndarray]:
-        """Strings from ``first`` on, cut to ``have`` and ``most`` bytes and filled with zeros."""
-        out = []
-        for k in range(0, most, 8):
-            keep = np.clip(np.minimum(have, most) - k, 0, 8).astype(np.uint64)
-            token = word[np.minimum(first + k, len(word) - 1)]
-            out.append(np.where(keep == 0, np.uint64(0), token & ~np.uint64(0) << (np.uint64(64) - np.uint64(8) * np.maximum(keep, np.uint64(1)))))
-        return out
 
-    right = tokens(words, anchor, right_size, width)
-    left = tokens(back, len(data) - anchor, off, reach)
+    def tokens(first: np.ndarray, step: int, have: np.ndarray, most: int) -> list[np.ndarray]:
+        """The strings from ``first`` on, forwards or backwards, cut to ``have`` and ``most`` bytes and filled with zeros, as big-endian words."""
+        out = np.zeros((len(first), most + 7 & ~7), np.uint8)
+        for i in range(0, len(first), 8192):
+            place = first[i : i + 8192, None] + step * np.arange(most)
+            out[i : i + 8192, :most] = np.where(np.arange(most) < have[i : i + 8192, None], data[np.clip(place, 0, len(data) - 1)], 0)
+        return [np.ascontiguousarray(x) for x in out.view(">u8").astype(np.uint64).T]
+
+    right = tokens(anchor, 1, size - off, width)
+    left = tokens(anchor - 1, -1, off, reach)
     by_right, by_left = multikey_quicksort(*right), multikey_quicksort(*left)
     prefix, suffix = shared_prefix(right, by_right), shared_prefix(left, by_left)
     age = np.lexsort((at, seq, doc))
