@@ -1,7 +1,14 @@
-"""HTML to text. The regex form stays in the JVM and has an SQL twin; the parser form handles nesting and structure."""
+"""HTML to text. The regex form stays in the JVM and has an SQL twin; the parser form handles nesting and structure.
+
+The parser turns a page into two flat lists in one pass over its events: elements, each the interval of places between its
+start and its end, and pieces of text, each at one place. Everything else is a question about intervals: what
+lies in an element is what lies between its ends, what is dropped is a set of intervals to leave out.
+"""
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -9,10 +16,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# elements without prose, and blocks that count as leaves (fixed values)
+# elements without prose, elements that never close, and blocks that count as leaves (fixed values)
 DROP_TAGS = ("nav", "header", "footer", "aside", "script", "style", "form", "iframe", "figure", "svg", "button", "noscript")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 LEAVES = frozenset("p ul ol table pre blockquote h3 h4 h5 h6".split())
+ROOTS = ("article", "main", "body")
 
 
 def html_to_text(html: Column, drop: tuple[str, ...] = DROP_TAGS) -> Column:
@@ -24,154 +32,186 @@ def html_to_text(html: Column, drop: tuple[str, ...] = DROP_TAGS) -> Column:
     return F.trim(F.regexp_replace(out, "[ \\t\\n\\r\\f]+", " "))
 
 
-class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+@dataclass(slots=True)
+class Element:
+    """``start`` and ``end`` are places: everything inside lies strictly between them. ``around`` is the element it stands in."""
+
+    tag: str
+    attrs: dict[str, str]
+    start: int
+    around: int | None
+    end: int = -1
+
+    def holds(self, place: int) -> bool:
+        return self.start < place < self.end
 
-    def __init__(self, tag: str, attrs: dict | None = None, parent: Node | None = None):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs or {}, [], parent
 
-    def walk(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.walk()
+@dataclass(slots=True)
+class Page:
+    elements: list[Element] = field(default_factory=list)
+    places: list[int] = field(default_factory=list)
+    pieces: list[str] = field(default_factory=list)
+    size: int = 0
 
-    def find(self, tag: str) -> Node | None:
-        return next((n for n in self.walk() if n.tag == tag), None)
+    def all(self) -> Element:
+        return Element("", {}, -1, None, self.size)
 
-    def strings(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                yield from c.strings()
-            else:
-                yield c
+    def inside(self, e: Element, *tags: str) -> list[Element]:
+        """Elements of the tags in ``e``, in the order of their starts."""
+        first = bisect_left(self.elements, e.start + 1, key=lambda x: x.start)
+        out = []
+        for x in self.elements[first:]:
+            if x.start > e.end:
+                break
+            if x.tag in tags:
+                out.append(x)
+        return out
 
-    def text(self, sep: str = " ") -> str:
-        return sep.join(s for s in (x.strip() for x in self.strings()) if s)
+    def outside(self, e: Element, tag: str) -> Element | None:
+        """The nearest element of the tag that ``e`` stands in."""
+        at = e.around
+        while at is not None and self.elements[at].tag != tag:
+            at = self.elements[at].around
+        return None if at is None else self.elements[at]
 
-    def remove(self) -> None:
-        if self.parent is not None and self in self.parent.children:
-            self.parent.children.remove(self)
+    def text(self, e: Element, sep: str = " ", without: list[Element] | None = None) -> str:
+        """The pieces in ``e`` that lie in none of ``without``."""
+        a, b = bisect_left(self.places, e.start), bisect_left(self.places, e.end)
+        found = zip(self.places[a:b], self.pieces[a:b], strict=True)
+        return sep.join(t for p, t in found if not any(x.holds(p) for x in without or ()))
 
 
-class _Builder(HTMLParser):
+class _Events(HTMLParser):
+    """Gives every start, end and piece of text the next place."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("#root")
+        self.page = Page()
+        self.open: list[int] = []
+
+    def _next(self) -> int:
+        self.page.size += 1
+        return self.page.size - 1
 
     def handle_starttag(self, tag, attrs):
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(node)
-        if tag not in VOID:
-            self.at = node
+        e = Element(tag, {k: v or "" for k, v in attrs}, self._next(), self.open[-1] if self.open else None)
+        self.page.elements.append(e)
+        if tag in VOID:
+            e.end = e.start
+        else:
+            self.open.append(len(self.page.elements) - 1)
 
     def handle_startendtag(self, tag, attrs):
-        self.at.children.append(Node(tag, {k: v or "" for k, v in attrs}, self.at))
+        e = Element(tag, {k: v or "" for k, v in attrs}, self._next(), self.open[-1] if self.open else None)
+        e.end = e.start
+        self.page.elements.append(e)
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
+        if any(self.page.elements[i].tag == tag for i in self.open):  # an end without a start counts for nothing
+            place = self._next()
+            while True:
+                e = self.page.elements[self.open.pop()]
+                e.end = place
+                if e.tag == tag:
+                    break
 
     def handle_data(self, data):
-        self.at.children.append(data)
+        if piece := data.strip():
+            self.page.places.append(self._next())
+            self.page.pieces.append(piece)
+
+    def close(self):
+        super().close()
+        for i in self.open:
+            self.page.elements[i].end = self.page.size
 
 
-def parse(html: str | None) -> Node:
-    b = _Builder()
-    b.feed(html or "")
-    b.close()
-    return b.root
+def parse(html: str | None) -> Page:
+    events = _Events()
+    events.feed(html or "")
+    events.close()
+    return events.page
 
 
-def pick_root(tree: Node, element_id: str | None = None, css_class: str | None = None) -> Node:
-    """[X3, X3a, X3b] The element of the id or class, else article, main, body, or all."""
-    if element_id or css_class:
-        for n in tree.walk():
-            if element_id and n.attrs.get("id") == element_id or css_class and css_class in n.attrs.get("class", "").split():
-                return n
-    for tag in ("article", "main", "body"):
-        if (found := tree.find(tag)) is not None:
-            return found
-    return tree
+def root(page: Page, element_id: str | None = None, css_class: str | None = None) -> Element:
+    """[X3, X3a, X3b] The first element of the id or class, else the first article, main or body, else the page."""
+    for e in page.elements if element_id or css_class else ():
+        if (element_id and e.attrs.get("id") == element_id) or (css_class and css_class in e.attrs.get("class", "").split()):
+            return e
+    firsts = {tag: e for e in reversed(page.elements) if (tag := e.tag) in ROOTS}
+    return next((firsts[tag] for tag in ROOTS if tag in firsts), page.all())
 
 
 def extract(html: str | None, element_id: str | None = None, css_class: str | None = None, drop: tuple[str, ...] = DROP_TAGS) -> str:
-    root = pick_root(parse(html), element_id, css_class)
-    for n in list(root.walk()):
-        if n.tag in drop:
-            n.remove()
-    return root.text("\n")
+    page = parse(html)
+    top = root(page, element_id, css_class)
+    return page.text(top, "\n", page.inside(top, *drop))
 
 
-def table_text(node: Node) -> str:
+def table_text(page: Page, table: Element) -> str:
     """[X4] A line for each row that has text, cells between bars."""
-    lines = []
-    for row in (n for n in node.walk() if n.tag == "tr"):
-        cells = [n.text() for n in row.walk() if n.tag in ("th", "td")]
-        if any(cells):
-            lines.append(" | ".join(cells))
-    return "\n".join(lines)
+    rows = ([page.text(c) for c in page.inside(r, "th", "td")] for r in page.inside(table, "tr"))
+    return "\n".join(" | ".join(cells) for cells in rows if any(cells))
 
 
 def sections(html: str | None) -> list[dict]:
-    """[X6] Sections at every h2: heading, anchor, blocks; text that stands directly in a container is no block."""
-    out = [{"heading": "__preamble__", "anchor": None, "blocks": []}]
-
-    def visit(node: Node) -> None:
-        for child in node.children:
-            if not isinstance(child, Node):
-                continue
-            if child.tag == "h2":
-                anchor = child.attrs.get("id") or (child.parent.attrs.get("id") if child.parent is not None else None)
-                out.append({"heading": child.text(), "anchor": anchor or None, "blocks": []})
-            elif child.tag in LEAVES:
-                block = table_text(child) if child.tag == "table" else child.text()
-                block = f"### {block}" if child.tag[0] == "h" else block
-                if block.strip():
-                    out[-1]["blocks"].append(block.strip())
-            else:
-                visit(child)
-
-    visit(parse(html))
+    """[X6] Sections at every h2: heading, anchor, blocks. Only leaves give blocks: text directly in a container is left out."""
+    page = parse(html)
+    out, done = [{"heading": "__preamble__", "anchor": None, "blocks": []}], -1
+    for e in page.inside(page.all(), "h2", *LEAVES):
+        if e.start < done:
+            continue  # part of a leaf or heading that has had its turn
+        done = e.end
+        if e.tag == "h2":
+            holder = page.elements[e.around].attrs if e.around is not None else {}
+            out.append({"heading": page.text(e), "anchor": e.attrs.get("id") or holder.get("id") or None, "blocks": []})
+        elif block := (table_text(page, e) if e.tag == "table" else page.text(e)):
+            out[-1]["blocks"].append(f"### {block}" if e.tag.startswith("h") else block)
     return out
 
 
 def without_footers(html: str | None, headings: tuple[str, ...]) -> str:
     """[X14] The article's text without the sections whose h3 is one of the headings."""
-    root = pick_root(parse(html))
-    for h3 in [n for n in root.walk() if n.tag == "h3"]:
-        if h3.text().lower() in headings:
-            at = h3
-            while at is not None and at.tag != "section":
-                at = at.parent
-            (at or h3.parent).remove()
-    return root.text("\n")
+    page = parse(html)
+    top = root(page)
+    cut = []
+    for h3 in page.inside(top, "h3"):
+        if page.text(h3).lower() in headings:
+            cut.append(page.outside(h3, "section") or (page.elements[h3.around] if h3.around is not None else page.all()))
+    return page.text(top, "\n", cut)
 
 
 def cards(html: str | None, base: str) -> list[dict]:
-    """[X15] Cards: an h3 inside a link to another page, with the first paragraph beside it."""
-    out = []
-    for h3 in (n for n in parse(html).walk() if n.tag == "h3"):
-        a = h3.parent
-        while a is not None and a.tag != "a":
-            a = a.parent
-        href = a.attrs.get("href", "") if a is not None else ""
-        title = h3.text()
-        if href and title and href[0] != "#" and "/grapher/" not in href:
-            p = a.find("p")
-            out.append({"title": title, "url": href if href.startswith("http") else base + href, "summary": p.text() if p else ""})
+    """[X15] Cards: an h3 inside a link to another page, with the first paragraph beside it. Charts are no cards."""
+    page, out = parse(html), []
+    for h3 in page.inside(page.all(), "h3"):
+        link, title = page.outside(h3, "a"), page.text(h3)
+        href = link.attrs.get("href", "") if link else ""
+        if title and href and not href.startswith("#") and CHART not in href:
+            beside = page.inside(link, "p")
+            out.append({"title": title, "url": href if href.startswith("http") else base + href, "summary": page.text(beside[0]) if beside else ""})
     return out
 
 
-SECTION = T.ArrayType(T.StructType([T.StructField("heading", T.StringType()), T.StructField("anchor", T.StringType()), T.StructField("blocks", T.ArrayType(T.StringType()))]))
-CARD = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("title", "url", "summary")]))
+CHART = "/grapher/"  # the path of charts (fixed value)
 
 
-def extract_udf(element_id: str | None = None, css_class: str | None = None):
-    return _scalar(lambda x: extract(x, element_id, css_class), T.StringType())
+def charts(html: str | None) -> list[str]:
+    """[X15] The distinct slugs of linked charts, in the order of their first link."""
+    page = parse(html)
+    links = (e.attrs.get("href", "") for e in page.inside(page.all(), "a", "iframe"))
+    slugs = (href.split(CHART, 1)[1].split("?")[0].split("#")[0].strip("/") for href in links if CHART in href)
+    return list(dict.fromkeys(s for s in slugs if s))
+
+
+def tables(html: str | None) -> str:
+    """[X4] All tables of a page."""
+    page = parse(html)
+    return "\n\n".join(t for t in (table_text(page, e) for e in page.inside(page.all(), "table")) if t)
+
+
+SECTION = T.ArrayType(T.StructType([T.StructField("heading", T.StringType()), T.StructField("anchor", T.StringType()), T.StructField("blocks", T.ArrayType(T.StringType()))]))
+CARD = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("title", "url", "summary")]))
 
 
 def _scalar(function, kind):
@@ -182,6 +222,10 @@ def _scalar(function, kind):
     return run
 
 
+def extract_udf(element_id: str | None = None, css_class: str | None = None):
+    return _scalar(lambda x: extract(x, element_id, css_class), T.StringType())
+
+
 def sections_udf():
     return _scalar(sections, SECTION)
 
@@ -190,9 +234,13 @@ def cards_udf(base: str):
     return _scalar(lambda x: cards(x, base), CARD)
 
 
+def charts_udf():
+    return _scalar(charts, T.ArrayType(T.StringType()))
+
+
 def footers_udf(headings: tuple[str, ...]):
     return _scalar(lambda x: without_footers(x, headings), T.StringType())
 
 
 def tables_udf():
-    return _scalar(lambda x: "\n\n".join(t for t in (table_text(n) for n in parse(x).walk() if n.tag == "table") if t), T.StringType())
+    return _scalar(tables, T.StringType())

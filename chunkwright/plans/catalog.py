@@ -304,30 +304,67 @@ def html_to_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html_functions.html_to_text(F.col("html")).alias("text"))
 
 
-@query()
+PIECES = "list_filter(list_transform(string_split_regex(regexp_replace({0}, '<(nav|footer|script|style)[^>]*>.*?</(nav|footer|script|style)>', '<>', 'gs'), '<[^>]*>'), lambda x: trim(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&'), ' ' || chr(9) || chr(10) || chr(13))), lambda x: x <> '')"
+
+
+@query(f"SELECT page_id, array_to_string({PIECES.format("regexp_extract(html, '<article>(.*?)</article>', 1, 's')")}, chr(10)) AS text FROM pages")
 def html_extract(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html_functions.extract_udf()(F.col("html")).alias("text"))
 
 
-@query()
+def _marked(spark, sf_dir) -> DataFrame:
+    """Every other page has its ad under an id and a class."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", F.when(F.col("page_id") % 2 == 0, F.replace("html", F.lit('<div class="ad">'), F.lit('<div id="main" class="x body">'))).otherwise(F.col("html")).alias("html"))
+
+
+MARKED = f"""SELECT page_id, array_to_string(CASE WHEN page_id % 2 = 0 THEN {PIECES.format("regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1, 's')")} ELSE {PIECES.format("regexp_extract(html, '<article>(.*?)</article>', 1, 's')")} END, chr(10)) AS text FROM pages"""
+
+
+@query(MARKED)
+def html_by_id(spark, sf_dir):
+    return _marked(spark, sf_dir).select("page_id", html_functions.extract_udf(element_id="main")(F.col("html")).alias("text"))
+
+
+@query(MARKED)
+def html_by_class(spark, sf_dir):
+    return _marked(spark, sf_dir).select("page_id", html_functions.extract_udf(css_class="body")(F.col("html")).alias("text"))
+
+
+def _parts(spark, sf_dir, *pieces) -> DataFrame:
+    """A page for each part, put together from its columns."""
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.concat(*[F.col(x[1:]) if x[:1] == "$" else F.lit(x) for x in pieces]).alias("html"))
+
+
+@query("""SELECT p_partkey AS part, h AS heading, a AS anchor, t AS text FROM part, LATERAL (VALUES ('__preamble__', NULL, p_brand), (p_name, 'top', '### ' || p_brand || chr(10) || chr(10) || p_type || ' x' || chr(10) || chr(10) || 'k | ' || p_type), ('End', 'box', '')) v(h, a, t)""")
 def html_sections(spark, sf_dir):
-    s = table(spark, sf_dir, "pages").select("page_id", F.explode(html_functions.sections_udf()(F.col("html"))).alias("s"))
-    return s.select("page_id", "s.heading", "s.anchor", F.array_join("s.blocks", "\n\n").alias("text"))
+    html = _parts(spark, sf_dir, "<body><p>", "$p_brand", "</p><h2 id='top'>", "$p_name", "</h2><div>lost<h3>", "$p_brand", "</h3><p>", "$p_type", " <b>x</b></p><table><tr><th>k</th><td>", "$p_type", "</td></tr><tr><td> </td></tr></table></div><div id='box'><h2>End</h2></div>")
+    s = html.select("part", F.explode(html_functions.sections_udf()(F.col("html"))).alias("s"))
+    return s.select("part", "s.heading", "s.anchor", F.array_join("s.blocks", "\n\n").alias("text"))
 
 
-@query()
+@query("SELECT p_partkey AS part, t AS title, u AS url, s AS summary FROM part, LATERAL (VALUES (p_name, 'http://x/p/' || p_brand, p_type), (p_brand, 'https://y', '')) v(t, u, s)")
 def html_cards(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.explode(html_functions.cards_udf("http://x")(F.col("html"))).alias("c")).select("page_id", "c.*")
+    html = _parts(spark, sf_dir, "<a href='/p/", "$p_brand", "'><div><h3> ", "$p_name", "</h3></div><p>", "$p_type", "</p><p>no</p></a><h3>bare</h3><a href='#n'><h3>note</h3></a><a href='/grapher/c'><h3>chart</h3></a><a href='https://y'><h3>", "$p_brand", "</h3></a>")
+    return html.select("part", F.explode(html_functions.cards_udf("http://x")(F.col("html"))).alias("c")).select("part", "c.*")
 
 
-@query()
+@query("SELECT p_partkey AS part, [split_part(p_brand, '#', 1), 'c'] AS slugs FROM part")
+def html_charts(spark, sf_dir):
+    html = _parts(spark, sf_dir, "<a href='/grapher/", "$p_brand", "?tab=map'>1</a><p><a href='https://h/grapher/c#x'>2</a></p><a href='/grapher/", "$p_brand", "'>3</a><a href='/other/d'>4</a>")
+    return html.select("part", html_functions.charts_udf()(F.col("html")).alias("slugs"))
+
+
+@query("SELECT p_partkey AS part, p_name || chr(10) || p_type || chr(10) || 'Outlook' || chr(10) || 'kept' AS text FROM part")
 def html_without_footers(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", html_functions.footers_udf(("endnotes", "cite this work", "reuse this work freely"))(F.col("html")).alias("text"))
+    html = _parts(spark, sf_dir, "<article><p>", "$p_name", "</p><section><div><h3>Endnotes</h3></div><p>gone</p></section><p>", "$p_type", "</p><section><h3>Outlook</h3><p>kept</p></section><div><h3>CITE this work</h3>gone</div></article>after")
+    return html.select("part", html_functions.footers_udf(("endnotes", "cite this work", "reuse this work freely"))(F.col("html")).alias("text"))
 
 
-@query()
+@query("SELECT p_partkey AS part, 'k | ' || p_name || chr(10) || p_brand || ' | a b' || chr(10) || chr(10) || p_type AS text FROM part")
 def html_tables(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", html_functions.tables_udf()(F.col("html")).alias("text"))
+    html = _parts(spark, sf_dir, "x<table><tr><th>k</th><td> ", "$p_name", " </td></tr><tr><td></td><td> </td></tr><tr><td>", "$p_brand", "</td><td>a <i>b</i></td></tr></table><p>y</p><table><tbody><tr><td>", "$p_type", "</table>")
+    return html.select("part", html_functions.tables_udf()(F.col("html")).alias("text"))
 
 
 @query(r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '[ \t]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^[ \t\n\r\f]+|[ \t\n\r\f]+$', '', 'g') AS text

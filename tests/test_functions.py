@@ -92,7 +92,11 @@ def test_html_structure():
     assert html.cards(PAGE, "http://h") == [{"title": "Card", "url": "http://h/p", "summary": "sum"}]
     assert "n" not in html.extract(PAGE).split("\n")
     assert html.extract(None) == ""
-    assert html.pick_root(html.parse("<div class='q et'>x</div><p>y</p>"), css_class="et").text() == "x"
+    assert html.extract("<div class='q et'>x</div><p>y</p>", css_class="et") == "x"
+    assert html.extract("<body><div id='m'>x<br>z</div><p>y</p>", "m") == "x\nz" and html.extract("<body><p>y</p>", "m") == "y"
+    assert html.extract("</b><p>a</i><nav>n</p>b") == "a\nb" and html.extract("plain") == "plain"
+    assert html.charts("<a href='/grapher/a-b?x=1'>1</a><iframe src=''></iframe><a href='https://h/grapher/c#d'>2</a><a href='/grapher/a-b'>3</a>") == ["a-b", "c"]
+    assert html.sections("<h2>A<p>in</p></h2><blockquote><p>q</p></blockquote>")[1] == {"heading": "A in", "anchor": None, "blocks": ["q"]}
 
 
 def test_regex_and_parser_agree(spark, small):
