@@ -63,12 +63,20 @@ def cache_misses(keys: DataFrame, cache: DataFrame, key: str = "key") -> DataFra
     return keys.select(key).distinct().join(cache.select(key), key, "left_anti")
 
 
-def with_cache(texts: DataFrame, cache: DataFrame, encoder, key: str = "key", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """[C11] (embedded texts, upserted cache): each missing text is encoded once."""
-    missing = texts.join(cache.select(key), key, "left_anti").dropDuplicates([key])
-    fresh = missing.select(key, encoder(F.col(text)).alias("embedding"))
-    full = cache.unionByName(fresh)
-    return texts.join(full, key), full
+def with_cache(texts: DataFrame, cache: str, encoder, key: str = "key", text: str = "text") -> DataFrame:
+    """[C11] ``texts`` with ``embedding``, from the Parquet folder ``cache``; what it lacks is encoded once and appended first.
+
+    Appending is one commit: a crash leaves the cache as it was or with the new rows. Keys that two writers append at a
+    time are read once.
+    """
+    spark = texts.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(cache)
+    known = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    missing = texts.select(key, text).dropDuplicates([key])
+    if known:
+        missing = missing.join(spark.read.parquet(cache).select(key), key, "left_anti")
+    missing.select(key, encoder(F.col(text)).alias("embedding")).write.mode("append").option("compression", "zstd").parquet(cache)
+    return texts.join(spark.read.parquet(cache).dropDuplicates([key]), key)
 
 
 def write_status(current: DataFrame, previous: DataFrame, key: str, sha: str) -> DataFrame:

@@ -55,3 +55,41 @@ def rolling_overlap(df: DataFrame, key: str, order: str, text: str, memory: int
 
     fields = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in (key, order, text))
     return df.groupBy(key).applyInPandas(fold, fields)
+
+
+def transcript(cues: list[tuple[float, float, str]], memory: int = MEMORY, most_span: float = WINDOW_SECONDS, most_size: int = MAX_WORDS) -> list[tuple[float, float, str]]:
+    """(start, end, text) of windows over cues in order: overlaps stripped, then closed by span or words.
+
+    A cue that adds no word lengthens the one before it.
+    """
+    kept: list[list] = []
+    for (start, end, _), fresh in zip(cues, strip_overlap([c[2].split() for c in cues], memory), strict=True):
+        if fresh:
+            kept.append([start, end, fresh])
+        elif kept:
+            kept[-1][1] = max(kept[-1][1], end)
+    out: list[tuple[float, float, str]] = []
+    words: list[str] = []
+    first = last = 0.0
+    for start, end, fresh in kept:
+        first = first if words else start
+        last, words = end, words + fresh
+        if last - first >= most_span or len(words) >= most_size:
+            out.append((first, last, " ".join(words)))
+            words = []
+    return [*out, (first, last, " ".join(words))] if words else out
+
+
+def transcript_windows(cues: DataFrame, key: str, start: str = "start", end: str = "end", text: str = "text", order: str = "start") -> DataFrame:
+    """[C10] (key, id, window_index, t_start_seconds, t_end_seconds, text): cues of a video to overlap-free windows with ids."""
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        held = pdf.sort_values([order, end], kind="stable")
+        got = pd.DataFrame(transcript(list(held[[start, end, text]].itertuples(index=False, name=None))), columns=["t_start_seconds", "t_end_seconds", "text"])
+        got.insert(0, "window_index", range(len(got)))
+        got.insert(0, "id", [f"{pdf[key].iloc[0]}::w{i:03d}" for i in range(len(got))])
+        got.insert(0, key, pdf[key].iloc[0])
+        return got
+
+    kind = cues.schema[key].dataType.simpleString()
+    return cues.groupBy(key).applyInPandas(fold, f"{key} {kind}, id string, window_index long, t_start_seconds double, t_end_seconds double, text string")

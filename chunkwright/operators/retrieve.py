@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.citations import citation
-from ..functions.text import inner_product, l2_normalize, snippet
-from .index import TOP, bm25_topk, ranked
+from ..functions.text import inner_product, l2_normalize, snippet, tokens
+from .index import TOP, Lexical, bm25_topk, ranked
 
-RRF_K, DEFAULT_K, QUERY_BLOCK = 60, 6, 256
+RRF_K, DEFAULT_K, QUERY_BLOCK, VECTOR_PART = 60, 6, 256, 65536
 
 # multipliers by corpus; all others have 1 (fixed values)
 BOOSTS = {"lecturer/lectures": 1.40, "edgar": 1.20, "earnings": 1.20, "letters": 1.20, "consulting": 1.05, "essays": 1.05, "vendors": 1.05, "ai_index": 1.05}
@@ -20,15 +20,23 @@ BOOSTS = {"lecturer/lectures": 1.40, "edgar": 1.20, "earnings": 1.20, "letters":
 def dense_topk(queries: DataFrame, vectors: DataFrame, query_id: str, id_col: str, query_vector: str = "embedding", vector: str = "embedding", k: int = TOP, normalize: bool = False) -> DataFrame:
     """[J10, C2] (query_id, row_id, rank, score) by exact inner product.
 
-    Queries meet the vectors in blocks of 256: a vector is read once a block, both sides are joined on the block, and
-    the products stay in the JVM.
+    Vectors are dealt to parts of about 65,536, queries to blocks of 256, and every part meets every block, so no key holds
+    more of either however many there are. Each pair of part and block keeps its own k best before the merge, and the
+    products stay in the JVM.
     """
     q = queries.select(F.col(query_id).cast("long").alias("query_id"), (l2_normalize(F.col(query_vector)) if normalize else F.transform(query_vector, lambda x: x.cast("double"))).alias("q"))
-    n = q.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    asked = q.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-    v = vectors.select(F.col(id_col).cast("long").alias("row_id"), F.transform(vector, lambda x: x.cast("double")).alias("v"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    return ranked(v.join(asked, "block").select("query_id", "row_id", inner_product(F.col("v"), F.col("q")).alias("score")), k)
+    blocks = max(1, -(-q.count() // QUERY_BLOCK))
+    parts = max(1, -(-vectors.count() // VECTOR_PART))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n))
+    asked = q.withColumn("block", dealt("query_id", blocks)).withColumn("part", every(parts))
+    v = vectors.select(F.col(id_col).cast("long").alias("row_id"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
+    v = v.withColumn("part", dealt("row_id", parts)).withColumn("block", every(blocks))
+    scored = v.join(asked, ["part", "block"]).select("query_id", "row_id", "part", inner_product(F.col("v"), F.col("q")).alias("score"))
+    if parts > 1:
+        best = Window.partitionBy("query_id", "part").orderBy(F.desc(F.round("score", 9)), "row_id")
+        scored = scored.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
+    return ranked(scored.select("query_id", "row_id", "score"), k)
 
 
 def rrf(*legs: DataFrame, k: int = RRF_K) -> DataFrame:
@@ -66,16 +74,19 @@ def final_topk(rows: DataFrame, k: int = DEFAULT_K, tie: str = "reference") -> D
     return rows.withColumn("rank", (F.row_number().over(order) - 1).cast("long")).where(F.col("rank") < k)
 
 
-def search_batch(queries: DataFrame, chunks: DataFrame, vectors: DataFrame, query_id: str, id_col: str, corpus_col: str, boosts: dict[str, float] | None = None, corpus: str | list[str] | None = None, k: int = DEFAULT_K, per_leg: int = TOP, prefilter: bool = False) -> DataFrame:
+def search_batch(queries: DataFrame, chunks: DataFrame, vectors: DataFrame, query_id: str, id_col: str, corpus_col: str, boosts: dict[str, float] | None = None, corpus: str | list[str] | None = None, k: int = DEFAULT_K, per_leg: int = TOP, prefilter: bool = False, index: Lexical | None = None, among: list[str] | None = None) -> DataFrame:
     """[C5] (query_id, rank, row_id, corpus, snippet, score) for many queries in one plan.
 
     ``queries`` has ``text`` and ``embedding``; ``vectors`` (row_id, embedding). Text is joined after the final limit, so the
-    scoring plan never carries it. ``prefilter`` applies the corpus filter before ranking (an extension).
+    scoring plan never carries it; with ``index`` no text at all is read before that limit. ``prefilter`` applies the corpus
+    filter before ranking (an extension); its statistics are those of the rows left, so it takes no ``index``.
     """
+    if prefilter and index is not None:
+        raise ValueError("prefilter ranks by the statistics of the rows it leaves; an index holds those of all")
     if prefilter and corpus is not None:
         chunks = chunks.where(F.col(corpus_col).isin([corpus] if isinstance(corpus, str) else list(corpus)))
         vectors = vectors.join(chunks.select(F.col(id_col).alias("row_id")), "row_id", "left_semi")
-    lexical = bm25_topk(queries, chunks, query_id, id_col, k=per_leg)
+    lexical = bm25_topk(queries, chunks, query_id, id_col, k=per_leg, index=index, among=among)
     dense = dense_topk(queries.where("embedding IS NOT NULL"), vectors, query_id, "row_id", k=per_leg)
     corpora = chunks.select(F.col(id_col).cast("long").alias("row_id"), F.col(corpus_col).alias("corpus"))
     top = final_topk(boosted(rrf(lexical, dense), corpora, boosts, corpus), k)
@@ -91,17 +102,21 @@ def hits(top: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 class Engine:
-    """An index over one table of chunks, kept between queries [S15, C14]."""
+    """An index over one table of chunks, kept between queries [S15, C14].
 
-    def __init__(self, chunks: DataFrame, vectors: DataFrame, encode=None):
-        self.chunks, self.vectors, self.encode = chunks.persist(), vectors.persist(), encode
+    With a stored ``lexical`` index a search reads the postings of its own tokens, and the text of the k rows that it returns.
+    """
+
+    def __init__(self, chunks: DataFrame, vectors: DataFrame, encode=None, lexical: Lexical | None = None):
+        self.chunks, self.vectors, self.encode, self.lexical = chunks, vectors.persist(), encode, lexical
         self.spark = chunks.sparkSession
+        self.names = chunks.select("row_id", "corpus").persist()
 
     def warm_up(self) -> dict[str, float]:
         import time
 
         out, start = {}, time.perf_counter()
-        for name, step in (("chunks", self.chunks.count), ("vectors", self.vectors.count), ("first_query", lambda: self.search("warm up", k=1).collect())):
+        for name, step in (("chunks", self.names.count), ("vectors", self.vectors.count), ("first_query", lambda: self.search("warm up", k=1).collect())):
             t = time.perf_counter()
             step()
             out[name] = time.perf_counter() - t
@@ -109,10 +124,15 @@ class Engine:
         return out
 
     def search(self, query: str, corpus: str | list[str] | None = None, k: int = DEFAULT_K) -> DataFrame:
+        """The k best hits, in order. Their rows are fetched by number, so the scan of the text skips what holds none of them."""
         vector = self.encode([query])[0] if self.encode else None
         q = self.spark.createDataFrame([(0, query, [float(x) for x in vector] if vector is not None else None)], "query_id long, text string, embedding array<float>")
-        top = search_batch(q, self.chunks, self.vectors, "query_id", "row_id", "corpus", corpus=corpus, k=k)
-        return hits(top, self.chunks).orderBy("rank")
+        among = list(dict.fromkeys(q.select(tokens(F.col("text"))).first()[0])) if self.lexical else None
+        lexical = bm25_topk(q, self.chunks, "query_id", "row_id", index=self.lexical, among=among)
+        dense = dense_topk(q.where("embedding IS NOT NULL"), self.vectors, "query_id", "row_id")
+        top = final_topk(boosted(rrf(lexical, dense), self.names, corpus=corpus), k).select("query_id", "rank", "row_id", "score").collect()
+        found = self.spark.createDataFrame(top, "query_id long, rank long, row_id long, score double")
+        return hits(found, self.chunks.where(F.col("row_id").isin([r["row_id"] for r in top]))).orderBy("rank")
 
     def fetch_doc(self, chunk_id: str) -> dict:
         """[C6, J2] The last row of the id; KeyError if there is none."""
@@ -130,16 +150,7 @@ def last_of_id(meta: DataFrame, id_col: str = "id", order: str = "row_id") -> Da
     return last.select(F.col(id_col).alias("id"), "r.title", "r.source", F.col("r.cite.url").alias("citation_url"), F.col("r.cite.text").alias("citation_text"), F.col("r.cite.html").alias("citation_html"), "r.full_text")
 
 
-def filter_by(df: DataFrame, column: str, values: str | list[str] | None) -> DataFrame:
-    """[P3, P13] None: all; a string or a list: membership."""
-    return df if values is None else df.where(F.col(column).isin([values] if isinstance(values, str) else list(values)))
-
-
 def validate_names(asked: list[str], known: list[str]) -> None:
     """[P12, U2] Unknown names are an error that lists them."""
     if unknown := sorted(set(asked) - set(known)):
         raise ValueError(f"unknown: {', '.join(unknown)}; known: {', '.join(known)}")
-
-
-def in_any(column: Column, values: list[str]) -> Column:
-    return column.isin(values)

@@ -124,7 +124,8 @@ def collapse_repeats(df: DataFrame, id_col: str, order: str, value: str, start:
 def speaker_turns(df: DataFrame, id_col: str, order: str, text_col: str = "text") -> DataFrame:
     """[W5, X13, A12] Paragraphs to turns: continuation lines join the speaker before them, runs of one speaker and role merge.
 
-    What stands before any speaker is ``Preamble``, role ``prepared``. Turns without text are dropped.
+    What stands before any speaker is ``Preamble``, role ``prepared``. Turns without text are dropped; the others are numbered
+    from 0 without gaps.
     """
     held = df.where(F.trim(text_col) != "").select(id_col, order, F.trim(text_col).alias("_x")).withColumn("_s", speaker(F.col("_x")))
     by = Window.partitionBy(id_col).orderBy(order)
@@ -133,7 +134,8 @@ def speaker_turns(df: DataFrame, id_col: str, order: str, text_col: str = "text"
     said = held.withColumn("_w", who).withColumn("_body", F.coalesce("_s.body", "_x"))
     said = said.withColumn("_new", F.coalesce((F.lag("_w").over(by) != F.col("_w")).cast("int"), F.lit(1))).withColumn("turn_index", F.sum("_new").over(upto))
     turns = said.groupBy(id_col, "turn_index").agg(F.first("_w").alias("_w"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_body") != "", F.struct(F.col(order).alias("o"), F.col("_body").alias("b"))))), lambda x: x["b"]), " ").alias("text"))
-    return turns.where("text <> ''").select(id_col, F.col("turn_index").cast("long").alias("turn_index"), F.col("_w.name").alias("speaker_name"), F.col("_w.role").alias("speaker_role"), "text")
+    numbered = turns.where("text <> ''").withColumn("turn_index", F.row_number().over(Window.partitionBy(id_col).orderBy("turn_index")) - 1)
+    return numbered.select(id_col, F.col("turn_index").cast("long").alias("turn_index"), F.col("_w.name").alias("speaker_name"), F.col("_w.role").alias("speaker_role"), "text")
 
 
 def cut_after(text: Column, pattern: str) -> Column:
@@ -142,6 +144,15 @@ def cut_after(text: Column, pattern: str) -> Column:
     return F.when(found.isNull(), text).otherwise(F.substring(text, F.lit(1), F.instr(text, found) - 1 + F.length(found)))
 
 
+def cut_pages(df: DataFrame, id_col: str, page: str, text_col: str, pattern: str, most: int = 15) -> DataFrame:
+    """[X9] Pages up to the first that holds the pattern, that one cut after it; at most the first ``most`` pages."""
+    order = Window.partitionBy(id_col).orderBy(page)
+    held = df.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most)
+    signed = F.sum(F.col(text_col).rlike(pattern).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    kept = held.withColumn("_signed", F.coalesce(signed, F.lit(0))).where("_signed = 0")
+    return kept.withColumn(text_col, cut_after(F.col(text_col), pattern)).drop("_n", "_signed")
+
+
 def form_feed_pages(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """[S9] One row for each page that is not blank, 1-based numbers over all pages."""
     pages = df.select(F.col(id_col), F.posexplode(F.split(text_col, "\f")).alias("n", "text"))

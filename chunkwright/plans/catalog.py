@@ -14,6 +14,7 @@ from ..functions import html as html_functions
 from ..operators import audit, fold, index, retrieve, segment
 from ..sources import readers, sinks
 from ..streaming import jobs
+from . import dispatch
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -77,6 +78,17 @@ def _vectors(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding")
 
 
+_INDEXES: dict[tuple[str, str], index.Lexical] = {}
+
+
+def _index(spark, sf_dir) -> index.Lexical:
+    """The stored index over ``documents``: built by the first search of an application, read by the others."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        _INDEXES[key] = index.store_index(table(spark, sf_dir, "documents"), "doc_id", jobs.working_folder(spark, "index"))
+    return _INDEXES[key]
+
+
 @query(f"SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(len(list_distinct(t)) AS BIGINT) AS n_distinct FROM (SELECT doc_id, {TOKENS.format('text')} AS t FROM documents)")
 def tokenize_counts(spark, sf_dir):
     t = text.tokens(F.col("text"))
@@ -90,6 +102,11 @@ def document_frequencies(spark, sf_dir):
 
 @query(f"WITH {BM25} SELECT * FROM bm")
 def bm25_topk(spark, sf_dir):
+    return index.bm25_topk(table(spark, sf_dir, "benchmark"), None, "item_id", index=_index(spark, sf_dir))
+
+
+@query(f"WITH {BM25} SELECT * FROM bm")
+def bm25_topk_unindexed(spark, sf_dir):
     return index.bm25_topk(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "doc_id")
 
 
@@ -105,12 +122,12 @@ def rrf_fuse(spark, sf_dir):
 
 @query(_final(""))
 def hybrid_search(spark, sf_dir):
-    return retrieve.search_batch(_asked(spark, sf_dir), table(spark, sf_dir, "documents"), _vectors(spark, sf_dir), "item_id", "doc_id", "source", boosts=BOOSTS)
+    return retrieve.search_batch(_asked(spark, sf_dir), table(spark, sf_dir, "documents"), _vectors(spark, sf_dir), "item_id", "doc_id", "source", boosts=BOOSTS, index=_index(spark, sf_dir))
 
 
 @query(_final("WHERE source IN ('src0', 'src1')"))
 def hybrid_search_scoped(spark, sf_dir):
-    return retrieve.search_batch(_asked(spark, sf_dir), table(spark, sf_dir, "documents"), _vectors(spark, sf_dir), "item_id", "doc_id", "source", boosts=BOOSTS, corpus=["src0", "src1"])
+    return retrieve.search_batch(_asked(spark, sf_dir), table(spark, sf_dir, "documents"), _vectors(spark, sf_dir), "item_id", "doc_id", "source", boosts=BOOSTS, index=_index(spark, sf_dir), corpus=["src0", "src1"])
 
 
 @query(f"SELECT doc_id, {SNIPPET.format('line')} AS snippet FROM (SELECT doc_id, array_to_string({WORDS.format('text')}, ' ') AS line FROM documents)")
@@ -187,17 +204,55 @@ def threshold_windows(spark, sf_dir):
     return fold.threshold_windows(e.withColumn("e", F.col("s")), "user_id", "s", "e", "one", 86400.0, 5, ["s", "event_id"])
 
 
-@query()
+@query(f"""WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+e AS (SELECT doc_id, i, len({WORDS.format('line')}) AS w FROM l),
+r AS (SELECT doc_id, i, i AS first, w AS total, 1 AS n, 0 AS k, w >= 220 AS closed FROM e WHERE i = 0
+  UNION ALL SELECT e.doc_id, e.i, CASE WHEN r.closed THEN e.i ELSE r.first END, CASE WHEN r.closed THEN 0 ELSE r.total END + e.w, CASE WHEN r.closed THEN 1 ELSE r.n + 1 END, r.k + CAST(r.closed AS INT), CASE WHEN r.closed THEN 0 ELSE r.total END + e.w >= 220
+  FROM r JOIN e ON e.doc_id = r.doc_id AND e.i = r.i + 1)
+SELECT doc_id, CAST(k AS BIGINT) AS window_index, CAST(max(first) AS DOUBLE) AS "start", CAST(max(i) AS DOUBLE) AS "end", CAST(max(total) AS BIGINT) AS size, CAST(max(n) AS BIGINT) AS n FROM r GROUP BY doc_id, k""")
 def paragraph_packing(spark, sf_dir):
     held = segment.lines(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.col("line_no").cast("double").alias("a"), F.size(text.words(F.col("line"))).alias("w"))
     return fold.threshold_windows(held.withColumn("b", F.col("a")), "doc_id", "a", "b", "w", float("inf"), 220)
 
 
-@query()
+CUES = f"""d AS (SELECT doc_id, {WORDS.format('text')} AS w FROM documents),
+c AS (SELECT doc_id, cue, w[cue * 5 + 1 : cue * 5 + 8] AS cue_words FROM (SELECT *, unnest(range(CAST(len(w) // 5 AS BIGINT) + 1)) AS cue FROM d))"""
+OVERLAP = "list_max(list_filter(range(1, least(len(kept), len(cue_words), 30) + 1), lambda k: kept[len(kept) - k + 1 : len(kept)] = cue_words[1 : k]))"
+
+
+@query(f"""WITH RECURSIVE {CUES},
+r AS (SELECT doc_id, cue, cue_words AS fresh, cue_words AS kept FROM c WHERE cue = 0
+  UNION ALL SELECT doc_id, cue, fresh, (kept || fresh)[greatest(1, len(kept) + len(fresh) - 29) : len(kept) + len(fresh)] FROM (
+    SELECT doc_id, cue, kept, cue_words[coalesce({OVERLAP}, 0) + 1 : len(cue_words)] AS fresh FROM (SELECT c.doc_id, c.cue, c.cue_words, r.kept FROM r JOIN c ON c.doc_id = r.doc_id AND c.cue = r.cue + 1)))
+SELECT doc_id, CAST(cue AS INTEGER) AS cue, array_to_string(fresh, ' ') AS text FROM r WHERE len(fresh) > 0""")
 def overlap_strip(spark, sf_dir):
+    return fold.rolling_overlap(_cues(spark, sf_dir), "doc_id", "cue", "text")
+
+
+def _cues(spark, sf_dir) -> DataFrame:
+    """Rolling cues of eight words, five further on each."""
     d = table(spark, sf_dir, "documents").select("doc_id", text.words(F.col("text")).alias("w"))
-    cues = d.select("doc_id", F.explode(F.sequence(F.lit(0), F.floor(F.size("w") / 5).cast("int"))).alias("cue"), "w").select("doc_id", "cue", F.array_join(F.slice("w", F.col("cue") * 5 + 1, 8), " ").alias("text"))
-    return fold.rolling_overlap(cues, "doc_id", "cue", "text")
+    return d.select("doc_id", F.explode(F.sequence(F.lit(0), F.floor(F.size("w") / 5).cast("int"))).alias("cue"), "w").select("doc_id", "cue", F.array_join(F.slice("w", F.col("cue") * 5 + 1, 8), " ").alias("text"))
+
+
+@query()
+def transcript_windows(spark, sf_dir):
+    cues = _cues(spark, sf_dir).select("doc_id", F.col("cue").cast("double").alias("start"), (F.col("cue") + 2).cast("double").alias("end"), "text")
+    return fold.transcript_windows(cues, "doc_id")
+
+
+@query(r"""WITH d AS (SELECT doc_id, text, CASE lang WHEN 'en' THEN 'pdf' WHEN 'de' THEN 'letter' WHEN 'fr' THEN 'html' ELSE 'unheard of' END AS format FROM documents),
+p AS (SELECT *, unnest(string_split(text, chr(10))) AS page, unnest(range(len(string_split(text, chr(10))))) AS n FROM d WHERE format IN ('pdf', 'letter')),
+q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS r, regexp_matches(page, '(^|
+)Sincerely,') AS signs FROM p WHERE trim(regexp_replace(page, '\s+', ' ', 'g')) <> ''),
+s AS (SELECT *, coalesce(sum(CAST(signs AS INT)) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS signed FROM q)
+SELECT format, doc_id AS key, n + 1 AS part, NULL::VARCHAR AS heading, CASE WHEN format = 'letter' AND signs THEN 'Sincerely,' ELSE page END AS text FROM s WHERE format = 'pdf' OR signed = 0 AND r <= 15
+UNION ALL SELECT format, doc_id, 0, NULL, x FROM (SELECT format, doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'gs'), '[ 	
+]+', ' ', 'g')) AS x FROM d WHERE format = 'html') WHERE x <> ''""")
+def dispatch_formats(spark, sf_dir):
+    kind = F.when(F.col("lang") == "en", "pdf").when(F.col("lang") == "de", "letter").when(F.col("lang") == "fr", "html").otherwise("unheard of")
+    paged = F.when(F.col("lang").isin("en", "de"), F.replace("text", F.lit("\n"), F.lit("\f"))).otherwise(F.col("text"))
+    return dispatch.dispatch(table(spark, sf_dir, "documents").select(kind.alias("format"), F.col("doc_id").alias("key"), paged.alias("text")))
 
 
 @query("""WITH e AS (SELECT user_id, event_type, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
@@ -212,7 +267,7 @@ def dedup_runs(spark, sf_dir):
     CASE role WHEN 'user' THEN 'analyst' WHEN 'assistant' THEN 'ceo' ELSE 'operator' END AS role, turn % 3 = 2 AS cont FROM conversations WHERE trim(replace(text, chr(10), ' ')) <> ''),
 f AS (SELECT *, coalesce(last_value(CASE WHEN NOT cont THEN name END IGNORE NULLS) OVER w, 'Preamble') AS who, coalesce(last_value(CASE WHEN NOT cont THEN role END IGNORE NULLS) OVER w, 'prepared') AS what FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 g AS (SELECT *, sum(CASE WHEN lag_who IS NULL OR lag_who <> who OR lag_what <> what THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM (SELECT *, lag(who) OVER (PARTITION BY conv_id ORDER BY turn) AS lag_who, lag(what) OVER (PARTITION BY conv_id ORDER BY turn) AS lag_what FROM f))
-SELECT conv_id, CAST(k AS BIGINT) AS turn_index, any_value(who) AS speaker_name, any_value(what) AS speaker_role, string_agg(body, ' ' ORDER BY turn) AS text FROM g GROUP BY conv_id, k""")
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY k) - 1 AS turn_index, any_value(who) AS speaker_name, any_value(what) AS speaker_role, string_agg(body, ' ' ORDER BY turn) AS text FROM g GROUP BY conv_id, k""")
 def speaker_turns(spark, sf_dir):
     c = table(spark, sf_dir, "conversations")
     head = F.when(F.col("role") == "user", "Ann Lee: ").when(F.col("role") == "assistant", "Bob Ray, Chief Executive Officer: ").otherwise("Operator: ")
@@ -292,6 +347,14 @@ def cut_after_signoff(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", segment.cut_after(F.col("text"), "License").alias("text"))
 
 
+@query(r"""WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents),
+q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS r FROM p WHERE trim(regexp_replace(text, '\s+', ' ', 'g')) <> ''),
+s AS (SELECT *, coalesce(sum(CAST(contains(text, 'License') AS INT)) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS signed FROM q WHERE r <= 15)
+SELECT doc_id, n + 1 AS slide_number, CASE WHEN contains(text, 'License') THEN substr(text, 1, strpos(text, 'License') + 6) ELSE text END AS text FROM s WHERE signed = 0""")
+def cut_pages_after_signoff(spark, sf_dir):
+    return segment.cut_pages(form_feed_pages(spark, sf_dir), "doc_id", "slide_number", "text", "License")
+
+
 # ---------------------------------------------------------------- text and records
 
 DROPPED = "regexp_replace({0}, '(?s)<!--.*?-->', ' ', 'g')"
@@ -512,7 +575,7 @@ def typed_projection(spark, sf_dir):
 @query("SELECT o_orderkey, c_name, n_name, coalesce(nullif(c_mktsegment, 'BUILDING'), n_name) AS label FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey")
 def enriched_chunks(spark, sf_dir):
     o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    j = o.join(c, F.col("c_custkey") == F.col("o_custkey")).join(F.broadcast(n), F.col("n_nationkey") == F.col("c_nationkey"))
+    j = o.join(c, F.col("c_custkey") == F.col("o_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey"))
     return j.select("o_orderkey", "c_name", "n_name", F.coalesce(F.nullif("c_mktsegment", F.lit("BUILDING")), "n_name").alias("label"))
 
 
@@ -613,7 +676,7 @@ def expected_files(spark, sf_dir):
 @query("SELECT n_name AS name, 'known' AS kind FROM nation UNION ALL SELECT r_name, 'region' FROM region UNION ALL (SELECT n_name, 'unused' FROM nation EXCEPT SELECT n_name, 'unused' FROM nation JOIN supplier ON s_nationkey = n_nationkey)")
 def set_operations(spark, sf_dir):
     n, r, s = (table(spark, sf_dir, t) for t in ("nation", "region", "supplier"))
-    used = s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).select("n_name")
+    used = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("n_name")
     known = n.select(F.col("n_name").alias("name"), F.lit("known").alias("kind"))
     return known.unionByName(r.select(F.col("r_name").alias("name"), F.lit("region").alias("kind"))).unionByName(n.select("n_name").subtract(used).select(F.col("n_name").alias("name"), F.lit("unused").alias("kind")))
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.citations import citation
-from ..functions.encode import encoder_udf
+from ..functions.encode import HashEncoder, encoder_udf
 from ..functions.text import cache_key, words
 from ..operators.audit import with_cache
-from ..operators.index import doc_lengths, postings
+from ..operators.index import load_index, store_index
 from ..operators.retrieve import Engine
 from ..operators.segment import sliding_windows
 from ..sources.readers import jsonl_chunks
@@ -30,34 +32,36 @@ def split_chunks(chunks: DataFrame, cap: int = 800, overlap: int = 100) -> DataF
     )
 
 
-def rebuild(spark: SparkSession, root: str, out: str, built: str, model: str = "hash-64", encoder=None, cap: int = 800, overlap: int = 100) -> None:
-    """Writes meta, postings, lengths, vectors, cache and manifest under ``out``; vectors known to its cache are kept."""
+def rebuild(spark: SparkSession, root: str, out: str, built: str, model: str = "hash-64", encoder=None, cap: int = 800, overlap: int = 100) -> str:
+    """Writes meta, index, vectors and manifest to a new folder under ``out`` and names it in ``out/builds``; returns the folder.
+
+    The cache of vectors is shared by all builds. A build that dies is never named: readers go on with the one before it.
+    """
+    folder = f"{out}/build-{uuid.uuid4().hex}"
     parts = split_chunks(jsonl_chunks(spark, root), cap, overlap)
     cite = citation(F.col("corpus"), F.col("doc_title"), F.col("source_url"), F.col("slide_number"), F.col("t_start_seconds"))
     cited = parts.withColumn("_c", cite).withColumn("citation_url", F.col("_c.url")).withColumn("citation_text", F.col("_c.text")).withColumn("citation_html", F.col("_c.html"))
     numbered = cited.withColumn("row_id", F.xxhash64("_row", "part_index"))
     meta = numbered.select("row_id", *[c for c in numbered.columns if c not in ("row_id", "_row", "_c")])
-    write_parquet(meta, f"{out}/meta")
-    meta = spark.read.parquet(f"{out}/meta")
-    write_parquet(postings(meta, "row_id"), f"{out}/postings")
-    write_parquet(doc_lengths(meta, "row_id"), f"{out}/lengths")
+    # sorted by row: a search fetches the few rows that it returns without reading the others' text
+    write_parquet(meta.repartitionByRange("row_id").sortWithinPartitions("row_id"), f"{folder}/meta")
+    meta = spark.read.parquet(f"{folder}/meta")
+    store_index(meta, "row_id", f"{folder}/index")
     keyed = meta.select("row_id", "text", cache_key(model, F.coalesce("text", F.lit(""))).alias("key"))
-    try:
-        cache = spark.read.parquet(f"{out}/cache").select("key", "embedding")
-    except Exception:  # noqa: BLE001  no cache yet
-        cache = spark.createDataFrame([], "key string, embedding array<float>")
-    vectors, full = with_cache(keyed, cache, encoder_udf(encoder))
-    write_parquet(full.withColumn("shard", F.substring("key", 1, 2)), f"{out}/cache.new", ["shard"])
-    write_parquet(vectors.select("row_id", "embedding"), f"{out}/vectors")
-    jpath = spark._jvm.org.apache.hadoop.fs.Path
-    fs = jpath(out).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(jpath(f"{out}/cache"), True)
-    fs.rename(jpath(f"{out}/cache.new"), jpath(f"{out}/cache"))
-    index_manifest(meta, model, built).write.mode("overwrite").text(f"{out}/manifest")
+    write_parquet(with_cache(keyed, f"{out}/cache", encoder_udf(encoder)).select("row_id", "embedding"), f"{folder}/vectors")
+    index_manifest(meta, model, built).write.mode("overwrite").text(f"{folder}/manifest")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/builds")
+    before = spark.read.json(f"{out}/builds", "build string, seq long, built string").count() if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) else 0
+    spark.createDataFrame([(folder.rsplit("/", 1)[1], before, built)], "build string, seq long, built string").coalesce(1).write.mode("append").json(f"{out}/builds")
+    return folder
 
 
-def open_engine(spark: SparkSession, out: str, encoder=None) -> Engine:
-    from ..functions.encode import HashEncoder
+def current_build(spark: SparkSession, out: str) -> str:
+    last = spark.read.json(f"{out}/builds", "build string, seq long, built string").orderBy(F.desc("seq"), F.desc("build")).first()
+    return f"{out}/{last['build']}"
 
-    model = encoder or HashEncoder()
-    return Engine(spark.read.parquet(f"{out}/meta"), spark.read.parquet(f"{out}/vectors"), lambda texts: model.encode(texts))
+
+def open_engine(spark: SparkSession, out: str, encoder=None) -> Engine:
+    """The last finished build under ``out``, searched by its stored index."""
+    model, folder = encoder or HashEncoder(), current_build(spark, out)
+    return Engine(spark.read.parquet(f"{folder}/meta"), spark.read.parquet(f"{folder}/vectors"), lambda texts: model.encode(texts), load_index(spark, f"{folder}/index"))

@@ -33,7 +33,7 @@ def jsonl_chunks(spark: SparkSession, root: str, schema: T.StructType = CHUNK, b
     """[S6, J5, W11, T4] Chunks of all files under a root, sidecars instead of the originals they shadow.
 
     Blank lines count for nothing. ``row_id`` numbers rows by path component and line; it needs a total order, which
-    is made from one count a file and a window inside each file, never in one task.
+    is made from one count a file, summed in order in one task (a row a file, not a line), and a window inside each file.
     """
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{chunks,rechunked}.jsonl").text(root)
     held = raw.select(F.col("value"), F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("seq")).where(F.trim("value") != "")

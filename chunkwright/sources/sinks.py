@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import json
 import tarfile
 from pathlib import Path
 
@@ -103,7 +102,3 @@ def delete_files(spark: SparkSession, files: DataFrame, apply: bool = False) ->
         p = jpath(r["path"])
         n += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False))
     return n
-
-
-def read_manifest(text: str) -> dict:
-    return json.loads(text)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -71,17 +74,36 @@ def keep_index(chunks: DataFrame, id_col: str, table: str, checkpoint: str):
     return chunks.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def working_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in ``spark.checkpoint.dir``, deleted when the process ends. Where that isn't set a local one, on local masters only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="chunkwright-")
+    home = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, home)
+    return home
+
+
 def run_once(stream_df: DataFrame, mode: str = "complete") -> DataFrame:
-    """All that is there now, through a stream, as a table in the shared checkpoint folder; append and complete modes."""
-    import tempfile
-    import uuid
+    """All that is there now, through a stream, as a table in the shared checkpoint folder; append and complete modes.
 
+    The folder goes with the process.
+    """
     spark = stream_df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="chunkwright-")
-    home = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    home = working_folder(spark, "stream")
 
     def keep(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{home}/out" if mode == "complete" else f"{home}/out/epoch={epoch}")
 
     stream_df.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream_df.schema).parquet(f"{home}/out")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the session may be gone when the interpreter ends
+        pass

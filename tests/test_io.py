@@ -101,8 +101,8 @@ def test_bucketed_index(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     sinks.write_index(docs, "doc_id", "t_index", 4)
     try:
-        joined = spark.table("t_index_postings").join(spark.table("t_index_df"), "tok")
-        assert "Exchange hashpartitioning(tok" not in joined._jdf.queryExecution().executedPlan().toString() or spark.conf.get("spark.sql.adaptive.enabled") == "true"
+        joined = spark.table("t_index_postings").join(spark.table("t_index_df").hint("merge"), "tok")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
         assert joined.count() == spark.table("t_index_postings").count()
     finally:
         for t in ("postings", "df", "lengths"):
@@ -123,7 +123,8 @@ def test_stream_windows(spark, small):
     from chunkwright.plans import catalog
 
     batch = {(r["user_id"], r["window_index"]): (r["start"], r["end"], r["n"]) for r in catalog.threshold_windows(spark, small).collect()}
-    assert got and all(batch[r["user_id"], r["window_index"]] == (r["start"], r["end"], r["n"]) for r in got)
+    closed = {k: v for k, v in batch.items() if v[1] - v[0] >= 86400.0 or v[2] >= 5}  # open ones stay in the state
+    assert {(r["user_id"], r["window_index"]): (r["start"], r["end"], r["n"]) for r in got} == closed
 
 
 def test_stream_index(spark, tmp_path, small):
@@ -134,4 +135,5 @@ def test_stream_index(spark, tmp_path, small):
 
     assert spark.read.parquet(f"{tmp_path}/out").count() == postings(docs, "doc_id").count()
     seen = jobs.deduplicated(jobs.stream(spark, str(tmp_path), "in", docs.schema).withColumn("ts", F.current_timestamp()))
-    assert seen.isStreaming
+    got = [r["content_sha"] for r in jobs.run_once(seen.select("content_sha"), "append").collect()]
+    assert sorted(got) == sorted(r[0] for r in docs.select(F.sha2("text", 256)).distinct().collect())

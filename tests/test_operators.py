@@ -1,12 +1,15 @@
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chunkwright.functions import text
-from chunkwright.operators import audit, fold, retrieve, segment
+from chunkwright.operators import audit, fold, index, retrieve, segment
+from chunkwright.plans import dispatch
 
 
 def df(spark, rows, schema):
@@ -111,11 +114,20 @@ def test_shadowing(spark):
     assert key(audit.unshadowed(o, s, by_stem=True).select("dir", "stem", "kind")) == [("a", "rechunked")]
 
 
-def test_cache(spark):
-    texts = df(spark, [("k1", "a"), ("k2", "b"), ("k2", "b")], "key string, text string")
-    cache = df(spark, [("k1", [1.0])], "key string, embedding array<double>")
-    got, full = audit.with_cache(texts, cache, lambda c: F.array(F.length(c).cast("double") + 1))
-    assert got.count() == 3 and sorted((r["key"], r["embedding"]) for r in full.collect()) == [("k1", [1.0]), ("k2", [2.0])]
+def test_cache(spark, tmp_path):
+    """Each missing text is encoded once, in this run and in the next."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<double>")
+    def encode(s: pd.Series) -> pd.Series:
+        calls.add(len(s))
+        return s.map(lambda x: [len(x) + 1.0])
+
+    texts = df(spark, [("k1", "a"), ("k2", "bb"), ("k2", "bb")], "key string, text string")
+    for run, rows in enumerate((texts, texts.union(df(spark, [("k3", "ccc")], "key string, text string")))):
+        got = audit.with_cache(rows, f"{tmp_path}/cache", encode)
+        assert got.count() == rows.count() and {(r["key"], *r["embedding"]) for r in got.collect()} == {("k1", 2.0), ("k2", 3.0), ("k3", 4.0)} - ({("k3", 4.0)} if not run else set())
+        assert calls.value == 2 + run
 
 
 def test_names():
@@ -129,6 +141,55 @@ def test_signoff(spark):
     assert [r[0] for r in t.select(segment.cut_after(F.col("x"), "END")).collect()] == ["ab END", "none"]
 
 
+def test_cut_pages(spark):
+    pages = df(spark, [("a", i, f"page {i}" + (" END tail" if i in (3, 4) else "")) for i in range(1, 8)] + [("b", i, "x") for i in range(1, 30)], "k string, n long, t string")
+    got = segment.cut_pages(pages, "k", "n", "t", "END").collect()
+    assert sorted((r["n"], r["t"]) for r in got if r["k"] == "a") == [(1, "page 1"), (2, "page 2"), (3, "page 3 END")]
+    assert sorted(r["n"] for r in got if r["k"] == "b") == list(range(1, 16))
+
+
+def test_turn_numbers(spark):
+    t = df(spark, [("c", i, x) for i, x in enumerate(["hello", "Ann Lee:", "Bob Ray: yes", "and more", "Ann Lee: no"])], "k string, n long, text string")
+    got = sorted(segment.speaker_turns(t, "k", "n").collect(), key=lambda r: r["turn_index"])
+    assert [(r["turn_index"], r["speaker_name"], r["text"]) for r in got] == [(0, "Preamble", "hello"), (1, "Bob Ray", "yes and more"), (2, "Ann Lee", "no")]
+
+
+def test_transcript():
+    cues = [(0.0, 2.0, "so this is"), (1.0, 4.0, "so this is a 30-minute talk"), (3.0, 5.0, "30-minute talk"), (4.0, 90.0, "talk on large models"), (91.0, 92.0, "end")]
+    assert fold.transcript(cues) == [(0.0, 90.0, "so this is a 30-minute talk on large models"), (91.0, 92.0, "end")]
+    assert fold.transcript(cues, most_size=3)[0] == (0.0, 2.0, "so this is")
+    assert fold.transcript([(0.0, 1.0, "")]) == [] and fold.transcript([]) == []
+
+
+def test_dispatch(spark):
+    vtt = "WEBVTT\n\n00:00:01.000 --> 00:00:02.000\nhello there\n\n00:00:02.000 --> 00:00:03.000\nhello there you\n"
+    rows = [("pdf", "a", "one\ftwo"), ("letter", "b", "hi\nSincerely, me\fannex"), ("html", "c", "<p>x</p>"), ("markdown", "d", "## H\ntext"), ("transcript", "e", "Ann Lee: hi\nthere"), ("vtt", "f", vtt), ("odd", "g", "x"), (None, "h", "y")]
+    got = dispatch.dispatch(df(spark, rows, "format string, key string, text string"))
+    assert sorted((r["format"], r["key"], r["part"], r["heading"], r["text"]) for r in got.collect() if r["format"] not in ("pdf", "letter", "html")) == [("markdown", "d", 1, "H", "## H\ntext"), ("transcript", "e", 0, "Ann Lee", "hi there"), ("vtt", "f", 0, "f::w000", "hello there you")]
+    assert sorted((r["key"], r["part"], r["text"]) for r in got.collect() if r["format"] in ("pdf", "letter", "html")) == [("a", 1, "one"), ("a", 2, "two"), ("b", 1, "hi\nSincerely,"), ("c", 0, "x")]
+    assert dispatch.dispatch(df(spark, rows, "format string, key string, text string"), {}).count() == 0
+
+
+def test_stored_index(spark, small, tmp_path):
+    """A stored index gives the same ranks as the text, and its plan reads no text."""
+    d, q = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
+    stored = index.store_index(d.union(d.limit(1).withColumn("text", F.lit("")).withColumn("doc_id", F.lit(10**6))), "doc_id", str(tmp_path))
+    plain = index.bm25_topk(q, d.union(d.limit(1).withColumn("text", F.lit("")).withColumn("doc_id", F.lit(10**6))), "item_id", "doc_id")
+    got = index.bm25_topk(q, None, "item_id", index=index.load_index(spark, str(tmp_path)))
+    assert stored.n == d.count() + 1 and sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    assert "documents.parquet" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dense_parts(spark, monkeypatch):
+    r = np.random.default_rng(0)
+    v = df(spark, [(i, [float(x) for x in r.normal(size=4)]) for i in range(300)], "row_id long, embedding array<float>")
+    asked = v.where("row_id < 20").withColumnRenamed("row_id", "q")
+    want = sorted(map(tuple, retrieve.dense_topk(asked, v, "q", "row_id", k=5).collect()))
+    monkeypatch.setattr(retrieve, "VECTOR_PART", 40)
+    monkeypatch.setattr(retrieve, "QUERY_BLOCK", 7)
+    assert sorted(map(tuple, retrieve.dense_topk(asked, v, "q", "row_id", k=5).collect())) == want
+
+
 def engine(spark):
     chunks = [(0, "c0", "regulation", "Act", "http://a/x.pdf", 2, None, "body", "High risk AI systems in the act"), (1, "c1", "letters", "Letter", "http://a/l", None, None, "body", "A shareholder letter about AI systems"), (2, "c1", "letters", "Later", "http://a/m", None, None, "body", "Another shareholder letter")]
     c = df(spark, chunks, "row_id long, id string, corpus string, doc_title string, source_url string, slide_number long, t_start_seconds long, section_path string, text string")

@@ -3,6 +3,7 @@ import json
 import numpy as np
 
 from chunkwright.functions.encode import HashEncoder
+from chunkwright import serve
 from chunkwright.plans import rebuild
 
 
@@ -16,17 +17,22 @@ def test_rebuild(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.chunks.jsonl").write_text("\n".join([row("a", "letters", "shareholder letter " * 600, slide_number=3), row("b", "essays", "must not be encoded again")]))
     out = f"{tmp_path}/out"
-    rebuild.rebuild(spark, str(tmp_path / "in"), out, "t0")
-    meta = spark.read.parquet(f"{out}/meta")
+    folder = rebuild.rebuild(spark, str(tmp_path / "in"), out, "t0")
+    assert rebuild.current_build(spark, out) == folder
+    meta = spark.read.parquet(f"{folder}/meta")
     ids = sorted(r["id"] for r in meta.collect())
     assert ids == ["a::p00", "a::p01", "b"]
     part = meta.where("id = 'a::p01'").first()
     assert part["part_of"] == "a" and part["n_tokens"] == 500 and part["citation_url"] == "http://x/a.pdf#page=3"
-    manifest = json.loads(spark.read.text(f"{out}/manifest").first()[0])
+    manifest = json.loads(spark.read.text(f"{folder}/manifest").first()[0])
     assert manifest["counts"] == {"letters": 2, "essays": 1} and manifest["total"] == 3
     engine = rebuild.open_engine(spark, out)
     assert engine.search("shareholder letter", k=2).first()["corpus"] == "letters"
     assert engine.fetch_doc("b")["full_text"] == "must not be encoded again"
+    asked = ['{"tool": "search", "query": "shareholder letter", "corpus": "letters", "k": 1, "request_id": 7}', "", '{"tool": "fetch_doc", "id": "b"}', '{"tool": "fetch_doc", "id": "zz"}', '{"tool": "x"}', "[1]", "{"]
+    got = [json.loads(x) for x in serve.serve(engine, asked)]
+    assert len(got) == 6 and got[0]["request_id"] == 7 and [h["corpus"] for h in got[0]["result"]] == ["letters"] and got[1]["result"]["id"] == "b"
+    assert all("error" in x for x in got[2:])
     (tmp_path / "in/c.chunks.jsonl").write_text(row("c", "essays", "new text"))
 
     class Strict(HashEncoder):  # defined here, so that it travels with the plan
@@ -36,4 +42,5 @@ def test_rebuild(spark, tmp_path):
 
     again = Strict()
     rebuild.rebuild(spark, str(tmp_path / "in"), out, "t1", encoder=again)
-    assert spark.read.parquet(f"{out}/vectors").count() == 4
+    latest = rebuild.current_build(spark, out)
+    assert latest != folder and spark.read.parquet(f"{latest}/vectors").count() == 4 and spark.read.parquet(f"{folder}/vectors").count() == 3
