@@ -4,7 +4,9 @@ Every entity is replaced by a keyed surrogate of its own type, script and format
 keyed Feistel permutation of all strings of their form (digits stay digits, hex stays hex, a card keeps its issuer digit
 and its Luhn remainder, an address its punctuation, a telephone number its country code), so distinct entities get
 distinct surrogates by construction and one entity gets the same surrogate wherever it occurs. First names are permuted
-inside the list of their gender and script; family names keep case and the pattern of vowels and consonants of their script.
+inside the list of their gender and script; family names keep case and the pattern of vowels and consonants of their script,
+and Slavic ones their ending, so that both genders of a name share the surrogate's stem. IBANs keep country and valid
+check digits. A name that is found once in a document is replaced wherever it stands alone in it.
 Letters of other scripts, and accented ones, are permuted among their like: letters of their script and case near them in
 Unicode, accented Latin ones apart by vowels and consonants.
 
@@ -20,28 +22,31 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, table
+from .common import Stored, shuffle_partitions, table
 
-KEY = b"chunkwright surrogate key"
-BROADCAST_ENTITIES = 100_000
-DRAWS = 16
+DEMO_KEY = b"not a secret: pass a key of your own"  # of the registered query alone; operators have no default
+BROADCAST_ENTITIES, DRAWS, DRAW_ROWS = 100_000, 16, 20_000
 _HEX = re.compile(r"(?=.*\d)(?=.*[a-f])[0-9a-f]+")
 
 # first names by script and gender (fixed values)
 NAMES = {
-    ("latin", "f"): "Alice Amelia Barbara Carmen Charlotte Claire Elena Elizabeth Emma Florence Hannah Helen Isabelle Jessica Julia Karen Laura Linda Lucia Margaret Maria Martha Nancy Olivia Patricia Rebecca Sarah Sofia Susan Victoria".split(),
-    ("latin", "m"): "Andrew Anthony Antoine Carlos Charles Daniel David Edward Felix Frank George Henry James John Joseph Juan Kevin Klaus Louis Mark Michael Pablo Patrick Paul Peter Richard Robert Stephen Thomas William".split(),
+    ("latin", "f"): "Alice Amelia Barbara Carmen Charlotte Claire Elena Elizabeth Emma Florence Hannah Helen Isabelle Jessica Julia Karen Laura Linda Lucia Margaret Maria Martha Nancy Olivia Patricia Rebecca Sarah Sofia Susan Victoria Aisha Anjali Fatima Priya Yuki Mei Ananya Leila Ingrid Chloe Camille Giulia Ursula Sabine Petra Monika Ewa Agnieszka Zainab Amina".split(),
+    ("latin", "m"): "Andrew Anthony Antoine Carlos Charles Daniel David Edward Felix Frank George Henry James John Joseph Juan Kevin Klaus Louis Mark Michael Pablo Patrick Paul Peter Richard Robert Stephen Thomas William Mohammed Ahmed Ali Omar Wei Hiroshi Kenji Raj Arjun Vikram Sanjay Ivan Sergei Dmitri Jan Piotr Lars Sven Jürgen Wolfgang Stefan Pierre Giovanni Marco Diego Luis Hans".split(),
     ("cyrillic", "f"): "Анна Вера Галина Дарья Екатерина Елена Ирина Мария Наталья Ольга Светлана Татьяна".split(),
     ("cyrillic", "m"): "Алексей Андрей Борис Виктор Владимир Дмитрий Иван Михаил Николай Павел Сергей Юрий".split(),
 }
+# endings of family names by gender (fixed values)
+ENDINGS = tuple(sorted(("ov", "ova", "ev", "eva", "ski", "ska", "sky", "skaya", "ов", "ова", "ев", "ева", "ин", "ина", "ский", "ская"), key=len, reverse=True))
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоуыэюя"}
 CONSONANTS = {"latin": "bcdfghjklmnpqrstvwxyz", "cyrillic": "бвгджзклмнпрстфхцчшщ"}
 _GENDER = {name: key for key, names in NAMES.items() for name in names}
@@ -55,11 +60,13 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = (
     ("email", r"(?<![\w.+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])"),
     ("secret", r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b[\"']?\s?[=:]\s?[\"']?)(?P<secret>[A-Za-z0-9_\-/+]{8,})"),
+    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("aws_key", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"),
     ("hex_key", r"(?<![A-Za-z0-9])(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)"),
+    ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\w)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w.-])\d{3}(?P<sep>[-.])\d{3}(?P=sep)\d{4}(?![\w-])"),
     ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"),
+    ("ipv6", r"(?<![\w:.])(?=[0-9A-Fa-f:]*\d)[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*:(?::?[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*)(?![\w:])"),
     ("ip", rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"),
     ("name", rf"(?:(?<=\b){_TITLE})?\b(?P<first>{_FIRST}) (?P<last>[^\W\d_a-zа-яß][^\W\d_]+)|(?<=\b){_TITLE}(?P<only>[^\W\d_a-z][^\W\d_]+)"),
 )
@@ -74,19 +81,44 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
     if not text:
         return []
     out = []
-    for m in FINDER.finditer(text) if _SIGN.search(text) else ():
+    m = FINDER.search(text) if _SIGN.search(text) else None
+    while m:
         kind = next(k for k, _ in PATTERNS if k != "name" and m[f"t_{k}"] is not None)
-        if kind == "secret":
-            out.append((*m.span("secret"), kind, m["secret"]))
-        elif kind != "card" or luhn(re.sub(r"\D", "", m[0])) == 0 or re.fullmatch(r"\d{16}", m[0]):
-            out.append((*m.span(), kind, m[0]))
+        fits = _VALID.get(kind, lambda v: True)(m[0])
+        if fits:
+            span = m.span("secret") if kind == "secret" else m.span()
+            out.append((*span, kind, text[span[0] : span[1]]))
+        m = FINDER.search(text, m.end() if fits else m.start() + 1)
     if not _CUES.isdisjoint(_CAPITALS.findall(text)):
         named = [(*m.span(part), what, m[part]) for m in NAME.finditer(text) for part, what in (("first", "first_name"), ("last", "last_name"), ("only", "last_name")) if m[part] is not None]
-        taken = [(a, b) for a, b, _, _ in out]
-        out = sorted(out + [n for n in named if not any(a < n[1] and n[0] < b for a, b in taken)])
+        if named:
+            kinds = {n[3]: n[2] for n in reversed(named)}
+            again = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(kinds, key=len, reverse=True)))})(?!\w)")
+            at = {n[0] for n in named}
+            named += [(*m.span(), kinds[m[0]], m[0]) for m in again.finditer(text) if m.start() not in at]
+            taken = sorted((a, b) for a, b, _, _ in out)
+            starts = [a for a, _ in taken]
+
+            def free(a: int, b: int) -> bool:
+                i = bisect_left(starts, b) - 1
+                return i < 0 or taken[i][1] <= a
+
+            out = sorted(out + [n for n in named if free(n[0], n[1])])
     return out
 
 
+def mod97(iban: str) -> int:
+    """The remainder that check digits bring to 1: country and check digits last, letters as 10 to 35."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def _address(value: str) -> bool:
+    try:
+        return value.count(":") >= 2 and ipaddress.IPv6Address(value) is not None
+    except ValueError:
+        return False
+
+
 def luhn(digits: str) -> int:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -95,10 +127,19 @@ def luhn(digits: str) -> int:
     return total % 10
 
 
+_VALID = {
+    "card": lambda v: luhn(re.sub(r"\D", "", v)) == 0 or re.fullmatch(r"\d{16}", v) is not None,
+    "iban": lambda v: 15 <= len(v.replace(" ", "")) <= 34 and mod97(v.replace(" ", "")) == 1,
+    "ipv6": _address,
+}
+
+
 class Surrogates:
     """Keyed permutations of each type's strings."""
 
-    def __init__(self, key: bytes = KEY):
+    def __init__(self, key: bytes):
+        if not key:
+            raise ValueError("surrogates need a key: whoever knows it can undo them")
         self.key = key
         self.letters: dict[str, str] = {}
 
@@ -159,6 +200,19 @@ class Surrogates:
         if kind == "ip":
             good = lambda s: all(len(x) == len(str(int(x))) and int(x) < 256 for x in s.split(".")) and s[0] != "0"
             return self._classes(value, kind, attempt, fits=good)
+        if kind == "iban":
+            plain = value.replace(" ", "")
+            body = self._classes(plain[4:], kind, plain[:2], attempt)
+            made = iter(plain[:2] + f"{98 - mod97(plain[:2] + '00' + body):02d}" + body)
+            return "".join(" " if c == " " else next(made) for c in value)
+        if kind == "ipv6":
+            hexes = "0123456789ABCDEF" if value.upper() == value else "0123456789abcdef"
+            same = value if hexes[10] == "A" else value.lower()
+            body = [(i, hexes[1:] if c != "0" and (not i or same[i - 1] == ":") else hexes) for i, c in enumerate(same) if c != ":"]
+            form = re.sub("[^:]", "x", same) + "".join("1" if len(a) < 16 else "0" for _, a in body)
+            made = self.string("".join(same[i] for i, _ in body), [a for _, a in body], kind, form, attempt, fits=lambda b: any(c.isdigit() for c in b))
+            it = iter(made)
+            return "".join(":" if c == ":" else next(it) for c in same)
         if kind == "phone":
             head = re.match(r"\+\d{1,3}", value)
             cut = head.end() if head else 0
@@ -192,7 +246,14 @@ class Surrogates:
             return value[:4]
         if kind == "hex_key" or kind == "secret" and _HEX.fullmatch(value):
             return f"hex {len(value)}"
+        if kind == "ipv6":
+            return re.sub("[0-9A-Fa-f]", "x", value)
+        if kind == "iban":
+            return value[:2] + re.sub("[A-Z]", "A", re.sub("[0-9]", "0", value[4:]))
         if kind == "last_name":
+            stem, end = _stem(value)
+            if end:
+                return f"{self.form(kind, stem)} {end}"
             low = [_lower(c) for c in value]
             return "".join(f"{'A' if c != v else 'a'}{self._like(c)[0]}" for c, v in zip(low, value, strict=True))
         cut = 0
@@ -216,12 +277,20 @@ class Surrogates:
         return self.letters[c]
 
     def _family(self, value: str, attempt: int) -> str:
-        low = [_lower(c) for c in value]
+        stem, end = _stem(value)
+        low = [_lower(c) for c in stem]
         kinds = [self._like(c) for c in low]
         # the mark of a class: v and c for plain vowels and consonants, else its first letter
         pattern = "".join("v" if k in VOWELS.values() else "c" if k in CONSONANTS.values() else k[0] for k in kinds)
-        made = self.string("".join(low), kinds, "last_name", pattern, attempt)
-        return "".join(o.upper() if v != c else o for o, v, c in zip(made, value, low, strict=True))
+        # names without an ending stay without, so both kinds keep apart
+        made = self.string("".join(low), kinds, "stem" if end else "last_name", pattern, attempt, fits=lambda s: bool(end) or not _stem(s)[1])
+        return "".join(o.upper() if v != c else o for o, v, c in zip(made, stem, low, strict=True)) + end
+
+
+def _stem(name: str) -> tuple[str, str]:
+    """A family name's stem of two letters or more and its ending, which is empty if it has none of the list."""
+    end = next((e for e in ENDINGS if name.endswith(e) and len(name) >= len(e) + 2), "")
+    return name[: len(name) - len(end)], end
 
 
 def _lower(c: str) -> str:
@@ -265,21 +334,24 @@ def _draw(key: bytes):
 
 
 def _formats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    s = Surrogates()
+    s = Surrogates(b"formats need none")
     for b in batches:
         forms = [s.form(k, v) for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(forms, pa.string())], names=["kind", "value", "form"])
 
 
-def redrawn(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -> DataFrame:
+def redrawn(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """(kind, value, attempt) of the entities whose first surrogate collides; first names are told apart by their list alone.
 
     Each round draws ``DRAWS`` attempts for what is left and settles at least one entity, or else ends the search: the
     formats of the entities left then take one attempt for all their entities, the one that leaves fewest unchanged.
     """
+    spark = docs.sparkSession
     made = "kind string, value string, attempt int, made string"
     found = Stored(docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_entities, "kind string, value string").distinct()).df
-    checked = found.where("kind <> 'first_name'")
+    # permuting is slow work: it is dealt by the number of entities, not by the few files that they fit in
+    dealt = lambda df: df.repartition(max(1, -(-df.count() // DRAW_ROWS), min(shuffle_partitions(spark), df.count() // 500)))
+    checked = dealt(found.where("kind <> 'first_name'"))
     taken = checked.select("kind", F.col("value").alias("made"))
 
     def draw(df: DataFrame, first: int) -> DataFrame:
@@ -348,15 +420,15 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(kind, pa.string()), pa.array(value, pa.string())], names=["h", "kind", "value"])
 
 
-def surrogates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY, broadcast_entities: int = BROADCAST_ENTITIES) -> DataFrame:
+def surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", broadcast_entities: int = BROADCAST_ENTITIES) -> DataFrame:
     """``(doc_id, text, n_entities, entities)`` for every row, entities replaced; ``entities`` gives kind, new place and surrogate.
 
-    Text without entities stays as it is, null stays null. Repeated rows get the same surrogates. No rows give none.
+    ``key`` is secret: whoever has it can undo the surrogates. Text without entities stays as it is, null stays null. Repeated rows get the same surrogates. No rows give none.
     Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    moved = Stored(redrawn(rows, "text", key)).df
+    moved = Stored(redrawn(rows, key)).df
     none = F.lit(None).cast("array<struct<kind:string,value:string,attempt:int>>")
     sent = None
     if (n := moved.count()) <= broadcast_entities:
@@ -371,4 +443,4 @@ def surrogates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op9(spark, sf_dir):
-    return surrogates(table(spark, sf_dir, "documents"))
+    return surrogates(table(spark, sf_dir, "documents"), DEMO_KEY)
