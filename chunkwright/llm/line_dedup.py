@@ -4,9 +4,10 @@ Pass 1 hashes every line's key and counts its documents: one row for each distin
 map-side partial sums, so a line that a third of all documents hold is a handful of partial counts. The distinct hashes
 that reach the limit are dealt to shards of bounded size; each shard becomes a minimal perfect hash (levels of bit
 arrays with rank counts) that indexes two compact arrays, the rest of each hash as its fingerprint and its count.
-Pass 2 walks the documents again: every task looks its lines up in the arrays, no line is joined. Shards reach the tasks
-as a broadcast of at most ``broadcast_bytes``; when they exceed that, further passes take the next shards, each pass
-adding to the list of a document's doomed hashes, so memory stays bounded and nothing is left out.
+Pass 2 walks the documents again: every task looks its lines up in the arrays, no line is joined. Up to ``broadcast_bytes`` all
+shards reach the tasks as one broadcast. Beyond that the documents' line hashes go to the shards, packed, and each shard
+answers with those that are hot; a text then meets its answers once and is cut. A shard whose questions exceed a task's
+measure is laid out several times and they are dealt among its copies. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import Stored, mix64, table
 
-MIN_DOCS, SHARD_KEYS, BROADCAST_BYTES = 10, 1 << 18, 64 << 20
+MIN_DOCS, SHARD_KEYS, BROADCAST_BYTES, ASKED_BYTES = 10, 1 << 18, 64 << 20, 64 << 20
 GAMMA = 2.0
 
 
@@ -164,27 +165,17 @@ class LineIndex:
         self.table = Stored(dealt.groupBy("shard").applyInArrow(_build_group, "shard int, blob binary, size long"))
         hot.drop()
 
-    def slices(self, most: int = BROADCAST_BYTES) -> Iterator[list[tuple[int, bytes]]]:
-        """The shards in groups of at most ``most`` bytes (one shard at least)."""
-        group: list[int] = []
-        size = 0
-        for r in self.table.df.select("shard", "size").orderBy("shard").toLocalIterator():
-            if group and size + r["size"] > most:
-                yield self._load(group)
-                group, size = [], 0
-            group.append(r["shard"])
-            size += r["size"]
-        if group:
-            yield self._load(group)
+        self.bytes = self.table.df.agg(F.sum("size")).first()[0] or 0
 
-    def _load(self, shards: list[int]) -> list[tuple[int, bytes]]:
-        return [(r["shard"], bytes(r["blob"])) for r in self.table.df.where(F.col("shard").isin(shards)).collect()]
+    def load(self) -> list[tuple[int, bytes]]:
+        """All shards, for an index of bounded size."""
+        return [(r["shard"], bytes(r["blob"])) for r in self.table.df.collect()]
 
 
-def _prober(sent, shards: int):
+def _prober(sent, shards: int, min_docs: int):
     opened: dict[int, PerfectHash] = {}
 
-    def doomed(h: np.ndarray, min_docs: int) -> np.ndarray:
+    def doomed(h: np.ndarray) -> np.ndarray:
         if not opened:
             opened.update((k, PerfectHash.from_bytes(b)) for k, b in sent.value)
         shard = ((h >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
@@ -198,7 +189,68 @@ def _prober(sent, shards: int):
     return doomed
 
 
-def drop_hot_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = SHARD_KEYS, copies: bool = True) -> DataFrame:
+def _ask(shards: int, copies: int):
+    """Each batch's distinct lines, by the text that has them, packed for their shards."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = 0
+        for batch in batches:
+            texts = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            found = [(key, np.unique(h[h != 0])) for key, h in ((key, line_hashes(t)[1]) for key, t in texts.items())]
+            if not found:
+                continue
+            key = np.repeat(np.array([k for k, _ in found], np.int64), [len(h) for _, h in found])
+            h = np.concatenate([h for _, h in found])
+            shard = ((h >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            edges = np.flatnonzero(np.concatenate([[True], np.diff(shard[order]) != 0])) if len(h) else []
+            rows = [(int(shard[order[a]]), turn % copies, key[order[a:b]].tobytes(), h[order[a:b]].tobytes()) for a, b in zip(edges, [*edges[1:], len(h)] if len(h) else [], strict=True)]
+            turn += 1
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.binary())], names=["shard", "copy", "texts", "lines"])
+
+    return run
+
+
+def _answer(min_docs: int):
+    """A shard and what it is asked: the hot lines of each text."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, hot = [], []
+        if left.num_rows and right.num_rows:
+            index = PerfectHash.from_bytes(right.column("blob")[0].as_py())
+            for texts, lines in zip(left.column("texts"), left.column("lines"), strict=True):
+                key, h = np.frombuffer(texts.as_py(), np.int64), np.frombuffer(lines.as_py(), np.uint64)
+                known = index.counts_of(h) >= min_docs
+                keys.append(key[known])
+                hot.append(h[known].view(np.int64))
+        key, h = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, hot))
+        order = np.lexsort((h, key))
+        key, h = key[order], h[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+        keep = new | np.concatenate([[True], h[1:] != h[:-1]]) if len(key) else new  # copies of a text asked more than once
+        key, h = key[keep], h[keep]
+        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        ends = np.append(edges, len(key)).astype(np.int32) if len(key) else np.zeros(1, np.int32)
+        return pa.table({"key": pa.array(key[edges]), "hot": pa.ListArray.from_arrays(pa.array(ends), pa.array(h))})
+
+    return run
+
+
+def asked(work: DataFrame, text: str, key: str, index: LineIndex, min_docs: int, asked_bytes: int = ASKED_BYTES) -> DataFrame:
+    """(key, gone): the hot line hashes of each text, known by a hash of the text; texts without any are left out."""
+    size = work.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    copies = max(1, -(-size // (index.shards * asked_bytes)))
+    questions = work.select(key, text).mapInArrow(_ask(index.shards, copies), "shard int, copy int, texts binary, lines binary")
+    laid = index.table.df.select("shard", "blob", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"))
+    answers = questions.groupBy("shard", "copy").cogroup(laid.groupBy("shard", "copy")).applyInArrow(_answer(min_docs), "key long, hot array<long>")
+    # one answer for each text and shard, whoever asked; a text's answers are no more than its lines
+    apart = answers.withColumn("shard", F.pmod(F.shiftrightunsigned(F.col("hot")[0], 20), F.lit(index.shards)))
+    once = apart.groupBy("key", "shard").agg(F.first("hot").alias("hot"))
+    return once.groupBy("key").agg(F.flatten(F.collect_list("hot")).alias("gone"))
+
+
+def drop_hot_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = SHARD_KEYS, copies: bool = True, asked_bytes: int = ASKED_BYTES) -> DataFrame:
     """The rows of ``docs`` with hot lines taken out of the text, and ``_lines``, ``_dropped``: lines before and lines gone.
 
     Null or empty text is one line that is empty and stays (null stays null). Keys are compared by a 64-bit hash.
@@ -213,14 +265,14 @@ def drop_hot_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_
     kinds = [f.dataType.simpleString() for f in docs.schema.fields]
     index = LineIndex(work.select(F.col(f"c{at}").alias("text")), "text", min_docs, shard_keys, copies)
     fields = ", ".join(f"c{i} {k}" for i, k in enumerate(kinds))
-    carried = False
-    for group, final in list_or_one(index.slices(broadcast_bytes)):
-        probe = _prober(spark.sparkContext.broadcast(group), index.shards)
-        run = _pass(probe, at, len(names), min_docs, carried, final)
-        work = work.mapInArrow(run, fields + (", lines bigint, dropped bigint" if final else ", gone array<int>"))
-        if not final:
-            work, carried = Stored(work).df, True
-    return work.toDF(*names, fresh("_lines", names), fresh("_dropped", names))
+    if index.bytes <= broadcast_bytes:
+        probe = _prober(spark.sparkContext.broadcast(index.load()), index.shards, min_docs)
+    else:
+        probe = None
+        work = work.withColumn("key", F.xxhash64(F.coalesce(f"c{at}", F.lit(""))))
+        work = work.join(asked(work, f"c{at}", "key", index, min_docs, asked_bytes), "key", "left").select(*[f"c{i}" for i in range(len(names))], "gone")
+    out = work.mapInArrow(_pass(probe, at, len(names)), fields + ", lines bigint, dropped bigint")
+    return out.toDF(*names, fresh("_lines", names), fresh("_dropped", names))
 
 
 def fresh(name: str, taken: list[str]) -> str:
@@ -229,51 +281,33 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def _pass(probe, at: int, width: int, min_docs: int, carried: bool, final: bool):
+def _pass(probe, at: int, width: int):
+    """Cuts hot lines: those that the broadcast index knows, or without one those that come along in the last column."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            gone_before = batch.column(width).to_pylist() if carried else None
-            kept, n_lines, n_gone, gone = [], [], [], []
             cut = [line_hashes(t) for t in texts]
-            sizes = np.array([len(x[0]) for x in cut], np.int64)
-            every = probe(np.concatenate([x[1] for x in cut]), min_docs) if cut else np.zeros(0, bool)
-            ends = np.cumsum(sizes)
-            for i, (lines, _) in enumerate(cut):
-                bad = every[ends[i] - sizes[i] : ends[i]]
-                if gone_before is not None:
-                    bad[gone_before[i]] = True
-                if final:
-                    kept.append(texts[i] if not bad.any() else b"\n".join(x for x, b in zip(lines, bad, strict=True) if not b).decode("utf-8", "surrogatepass"))
-                    n_lines.append(len(lines))
-                    n_gone.append(int(bad.sum()))
+            ends = np.cumsum(np.array([len(x[0]) for x in cut], np.int64))
+            every = probe(np.concatenate([x[1] for x in cut])) if probe is not None and cut else None
+            gone = batch.column(width) if probe is None else None
+            kept, n_lines, n_gone = [], [], []
+            for i, (lines, h) in enumerate(cut):
+                if every is not None:
+                    bad = every[ends[i] - len(lines) : ends[i]]
                 else:
-                    gone.append(np.flatnonzero(bad).astype(np.int32))
+                    bad = np.isin(h, np.array(gone[i].as_py() or [], np.int64).view(np.uint64))
+                kept.append(texts[i] if not bad.any() else b"\n".join(x for x, b in zip(lines, bad, strict=True) if not b).decode("utf-8", "surrogatepass"))
+                n_lines.append(len(lines))
+                n_gone.append(int(bad.sum()))
             columns = [batch.column(i) for i in range(width)]
-            names = [f"c{i}" for i in range(width)]
-            if final:
-                columns[at] = pa.array(kept, batch.column(at).type)
-                columns += [pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64())]
-                names += ["lines", "dropped"]
-            else:
-                columns.append(pa.array(gone, pa.list_(pa.int32())))
-                names.append("gone")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns[at] = pa.array(kept, batch.column(at).type)
+            columns += [pa.array(n_lines, pa.int64()), pa.array(n_gone, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*(f"c{i}" for i in range(width)), "lines", "dropped"])
 
     return run
 
 
-def list_or_one(slices: Iterator[list]) -> Iterator[tuple[list, bool]]:
-    """Each slice and whether it is the last; one empty slice if there is none."""
-    before = None
-    for group in slices:
-        if before is not None:
-            yield before, False
-        before = group
-    yield (before if before is not None else []), True
-
-
-
 def op7(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kept = drop_hot_lines(docs)

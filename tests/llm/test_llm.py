@@ -507,16 +507,16 @@ def test_mix(spark):
 # ---------------------------------------------------------------- 7
 
 
-@pytest.mark.parametrize("slices", [1 << 26, 1])
-def test_line_dedup(spark, slices):
+@pytest.mark.parametrize("most,asked", [(1 << 26, 1 << 26), (1, 1 << 26), (1, 50)])
+def test_line_dedup(spark, most, asked):
     r = random.Random(2)
     pool = [f" Line {i} \t" for i in range(30)] + ["", "  ", "É", "é", "x\r"]
-    texts = ["\n".join(r.choice(pool) if r.random() < 0.7 else f"own {k} {i}" for i in range(r.randint(0, 9))) for k in range(60)] + [None, "", "\n"]
+    texts = ["\n".join(r.choice(pool) if r.random() < 0.7 else f"own {k} {i}" for i in range(r.randint(0, 9))) for k in range(60)] + [None, "", "\n", "\n".join(["line 3", "own"] * 50_000)] + ["copies\nof this"] * 12
     key = lambda x: x.strip(" \t\n\r\x0b\x0c").translate(UP)
     count = Counter()
     for t in texts:
         count.update({key(x) for x in (t or "").split("\n")})
-    got = line_dedup.drop_hot_lines(clashing(docs(spark, texts)), broadcast_bytes=slices, shard_keys=4)
+    got = line_dedup.drop_hot_lines(clashing(docs(spark, texts)), broadcast_bytes=most, shard_keys=4, asked_bytes=asked)
     assert got.columns[-2:] == ["__lines", "__dropped"]
     for row in got.collect():
         lines = (texts[row["doc_id"]] or "").split("\n")
