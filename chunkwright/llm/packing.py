@@ -8,6 +8,8 @@ n log n steps a bucket. Inside a bucket every batch takes as many pieces as ``bu
 Batches are numbered without bringing a bucket to one task: pieces fall into shards by a hash of their id, the shard sizes of
 each bucket (known from one count) give every shard its first place, and a place divided by the batch's capacity is its
 batch. Shards are as many as keep each to about ``shard_rows`` rows, so a bucket of any size is dealt evenly.
+
+``pack`` counts words, or takes counts; ``token_batches`` encodes the texts by a vocabulary file and returns the batches themselves.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Stored, table
 
 MAX_TOKENS, BUDGET, BUCKETS, SHARD_ROWS = 4096, 65536, 16, 20000
 
@@ -73,11 +75,39 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens
     a column that counts tokens (by default words). A document without tokens has one piece of length 0. Null ids and
     repeated ids are rows like others. No rows give none. Other columns are ignored, whatever their names.
     """
-    spark = docs.sparkSession
     counted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(tokens if tokens is not None else token_count(text_col), F.lit(0)).cast("long").alias("all_tokens"))
-    n_pieces = F.greatest(F.ceil(F.col("all_tokens") / F.lit(max_tokens)).cast("long"), F.lit(1))
-    pieces = counted.select("doc_id", "all_tokens", F.explode(F.sequence(F.lit(0).cast("long"), n_pieces - 1)).alias("piece"))
+    pieces = counted.select("doc_id", "all_tokens", _pieces(F.col("all_tokens"), max_tokens))
     pieces = pieces.select("doc_id", "piece", F.least(F.lit(max_tokens).cast("long"), F.col("all_tokens") - F.col("piece") * max_tokens).alias("n_tokens"))
+    return _placed(pieces, budget, buckets, shard_rows)
+
+
+def _pieces(tokens, max_tokens: int):
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(tokens / F.lit(max_tokens)).cast("long"), F.lit(1)) - 1)).alias("piece")
+
+
+def token_batches(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", max_tokens: int = MAX_TOKENS, budget: int = BUDGET, buckets: int = BUCKETS, shard_rows: int = SHARD_ROWS, pad: int = -1) -> DataFrame:
+    """``(bucket, batch, bucket_tokens, doc_ids, pieces, lengths, tokens)``: a row for each batch, its texts encoded by the
+    byte-pair vocabulary file and padded to the bucket's length with ``pad``.
+
+    A batch holds at most ``budget`` padded tokens unless one piece alone has more, so no row is larger. Slots are the
+    places in the arrays. Null and empty texts have one piece without tokens. No rows give none.
+    """
+    from ..functions.bpe import Bpe
+
+    encode = Bpe(docs.sparkSession, vocabulary).encode
+    encoded = docs.select(F.col(id_col).cast("long").alias("doc_id"), encode(F.col(text_col).cast("string")).alias("t"))
+    cut = encoded.select("doc_id", "t", _pieces(F.size("t"), max_tokens))
+    ids = F.slice("t", (F.col("piece") * max_tokens + 1).cast("int"), F.lit(max_tokens))
+    held = Stored(cut.select("doc_id", "piece", ids.alias("tokens")).withColumn("n_tokens", F.size("tokens").cast("long"))).df  # encoded once
+    placed = _placed(held, budget, buckets, shard_rows)
+    whole = F.concat("tokens", F.array_repeat(F.lit(pad), (F.col("bucket_tokens") - F.col("n_tokens")).cast("int")))
+    rows = F.array_sort(F.collect_list(F.struct("slot", "doc_id", "piece", "n_tokens", whole.alias("tokens"))))
+    batches = placed.groupBy("bucket", "batch", "bucket_tokens").agg(rows.alias("r"))
+    return batches.select("bucket", "batch", "bucket_tokens", F.col("r.doc_id").alias("doc_ids"), F.col("r.piece").alias("pieces"), F.col("r.n_tokens").alias("lengths"), F.col("r.tokens").alias("tokens"))
+
+
+def _placed(pieces: DataFrame, budget: int, buckets: int, shard_rows: int) -> DataFrame:
+    """Pieces (doc_id, piece, n_tokens and what else they have) with bucket, bucket_tokens, batch and slot."""
     histogram = sorted((r["n_tokens"], r["n"]) for r in pieces.groupBy("n_tokens").agg(F.count("*").alias("n")).collect())
     ends = boundaries(np.array([x for x, _ in histogram], np.int64), np.array([n for _, n in histogram], np.int64), buckets) or [0]
     sizes = [sum(n for x, n in histogram if (b == 0 or x > ends[b - 1]) and x <= end) for b, end in enumerate(ends)]
@@ -96,7 +126,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokens
     ranked = placed.withColumn("r", F.row_number().over(inside)).join(starts, ["bucket", "shard"])
     capacity = of([max(1, budget // max(1, e)) for e in ends])
     place = F.col("start") + F.col("r") - 1
-    return ranked.select("doc_id", "piece", "n_tokens", "bucket", of(ends).alias("bucket_tokens"), F.floor(place / capacity).cast("long").alias("batch"), (place % capacity).alias("slot"))
+    return ranked.select(*pieces.columns, "bucket", of(ends).alias("bucket_tokens"), F.floor(place / capacity).cast("long").alias("batch"), (place % capacity).alias("slot"))
 
 
 def op5(spark, sf_dir):

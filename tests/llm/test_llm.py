@@ -2,10 +2,12 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import unicodedata
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -397,6 +399,46 @@ def test_packing(spark):
     assert packing.pack(docs(spark, [])).count() == 0
 
 
+def test_packing_batches_are_complete(spark):
+    """Every bucket's pieces in full batches but the last: as many as a plain count gives. Null and repeated ids are rows."""
+    texts = [*corpus(9), *[None, ""] * 2, "w " * 300, "w " * 300]
+    ids = [None, None, 7, 7, *range(100, 96 + len(texts))]
+    rows = packing.pack(docs(spark, texts, ids), max_tokens=64, budget=256, buckets=4, shard_rows=3).collect()
+    sizes = [len((t or "").split()) for t in texts]
+    pieces = [min(64, n - 64 * p) for n in sizes for p in range(max(1, -(-n // 64)))]
+    ends = packing.boundaries(*(np.array(x) for x in zip(*sorted(Counter(pieces).items()), strict=True)), 4)
+    want = Counter(next(i for i, e in enumerate(ends) if n <= e) for n in pieces)
+    for b, n in want.items():
+        capacity = max(1, 256 // max(1, ends[b]))
+        places = sorted((r["batch"], r["slot"]) for r in rows if r["bucket"] == b)
+        assert places == [(i // capacity, i % capacity) for i in range(n)]
+    of = lambda i: sorted((r["piece"], r["n_tokens"]) for r in rows if r["doc_id"] == i)
+    split = lambda k: [(p, min(64, sizes[k] - 64 * p)) for p in range(max(1, -(-sizes[k] // 64)))]
+    assert of(None) == sorted(split(0) + split(1)) and of(7) == sorted(split(2) + split(3))
+
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+@pytest.mark.skipif(not Path(VOCABULARY).exists(), reason="no vocabulary file here")
+def test_token_batches(spark):
+    from chunkwright.functions.bpe import Bpe
+
+    bpe = Bpe(spark, VOCABULARY)
+    texts = [*corpus(9), "word " * 3000, None, ""]
+    d = clashing(docs(spark, texts))
+    got = packing.token_batches(d, VOCABULARY, max_tokens=64, budget=512, buckets=4, shard_rows=9).collect()
+    whole: dict = {}
+    for r in got:
+        assert len(r["tokens"]) * r["bucket_tokens"] <= max(512, r["bucket_tokens"])
+        for i, p, n, ids in zip(r["doc_ids"], r["pieces"], r["lengths"], r["tokens"], strict=True):
+            assert len(ids) == r["bucket_tokens"] and set(ids[n:]) <= {-1} and -1 not in ids[:n]
+            whole.setdefault(i, {})[p] = ids[:n]
+    want = {r["doc_id"]: r["ids"] for r in d.select("doc_id", bpe.encode("text").alias("ids")).collect()}
+    assert {i: [t for p in sorted(ps) for t in ps[p]] for i, ps in whole.items()} == want
+    assert packing.token_batches(docs(spark, []), VOCABULARY).count() == 0
+
+
 # ---------------------------------------------------------------- 6
 
 
@@ -733,6 +775,46 @@ def test_shrink(spark):
     assert post["a"] > 0.4 and post["c"] < 0.03 and 0.1 < post["b"] < 0.9 and abs(post["d"] - 0.1) < 1e-9
 
 
+def test_quality_posteriors(spark):
+    """Site posteriors, document odds and verdicts against the formulas in plain Python, from the classifier's own evidence."""
+    r = random.Random(9)
+    rows = []
+    for i in range(400):
+        site, bad = r.choice("aaabc"), r.random()
+        bad = bad < {"a": 0.1, "b": 0.7, "c": 0.4}[site]
+        rows.append((i, ("BUY!! NOW!! " * r.randrange(3, 20) if bad else "") + " ".join(r.choice(["tree", "house", "river", "cloud"]) + str(r.randrange(50)) for _ in range(30)), r.choice(["en", "de", None]), None if site == "c" else site))
+    rows += [(1000, "x " * 100_000, "en", "rare"), (1001, None, None, None), (1001, "", "en", "a")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, int("BUY" not in t), 0) for i, t, *_ in rows[:200]], "doc_id long, quality int, toxic int")
+    got = quality.classify(clashing(d).drop("host", "path", "id"), labels).collect()
+    assert len(got) == len(rows)
+    bad = lambda x: x["p_low"] + x["p_toxic"] - x["p_low"] * x["p_toxic"]
+    overall = sum(map(bad, got)) / len(got)
+
+    def posteriors(groups, prior):
+        big = {k: v for k, v in groups.items() if len(v) > 1}
+        n = {k: len(v) for k, v in groups.items()}
+        spread = sum(n[k] * (sum(v) / n[k] - prior[k]) ** 2 for k, v in big.items())
+        noise = sum(prior[k] * (1 - prior[k]) for k in big)
+        between = max(0.0, spread - noise) / max(1, sum(n[k] for k in big))
+        weight = min(1e6, max(1.0, noise / max(1, len(big)) / between - 1)) if between > 0 else 1e6
+        return {k: (sum(v) + weight * prior[k]) / (n[k] + weight) for k, v in groups.items()}
+
+    hosts, paths, host_of = {}, {}, {}
+    for x in got:
+        hosts.setdefault(x["host"], []).append(bad(x))
+        paths.setdefault(x["path"], []).append(bad(x))
+        host_of[x["path"]] = x["host"]
+    host_post = posteriors(hosts, dict.fromkeys(hosts, overall))
+    path_post = posteriors(paths, {p: host_post[h] for p, h in host_of.items()})
+    logit = lambda p: math.log(min(1 - 1e-6, max(1e-6, p)) / (1 - min(1 - 1e-6, max(1e-6, p))))
+    for x in got:
+        p = 1 / (1 + math.exp(-(logit(bad(x)) + quality.SITE_POWER * (logit(path_post[x["path"]]) - logit(overall)))))
+        assert x["host_bad"] == pytest.approx(host_post[x["host"]], abs=1e-9) and x["path_bad"] == pytest.approx(path_post[x["path"]], abs=1e-9)
+        assert x["p_bad"] == pytest.approx(p, abs=1e-9) and x["keep"] == (x["p_bad"] < quality.THRESHOLD)
+    assert {x["host"] for x in got} == {"a", "b", "", "rare"}
+
+
 def test_quality_whole_text():
     """Measures of form count the whole text, however long, and ASCII as other text."""
     for tail in ("AB1#", "\u00c9B1#"):
