@@ -114,7 +114,7 @@ def _one_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([node, own])), pa.array(np.concatenate([root, own]))], names=["node", "component"])
 
 
-def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, one_task: int = ONE_TASK_EDGES) -> DataFrame:
+def components(edges: DataFrame, src: str = "src", dst: str = "dst", one_task: int = ONE_TASK_EDGES) -> DataFrame:
     """Connected components of an undirected edge list as ``(node, component)``, component being the least node.
 
     Up to ``one_task`` edges (16 MB) are joined by one task, on an executor. Beyond that alternating large-star and
@@ -136,9 +136,7 @@ def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds:
     before = summary(current.df)
     if before[0] <= one_task:
         return current.df.coalesce(1).mapInArrow(_one_forest, "node long, component long")
-    for _ in range(max_rounds):
-        if not before[0]:
-            break
+    while before[0]:  # rounds shrink the longest path geometrically, so this ends after about log2 of it
         e = current.df
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
