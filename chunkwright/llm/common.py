@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASCII_BLANKS = " \t\n\x0b\x0c\r"
-ONE_TASK_EDGES = 1_000_000
+ONE_TASK_EDGES, BROADCAST_ROWS = 1_000_000, 2_000_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -77,6 +77,11 @@ class Stored:
         _PATHS.pop(self.path, None)
 
 
+def beside(small: DataFrame, most: int | None = None) -> DataFrame:
+    """A stored table of a few numbers a row, marked for a join: up to ``BROADCAST_ROWS`` (64 MB) it goes to the other side's tasks."""
+    return F.broadcast(small) if small.count() <= (BROADCAST_ROWS if most is None else most) else small.hint("merge")
+
+
 def release() -> None:
     """Deletes all intermediate tables of this process; results that still read them must be written before."""
     for path, spark in list(_PATHS.items()):

@@ -31,10 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Stored, components, forest, mix64, shingle_hashes, shuffle_partitions, table, word_hashes
+from .common import BROADCAST_ROWS, Stored, beside, components, forest, mix64, shingle_hashes, shuffle_partitions, table, word_hashes
 from .suffix_dedup import _blobs, unpack
 
-WORDS, PERCENT, BLOCK_SHINGLES, FLUSH, BROADCAST_MEMBERS, MANY = 5, 80, 120_000, 1 << 19, 2_000_000, 64
+WORDS, PERCENT, BLOCK_SHINGLES, FLUSH, MANY = 5, 80, 120_000, 1 << 19, 64
 POINT, LEAF, FAN, PART_BYTES = 128, 16, 16, 16 << 20
 NULL_ID = -(1 << 63)
 
@@ -419,7 +419,7 @@ def _to_sets(words: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES, broadcast_members: int = BROADCAST_MEMBERS, row_col: str | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES, broadcast_members: int = BROADCAST_ROWS, row_col: str | None = None) -> DataFrame:
     """``(doc_id, n_shingles, component_id, n_links)`` for every row: the least id reachable over links of Jaccard >= percent / 100,
     and the number of rows that this row links with.
 
@@ -471,7 +471,7 @@ def verified_links(rows: DataFrame, classes: DataFrame, edges: DataFrame, words:
     blocks = Stored(volume.join(near[0], ["cluster", "size"], "left").join(near[1], ["cluster", "size"], "left").na.fill(0)).df
     placed = Stored(sized.join(blocks, ["cluster", "size"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("own"))).select("doc", *MEMBER)).df
     # a few numbers a member: up to 64 MB they go to the texts, beyond that both sides meet by the document
-    with_text = rows.join(F.broadcast(placed) if placed.count() <= broadcast_members else placed.hint("merge"), "doc").select(*MEMBER, "text")
+    with_text = rows.join(beside(placed, broadcast_members), "doc").select(*MEMBER, "text")
     # rows of one id may hold texts of one class more than once
     sets = with_text.mapInArrow(_to_sets(words), ", ".join(f"{c} long" for c in MEMBER) + ", set binary")
 

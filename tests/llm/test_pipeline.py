@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chunkwright.llm import mixing, ngram_join, quality
+from chunkwright.llm import common, mixing, ngram_join, quality
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -55,7 +55,8 @@ def test_copies_reach_the_join(spark):
     assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, lines, "").collect()} >= {0, 15} and corpus_pipeline.one_of_each(spark, lines, "").where("doc_id < 30").count() == 2
 
 
-def test_rows_of_one_id(spark, tmp_path):
+@pytest.mark.parametrize("most", [1000, -1])
+def test_rows_of_one_id(spark, tmp_path, monkeypatch, most):
     """Repeated and null ids, clashing columns, ties and long texts: decisions go by row."""
     r = random.Random(4)
     text = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n))
@@ -73,6 +74,7 @@ def test_rows_of_one_id(spark, tmp_path):
     want = [str(x) for k, x in enumerate(every) if verdict[x["doc_id"] if 100 <= (x["doc_id"] or 0) < 140 else 1000 + k]]
     assert good.columns == d.columns and sorted(map(str, good.collect())) == sorted(want)
     assert sum("BUY" in x for x in want) <= 2 and any("doc_id=9," in x for x in want)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", most)
     one = corpus_pipeline.one_of_each(spark, d, home)
     assert one.columns == d.columns
     kept = sorted(((x["doc_id"], x["text"]) for x in one.collect()), key=str)
