@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwright.llm import line_dedup, mixing, ngram_join, packing, quality
-from chunkwright.llm.common import Stored, table
+from chunkwright.llm.common import Stored, beside, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,12 +49,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = Stored(ngram_join.near_duplicates(marked, row_col="_row_key")).df.where("root IS NOT NULL")
     best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("b"))
     kept = Stored(best.select(F.col("b.row").alias("_row_key"))).df
-    gone = groups.select(F.col("row").alias("_row_key")).distinct().join(kept, "_row_key", "left_anti")
-    left = marked.join(gone, "_row_key", "left_anti")
+    seen = groups.groupBy(F.col("row").alias("_row_key")).count()
+    gone = Stored(seen.join(kept, "_row_key", "left_anti").select("_row_key")).df
+    left = marked.join(beside(gone), "_row_key", "left_anti")
     # a kept row that stands more than once in the table
-    twice = groups.groupBy(F.col("row").alias("_row_key")).count().where("count > 1").join(kept, "_row_key", "left_semi").select("_row_key")
-    once = left.join(twice, "_row_key", "left_anti").select(*names)
-    return once.unionByName(left.join(twice, "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*names))
+    twice = Stored(seen.where("count > 1").join(kept, "_row_key", "left_semi").select("_row_key")).df
+    if not twice.limit(1).count():
+        return left.select(*names)
+    once = left.join(beside(twice), "_row_key", "left_anti").select(*names)
+    return once.unionByName(left.join(beside(twice), "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*names))
 
 
 def sample_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
