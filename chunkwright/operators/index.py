@@ -32,6 +32,11 @@ def document_frequency(index: DataFrame) -> DataFrame:
     return index.groupBy("tok").agg(F.count("*").alias("df"))
 
 
+def frequencies(chunks: DataFrame, text_col: str = "text") -> DataFrame:
+    """(tok, df) straight from the texts: a row's own repeats go before the count, so only partial counts by token are shuffled."""
+    return chunks.select(F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("tok")).groupBy("tok").agg(F.count("*").alias("df"))
+
+
 @dataclass(frozen=True)
 class Lexical:
     """An index ready for search: postings (tok, row_id, tf, dl), frequencies (tok, df), rows and tokens a row on average."""

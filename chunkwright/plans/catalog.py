@@ -97,7 +97,12 @@ def tokenize_counts(spark, sf_dir):
 
 @query(f"WITH {BM25} SELECT tok, df FROM df")
 def document_frequencies(spark, sf_dir):
-    return index.document_frequency(index.postings(table(spark, sf_dir, "documents"), "doc_id"))
+    return index.frequencies(table(spark, sf_dir, "documents"))
+
+
+@query(f"WITH {BM25} SELECT tok, row_id, tf FROM tf")
+def postings(spark, sf_dir):
+    return index.postings(table(spark, sf_dir, "documents"), "doc_id")
 
 
 @query(f"WITH {BM25} SELECT * FROM bm")
@@ -248,7 +253,8 @@ q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS r, regexp_
 s AS (SELECT *, coalesce(sum(CAST(signs AS INT)) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS signed FROM q)
 SELECT format, doc_id AS key, n + 1 AS part, NULL::VARCHAR AS heading, CASE WHEN format = 'letter' AND signs THEN 'Sincerely,' ELSE page END AS text FROM s WHERE format = 'pdf' OR signed = 0 AND r <= 15
 UNION ALL SELECT format, doc_id, 0, NULL, x FROM (SELECT format, doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'gs'), '[ 	
-]+', ' ', 'g')) AS x FROM d WHERE format = 'html') WHERE x <> ''""")
+
+]+', ' ', 'g')) AS x FROM d WHERE format = 'html') WHERE x <> ''""")
 def dispatch_formats(spark, sf_dir):
     kind = F.when(F.col("lang") == "en", "pdf").when(F.col("lang") == "de", "letter").when(F.col("lang") == "fr", "html").otherwise("unheard of")
     paged = F.when(F.col("lang").isin("en", "de"), F.replace("text", F.lit("\n"), F.lit("\f"))).otherwise(F.col("text"))
@@ -531,7 +537,10 @@ def captions(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", render.caption(role, F.when(role != "user", F.col("turn").cast("string")), ocr, F.array(role, F.lit("b"))).alias("text"))
 
 
-@query()
+@query(r"""SELECT p_partkey, array_to_string([p_name, 'OpenRouter id: ' || p_brand, CASE WHEN p_type <> p_brand THEN 'Canonical slug: ' || p_type END, 'Context window: ' || format('{:,}', p_size * 1000) || ' tokens',
+  'Max completion tokens: ' || format('{:,}', p_size), 'Modality: text', 'Modalities: input=[text, ' || p_type || '], output=[text]', 'Tokenizer: ' || p_brand, 'Knowledge cutoff: 2025-01',
+  'Pricing (USD):', '  prompt: $2.5 / Mtok', '  completion: $' || regexp_replace(CAST(CAST(CAST('0.00000' || p_size AS DECIMAL(24,15)) * 1000000 AS DECIMAL(30,6)) AS VARCHAR), '\.?0+$', '') || ' / Mtok', '  image: $0.5 / image',
+  CASE WHEN p_size > 20 THEN 'Provider moderation: enabled' END, 'Supported parameters: seed, top_p', '', p_name], chr(10)) AS text FROM part""")
 def model_records(spark, sf_dir):
     m = table(spark, sf_dir, "part").selectExpr(
         "p_partkey",
