@@ -429,7 +429,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     (null without words). No rows give none. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    row = F.lit(0) if row_col is None else F.col(row_col)
+    row = F.xxhash64(F.col(text_col).cast("string")) if row_col is None else F.col(row_col)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"), F.col(text_col).cast("string").alias("text"), row.cast("long").alias("row"))
     if "Exchange" in rows._jdf.queryExecution().executedPlan().toString():
         rows = Stored(rows).df  # sets are numbered by their place: a task that runs again must see the same rows in the same order
@@ -442,8 +442,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = Stored(step.repartition(wide, "part").mapInArrow(_gather, T)).df
     sketch = found.where("kind = 0").select(F.col("x").alias("doc_id"), F.col("y").alias("cls"), "n", "row")
     edges = found.where("kind = 1").select(F.col("x").alias("src"), F.col("y").alias("dst"))
-    classes = Stored(sketch.where("n > 0").groupBy("cls").agg(F.min(F.coalesce("doc_id", F.lit(NULL_ID))).alias("doc"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.count("*").alias("docs"))).df
-    links = Stored(verified_links(rows.select("doc", "text"), classes, edges, words, percent, block_shingles, broadcast_members)).df
+    classes = Stored(sketch.where("n > 0").groupBy("cls").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "row")).alias("at"), F.min("doc_id").alias("least"), F.first("n").alias("n"), F.count("*").alias("docs"))).df
+    links = Stored(verified_links(rows, classes, edges, words, percent, block_shingles, broadcast_members)).df
     roots = components(links.where("src <> dst"))
     others = links.where("src = dst").groupBy(F.col("src").alias("cls")).agg(F.sum("n").alias("others"))
     # every class to the least id of its component; then every row to its class
@@ -465,14 +465,15 @@ def verified_links(rows: DataFrame, classes: DataFrame, edges: DataFrame, words:
     # sets that link differ by at most one size class; the classes are a hair wider than the threshold asks for, against rounding
     step = float(np.log(100 / percent) * (1 + 1e-9)) or 1.0
     size = F.when(F.col("volume") > block_shingles, F.floor(F.log(F.col("n").cast("double")) / step)).otherwise(F.lit(0)).cast("long")
-    sized = Stored(members.join(whole, "cluster").select("cls", "cluster", "doc", "n", "docs", size.alias("size"))).df
+    sized = Stored(members.join(whole, "cluster").select("cls", "cluster", "at.doc", "at.row", "n", "docs", size.alias("size"))).df
     volume = sized.groupBy("cluster", "size").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("long").alias("own"))
     near = [volume.select("cluster", (F.col("size") + by).alias("size"), F.col("own").alias(name)) for by, name in ((1, "below"), (-1, "above"))]
     blocks = Stored(volume.join(near[0], ["cluster", "size"], "left").join(near[1], ["cluster", "size"], "left").na.fill(0)).df
-    placed = Stored(sized.join(blocks, ["cluster", "size"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("own"))).select("doc", *MEMBER)).df
-    # a few numbers a member: up to 64 MB they go to the texts, beyond that both sides meet by the document
-    with_text = rows.join(beside(placed, broadcast_members), "doc").select(*MEMBER, "text")
-    # rows of one id may hold texts of one class more than once
+    placed = Stored(sized.join(blocks, ["cluster", "size"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("own"))).select("doc", "row", *MEMBER)).df
+    # a few numbers a member: up to 64 MB they go to the texts, beyond that both sides meet by the document; its id alone
+    # may stand in any number of rows, so a hash of the row or its text goes with it
+    with_text = rows.join(beside(placed, broadcast_members), ["doc", "row"]).select(*MEMBER, "text")
+    # repeated rows hold a class more than once
     sets = with_text.mapInArrow(_to_sets(words), ", ".join(f"{c} long" for c in MEMBER) + ", set binary")
 
     def meet(more: str, test: str, a: str, i: str, b: str, j: str, left: str) -> str:

@@ -346,6 +346,19 @@ def test_ngram_edges(spark):
     assert by == {(None, 1): 3, (3, 1): 3, (4, 0): 4, (5, 0): 5, (5, 1): 5}
 
 
+def test_ngram_texts_under_one_id(spark):
+    """Null ids and one repeated id: every row keeps its own set, links and component."""
+    texts = corpus(5)
+    ids = [None if i % 3 == 0 else 7 if i % 3 == 1 else 100 + i for i in range(len(texts))]
+    got = ngram_join.near_duplicates(docs(spark, texts, ids), block_shingles=700, broadcast_members=0).collect()
+    want = brute_components(texts, 5, 80)
+    roots = {}
+    for i, (_, root, _) in zip(ids, want, strict=True):
+        roots[root] = min(roots.get(root, i), i, key=lambda x: (x is None, x or 0))
+    key = lambda t: tuple((x is None, x or 0) for x in t)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(((i, n, roots[root], k) for i, (n, root, k) in zip(ids, want, strict=True)), key=key)
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(r.randrange(80), r.randrange(80)) for _ in range(60)] + [(100, i) for i in range(101, 140)] + [(None, 1), (7, 7)]
