@@ -78,7 +78,7 @@ class Stored:
 
 
 def beside(small: DataFrame, most: int | None = None) -> DataFrame:
-    """A stored table of a few numbers a row, marked for a join: up to ``BROADCAST_ROWS`` (64 MB) it goes to the other side's tasks."""
+    """A stored table of a few numbers a row, marked for a join: up to ``BROADCAST_ROWS`` (16 MB a number) it goes to the other side's tasks."""
     return F.broadcast(small) if small.count() <= (BROADCAST_ROWS if most is None else most) else small.hint("merge")
 
 

@@ -470,7 +470,7 @@ def verified_links(rows: DataFrame, classes: DataFrame, edges: DataFrame, words:
     near = [volume.select("cluster", (F.col("size") + by).alias("size"), F.col("own").alias(name)) for by, name in ((1, "below"), (-1, "above"))]
     blocks = Stored(volume.join(near[0], ["cluster", "size"], "left").join(near[1], ["cluster", "size"], "left").na.fill(0)).df
     placed = Stored(sized.join(blocks, ["cluster", "size"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("own"))).select("doc", "row", *MEMBER)).df
-    # a few numbers a member: up to 64 MB they go to the texts, beyond that both sides meet by the document; its id alone
+    # ten numbers a member: up to two million members (about 200 MB) they go to the texts, beyond that both sides meet by the document; its id alone
     # may stand in any number of rows, so a hash of the row or its text goes with it
     with_text = rows.join(beside(placed, broadcast_members), ["doc", "row"]).select(*MEMBER, "text")
     # repeated rows hold a class more than once
