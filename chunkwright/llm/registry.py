@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_align, topk
+from . import collocations, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_align, topk
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_topk": topk.op8,
     "op9_pii_surrogates": pii.op9,
     "op10_quality": quality.op10,
+    "op11_collocations": collocations.op11,
     "op12_token_align": token_align.op12,
 }
 
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op6_mixing": mixing.OP6_SQL,
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_exact_topk": topk.OP8_SQL,
+    "op11_collocations": collocations.OP11_SQL,
 }
