@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import collocations, fingerprints, license_scan, line_dedup, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_align, topk
+from . import collocations, fingerprints, license_scan, line_dedup, line_quality, mixing, ngram_join, packing, pii, quality, suffix_dedup, token_align, topk
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality": quality.op10,
     "op11_collocations": collocations.op11,
     "op12_token_align": token_align.op12,
+    "op13_line_quality": line_quality.op13,
 }
 
 ORACLE_SQL = {
@@ -26,4 +27,5 @@ ORACLE_SQL = {
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_exact_topk": topk.OP8_SQL,
     "op11_collocations": collocations.OP11_SQL,
+    "op13_line_quality": line_quality.OP13_SQL,
 }
