@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import _M2, _PATHS, Stored, mix64, shared_dir, shuffle_partitions, table
 
 MIN_COUNT, MOST_WORDS, FIRST = 100, 5, 2000
-FLUSH_WORDS, BLOCK_CANDIDATES, MEMORY = 1 << 20, 1 << 14, "192MB"
+FLUSH_WORDS, MERGE_ROWS, BLOCK_CANDIDATES, MEMORY = 1 << 20, 1 << 19, 1 << 14, "192MB"
 PAGE_BITS, LEAST_BITS, MOST_BITS = 1 << 17, 1 << 20, 1 << 29
 
 # one byte each: letters A-Z to lower case, the ends of pieces to a line feed, a tab to a blank (fixed values)
@@ -160,23 +160,48 @@ def _summed(keys: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(total[np.append(first, len(keys))])
 
 
+def _merged(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+    """Counts (keys, n) of one task added up, as far as ``MERGE_ROWS`` distinct keys allow, before any is sent on."""
+    held: list[pa.Table] = []
+    rows = 0
+
+    def summed() -> pa.Table:
+        keys = [c for c in held[0].column_names if c != "n"]
+        return pa.concat_tables(held).group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+    for t in tables:
+        held.append(t)
+        rows += t.num_rows
+        if rows >= 2 * MERGE_ROWS:
+            held = [summed()]
+            rows = held[0].num_rows
+            if rows >= MERGE_ROWS:
+                yield from held[0].to_batches(100_000)
+                held, rows = [], 0
+    if held:
+        yield from summed().to_batches(100_000)
+
+
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for w in _gathered(batches):
-        at, n = _summed(w.at, w.m)
-        yield pa.RecordBatch.from_arrays([w.langs.take(pa.array(w.lang_of[at])), w.words.take(pa.array(w.word_of[at])), pa.array(n)], names=["lang", "phrase", "n"])
+    def tables() -> Iterator[pa.Table]:
+        for w in _gathered(batches):
+            at, n = _summed(w.at, w.m)
+            yield pa.table({"lang": w.langs.take(pa.array(w.lang_of[at])), "phrase": w.words.take(pa.array(w.word_of[at])), "n": pa.array(n)})
+
+    return _merged(tables())
 
 
 def _pair_rows(frequent):
     """Hashes of two-word runs whose words are both frequent."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for w in _gathered(batches):
             good = frequent(w.distinct)[w.at]
             at = np.flatnonzero(good[:-1] & good[1:] & (w.after[:-1] > 0)) if len(good) else np.zeros(0, np.int64)
             keys, n = _summed(w.runs(2, w.hash)[at], w.m[at])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["h", "n"])
+            yield pa.table({"h": pa.array(keys.view(np.int64)), "n": pa.array(n)})
 
-    return run
+    return lambda batches: _merged(tables(batches))
 
 
 def _longer(w: Words, pairs, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -197,29 +222,29 @@ def _longer(w: Words, pairs, most: int) -> Iterator[tuple[int, np.ndarray, np.nd
 def _long_rows(pairs, most: int):
     """Hashes of runs of three words and more."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for w in _gathered(batches):
             for n, at, h in _longer(w, pairs, most):
                 if n > 2 and len(at):
                     keys, total = _summed(h[at], w.m[at])
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(total)], names=["h", "n"])
+                    yield pa.table({"h": pa.array(keys.view(np.int64)), "n": pa.array(total)})
 
-    return run
+    return lambda batches: _merged(tables(batches))
 
 
 def _phrase_rows(pairs, longer, most: int):
     """(lang, phrase, n) of runs whose hash reached the limit."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for w in _gathered(batches):
             for n, at, h in _longer(w, pairs, most):
                 at = at if n == 2 else at[longer(h[at])]
                 for part in (at[i : i + 200_000] for i in range(0, len(at), 200_000)):
                     held = pa.table({"lang": pa.array(w.lang[part]), "phrase": w.phrases(part, n), "n": pa.array(w.m[part])})
                     once = held.group_by(["lang", "phrase"]).aggregate([("n", "sum")]).combine_chunks()
-                    yield pa.RecordBatch.from_arrays([w.langs.take(once.column("lang").combine_chunks()), once.column("phrase").combine_chunks(), once.column("n_sum").combine_chunks()], names=["lang", "phrase", "n"])
+                    yield pa.table({"lang": w.langs.take(once.column("lang").combine_chunks()), "phrase": once.column("phrase"), "n": once.column("n_sum")})
 
-    return run
+    return lambda batches: _merged(tables(batches))
 
 
 def _bucket(select: str, fields: list[str], scratch: str):
