@@ -7,6 +7,7 @@ lies in an element is what lies between its ends, what is dropped is a set of in
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -197,11 +198,10 @@ CHART = "/grapher/"  # the path of charts (fixed value)
 
 
 def charts(html: str | None) -> list[str]:
-    """[X15] The distinct slugs of linked charts, in the order of their first link."""
+    """[X15] The distinct slugs of charts that anchors link to, as they stand up to a ``?``, ``#`` or quote, in the order of their first link."""
     page = parse(html)
-    links = (e.attrs.get("href", "") for e in page.inside(page.all(), "a", "iframe"))
-    slugs = (href.split(CHART, 1)[1].split("?")[0].split("#")[0].strip("/") for href in links if CHART in href)
-    return list(dict.fromkeys(s for s in slugs if s))
+    found = (re.match("[^?#\"']+", e.attrs.get("href", "").partition(CHART)[2]) for e in page.inside(page.all(), "a"))
+    return list(dict.fromkeys(m[0] for m in found if m))
 
 
 def tables(html: str | None) -> str:

@@ -139,7 +139,8 @@ def inner_product(a: Column, b: Column) -> Column:
 # [X13] roles by what the name or the title holds; the first that fits counts (fixed values)
 NAME_ROLES = (("operator", ("operator",)),)
 TITLE_ROLES = (("ceo", ("chief executive", "ceo", "chairman")), ("cfo", ("chief financial", "cfo")), ("investor-relations", ("investor relations", "head of ir")))
-SPEAKER = r"^([A-Z][A-Za-z'.\- ]{2,80}?)(?:,\s*[A-Z][A-Za-z &'.\-,]+)?\s*:\s*"
+# how a paragraph opens with its speaker (fixed value)
+SPEAKER = r"^([A-Z][A-Za-z'\.\- ]{2,80}?)(?:,\s*[A-Z][A-Za-z &'\.\-,]+)?\s*:\s*"
 
 
 def speaker_role(name: Column, title: Column) -> Column:

@@ -76,7 +76,9 @@ def with_cache(texts: DataFrame, cache: str, encoder, key: str = "key", text: st
     if known:
         missing = missing.join(spark.read.parquet(cache).select(key), key, "left_anti")
     missing.select(key, encoder(F.col(text)).alias("embedding")).write.mode("append").option("compression", "zstd").parquet(cache)
-    return texts.join(spark.read.parquet(cache).dropDuplicates([key]), key)
+    # only the wanted vectors are read on: the cache keeps those of all texts that ever were
+    wanted = spark.read.parquet(cache).join(texts.select(key).distinct(), key, "left_semi")
+    return texts.join(wanted.dropDuplicates([key]), key)
 
 
 def write_status(current: DataFrame, previous: DataFrame, key: str, sha: str) -> DataFrame:

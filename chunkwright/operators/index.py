@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
@@ -47,39 +47,12 @@ class Lexical:
     avgdl: float
 
 
-def sized_postings(chunks: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-    """(tok, row_id, tf, dl): the length rides along with each token, so no join brings it back."""
-    held = chunks.select(F.col(id_col).cast("long").alias("row_id"), tokens(F.col(text_col)).alias("t"))
-    rows = held.select("row_id", F.size("t").cast("long").alias("dl"), F.explode("t").alias("tok"))
-    return rows.groupBy("tok", "row_id").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
-
-
-def store_index(chunks: DataFrame, id_col: str, folder: str, text_col: str = "text") -> Lexical:
-    """[K5] Writes postings sorted by token, so that a search for a few tokens reads a few row groups, and frequencies.
-
-    Ranges are cut by token and row: a token that every row holds spreads over several tasks.
-    """
-    sized = sized_postings(chunks, id_col, text_col)
-    sized.repartitionByRange("tok", "row_id").sortWithinPartitions("tok", "row_id").write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/postings")
-    held = chunks.sparkSession.read.parquet(f"{folder}/postings")
-    document_frequency(held).repartitionByRange("tok").sortWithinPartitions("tok").write.mode("overwrite").parquet(f"{folder}/frequencies")
-    rows = chunks.select(F.lit(1).alias("one")).agg(F.count("*").alias("n"))
-    held.agg(F.sum("tf").alias("total")).crossJoin(rows).coalesce(1).write.mode("overwrite").parquet(f"{folder}/stats")  # one row each
-    return load_index(chunks.sparkSession, folder)
-
-
-def load_index(spark: SparkSession, folder: str) -> Lexical:
-    stats = spark.read.parquet(f"{folder}/stats").first()
-    return Lexical(spark.read.parquet(f"{folder}/postings"), spark.read.parquet(f"{folder}/frequencies"), stats["n"], (stats["total"] or 0) / stats["n"] if stats["n"] else 1.0)
-
-
-def bm25_topk(queries: DataFrame, chunks: DataFrame | None, query_id: str, id_col: str = "row_id", query_text: str = "text", text_col: str = "text", k: int = TOP, k1: float = K1, b: float = B, index: Lexical | None = None, among: list[str] | None = None) -> DataFrame:
+def bm25_topk(queries: DataFrame, chunks: DataFrame | None, query_id: str, id_col: str = "row_id", query_text: str = "text", text_col: str = "text", k: int = TOP, k1: float = K1, b: float = B, index: Lexical | None = None) -> DataFrame:
     """(query_id, row_id, rank, score) of the k best matching rows for each query, 0-based ranks.
 
     Repeated query tokens count as often as they occur; a query without tokens has no rows; rows that share no token with
     the query have none either. Ranks go by the score to nine places, then by row. With ``index`` no text is read; without,
-    only postings of the queries' own tokens are aggregated: the semi-join on them comes before the count. ``among`` names the
-    queries' tokens where the caller knows them, so that the scan of the stored postings skips the rest.
+    only postings of the queries' own tokens are aggregated: the semi-join on them comes before the count. ``segments`` holds an index that is stored.
     """
     asked = queries.select(F.col(query_id).cast("long").alias("query_id"), F.explode(tokens(F.col(query_text))).alias("tok")).groupBy("query_id", "tok").agg(F.count("*").alias("qtf"))
     if index is None:
@@ -88,7 +61,7 @@ def bm25_topk(queries: DataFrame, chunks: DataFrame | None, query_id: str, id_co
         rows = held.select("row_id", F.size("t").cast("long").alias("dl"), F.explode("t").alias("tok"))
         found = rows.join(asked.select("tok").distinct(), "tok", "left_semi").groupBy("tok", "row_id").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
         index = Lexical(found, document_frequency(found), stats["n"], stats["avgdl"] or 1.0)
-    found, frequencies = (x if among is None else x.where(F.col("tok").isin(among)) for x in (index.postings, index.frequencies))
+    found, frequencies = index.postings, index.frequencies
     # the query's side of the sum is small and is finished before it meets the postings
     idf = F.log(1 + (F.lit(index.n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = asked.join(frequencies, "tok").select("query_id", "tok", "qtf", idf.alias("idf"))

@@ -145,12 +145,18 @@ def cut_after(text: Column, pattern: str) -> Column:
 
 
 def cut_pages(df: DataFrame, id_col: str, page: str, text_col: str, pattern: str, most: int = 15) -> DataFrame:
-    """[X9] Pages up to the first that holds the pattern, that one cut after it; at most the first ``most`` pages."""
-    order = Window.partitionBy(id_col).orderBy(page)
-    held = df.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most)
-    signed = F.sum(F.col(text_col).rlike(pattern).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    kept = held.withColumn("_signed", F.coalesce(signed, F.lit(0))).where("_signed = 0")
-    return kept.withColumn(text_col, cut_after(F.col(text_col), pattern)).drop("_n", "_signed")
+    """[X9] (id, n_pages, signed, text): the first ``most`` pages of a file, blank ones counted, up to the first sign-off.
+
+    Pages are joined by a line feed and added one by one until the joined text holds the pattern, so a sign-off may run over a page
+    break; the text ends with it. ``n_pages`` is how many were read. A null page is a blank one.
+    """
+    held = df.withColumn("_n", F.row_number().over(Window.partitionBy(id_col).orderBy(page))).where(F.col("_n") <= most)
+    pages = held.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", F.coalesce(text_col, F.lit("")).alias("t")))), lambda x: x["t"]).alias("_p"))
+    upto = F.transform(F.sequence(F.lit(1), F.size("_p")), lambda i: F.struct(i.alias("n"), F.array_join(F.slice("_p", F.lit(1), i), "\n").alias("t")))
+    first = F.try_element_at(F.filter(upto, lambda x: x["t"].rlike(pattern)), F.lit(1))
+    got = pages.withColumn("_f", first)
+    text = F.when(F.col("_f").isNull(), F.array_join("_p", "\n")).otherwise(cut_after(F.col("_f.t"), pattern))
+    return got.select(id_col, F.coalesce(F.col("_f.n"), F.size("_p")).cast("long").alias("n_pages"), F.col("_f").isNotNull().alias("signed"), text.alias("text"))
 
 
 def form_feed_pages(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import citations, render, text
 from ..functions import html as html_functions
-from ..operators import audit, fold, index, retrieve, segment
+from ..operators import audit, fold, index, retrieve, segment, segments
+from ..operators import vectors as stored_vectors
 from ..sources import readers, sinks
 from ..streaming import jobs
 from . import dispatch
@@ -78,15 +79,34 @@ def _vectors(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding")
 
 
-_INDEXES: dict[tuple[str, str], index.Lexical] = {}
+_BUILT: dict[tuple, object] = {}
 
 
-def _index(spark, sf_dir) -> index.Lexical:
-    """The stored index over ``documents``: built by the first search of an application, read by the others."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _INDEXES:
-        _INDEXES[key] = index.store_index(table(spark, sf_dir, "documents"), "doc_id", jobs.working_folder(spark, "index"))
-    return _INDEXES[key]
+def _state(spark, path: str) -> tuple:
+    """Files of a table with their times and sizes: another state is another index."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((str(f.getPath()), f.getModificationTime(), f.getLen()) for f in fs.listStatus(p)))
+
+
+def _built(spark, sf_dir, name: str, make):
+    """What searches share: built by the first that needs it in an application and for a state of the table, read by the others."""
+    key = (spark.sparkContext.applicationId, name, _state(spark, f"{sf_dir}/{name}.parquet"))
+    if key not in _BUILT:
+        _BUILT[key] = make(jobs.working_folder(spark, name))
+    return _BUILT[key]
+
+
+def _index(spark, sf_dir) -> segments.Commit:
+    return _built(spark, sf_dir, "documents", lambda folder: segments.upsert(spark, folder, table(spark, sf_dir, "documents"), "doc_id", unique=True))
+
+
+def _stored_vectors(spark, sf_dir) -> str:
+    def make(folder: str) -> str:
+        stored_vectors.store_vectors(_vectors(spark, sf_dir), folder)
+        return folder
+
+    return _built(spark, sf_dir, "embeddings", make)
 
 
 @query(f"SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, CAST(len(list_distinct(t)) AS BIGINT) AS n_distinct FROM (SELECT doc_id, {TOKENS.format('text')} AS t FROM documents)")
@@ -107,7 +127,27 @@ def postings(spark, sf_dir):
 
 @query(f"WITH {BM25} SELECT * FROM bm")
 def bm25_topk(spark, sf_dir):
-    return index.bm25_topk(table(spark, sf_dir, "benchmark"), None, "item_id", index=_index(spark, sf_dir))
+    return segments.search(table(spark, sf_dir, "benchmark"), _index(spark, sf_dir), "item_id")
+
+
+@query(f"WITH {BM25} SELECT tok, df FROM df")
+def segment_index(spark, sf_dir):
+    """A new index of the documents, and the frequencies that it holds: what building costs."""
+    return segments.upsert(spark, jobs.working_folder(spark, "built"), table(spark, sf_dir, "documents"), "doc_id", unique=True).frequencies()
+
+
+UPDATED = "SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN reverse(text) ELSE text END AS text FROM documents WHERE doc_id % 11 <> 5"
+
+
+@query(f"WITH documents_now AS ({UPDATED}), {BM25.replace('FROM documents', 'FROM documents_now')} SELECT * FROM bm")
+def segment_index_updated(spark, sf_dir):
+    """[K3, J6] The index after a third of changes: rows changed and removed by delete vectors, then one segment of what is left."""
+    folder = jobs.working_folder(spark, "updated")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    segments.upsert(spark, folder, docs, "doc_id", unique=True)
+    now = docs.where("doc_id % 11 <> 5").withColumn("text", F.when(F.col("doc_id") % 7 == 3, F.reverse("text")).otherwise(F.col("text")))
+    segments.upsert(spark, folder, now, "doc_id", whole=True, unique=True)
+    return segments.search(table(spark, sf_dir, "benchmark"), segments.open_commit(spark, folder), "item_id")
 
 
 @query(f"WITH {BM25} SELECT * FROM bm")
@@ -120,6 +160,11 @@ def dense_topk(spark, sf_dir):
     return retrieve.dense_topk(_asked(spark, sf_dir).where("embedding IS NOT NULL"), _vectors(spark, sf_dir), "item_id", "row_id")
 
 
+@query(f"WITH {DENSE} SELECT * FROM de")
+def stored_vector_topk(spark, sf_dir):
+    return stored_vectors.search_vectors(_asked(spark, sf_dir), _stored_vectors(spark, sf_dir), "item_id")
+
+
 @query(f"WITH {BM25}, {DENSE}, {FUSED} SELECT query_id, row_id, round(score, 9) AS score FROM fu")
 def rrf_fuse(spark, sf_dir):
     return retrieve.rrf(bm25_topk(spark, sf_dir), dense_topk(spark, sf_dir)).select("query_id", "row_id", F.round("score", 9).alias("score"))
@@ -127,12 +172,12 @@ def rrf_fuse(spark, sf_dir):
 
 @query(_final(""))
 def hybrid_search(spark, sf_dir):
-    return retrieve.search_batch(_asked(spark, sf_dir), table(spark, sf_dir, "documents"), _vectors(spark, sf_dir), "item_id", "doc_id", "source", boosts=BOOSTS, index=_index(spark, sf_dir))
+    return retrieve.search_batch(_asked(spark, sf_dir), table(spark, sf_dir, "documents"), _vectors(spark, sf_dir), "item_id", "doc_id", "source", boosts=BOOSTS, index=_index(spark, sf_dir), stored=_stored_vectors(spark, sf_dir))
 
 
 @query(_final("WHERE source IN ('src0', 'src1')"))
 def hybrid_search_scoped(spark, sf_dir):
-    return retrieve.search_batch(_asked(spark, sf_dir), table(spark, sf_dir, "documents"), _vectors(spark, sf_dir), "item_id", "doc_id", "source", boosts=BOOSTS, index=_index(spark, sf_dir), corpus=["src0", "src1"])
+    return retrieve.search_batch(_asked(spark, sf_dir), table(spark, sf_dir, "documents"), _vectors(spark, sf_dir), "item_id", "doc_id", "source", boosts=BOOSTS, index=_index(spark, sf_dir), stored=_stored_vectors(spark, sf_dir), corpus=["src0", "src1"])
 
 
 @query(f"SELECT doc_id, {SNIPPET.format('line')} AS snippet FROM (SELECT doc_id, array_to_string({WORDS.format('text')}, ' ') AS line FROM documents)")
@@ -248,10 +293,9 @@ def transcript_windows(spark, sf_dir):
 
 @query(r"""WITH d AS (SELECT doc_id, text, CASE lang WHEN 'en' THEN 'pdf' WHEN 'de' THEN 'letter' WHEN 'fr' THEN 'html' ELSE 'unheard of' END AS format FROM documents),
 p AS (SELECT *, unnest(string_split(text, chr(10))) AS page, unnest(range(len(string_split(text, chr(10))))) AS n FROM d WHERE format IN ('pdf', 'letter')),
-q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS r, regexp_matches(page, '(^|
-)Sincerely,') AS signs FROM p WHERE trim(regexp_replace(page, '\s+', ' ', 'g')) <> ''),
-s AS (SELECT *, coalesce(sum(CAST(signs AS INT)) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS signed FROM q)
-SELECT format, doc_id AS key, n + 1 AS part, NULL::VARCHAR AS heading, CASE WHEN format = 'letter' AND signs THEN 'Sincerely,' ELSE page END AS text FROM s WHERE format = 'pdf' OR signed = 0 AND r <= 15
+l AS (SELECT doc_id, array_to_string(string_split(text, chr(10))[1:15], chr(10)) AS t FROM d WHERE format = 'letter')
+SELECT format, doc_id AS key, n + 1 AS part, NULL::VARCHAR AS heading, page AS text FROM p WHERE format = 'pdf' AND trim(regexp_replace(page, '\s+', ' ', 'g')) <> ''
+UNION ALL SELECT 'letter', doc_id, 0, NULL, CASE WHEN regexp_matches(t, '(?m)^Sincerely,') THEN regexp_extract(t, '(?ms)^(.*?^Sincerely,)', 1) ELSE t END FROM l
 UNION ALL SELECT format, doc_id, 0, NULL, x FROM (SELECT format, doc_id, trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'gs'), '[ 	
 
 ]+', ' ', 'g')) AS x FROM d WHERE format = 'html') WHERE x <> ''""")
@@ -353,12 +397,17 @@ def cut_after_signoff(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", segment.cut_after(F.col("text"), "License").alias("text"))
 
 
-@query(r"""WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS n FROM documents),
-q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS r FROM p WHERE trim(regexp_replace(text, '\s+', ' ', 'g')) <> ''),
-s AS (SELECT *, coalesce(sum(CAST(contains(text, 'License') AS INT)) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS signed FROM q WHERE r <= 15)
-SELECT doc_id, n + 1 AS slide_number, CASE WHEN contains(text, 'License') THEN substr(text, 1, strpos(text, 'License') + 6) ELSE text END AS text FROM s WHERE signed = 0""")
+SIGNOFF = r"Licens[^\n]*\n+\s*\S+"  # runs over the end of a page
+
+
+@query(rf"""WITH p AS (SELECT doc_id, string_split(text, chr(10))[1:15] AS p FROM documents),
+u AS (SELECT doc_id, p, unnest(range(1, len(p) + 1)) AS n, unnest(list_transform(range(1, len(p) + 1), lambda i: array_to_string(p[1:i], chr(10)))) AS t FROM p),
+f AS (SELECT doc_id, min(n) AS n, arg_min(t, n) AS t FROM u WHERE regexp_matches(t, '{SIGNOFF}') GROUP BY doc_id)
+SELECT p.doc_id, CAST(coalesce(f.n, len(p)) AS BIGINT) AS n_pages, f.n IS NOT NULL AS signed,
+  CASE WHEN f.n IS NULL THEN array_to_string(p, chr(10)) ELSE substr(t, 1, strpos(t, regexp_extract(t, '{SIGNOFF}')) - 1 + length(regexp_extract(t, '{SIGNOFF}'))) END AS text FROM p LEFT JOIN f USING (doc_id)""")
 def cut_pages_after_signoff(spark, sf_dir):
-    return segment.cut_pages(form_feed_pages(spark, sf_dir), "doc_id", "slide_number", "text", "License")
+    pages = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "text"))
+    return segment.cut_pages(pages, "doc_id", "n", "text", SIGNOFF)
 
 
 # ---------------------------------------------------------------- text and records

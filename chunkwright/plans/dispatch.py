@@ -21,7 +21,8 @@ def _pages(df: DataFrame) -> DataFrame:
 
 
 def _letter(df: DataFrame) -> DataFrame:
-    return segment.cut_pages(segment.form_feed_pages(df, "key"), "key", "slide_number", "text", SIGN_OFF).select("key", F.col("slide_number").alias("part"), F.lit(None).cast("string").alias("heading"), "text")
+    pages = df.select("key", F.posexplode(F.split("text", "\f")).alias("n", "text"))
+    return segment.cut_pages(pages, "key", "n", "text", SIGN_OFF).select("key", F.lit(0).cast("long").alias("part"), F.lit(None).cast("string").alias("heading"), "text")
 
 
 def _web(df: DataFrame) -> DataFrame:

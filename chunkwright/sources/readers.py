@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +29,12 @@ def payloads(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob)
 
 
-def jsonl_chunks(spark: SparkSession, root: str, schema: T.StructType = CHUNK, by_stem: bool = False) -> DataFrame:
+def jsonl_chunks(spark: SparkSession, root: str, schema: T.StructType = CHUNK, by_stem: bool = False, extras: bool = False) -> DataFrame:
     """[S6, J5, W11, T4] Chunks of all files under a root, sidecars instead of the originals they shadow.
 
     Blank lines count for nothing. ``row_id`` numbers rows by path component and line; it needs a total order, which
     is made from one count a file, summed in order in one task (a row a file, not a line), and a window inside each file.
+    With ``extras`` the fields that the schema lacks come along in one variant column ``extra``, null where there are none.
     """
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{chunks,rechunked}.jsonl").text(root)
     held = raw.select(F.col("value"), F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("seq")).where(F.trim("value") != "")
@@ -45,7 +46,15 @@ def jsonl_chunks(spark: SparkSession, root: str, schema: T.StructType = CHUNK, b
     starts = kept.select("path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("path").orderBy("seq")
     rows = held.join(starts, "path").withColumn("row_id", F.col("start") + F.row_number().over(inside) - 1)
-    return rows.select(F.col("row_id").cast("long").alias("row_id"), F.from_json("value", schema).alias("r"), "path").select("row_id", "r.*", F.col("path").alias("_path"))
+    more = [extra_fields(F.col("value"), schema).alias("extra")] if extras else []
+    return rows.select(F.col("row_id").cast("long").alias("row_id"), F.from_json("value", schema).alias("r"), "path", *more).select("row_id", "r.*", F.col("path").alias("_path"), *[F.col("extra") for _ in more])
+
+
+def extra_fields(value: Column, schema: T.StructType = CHUNK) -> Column:
+    """[D3, P1, Y15] The fields of a JSON object that the schema lacks, as a variant; null for none and for what is no object."""
+    named = F.from_json(value, T.MapType(T.StringType(), T.VariantType()))
+    others = F.map_filter(named, lambda k, _: ~k.isin(schema.fieldNames()))
+    return F.when(F.size(others) > 0, F.to_variant_object(others))
 
 
 def csv_rows(spark: SparkSession, path: str, key: str) -> DataFrame:

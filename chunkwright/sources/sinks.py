@@ -9,7 +9,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.index import doc_lengths, document_frequency, postings
 from ..schema import CHUNK
 
 
@@ -55,15 +54,6 @@ def write_parquet(df: DataFrame, path: str, by: list[str] | None = None) -> None
     (w.partitionBy(*by) if by else w).parquet(path)
 
 
-def write_index(chunks: DataFrame, id_col: str, name: str, buckets: int = 64) -> None:
-    """[K5, D5] Postings bucketed by token, document frequencies bucketed alike, lengths by row: joins on tok need no shuffle."""
-    index = postings(chunks, id_col)
-    index.write.mode("overwrite").bucketBy(buckets, "tok").sortBy("tok").saveAsTable(f"{name}_postings")
-    stored = chunks.sparkSession.table(f"{name}_postings")
-    document_frequency(stored).write.mode("overwrite").bucketBy(buckets, "tok").sortBy("tok").saveAsTable(f"{name}_df")
-    doc_lengths(chunks, id_col).write.mode("overwrite").saveAsTable(f"{name}_lengths")
-
-
 def index_manifest(meta: DataFrame, model: str, built: str) -> DataFrame:
     """[K7] One JSON row: counts by corpus, the total, model and build time."""
     counted = meta.groupBy("corpus").agg(F.count("*").alias("n"))

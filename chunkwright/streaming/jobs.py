@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.index import postings
+from ..operators import segments
 
 
 def stream(spark: SparkSession, folder: str, name: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -65,13 +65,17 @@ def threshold_windows(events: DataFrame, key: str, at: str, most_span: float, mo
     return events.groupBy(key).applyInPandasWithState(fold, f"{key} {kind}, window_index long, start double, end double, n long", "first double, last double, n long, index long", "append", GroupStateTimeout.NoTimeout)
 
 
-def keep_index(chunks: DataFrame, id_col: str, table: str, checkpoint: str):
-    """New files to postings: each batch appends its own rows; a replayed batch replaces what it wrote before."""
+def keep_index(chunks: DataFrame, id_col: str, folder: str, checkpoint: str, text_col: str = "text"):
+    """[K3, J6] New files to the segmented index in ``folder``, which a search reads at any time.
 
-    def upsert(batch: DataFrame, epoch: int) -> None:
-        postings(batch, id_col).write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+    A batch's new and changed rows become a segment, what they replace is deleted. A replayed batch finds its rows there
+    unchanged and has no effect, so no row is indexed twice.
+    """
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        segments.upsert(batch.sparkSession, folder, batch, id_col, text_col)
 
-    return chunks.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return chunks.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def working_folder(spark: SparkSession, name: str) -> str:

@@ -96,6 +96,7 @@ def test_html_structure():
     assert html.extract("<body><div id='m'>x<br>z</div><p>y</p>", "m") == "x\nz" and html.extract("<body><p>y</p>", "m") == "y"
     assert html.extract("</b><p>a</i><nav>n</p>b") == "a\nb" and html.extract("plain") == "plain"
     assert html.charts("<a href='/grapher/a-b?x=1'>1</a><iframe src=''></iframe><a href='https://h/grapher/c#d'>2</a><a href='/grapher/a-b'>3</a>") == ["a-b", "c"]
+    assert html.charts("<iframe src='/grapher/i' href='/grapher/j'></iframe><a href='/grapher/k/'>1</a><a href='/grapher/?x'>2</a>") == ["k/"]  # anchors only, slugs as they stand
     assert html.sections("<h2>A<p>in</p></h2><blockquote><p>q</p></blockquote>")[1] == {"heading": "A in", "anchor": None, "blocks": ["q"]}
 
 

@@ -97,18 +97,6 @@ def test_delete_is_opt_in(spark, tmp_path):
     assert sinks.delete_files(spark, files, apply=True) == 1 and not (tmp_path / "f").exists()
 
 
-def test_bucketed_index(spark, small):
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    sinks.write_index(docs, "doc_id", "t_index", 4)
-    try:
-        joined = spark.table("t_index_postings").join(spark.table("t_index_df").hint("merge"), "tok")
-        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
-        assert joined.count() == spark.table("t_index_postings").count()
-    finally:
-        for t in ("postings", "df", "lengths"):
-            spark.sql(f"DROP TABLE IF EXISTS t_index_{t}")
-
-
 def test_stream_equals_batch(spark, small):
     events = spark.read.parquet(f"{small}/events.parquet")
     key = lambda d: sorted(map(tuple, d.collect()))
@@ -131,9 +119,11 @@ def test_stream_index(spark, tmp_path, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     docs.repartition(2).write.parquet(f"{tmp_path}/in")
     jobs.keep_index(jobs.stream(spark, str(tmp_path), "in", docs.schema), "doc_id", f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
-    from chunkwright.operators.index import postings
+    from chunkwright.operators import index, segments
 
-    assert spark.read.parquet(f"{tmp_path}/out").count() == postings(docs, "doc_id").count()
+    asked = spark.read.parquet(f"{small}/benchmark.parquet")
+    got = segments.search(asked, segments.open_commit(spark, f"{tmp_path}/out"), "item_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, index.bm25_topk(asked, docs, "item_id", "doc_id").collect()))
     seen = jobs.deduplicated(jobs.stream(spark, str(tmp_path), "in", docs.schema).withColumn("ts", F.current_timestamp()))
     got = [r["content_sha"] for r in jobs.run_once(seen.select("content_sha"), "append").collect()]
     assert sorted(got) == sorted(r[0] for r in docs.select(F.sha2("text", 256)).distinct().collect())

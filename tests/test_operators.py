@@ -142,10 +142,12 @@ def test_signoff(spark):
 
 
 def test_cut_pages(spark):
-    pages = df(spark, [("a", i, f"page {i}" + (" END tail" if i in (3, 4) else "")) for i in range(1, 8)] + [("b", i, "x") for i in range(1, 30)], "k string, n long, t string")
-    got = segment.cut_pages(pages, "k", "n", "t", "END").collect()
-    assert sorted((r["n"], r["t"]) for r in got if r["k"] == "a") == [(1, "page 1"), (2, "page 2"), (3, "page 3 END")]
-    assert sorted(r["n"] for r in got if r["k"] == "b") == list(range(1, 16))
+    rows = [("a", i, f"page {i}" + (" END tail" if i in (3, 4) else "")) for i in range(1, 8)] + [("b", i, "" if i <= 10 else "x") for i in range(1, 31)]
+    rows += [("c", 1, "yours"), ("c", 2, None), ("c", 3, "E"), ("c", 4, "ND of it"), ("d", 1, "E"), ("d", 2, "ND"), ("d", 3, "END")]
+    got = {r["k"]: tuple(r)[1:] for r in segment.cut_pages(df(spark, rows, "k string, n long, t string"), "k", "n", "t", r"E\n?ND").collect()}
+    assert got["a"] == (3, True, "page 1\npage 2\npage 3 END")
+    assert got["b"] == (15, False, "\n" * 10 + "x\nx\nx\nx\nx")  # blank pages count
+    assert got["c"] == (4, True, "yours\n\nE\nND") and got["d"] == (2, True, "E\nND")  # over a page break
 
 
 def test_turn_numbers(spark):
@@ -166,20 +168,10 @@ def test_dispatch(spark):
     rows = [("pdf", "a", "one\ftwo"), ("letter", "b", "hi\nSincerely, me\fannex"), ("html", "c", "<p>x</p>"), ("markdown", "d", "## H\ntext"), ("transcript", "e", "Ann Lee: hi\nthere"), ("vtt", "f", vtt), ("odd", "g", "x"), (None, "h", "y")]
     got = dispatch.dispatch(df(spark, rows, "format string, key string, text string"))
     assert sorted((r["format"], r["key"], r["part"], r["heading"], r["text"]) for r in got.collect() if r["format"] not in ("pdf", "letter", "html")) == [("markdown", "d", 1, "H", "## H\ntext"), ("transcript", "e", 0, "Ann Lee", "hi there"), ("vtt", "f", 0, "f::w000", "hello there you")]
-    assert sorted((r["key"], r["part"], r["text"]) for r in got.collect() if r["format"] in ("pdf", "letter", "html")) == [("a", 1, "one"), ("a", 2, "two"), ("b", 1, "hi\nSincerely,"), ("c", 0, "x")]
+    assert sorted((r["key"], r["part"], r["text"]) for r in got.collect() if r["format"] in ("pdf", "letter", "html")) == [("a", 1, "one"), ("a", 2, "two"), ("b", 0, "hi\nSincerely,"), ("c", 0, "x")]
     assert dispatch.dispatch(df(spark, rows, "format string, key string, text string"), {}).count() == 0
 
 
-def test_stored_index(spark, small, tmp_path):
-    """A stored index gives the same ranks as the text, and its plan reads no text."""
-    d, q = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
-    stored = index.store_index(d.union(d.limit(1).withColumn("text", F.lit("")).withColumn("doc_id", F.lit(10**6))), "doc_id", str(tmp_path))
-    plain = index.bm25_topk(q, d.union(d.limit(1).withColumn("text", F.lit("")).withColumn("doc_id", F.lit(10**6))), "item_id", "doc_id")
-    got = index.bm25_topk(q, None, "item_id", index=index.load_index(spark, str(tmp_path)))
-    assert stored.n == d.count() + 1 and sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
-    assert "documents.parquet" not in got._jdf.queryExecution().executedPlan().toString()
-
-
 def test_dense_parts(spark, monkeypatch):
     r = np.random.default_rng(0)
     v = df(spark, [(i, [float(x) for x in r.normal(size=4)]) for i in range(300)], "row_id long, embedding array<float>")

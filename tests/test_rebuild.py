@@ -4,6 +4,7 @@ import numpy as np
 
 from chunkwright.functions.encode import HashEncoder
 from chunkwright import serve
+from chunkwright.operators import retrieve
 from chunkwright.plans import rebuild
 
 
@@ -44,3 +45,30 @@ def test_rebuild(spark, tmp_path):
     rebuild.rebuild(spark, str(tmp_path / "in"), out, "t1", encoder=again)
     latest = rebuild.current_build(spark, out)
     assert latest != folder and spark.read.parquet(f"{latest}/vectors").count() == 4 and spark.read.parquet(f"{folder}/vectors").count() == 3
+
+
+def test_last_of_repeated_ids_extras_and_kept_numbers(spark, tmp_path):
+    """Twenty ids, each twice, in two files: the later row counts. Unchanged chunks keep their numbers, so only new text enters the index."""
+    (tmp_path / "in").mkdir()
+    row = lambda i, text, **more: json.dumps({"id": f"d{i}", "corpus": "letters", "doc_title": "T", "text": text, **more})
+    (tmp_path / "in/a.chunks.jsonl").write_text("\n".join(row(i, f"first {i}", ticker="XYZ", fancy={"n": i}, tags=["a", i]) for i in range(20)))
+    (tmp_path / "in/b.chunks.jsonl").write_text("\n".join(row(i, f"last {i}") for i in reversed(range(20))))
+    out = f"{tmp_path}/out"
+    folder = rebuild.rebuild(spark, str(tmp_path / "in"), out, "t0", cap=5, overlap=1)
+    engine = rebuild.open_engine(spark, out)
+    meta = spark.read.parquet(f"{folder}/meta")
+    last = {r["id"]: r["full_text"] for r in retrieve.last_of_id(meta, order="ordinal").collect()}
+    assert last == {f"d{i}": f"last {i}" for i in range(20)} and all(engine.fetch_doc(f"d{i}")["full_text"] == f"last {i}" for i in (0, 7, 19))
+    assert [r["i"] for r in meta.selectExpr("try_variant_get(extra, '$.fancy.n', 'int') AS i", "text").where("i >= 18").orderBy("i").collect()] == [18, 19]
+    assert meta.where("extra IS NULL").count() == 20 and meta.where("variant_get(extra, '$.ticker', 'string') IS NOT NULL").count() in (0, 20)
+    (tmp_path / "in/a.chunks.jsonl").write_text("\n".join(row(i, f"first {i}" if i != 4 else "quite other words than before, many of them") for i in range(1, 20)))
+    later = rebuild.rebuild(spark, str(tmp_path / "in"), out, "t1", cap=5, overlap=1)
+    now = spark.read.parquet(f"{later}/meta")
+    kept = meta.join(now, ["id", "text"]).select(meta["row_id"], now["row_id"].alias("new")).collect()
+    assert len(kept) == 38 and all(r["row_id"] == r["new"] for r in kept)
+    commit = rebuild.segments.open_commit(spark, f"{out}/index")
+    assert spark.read.parquet(f"{out}/index/{commit.segments[-1]}/rows").count() == now.where("id LIKE 'd4::p%'").count() == 2
+    assert commit.n == now.count() == 40 and rebuild.segments.open_commit(spark, f"{out}/index", 0).n == 40
+    record = spark.read.schema(rebuild.BUILD).json(f"{out}/builds").orderBy("seq").collect()
+    assert [r["commit"] for r in record] == [0, 1] and record[1]["metrics"]["chunks"] == 40 and record[1]["metrics"]["parts"] == 2 and record[0]["metrics"]["thin"] == 40
+    assert rebuild.open_engine(spark, out).search("quite other words", k=1).first()["id"].startswith("d4::p")
