@@ -76,10 +76,31 @@ _SIGN, _CAPITALS = re.compile(r"[@\d]|AKIA|ASIA|(?i:pass|pwd|secret|token|key)")
 _CUES = frozenset([*_GENDER, "Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr", "Sra"])
 
 
+_OTHER_DIGIT = re.compile(r"(?![0-9])\d")
+# the decimal digits of all other scripts, each to its ASCII digit
+_DIGITS = {c: str(int(chr(c))) for c in range(0x80, 0x20000) if chr(c).isdecimal()}
+
+
+def fold(text: str) -> str:
+    """The text with every script's decimal digits as ASCII ones, place by place."""
+    return text if text.isascii() or not _OTHER_DIGIT.search(text) else text.translate(_DIGITS)
+
+
+def in_script_of(value: str, made: str) -> str:
+    """``made`` with its digits in the scripts of the digits that stand at their places in ``value``."""
+    return "".join(chr(ord(v) - int(v) + int(m)) if v.isdecimal() and m.isdecimal() else m for v, m in zip(value, made, strict=True))
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
-    """(start, end, type, value) of the entities in order; names give one entity for each of their parts."""
+    """(start, end, type, value) of the entities in order; names give one entity for each of their parts. Digits of any script count."""
     if not text:
         return []
+    whole, text = text, fold(text)
+    found = _find(text)
+    return found if whole is text else [(a, b, kind, whole[a:b]) for a, b, kind, _ in found]
+
+
+def _find(text: str) -> list[tuple[int, int, str, str]]:
     out = []
     m = FINDER.search(text) if _SIGN.search(text) else None
     while m:
@@ -193,6 +214,11 @@ class Surrogates:
         return whole(self.string(body, [k for k in kinds if k], form, "".join(k[0] for k in kinds if k), *tweak, fits=lambda b: fits(whole(b))))
 
     def of(self, kind: str, value: str, attempt: int = 0) -> str:
+        plain = fold(value)
+        made = self._of(kind, plain, attempt)
+        return made if plain == value else in_script_of(value, made)
+
+    def _of(self, kind: str, value: str, attempt: int) -> str:
         if kind == "email":
             local, _, host = value.rpartition("@")
             name, _, top = host.rpartition(".")
@@ -242,6 +268,7 @@ class Surrogates:
 
     def form(self, kind: str, value: str) -> str:
         """The format of a value: surrogates stay in it, and one attempt permutes all its strings."""
+        value = fold(value)
         if kind == "aws_key":
             return value[:4]
         if kind == "hex_key" or kind == "secret" and _HEX.fullmatch(value):
