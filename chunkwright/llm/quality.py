@@ -64,7 +64,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         got = [features(t) for t in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.astype(np.int32).tobytes() for s, _ in got], pa.binary()), pa.array([f.tobytes() for _, f in got], pa.binary())], names=["low", "toxic", "slots", "form"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.astype(np.int32).tobytes() for s, _ in got], pa.binary()), pa.array([f.tobytes() for _, f in got], pa.binary()), b.column(3)], names=["low", "toxic", "slots", "form", "h"])
 
 
 class Logistic:
@@ -113,15 +113,15 @@ class Logistic:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED) -> tuple[Logistic, Logistic] | None:
-    """Models of low quality and of toxic text; null without labels."""
+    """Models of low quality and of toxic text, fitted to at most ``max_labelled`` labelled rows, those of the least hashes of their ids; null where no label meets a document."""
     clean = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality"), F.col("toxic").cast("int").alias("toxic")).where("_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
-    total = clean.count()
-    if not total:
-        return None
-    share = min(1.0, max_labelled / total)
-    sample = clean.where(F.pmod(F.xxhash64("_id", F.lit(10)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "_id")
-    got = rows.select((1 - F.col("quality")).alias("low"), "toxic", "text").mapInArrow(_collect, "low int, toxic int, slots binary, form binary").limit(2 * max_labelled).collect()
+    known = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
+    told = clean.join(known.select("_id").distinct(), "_id", "left_semi")
+    order = F.xxhash64("_id", F.lit(10))
+    sample = told.orderBy(order, "_id", "quality", "toxic").limit(max_labelled)
+    rows = known.join(F.broadcast(sample), "_id").select((1 - F.col("quality")).alias("low"), "toxic", "text", order.alias("h"))
+    made = rows.mapInArrow(_collect, "low int, toxic int, slots binary, form binary, h long")
+    got = made.orderBy("h", "low", "toxic", "slots", "form").limit(max_labelled).collect()
     if not got:
         return None
     slots = [np.frombuffer(r["slots"], np.int32) for r in got]
@@ -190,8 +190,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     overall = (whole["bad"] or 0.0) / max(1, whole["n"] or 1)
     hosts = shrink(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("all", F.lit(overall)), "host", "all").select("host", F.col("post").alias("host_bad"))
     sites = shrink(paths.join(hosts, "host"), "path", "host_bad")
-    sites = Stored(sites.select("path", "host_bad", F.col("post").alias("path_bad"), (_logit(F.col("post")) - _logit(F.lit(overall))).alias("shift"))).df
-    joined = scored.join(sites, "path").withColumn("p_bad", 1 / (1 + F.exp(-(_logit(bad) + site_power * F.col("shift")))))
+    sites = Stored(sites.select("host", "path", "host_bad", F.col("post").alias("path_bad"), (_logit(F.col("post")) - _logit(F.lit(overall))).alias("shift"))).df
+    joined = scored.join(sites, ["host", "path"]).withColumn("p_bad", 1 / (1 + F.exp(-(_logit(bad) + site_power * F.col("shift")))))
     return joined.select(F.col("id").alias("doc_id"), "host", "path", F.col("low").alias("p_low"), F.col("toxic").alias("p_toxic"), "host_bad", "path_bad", "p_bad", (F.col("p_bad") < threshold).alias("keep"), *(["row"] if carry else []))
 
 
