@@ -6,7 +6,7 @@ folder and reads it again as the next stage's documents. All stages but the last
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwright.llm import line_dedup, mixing, ngram_join, packing, quality
@@ -37,6 +37,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", F.when(F.col(dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A 64-bit hash of all columns; maps and variants, which have no hash, go in as JSON."""
+    plain = lambda kind: not any(x in kind for x in ("map<", "variant"))
+    columns = [F.col(f"`{c}`") if plain(kind) else F.to_json(F.struct(F.col(f"`{c}`").alias("x"))) for c, kind in docs.dtypes]
+    return F.xxhash64(*columns)
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, 0.8) one row stays: the one of least id, ties by a hash of the row.
 
@@ -45,19 +52,20 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ones, too. No rows give none; further columns stay.
     """
     names = docs.columns
-    marked = docs.withColumn("_row_key", F.xxhash64(*[F.col(f"`{c}`") for c in names]))
-    groups = Stored(ngram_join.near_duplicates(marked, row_col="_row_key")).df.where("root IS NOT NULL")
+    key = line_dedup.fresh("_row_key", names)
+    marked = docs.withColumn(key, row_hash(docs))
+    groups = Stored(ngram_join.near_duplicates(marked.select("doc_id", "text", key), row_col=key)).df.where("root IS NOT NULL")
     best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("b"))
-    kept = Stored(best.select(F.col("b.row").alias("_row_key"))).df
-    seen = groups.groupBy(F.col("row").alias("_row_key")).count()
-    gone = Stored(seen.join(kept, "_row_key", "left_anti").select("_row_key")).df
-    left = marked.join(beside(gone), "_row_key", "left_anti")
+    kept = Stored(best.select(F.col("b.row").alias(key))).df
+    seen = groups.groupBy(F.col("row").alias(key)).count()
+    gone = Stored(seen.join(kept, key, "left_anti").select(key)).df
+    left = marked.join(beside(gone), key, "left_anti")
     # a kept row that stands more than once in the table
-    twice = Stored(seen.where("count > 1").join(kept, "_row_key", "left_semi").select("_row_key")).df
+    twice = Stored(seen.where("count > 1").join(kept, key, "left_semi").select(key)).df
     if not twice.limit(1).count():
         return left.select(*names)
-    once = left.join(beside(twice), "_row_key", "left_anti").select(*names)
-    return once.unionByName(left.join(beside(twice), "_row_key", "left_semi").dropDuplicates(["_row_key"]).select(*names))
+    once = left.join(beside(twice), key, "left_anti").select(*names)
+    return once.unionByName(left.join(beside(twice), key, "left_semi").dropDuplicates([key]).select(*names))
 
 
 def sample_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +74,10 @@ def sample_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Draws go by the id: rows of one id are drawn together where their cells' rates agree, null ids draw as 0. Rows without
     words are never drawn. No rows give none; further columns stay.
     """
-    return mixing.mix(docs).where("_sampled").select(*docs.columns)
+    used = ["doc_id", "text", "lang", "source"]
+    held = {c: f"held{i}" for i, c in enumerate(docs.columns) if c not in used}  # so that no name meets those of the sampling
+    mixed = mixing.mix(docs.select(*used, *[F.col(f"`{c}`").alias(h) for c, h in held.items()])).where("_sampled")
+    return mixed.select(*[F.col(held.get(c, c)).alias(c) for c in docs.columns])
 
 
 def pack_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
