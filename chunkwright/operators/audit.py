@@ -7,23 +7,52 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bytes_label
 
-CAP = 800
+CAP, BINS = 800, 4096
 
 
 def rank_percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float]) -> DataFrame:
     """[A3] sorted[min(n - 1, floor(n * p))] for each name and p in ``ps``, and ``n``; neither interpolated nor percentile_disc.
 
-    Values are counted first, so only (value, count) pairs of a group meet, and picked by running counts.
+    Values are whole numbers (others are cut to them); null values don't count, and a group without any has no row.
     """
-    counted = df.groupBy(*by, value).agg(F.count("*").alias("_c"))
-    return _picked(counted, by, value, ps)
+    held = df.select(*by, F.col(value).cast("long").alias("_value")).where("_value IS NOT NULL")
+    return _picked(held.groupBy(*by, "_value").agg(F.count("*").alias("_c")), by, "_value", ps)
 
 
 def _picked(counted: DataFrame, by: list[str], value: str, ps: dict[str, float], *more: Column) -> DataFrame:
-    key = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    run = counted.withColumn("_to", F.sum("_c").over(key.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.sum("_c").over(key))
-    picks = [F.min(F.when(F.col("_to") > F.least(F.col("_n") - 1, F.floor(F.col("_n") * p)), F.col(value))).cast("long").alias(name) for name, p in ps.items()]
-    return run.groupBy(*by).agg(F.max("_n").cast("long").alias("n"), *picks, *more)
+    """Exact selection by refined histograms: no group's values are ever sorted together, however many are distinct.
+
+    A rank is looked for among ``BINS`` equal bins of the whole range, then among as many of the bin that holds it, until a bin is one value: two
+    passes over the counted values up to a range of 2^24, six for all 64-bit numbers. A pass leaves at most ``BINS`` rows a group and rank.
+    """
+    low, high = counted.agg(F.min(value), F.max(value)).first()
+    passes, width = 1, BINS
+    while low is not None and width < high - low + 1:
+        passes, width = passes + 1, width * BINS
+    whole = counted.groupBy(*by).agg(F.sum("_c").cast("long").alias("n"), *more)
+    keys = {c: f"_by{i}" for i, c in enumerate(by)}
+    ranks = F.array(*[F.struct(F.lit(name).alias("name"), F.least(F.col("n") - 1, F.floor(F.col("n") * p)).cast("long").alias("rank")) for name, p in ps.items()])
+    sought = whole.select(*[F.col(c).alias(k) for c, k in keys.items()], F.inline(ranks)).withColumn("low", F.lit(low or 0).cast("decimal(38,0)"))
+    values = counted.select(*by, F.col(value).cast("decimal(38,0)").alias("_v"), "_c")
+    for _ in range(passes):
+        width //= BINS
+        inside = (F.col("_v") >= F.col("low")) & (F.col("_v") < F.col("low") + F.lit(str(width * BINS)).cast("decimal(38,0)"))
+        for c, k in keys.items():
+            inside = inside & F.col(c).eqNullSafe(F.col(k))
+        hit = values.join(sought if by else F.broadcast(sought), inside)  # without groups a row a rank
+        bins = hit.groupBy(*keys.values(), "name", "rank", "low", F.floor((F.col("_v") - F.col("low")) / F.lit(str(width)).cast("decimal(38,0)")).cast("long").alias("bin")).agg(F.sum("_c").alias("c"))
+        before = Window.partitionBy(*keys.values(), "name").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        found = bins.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0))).where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("c")))
+        sought = found.select(*keys.values(), "name", (F.col("rank") - F.col("before")).alias("rank"), (F.col("low") + F.col("bin") * F.lit(str(width)).cast("decimal(38,0)")).cast("decimal(38,0)").alias("low"))
+    picks = [F.max(F.when(F.col("name") == name, F.col("low"))).cast("long").alias(name) for name in ps]
+    got = sought.groupBy(*keys.values()).agg(*picks) if by else sought.agg(*picks)
+    if not by:
+        return got.join(F.broadcast(whole)).where("n IS NOT NULL").select("n", *ps, *[c for c in whole.columns if c != "n"])  # one row each
+    same = None
+    for c, k in keys.items():
+        test = F.col(c).eqNullSafe(F.col(k))
+        same = test if same is None else same & test
+    return whole.join(got, same).select(*by, "n", *ps, *[c for c in whole.columns if c not in by and c != "n"])
 
 
 def distribution(df: DataFrame, size: str, by: list[str], cap: int = CAP) -> DataFrame:
@@ -31,7 +60,7 @@ def distribution(df: DataFrame, size: str, by: list[str], cap: int = CAP) -> Dat
 
     Sizes are counted once by value; every level adds up those counts.
     """
-    counted = df.groupBy(*by, size).agg(F.count("*").alias("_c"))
+    counted = df.where(F.col(size).isNotNull()).groupBy(*by, size).agg(F.count("*").alias("_c"))
     out = None
     for level in [by[:i] for i in range(len(by), -1, -1)]:
         at = counted.groupBy(*level, size).agg(F.sum("_c").alias("_c"))
