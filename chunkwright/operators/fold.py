@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 WINDOW_SECONDS, MAX_WORDS, MEMORY = 75.0, 280, 30
 
 
-def threshold_windows(df: DataFrame, key: str, start: str, end: str, size: str, most_span: float = WINDOW_SECONDS, most_size: int = MAX_WORDS, order: list[str] | None = None) -> DataFrame:
-    """[W7, W8] (key, window_index, start, end, size, n): a window closes once its span or its size reaches the limit.
+def threshold_windows(df: DataFrame, key: str, start: str, end: str, size: str, most_span: float = WINDOW_SECONDS, most_size: int = MAX_WORDS, order: list[str] | None = None, idle: float = float("inf")) -> DataFrame:
+    """[W7, W8] (key, window_index, start, end, size, n): a window closes once its span or its size reaches the limit, or after ``idle`` without a row.
 
     Rows are taken in the order of ``order`` (by default start, end). What is left at the end is a window too.
     """
@@ -18,6 +18,9 @@ def threshold_windows(df: DataFrame, key: str, start: str, end: str, size: str,
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         out, first, total, n, last = [], None, 0, 0, 0.0
         for s, e, w in pdf.sort_values(by, kind="stable")[[start, end, size]].itertuples(index=False):
+            if n and s - last > idle:
+                out.append((len(out), first, last, total, n))
+                first, total, n = None, 0, 0
             first = s if first is None else first
             last, total, n = e, total + int(w), n + 1
             if last - first >= most_span or total >= most_size:

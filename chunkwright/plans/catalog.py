@@ -254,6 +254,19 @@ def threshold_windows(spark, sf_dir):
     return fold.threshold_windows(e.withColumn("e", F.col("s")), "user_id", "s", "e", "one", 86400.0, 5, ["s", "event_id"])
 
 
+@query("""WITH RECURSIVE m AS (SELECT epoch_ms(max(ts)) - 3600000 AS mark FROM events),
+e AS (SELECT user_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events, m WHERE epoch_us(ts) // 1000 <= mark),
+r AS (SELECT user_id, i, t AS first, t AS last, 1 AS n, 0 AS w, FALSE AS closed FROM e WHERE i = 1
+  UNION ALL SELECT user_id, i, first, t, n, w, (t - first) / 1000000.0 >= 86400 OR n >= 5 FROM (SELECT e.user_id, e.i, e.t, CASE WHEN fresh THEN e.t ELSE first END AS first, CASE WHEN fresh THEN 1 ELSE n + 1 END AS n, w + CAST(fresh AS INT) AS w
+    FROM (SELECT r.*, closed OR (x.t - last) / 1000000.0 > 21600 AS fresh FROM r JOIN e x ON x.user_id = r.user_id AND x.i = r.i + 1) r JOIN e ON e.user_id = r.user_id AND e.i = r.i + 1))
+SELECT user_id, CAST(min(first) / 1000000.0 AS DOUBLE) AS "start", CAST(max(last) / 1000000.0 AS DOUBLE) AS "end", CAST(max(n) AS BIGINT) AS n FROM r, m GROUP BY user_id, w, mark
+HAVING bool_or(closed) OR max(last) // 1000 + 21600001 <= mark OR w < (SELECT max(w) FROM r o WHERE o.user_id = r.user_id)""")
+def idle_windows_stream(spark, sf_dir):
+    """[W7] Through a stream: windows of a day or five events, given out on time-out after six idle hours."""
+    events = jobs.stream(spark, sf_dir, "events.parquet", table(spark, sf_dir, "events").schema)
+    return jobs.run_once(jobs.idle_windows(events, "user_id", "ts", 86400.0, 5, 21600.0), "append").select("user_id", "start", "end", "n")
+
+
 @query(f"""WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
 e AS (SELECT doc_id, i, len({WORDS.format('line')}) AS w FROM l),
 r AS (SELECT doc_id, i, i AS first, w AS total, 1 AS n, 0 AS k, w >= 220 AS closed FROM e WHERE i = 0
