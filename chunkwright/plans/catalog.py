@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import citations, render, text
 from ..functions import html as html_functions
-from ..operators import audit, fold, index, retrieve, segment, segments
+from ..operators import audit, fold, index, longfold, retrieve, segment, segments
 from ..operators import vectors as stored_vectors
 from ..sources import readers, sinks
 from ..streaming import jobs
@@ -254,6 +254,28 @@ def threshold_windows(spark, sf_dir):
     return fold.threshold_windows(e.withColumn("e", F.col("s")), "user_id", "s", "e", "one", 86400.0, 5, ["s", "event_id"])
 
 
+@query("""WITH RECURSIVE e AS (SELECT event_type, epoch_us(ts) / 1000000.0 AS s, 1 + event_id % 4 AS w, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i FROM events),
+r AS (SELECT event_type, i, s AS first, s AS last, w AS total, 1 AS n, 0 AS k, w >= 40 AS closed FROM e WHERE i = 1
+  UNION ALL SELECT event_type, i, first, s, total, n, k, s - first >= 21600 OR total >= 40 FROM (SELECT e.event_type, e.i, e.s, CASE WHEN closed THEN e.s ELSE first END AS first,
+    CASE WHEN closed THEN e.w ELSE total + e.w END AS total, CASE WHEN closed THEN 1 ELSE n + 1 END AS n, k + CAST(closed AS INT) AS k FROM r JOIN e ON e.event_type = r.event_type AND e.i = r.i + 1))
+SELECT event_type, CAST(k AS BIGINT) AS window_index, CAST(max(first) AS DOUBLE) AS "start", CAST(max(last) AS DOUBLE) AS "end", CAST(max(total) AS BIGINT) AS size, CAST(max(n) AS BIGINT) AS n FROM r GROUP BY event_type, k""")
+def long_key_windows(spark, sf_dir):
+    """[W7, W8] Five keys hold all events; blocks of 512 rows, so that each key is solved by many tasks."""
+    s = F.unix_micros(F.col("ts").cast("timestamp")) / 1000000.0
+    e = table(spark, sf_dir, "events").select("event_type", "event_id", s.alias("s"), s.alias("e"), (1 + F.col("event_id") % 4).alias("w"))
+    return longfold.threshold_windows(e, "event_type", "s", "e", "w", 21600.0, 40, ["s", "event_id"], jobs.working_folder(spark, "windows"), 512)
+
+
+@query("""SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_type(props) AS kind FROM events WHERE TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) >= 5""")
+def variant_props(spark, sf_dir):
+    """[D3, Y15] Extras kept as a variant, written and read again, then filtered by a field."""
+    folder = jobs.working_folder(spark, "variant")
+    table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("extra")).write.parquet(folder)
+    held = spark.read.parquet(folder)
+    k = F.try_variant_get("extra", "$.k", "bigint")
+    return held.where(k >= 5).select("event_id", k.alias("k"), F.when(F.schema_of_variant("extra").startswith("OBJECT"), "OBJECT").alias("kind"))
+
+
 @query("""WITH RECURSIVE m AS (SELECT epoch_ms(max(ts)) - 3600000 AS mark FROM events),
 e AS (SELECT user_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events, m WHERE epoch_us(ts) // 1000 <= mark),
 r AS (SELECT user_id, i, t AS first, t AS last, 1 AS n, 0 AS w, FALSE AS closed FROM e WHERE i = 1
