@@ -6,12 +6,13 @@ queries, pages for web payloads, conversations for transcripts, events for cues,
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import citations, render, text
 from ..functions import html as html_functions
-from ..operators import audit, fold, index, longfold, retrieve, segment, segments
+from ..operators import audit, fold, index, longfold, lsa, retrieve, segment, segments
 from ..operators import vectors as stored_vectors
 from ..sources import readers, sinks
 from ..streaming import jobs
@@ -165,6 +166,19 @@ def stored_vector_topk(spark, sf_dir):
     return stored_vectors.search_vectors(_asked(spark, sf_dir), _stored_vectors(spark, sf_dir), "item_id")
 
 
+@query()
+def fitted_encoder(spark, sf_dir):
+    """[C11] The directions of an encoder fitted to the documents: each one's value, length, largest product with another, and how much of all rows the first ones hold."""
+    docs = table(spark, sf_dir, "documents")
+    model = lsa.fit(docs)
+    products = model.basis.T @ model.basis
+    other = abs(products - np.diag(np.diag(products))).max(0)
+    rows = docs.where(F.exists(text.tokens(F.col("text")), lambda t: t.isNotNull())).count()  # rows have unit length
+    shares = np.cumsum(model.values**2) / max(1, rows)
+    found = [(i, float(v), float(products[i, i]), float(o), float(h)) for i, (v, o, h) in enumerate(zip(model.values, other, shares, strict=True))]
+    return spark.createDataFrame(found, "direction long, singular_value double, squared_length double, largest_product double, held double")
+
+
 @query(f"WITH {BM25}, {DENSE}, {FUSED} SELECT query_id, row_id, round(score, 9) AS score FROM fu")
 def rrf_fuse(spark, sf_dir):
     return retrieve.rrf(bm25_topk(spark, sf_dir), dense_topk(spark, sf_dir)).select("query_id", "row_id", F.round("score", 9).alias("score"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.citations import citation
 from ..functions.encode import HashEncoder, encoder_udf
 from ..functions.text import cache_key, words
-from ..operators import segments
+from ..operators import lsa, segments
 from ..operators.audit import with_cache
 from ..operators.retrieve import Engine
 from ..operators.segment import sliding_windows
@@ -36,7 +36,7 @@ def split_chunks(chunks: DataFrame, cap: int = 800, overlap: int = 100) -> DataF
     )
 
 
-BUILD = "build string, seq long, built string, commit long, metrics map<string,long>"
+BUILD = "build string, seq long, built string, commit long, metrics map<string,long>, encoder string"
 STRIDE_BITS = 20
 
 
@@ -74,7 +74,8 @@ def rebuild(spark: SparkSession, root: str, out: str, built: str, model: str = "
 
     The lexical index and the cache of vectors are shared by all builds: only chunks whose text is new or changed are tokenised and encoded. Each
     build names its own commit of the index, so a build that dies is never seen: readers go on with the one before it. Totals are observed
-    while meta is written, without a job of their own.
+    while meta is written, without a job of their own. With ``encoder="fit"`` the first build fits an encoder to its chunks and later ones
+    go on with it; its content key names its vectors in the cache.
     """
     folder = f"{out}/build-{uuid.uuid4().hex}"
     known = _builds(spark, out)
@@ -91,11 +92,16 @@ def rebuild(spark: SparkSession, root: str, out: str, built: str, model: str = "
     write_parquet(ordered.observe(seen, F.count("*").alias("chunks"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"), F.count_if(F.col("part_of").isNotNull()).alias("parts"), F.count_if(size == 0).alias("empty"), F.count_if(size < THIN).alias("thin")), f"{folder}/meta")
     meta = spark.read.parquet(f"{folder}/meta")
     commit = segments.upsert(spark, f"{out}/index", meta, whole=True, unique=True)
+    fitted = None
+    if isinstance(encoder, str):
+        fitted = last["encoder"] if last and last["encoder"] else lsa.store_encoder(spark, lsa.fit(meta), f"{out}/encoders")
+        encoder = lsa.load_encoder(spark, fitted)
+        model = encoder.name
     keyed = meta.select("row_id", "text", cache_key(model, F.coalesce("text", F.lit(""))).alias("key"))
     write_parquet(with_cache(keyed, f"{out}/cache", encoder_udf(encoder)).select("row_id", "embedding"), f"{folder}/vectors")
     store_vectors(spark.read.parquet(f"{folder}/vectors"), f"{folder}/near")
     index_manifest(meta, model, built).write.mode("overwrite").text(f"{folder}/manifest")
-    row = (folder.rsplit("/", 1)[1], last["seq"] + 1 if last else 0, built, commit.number, {k: int(v) for k, v in seen.get.items()})
+    row = (folder.rsplit("/", 1)[1], last["seq"] + 1 if last else 0, built, commit.number, {k: int(v) for k, v in seen.get.items()}, fitted)
     spark.createDataFrame([row], BUILD).coalesce(1).write.mode("append").json(f"{out}/builds")
     return folder
 
@@ -107,7 +113,7 @@ def current_build(spark: SparkSession, out: str) -> str:
 
 def open_engine(spark: SparkSession, out: str, encoder=None) -> Engine:
     """The last finished build under ``out``, searched by its own commit of the index and its stored vectors."""
-    model = encoder or HashEncoder()
     last = _builds(spark, out).orderBy(F.desc("seq"), F.desc("build")).first()
     folder = f"{out}/{last['build']}"
+    model = encoder or (lsa.load_encoder(spark, last["encoder"]) if last["encoder"] else HashEncoder())
     return Engine(spark.read.parquet(f"{folder}/meta"), spark.read.parquet(f"{folder}/vectors"), lambda texts: model.encode(texts), segments.open_commit(spark, f"{out}/index", last["commit"]), f"{folder}/near")

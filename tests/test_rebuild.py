@@ -72,3 +72,17 @@ def test_last_of_repeated_ids_extras_and_kept_numbers(spark, tmp_path):
     record = spark.read.schema(rebuild.BUILD).json(f"{out}/builds").orderBy("seq").collect()
     assert [r["commit"] for r in record] == [0, 1] and record[1]["metrics"]["chunks"] == 40 and record[1]["metrics"]["parts"] == 2 and record[0]["metrics"]["thin"] == 40
     assert rebuild.open_engine(spark, out).search("quite other words", k=1).first()["id"].startswith("d4::p")
+
+
+def test_fitted_encoder_is_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    row = lambda i, text: json.dumps({"id": f"d{i}", "corpus": "letters", "doc_title": "T", "text": text})
+    (tmp_path / "in/a.chunks.jsonl").write_text("\n".join(row(i, f"{'river water boat' if i % 2 else 'court judge law'} word{i}") for i in range(30)))
+    out = f"{tmp_path}/out"
+    rebuild.rebuild(spark, str(tmp_path / "in"), out, "t0", encoder="fit")
+    (tmp_path / "in/b.chunks.jsonl").write_text(row(99, "judge and river"))
+    rebuild.rebuild(spark, str(tmp_path / "in"), out, "t1", encoder="fit")
+    record = spark.read.schema(rebuild.BUILD).json(f"{out}/builds").orderBy("seq").collect()
+    assert record[0]["encoder"] == record[1]["encoder"] and spark.read.parquet(f"{out}/cache").count() == 31
+    engine = rebuild.open_engine(spark, out)
+    assert int(engine.search("boat on the water", k=1).first()["id"][1:]) % 2 == 1
