@@ -335,7 +335,10 @@ def frequencies(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     if most > 2:
         kept = hashes(bucket_counts(held.df.mapInArrow(_long_rows(pairs, most), "h long, n long"), least, buckets))
     longer = Bits(kept.df).test()
-    exact = bucket_counts(held.df.mapInArrow(_phrase_rows(pairs, longer, most), "lang string, phrase string, n long"), least, buckets)
+    # every task sends nearly all frequent phrases, so fewer and larger tasks send less: four splits each while all cores have work
+    splits = held.df.rdd.getNumPartitions()
+    wide = held.df.coalesce(max(1, min(splits, max(spark.sparkContext.defaultParallelism, splits // 4))))
+    exact = bucket_counts(wide.mapInArrow(_phrase_rows(pairs, longer, most), "lang string, phrase string, n long"), least, buckets)
     return every.unionByName(exact)
 
 
