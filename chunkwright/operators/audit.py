@@ -132,8 +132,8 @@ def run_report(df: DataFrame, by: list[str], failed: Column, skipped: Column, th
 
 
 def missing_files(expected: DataFrame, present: DataFrame, key: str = "path") -> DataFrame:
-    """[J12, A7]"""
-    return expected.select(key).distinct().join(present.select(key), key, "left_anti")
+    """[J12, A7] Distinct expected paths that aren't there; rows that lead to no file (null) are none."""
+    return expected.select(key).where(F.col(key).isNotNull()).distinct().join(present.select(key), key, "left_anti")
 
 
 def expected_path() -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import citations, render, text
 from ..functions import html as html_functions
-from ..operators import audit, fold, index, longfold, lsa, retrieve, segment, segments
+from ..operators import audit, fold, index, longfold, lsa, retrieve, sections, segment, segments
 from ..operators import vectors as stored_vectors
 from ..sources import readers, sinks
 from ..streaming import jobs
@@ -334,7 +334,17 @@ def _cues(spark, sf_dir) -> DataFrame:
     return d.select("doc_id", F.explode(F.sequence(F.lit(0), F.floor(F.size("w") / 5).cast("int"))).alias("cue"), "w").select("doc_id", "cue", F.array_join(F.slice("w", F.col("cue") * 5 + 1, 8), " ").alias("text"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {CUES},
+r AS (SELECT doc_id, cue, cue_words AS fresh, cue_words AS kept FROM c WHERE cue = 0
+  UNION ALL SELECT doc_id, cue, fresh, (kept || fresh)[greatest(1, len(kept) + len(fresh) - 29) : len(kept) + len(fresh)] FROM (
+    SELECT doc_id, cue, kept, cue_words[coalesce({OVERLAP}, 0) + 1 : len(cue_words)] AS fresh FROM (SELECT c.doc_id, c.cue, c.cue_words, r.kept FROM r JOIN c ON c.doc_id = r.doc_id AND c.cue = r.cue + 1))),
+g AS (SELECT *, sum(CAST(len(fresh) > 0 AS INT)) OVER (PARTITION BY doc_id ORDER BY cue) AS g FROM r),
+k AS (SELECT doc_id, g, CAST(min(cue) AS DOUBLE) AS s, CAST(max(cue) + 2 AS DOUBLE) AS e, arg_min(fresh, cue) AS words FROM g WHERE g > 0 GROUP BY doc_id, g),
+t AS (SELECT doc_id, g, s AS first, e AS last, len(words) AS n, 0 AS w, e - s >= 75 OR len(words) >= 280 AS closed FROM k WHERE g = 1
+  UNION ALL SELECT doc_id, g, first, last, n, w, last - first >= 75 OR n >= 280 FROM (SELECT k.doc_id, k.g, CASE WHEN closed THEN k.s ELSE first END AS first, k.e AS last,
+    CASE WHEN closed THEN 0 ELSE n END + len(k.words) AS n, w + CAST(closed AS INT) AS w FROM t JOIN k ON k.doc_id = t.doc_id AND k.g = t.g + 1))
+SELECT doc_id, doc_id || '::w' || lpad(CAST(w AS VARCHAR), CAST(greatest(3, length(CAST(w AS VARCHAR))) AS INTEGER), '0') AS id, CAST(w AS BIGINT) AS window_index, min(first) AS t_start_seconds, max(last) AS t_end_seconds,
+  string_agg(array_to_string(words, ' '), ' ' ORDER BY g) AS text FROM t JOIN k USING (doc_id, g) GROUP BY doc_id, w""")
 def transcript_windows(spark, sf_dir):
     cues = _cues(spark, sf_dir).select("doc_id", F.col("cue").cast("double").alias("start"), (F.col("cue") + 2).cast("double").alias("end"), "text")
     return fold.transcript_windows(cues, "doc_id")
@@ -436,6 +446,15 @@ def markdown_sections(spark, sf_dir):
     return segment.markdown_sections(table(spark, sf_dir, "documents").selectExpr("doc_id", f"{MARKDOWN} AS text"), "doc_id")
 
 
+@query(SQL["markdown_sections"])
+def markdown_parts_sql(spark, sf_dir):
+    """[X5] The same sections by a table function, called from SQL."""
+    sections.register(spark)
+    d = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{MARKDOWN} AS text")
+    lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    return spark.sql("SELECT * FROM markdown_parts(TABLE({lines}), 'doc_id', 'n', 'line')", lines=lines)
+
+
 @query(r"""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents) SELECT doc_id, n + 1 AS slide_number, text FROM (SELECT doc_id, unnest(p) AS text, unnest(range(len(p))) AS n FROM d) WHERE trim(regexp_replace(text, '\s+', ' ', 'g')) <> ''""")
 def form_feed_pages(spark, sf_dir):
     return segment.form_feed_pages(table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\f")).alias("text")), "doc_id")
@@ -780,6 +799,18 @@ def expected_files(spark, sf_dir):
     return audit.missing_files(wanted, wanted.where("lang = 'en'"))
 
 
+@query("""WITH m AS (SELECT lang, CASE doc_id % 6 WHEN 0 THEN 'edgar/' || source || '/10-K_2024-' || lpad(CAST(doc_id % 12 + 1 AS VARCHAR), 2, '0') WHEN 1 THEN 'memes/memes' WHEN 2 THEN 'epoch_models/notable'
+  WHEN 3 THEN 'owid/' || doc_id WHEN 4 THEN 'lecturer/lectures/' || doc_id END AS tail FROM documents)
+SELECT 'data/processed/' || tail || '.chunks.jsonl' AS path FROM (SELECT tail FROM m WHERE tail IS NOT NULL EXCEPT SELECT tail FROM m WHERE lang IN ('en', 'de') AND tail IS NOT NULL)""")
+def expected_files_all_corpora(spark, sf_dir):
+    """[J12] Every branch of the rule: filings, image captions, models, charts, lectures, and manifests without a corpus."""
+    kind = F.element_at(F.array(*[F.lit(c) for c in ("edgar", "memes", "epoch_models", "owid", "lecturer/lectures", None)]), (F.col("doc_id") % 6 + 1).cast("int"))
+    month = F.concat(F.lit("2024-"), F.lpad((F.col("doc_id") % 12 + 1).cast("string"), 2, "0"))
+    d = table(spark, sf_dir, "documents").select(kind.alias("corpus"), F.col("doc_id").cast("string").alias("doc_id"), F.col("source").alias("ticker"), F.lit("10-K").alias("form"), month.alias("report_date"), "lang")
+    wanted = d.withColumn("path", audit.expected_path())
+    return audit.missing_files(wanted, wanted.where("lang IN ('en', 'de')"))
+
+
 @query("SELECT n_name AS name, 'known' AS kind FROM nation UNION ALL SELECT r_name, 'region' FROM region UNION ALL (SELECT n_name, 'unused' FROM nation EXCEPT SELECT n_name, 'unused' FROM nation JOIN supplier ON s_nationkey = n_nationkey)")
 def set_operations(spark, sf_dir):
     n, r, s = (table(spark, sf_dir, t) for t in ("nation", "region", "supplier"))
