@@ -109,3 +109,10 @@ def test_regex_and_parser_agree(spark, small):
     for r in rows:
         parsed = squeeze(html.extract(r["html"]))
         assert parsed in squeeze(std.unescape(r["t"]))
+
+
+def test_html_references_need_their_semicolon():
+    page = "<p>a &amp; b&amp</p><p>x &lt;y&gt; &copy=1 &unheard; &ampx; &#x27;&#65; &#65</p><h3><a href='/q?a=1&lt=2&amp;b'>t</a></h3>"
+    assert html.extract(page).split("\n") == ["a & b&amp", "x <y> &copy=1 &unheard; &ampx; 'A &#65", "t"]
+    assert html.parse(page).elements[-1].attrs == {"href": "/q?a=1&lt=2&b"}
+    assert html.parse("<script>a && b &amp; c</script>").pieces == ["a && b &amp; c"]  # no references in scripts
