@@ -4,6 +4,7 @@ import decimal
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from chunkwright.plans import catalog
 
@@ -40,3 +41,10 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_pages_of_parts_are_dealt_to_tasks(spark, small):
+    """One small file is one split; parsing its pages must not be one task."""
+    for name in ("html_tables", "html_cards", "html_sections", "html_without_footers", "html_charts"):
+        tasks = catalog.QUERIES[name](spark, small).withColumn("_task", F.spark_partition_id())
+        assert tasks.select("_task").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions")), name
