@@ -204,3 +204,23 @@ def test_engine(spark):
         e.fetch_doc("nope")
     assert "_total" in e.warm_up()
     assert e.search("", k=2).count() == 2  # no tokens: the dense leg alone
+
+
+def test_folds_run_over_batches_and_keys(spark):
+    """Keys longer than an Arrow batch, null keys and short keys: the same as over lists, and no key is gathered as one frame."""
+    rows = [(None if k == 3 else k, i, " ".join("abcab"[(i + j + k) % 5] for j in range(k % 4 + 1)) if i % 3 else "") for k in range(9) for i in range(40 if k == 2 else k)]
+    t = df(spark, rows, "k long, i long, text string").repartition(3).withColumn("s", F.col("i").cast("double")).withColumn("w", F.lit(1))
+    held = {k: sorted((i, x) for k2, i, x in rows if k2 == k) for k in {r[0] for r in rows}}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        cues, windows, spans = fold.rolling_overlap(t, "k", "i", "text"), fold.transcript_windows(t, "k", "s", "s", order="s"), fold.threshold_windows(t, "k", "s", "s", "w", 4.0, 100)
+        assert not any("FlatMapGroups" in x._jdf.queryExecution().toString() for x in (cues, windows, spans))
+        got = {(r["k"], r["i"]): r["text"] for r in cues.collect()}
+        assert got == {(k, i): " ".join(f) for k, v in held.items() for (i, _), f in zip(v, fold.strip_overlap([x.split() for _, x in v]), strict=True) if f}
+        got = {(r["k"], r["window_index"]): (r["id"], r["t_start_seconds"], r["t_end_seconds"], r["text"]) for r in windows.collect()}
+        assert got == {(k, n): (f"{k}::w{n:03d}", *x) for k, v in held.items() for n, x in enumerate(fold.transcript([(float(i), float(i), x) for i, x in v]))}
+        got = {(r["k"], r["window_index"]): (r["start"], r["end"], r["n"]) for r in spans.collect()}
+        assert got == {(k, n // 5): (float(n), float(min(n + 4, len(v) - 1)), min(5, len(v) - n)) for k, v in held.items() for n in range(0, len(v), 5)}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
