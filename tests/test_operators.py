@@ -224,3 +224,32 @@ def test_folds_run_over_batches_and_keys(spark):
         assert got == {(k, n // 5): (float(n), float(min(n + 4, len(v) - 1)), min(5, len(v) - n)) for k, v in held.items() for n in range(0, len(v), 5)}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_bm25_without_an_index_scans(spark, monkeypatch):
+    """The scan equals the join over postings, also with copies past the last place, texts without tokens, small slices and blocks; repeated ids go by the join."""
+    import random
+
+    from chunkwright.operators import index
+
+    monkeypatch.setattr(index, "SLICE_ROWS", 7)
+    monkeypatch.setattr(index, "BLOCK_CELLS", 20)
+    r = random.Random(5)
+    text = lambda n: " ".join(r.choice(["the", "oak", "elm", "ash", "fir", "yew", "box", "x"]) for _ in range(n))
+    same = text(9)
+    rows = [(i, same if i % 4 == 0 else None if i % 9 == 1 else "" if i % 9 == 2 else text(i % 13)) for i in range(120)]
+    chunks = df(spark, rows, "row_id long, text string").repartition(5)
+    queries = df(spark, [(1, "the oak oak"), (2, "elm"), (3, "unheard"), (4, ""), (5, None), (6, "ash fir yew box the")], "q long, text string")
+
+    def joined(c):
+        rows = index.postings(c, "row_id").join(index.doc_lengths(c, "row_id").groupBy("row_id").agg(F.first("dl").alias("dl")), "row_id")
+        stats = index.doc_lengths(c, "row_id").agg(F.count("*"), F.avg("dl")).first()
+        return index.bm25_topk(queries, None, "q", k=10, index=index.Lexical(rows, index.document_frequency(index.postings(c, "row_id")), *stats))
+
+    got = index.bm25_topk(queries, chunks, "q", k=10)
+    assert "Join" not in got._jdf.queryExecution().toString()  # no pair of a query and a posting becomes a row
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, joined(chunks).collect())) and got.count() > 25
+    twice = chunks.unionByName(chunks.where("row_id < 9"))
+    assert {x["query_id"] for x in index.bm25_topk(queries, twice, "q", k=10).collect()} == {1, 2, 6}
+    assert len(set(map(tuple, index.bm25_topk(queries, twice, "q", k=500).select("query_id", "row_id").collect()))) == index.bm25_topk(queries, twice, "q", k=500).count()
+    assert index.bm25_topk(queries, chunks.where("false"), "q").count() == 0 and index.bm25_topk(queries.where("q > 2 AND q < 6"), chunks, "q").count() == 0
