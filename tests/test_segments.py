@@ -91,3 +91,17 @@ def test_blocks_stay_packed(spark, tmp_path):
     assert hits(segments.search(queries, commit, k=3)) == hits(index.bm25_topk(queries, chunks, "query_id", "row_id", k=3))
     used = segments.search(queries, commit, k=3, report=True).first()
     assert 0 < used["unpacked"] < 0.2 * used["postings"]
+
+
+def test_shards_are_bounded_by_tokens_and_texts_stay_in_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(segments, "SHARD_TOKENS", 100)
+    monkeypatch.setattr(segments, "SLICE_ROWS", 3)
+    rows = [(i, " ".join(f"t{j % (i + 2)}" for j in range(i * 3))) for i in range(40)] + [(40, None), (41, "")]
+    spark.createDataFrame(rows, "row_id long, text string").repartition(4).write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    commit = segments.upsert(spark, str(tmp_path / "index"), docs, unique=True)
+    held = commit.table("rows").groupBy("shard").agg(F.sum("dl").alias("dl"), F.count("*").alias("n"), F.max("place").alias("p"), F.min("dl").alias("least")).collect()
+    assert len(held) > 10 and all(r["dl"] <= 100 or r["n"] == 1 for r in held) and all(r["p"] == r["n"] - 1 for r in held)
+    queries = spark.createDataFrame([(1, "t0 t1 t1"), (2, "t30"), (3, "t5 t17 none")], "query_id long, text string")
+    assert sorted(map(tuple, segments.search(queries, commit).collect())) == sorted(map(tuple, index.bm25_topk(queries, docs.fillna(""), "query_id").collect()))
+    assert commit.n == 42 and commit.total == docs.select(F.sum(F.size(F.filter(F.split("text", " "), lambda t: t != "")))).first()[0]
