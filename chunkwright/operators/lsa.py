@@ -10,39 +10,35 @@ from __future__ import annotations
 import hashlib
 import io
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
 
-SLOTS, DIM, SPARE, PASSES, SEED, RANGES = 1 << 14, 64, 16, 3, 7, 16
+SLOTS, DIM, SPARE, PASSES, SEED, RANGES, SLICE_ROWS = 1 << 14, 64, 16, 3, 7, 16, 2048
 
 
 def slot(token: str) -> int:
     return zlib.crc32(token.encode()) % SLOTS
 
 
-def sparse(texts: list[list[str] | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, value) of the texts' rows: (1 + log tf) idf, brought to unit length."""
-    row, col, val = [], [], []
-    for i, toks in enumerate(texts):
-        counts = Counter(map(slot, toks or []))
-        if not counts:
-            continue
-        at = np.fromiter(counts, np.int64, len(counts))
-        v = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * idf[at]
-        norm = np.sqrt((v * v).sum())
-        if norm > 0:
-            row.append(np.full(len(at), i))
-            col.append(at)
-            val.append(v / norm)
-    join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-    return join(row, np.int64), join(col, np.int64), join(val, np.float64)
+def sparse(texts: pa.ListArray | list[list[str] | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, value) of the texts' rows: (1 + log tf) idf, brought to unit length. A distinct token is hashed once."""
+    texts = pa.array(texts, pa.list_(pa.string())) if isinstance(texts, list) else texts
+    words = texts.flatten().dictionary_encode()
+    slots = np.fromiter((slot(t) for t in words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+    at = pc.list_parent_indices(texts).to_numpy().astype(np.int64) * SLOTS + slots[words.indices.to_numpy()]
+    at, tf = np.unique(at, return_counts=True)
+    row, col = np.divmod(at, SLOTS)
+    val = (1 + np.log(tf)) * idf[col]
+    norm = np.sqrt(np.bincount(row, val * val, minlength=len(texts)))[row]
+    had = norm > 0
+    return row[had], col[had], val[had] / norm[had]
 
 
 def times(row: np.ndarray, col: np.ndarray, val: np.ndarray, q: np.ndarray, n: int) -> np.ndarray:
@@ -50,9 +46,9 @@ def times(row: np.ndarray, col: np.ndarray, val: np.ndarray, q: np.ndarray, n: i
     out = np.zeros((n, q.shape[1]))
     if len(row):
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        for lo in range(0, len(first), 256):
-            a, b = first[lo], first[lo + 256] if lo + 256 < len(first) else len(row)
-            out[row[first[lo : lo + 256]]] = np.add.reduceat(val[a:b, None] * q[col[a:b]], first[lo : lo + 256] - a, axis=0)
+        for lo in range(0, len(first), 16):  # a few rows at a time stay in a core's cache
+            a, b = first[lo], first[lo + 16] if lo + 16 < len(first) else len(row)
+            out[row[first[lo : lo + 16]]] = np.add.reduceat(val[a:b, None] * q[col[a:b]], first[lo : lo + 16] - a, axis=0)
     return out
 
 
@@ -97,15 +93,15 @@ def gram_times(texts: DataFrame, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, held = sent.value
         total = np.zeros((SLOTS, width))
-        for b in batches:
-            row, col, val = sparse(b.column(0).to_pylist(), weights)
+        for b in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
+            row, col, val = sparse(b.column(0), weights)
             y = times(row, col, val, held, b.num_rows)
             order = np.argsort(col, kind="stable")
             row, col, val = row[order], col[order], val[order]
             first = np.flatnonzero(np.concatenate([[True], col[1:] != col[:-1]])) if len(col) else np.zeros(0, np.int64)
-            for lo in range(0, len(first), 512):
-                a, z = first[lo], first[lo + 512] if lo + 512 < len(first) else len(col)
-                total[col[first[lo : lo + 512]]] += np.add.reduceat(val[a:z, None] * y[row[a:z]], first[lo : lo + 512] - a, axis=0)
+            for lo in range(0, len(first), 64):
+                a, z = first[lo], first[lo + 64] if lo + 64 < len(first) else len(col)
+                total[col[first[lo : lo + 64]]] += np.add.reduceat(val[a:z, None] * y[row[a:z]], first[lo : lo + 64] - a, axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array([total[i * step : (i + 1) * step].tobytes() for i in range(RANGES)], pa.binary())], names=["i", "x"])
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,3 +43,11 @@ def test_decomposition(spark, tmp_path):
 
 def test_empty(spark):
     assert not lsa.fit(spark.createDataFrame([], "text string"), dim=4).values.any()
+
+
+def test_a_distinct_token_is_hashed_once(monkeypatch):
+    seen, slot = [], lsa.slot
+    monkeypatch.setattr(lsa, "slot", lambda t: seen.append(t) or slot(t))
+    row, col, val = lsa.sparse([["ab", "cd", "ab"], None, [], ["cd", "ab"]], np.ones(lsa.SLOTS))
+    assert sorted(seen) == ["ab", "cd"] and row.tolist() == [0, 0, 3, 3]
+    assert np.allclose(np.bincount(row, val**2, 4), [1, 0, 0, 1]) and np.isclose(val[row == 0].max() / val[row == 0].min(), 1 + np.log(2))
