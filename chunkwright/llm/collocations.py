@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import _M2, _PATHS, Stored, mix64, shared_dir, shuffle_partitions, table
 
 MIN_COUNT, MOST_WORDS, FIRST = 100, 5, 2000
-FLUSH_WORDS, MERGE_ROWS, BLOCK_CANDIDATES, MEMORY = 1 << 20, 1 << 19, 1 << 14, "192MB"
+CUT_ROWS, FLUSH_WORDS, MERGE_ROWS, BLOCK_CANDIDATES, MEMORY = 1 << 10, 1 << 19, 1 << 19, 1 << 14, "192MB"
 PAGE_BITS, LEAST_BITS, MOST_BITS = 1 << 17, 1 << 20, 1 << 29
 
 # one byte each: letters A-Z to lower case, the ends of pieces to a line feed, a tab to a blank (fixed values)
@@ -35,10 +35,8 @@ _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\x0d\t", b"ab
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) to (lang, piece, m): words of a piece joined by one blank, pieces of a batch once each."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    """(lang, text) to (lang, piece, m): words of a piece joined by one blank, pieces of a slice once each."""
+    for batch in (b.take(pa.array(range(at, min(at + CUT_ROWS, b.num_rows)))) for b in batches for at in range(0, b.num_rows, CUT_ROWS)):  # a dozen copies of its text are alive at once
         text = pc.fill_null(batch.column(1), "").cast(pa.large_string())
         _, ends, data = text.buffers()
         low = pa.LargeStringArray.from_buffers(len(text), ends, pa.py_buffer((data or pa.py_buffer(b"")).to_pybytes().translate(_BYTES)), None, 0, text.offset)
@@ -46,7 +44,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = pc.utf8_trim(pc.replace_substring_regex(lists.flatten(), " {2,}", " "), " ")
         lang = batch.column(0).take(pc.list_parent_indices(lists))
         held = pa.table({"lang": lang, "piece": piece}).filter(pc.not_equal(piece, ""))
-        once = held.group_by(["lang", "piece"]).aggregate([([], "count_all")])
+        once = held.group_by(["lang", "piece"], use_threads=False).aggregate([([], "count_all")])
         for b in once.select(["lang", "piece", "count_all"]).to_batches():
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), b.column(1).cast(pa.string()), b.column(2).cast(pa.int64())], names=["lang", "piece", "m"])
 
@@ -71,7 +69,6 @@ class Words:
         self.m = np.repeat(m, n)
         code = lang.dictionary_encode()
         self.langs, self.lang = code.dictionary, np.repeat(code.indices.to_numpy(), n)
-        self.start = np.repeat(ends - n, n)
         words = self.text.dictionary_encode()
         self.words, self.word = words.dictionary, words.indices.to_numpy()
         both, self.at = np.unique(self.lang.astype(np.int64) * max(1, len(self.words)) + self.word, return_inverse=True)
@@ -93,7 +90,7 @@ class Words:
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
-    """Batches put together to about a million words."""
+    """Batches put together to about half a million words."""
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -167,7 +164,7 @@ def _merged(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
 
     def summed() -> pa.Table:
         keys = [c for c in held[0].column_names if c != "n"]
-        return pa.concat_tables(held).group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+        return pa.concat_tables(held).group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
 
     for t in tables:
         held.append(t)
@@ -241,7 +238,7 @@ def _phrase_rows(pairs, longer, most: int):
                 at = at if n == 2 else at[longer(h[at])]
                 for part in (at[i : i + 200_000] for i in range(0, len(at), 200_000)):
                     held = pa.table({"lang": pa.array(w.lang[part]), "phrase": w.phrases(part, n), "n": pa.array(w.m[part])})
-                    once = held.group_by(["lang", "phrase"]).aggregate([("n", "sum")]).combine_chunks()
+                    once = held.group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")]).combine_chunks()
                     yield pa.table({"lang": w.langs.take(once.column("lang").combine_chunks()), "phrase": once.column("phrase"), "n": once.column("n_sum")})
 
     return lambda batches: _merged(tables(batches))

@@ -92,3 +92,21 @@ def test_bits(spark):
     bits = collocations.Bits(Stored(spark.createDataFrame([(int(x),) for x in h], "h long")).df)
     other = np.random.default_rng(2).integers(0, 2**64 - 1, 100_000, dtype=np.uint64)
     assert bits.test()(h.view(np.uint64)).all() and bits.test()(other).mean() < 0.05
+
+
+def test_texts_are_cut_in_slices():
+    """A batch's text is never copied as a whole: pieces come slice by slice, each from its own rows."""
+    import pyarrow as pa
+
+    rows = [("en" if i % 2 else "de", None if i % 7 == 0 else f"A  b{i % 5}. c\td!") for i in range(2500)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["lang", "text"])
+    made = list(collocations._cut(iter([batch.slice(3)])))
+    assert len(made) == -(-2497 // collocations.CUT_ROWS)
+    got, want = {}, {}
+    for b in made:
+        for r in b.to_pylist():
+            got[r["lang"], r["piece"]] = got.get((r["lang"], r["piece"]), 0) + r["m"]
+    for lang, text in rows[3:]:
+        for piece in (f"a {text.split()[1][:-1]}", "c d") if text else ():
+            want[lang, piece] = want.get((lang, piece), 0) + 1
+    assert got == want
